@@ -20,9 +20,10 @@ HASH_PREFIX = "__hash_"
 SKIP_FIELDS = ["id", "_id"]
 
 
-def variant_kind(v: Column, null_widens: bool = True) -> Column:
-    """Lattice type name of one VARIANT value (NULL = no vote)."""
-    s = F.schema_of_variant(v)
+def variant_kind(v: Column, null_widens: bool = True, s: Column | None = None) -> Column:
+    """Lattice type name of one VARIANT value (NULL = no vote). Pass ``s`` =
+    an already computed ``schema_of_variant(v)`` column to evaluate it once."""
+    s = F.schema_of_variant(v) if s is None else s
     return (
         F.when(v.isNull(), F.lit(None))
         .when(s == "VOID", F.lit("STRING") if null_widens else F.lit(None))
@@ -69,25 +70,35 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", sample_limit: int = 0
     if sample_limit:
         docs = docs.limit(sample_limit)
     fv = field_values(docs, doc_col).where(~F.col("field").isin(SKIP_FIELDS))
-    fv = fv.withColumn("clean", sanitize_identifier_col("field")) \
-           .withColumn("nested", is_list_of_dicts(F.col("value")))
+    fv = (fv.withColumn("objs", object_elements(F.col("value")))
+            .withColumn("nested", F.coalesce(F.size("objs") > 0, F.lit(False)))
+            .withColumn("sv", F.schema_of_variant("value")))
 
+    # Votes are aggregated per raw field name first (map-side partial
+    # aggregate); names are sanitised afterwards, once per distinct name.
     scalar = fv.where(~F.col("nested")).select(
-        F.lit("parent").alias("scope"), F.col("clean").alias("field"), F.col("field").alias("source_field"),
-        variant_kind(F.col("value"), null_widens).alias("kind"), F.lit("value").alias("role"))
+        F.lit("parent").alias("scope"), F.col("field").alias("source_field"),
+        variant_kind(F.col("value"), null_widens, F.col("sv")).alias("kind"), F.lit("value").alias("role"))
     hashes = fv.where(F.col("nested")).select(
-        F.lit("parent").alias("scope"),
-        sanitize_identifier_col(F.concat(F.lit(HASH_PREFIX), F.col("clean"))).alias("field"),
-        F.col("field").alias("source_field"), F.lit("STRING").alias("kind"), F.lit("list_hash").alias("role"))
+        F.lit("parent").alias("scope"), F.col("field").alias("source_field"),
+        F.lit("STRING").alias("kind"), F.lit("list_hash").alias("role"))
     child = (fv.where(F.col("nested"))
-             .select(F.col("clean").alias("scope"), F.explode(object_elements(F.col("value"))).alias("item"))
+             .select(F.col("field").alias("scope"), F.explode("objs").alias("item"))
              .select("scope", F.explode(F.col("item").try_cast("map<string, variant>")).alias("k", "v"))
-             .select("scope", sanitize_identifier_col("k").alias("field"), F.col("k").alias("source_field"),
+             .select("scope", F.col("k").alias("source_field"),
                      variant_kind(F.col("v"), null_widens).alias("kind"), F.lit("value").alias("role")))
-    allv = scalar.unionByName(hashes).unionByName(child).where(F.col("kind").isNotNull())
-    merged = (allv.withColumn("rank", rank_of(F.col("kind")))
-              .groupBy("scope", "field")
-              .agg(F.max(F.struct("rank", "kind")).alias("m"),
+    votes = (scalar.unionByName(hashes).unionByName(child).where(F.col("kind").isNotNull())
+             .withColumn("rank", rank_of(F.col("kind")))
+             .groupBy("scope", "source_field", "role")
+             .agg(F.max(F.struct("rank", "kind")).alias("m")))
+    named = votes.select(
+        F.when(F.col("scope") == "parent", F.lit("parent")).otherwise(sanitize_identifier_col("scope")).alias("scope"),
+        F.when(F.col("role") == "list_hash",
+               sanitize_identifier_col(F.concat(F.lit(HASH_PREFIX), sanitize_identifier_col("source_field"))))
+        .otherwise(sanitize_identifier_col("source_field")).alias("field"),
+        "source_field", "role", "m")
+    merged = (named.groupBy("scope", "field")
+              .agg(F.max("m").alias("m"),
                    F.min("source_field").alias("source_field"),
                    F.max("source_field").alias("source_field_max"),
                    F.max("role").alias("role")))

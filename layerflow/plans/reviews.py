@@ -21,6 +21,7 @@ from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
 from layerflow.operators.schema import discover_schema
 from layerflow.operators.shred import shred_children, shred_parent
+from layerflow.session import cut_lineage, spread
 
 # Fixed stand-in parameters (shared with the oracle SQL).
 EXTERNAL_ID_OFFSET = 100000
@@ -35,7 +36,7 @@ FLOORS = ["0", "0º", "Piso 0", "3", "2°", "r/c esq", "RC-Esq", "RCD", "Piso 2
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def review_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +137,9 @@ def raw_layer(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -
     """Documents -> raw parent and child tables (P3, P5, P6, U7), CSV-shaped
     property and mapping rows."""
     docs = docs if docs is not None else review_documents(spark, sf_dir)
+    # The document table is read by discovery and by both shredders: it is
+    # materialised once in the shared folder (as a document store would be).
+    docs = cut_lineage(docs)
     # The discovered schema is one row per column: the only collect here.
     schema_rows = discover_schema(docs).collect()
     counters = Observation("shred")

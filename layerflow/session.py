@@ -77,3 +77,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy work at least ``min_partitions`` (default: the
+    cluster's parallelism) tasks. Large inputs already have more splits and
+    pass through unchanged; only small ones (a single-row-group file, say)
+    are redistributed round-robin."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
