@@ -240,15 +240,19 @@ def q_first_present(spark, sf_dir):
 
 
 # ---- U1-U3: upserts ----------------------------------------------------------------------
+def _event_doc_text() -> "F.Column":
+    """``{"id": "<user>", "<event_type>": <value>}`` as JSON text (explicit
+    nulls kept)."""
+    return F.concat(F.lit('{"id":"'), F.col("user_id").cast("string"), F.lit('",'),
+                    F.regexp_replace(F.to_json(F.struct(F.col("event_type").alias("k"))), r'^\{"k":(.*)\}$', "$1"),
+                    F.lit(":"), F.coalesce(F.col("value").cast("string"), F.lit("null")), F.lit("}"))
+
+
 def _event_fields(spark, sf_dir, where=None):
     ev = read(spark, sf_dir, "events")
     if where is not None:
         ev = ev.where(where)
-    # {"id": "<user>", "<event_type>": <value>} built as JSON text, explicit nulls kept
-    text = F.concat(F.lit('{"id":"'), F.col("user_id").cast("string"), F.lit('",'),
-                    F.regexp_replace(F.to_json(F.struct(F.col("event_type").alias("k"))), r'^\{"k":(.*)\}$', "$1"),
-                    F.lit(":"), F.coalesce(F.col("value").cast("string"), F.lit("null")), F.lit("}"))
-    docs = ev.select(F.col("user_id").cast("string").alias("id"), F.parse_json(text).alias("doc"),
+    docs = ev.select(F.col("user_id").cast("string").alias("id"), F.parse_json(_event_doc_text()).alias("doc"),
                      F.struct("ts", "event_id").alias("seq"))
     return ou.document_fields(docs, "seq")
 
@@ -280,6 +284,31 @@ def q_row_upsert(spark, sf_dir):
         .select("user_id", "event_type", "value", "ts")
 
 
+EVENTS_PER_PAGE = 100
+
+
+def q_page_stream_upsert(spark, sf_dir):
+    """Events delivered as page files (100 events per page, in id
+    order) -> Structured Streaming micro-batches -> field-level upsert."""
+    from layerflow.streaming.pages import run_page_upsert
+    ev = read(spark, sf_dir, "events")
+    page = (F.col("event_id") / EVENTS_PER_PAGE).cast("bigint")
+    pages = ev.groupBy(page.alias("page")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", _event_doc_text().alias("j")))),
+                                 lambda e: e["j"]), ",").alias("items"))
+    lines = pages.select(F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"data":['),
+                                  F.col("items"), F.lit("]}")).alias("value"))
+    root = shared_dir(spark, "page_stream_upsert")
+    lines.repartitionByRange(4, F.col("value")).write.text(f"{root}/pages")
+    store = sl.LayerStore(spark, f"{root}/store")
+    q = run_page_upsert(spark, f"{root}/pages", store, "docs", "reviews", f"{root}/checkpoint",
+                        max_files_per_trigger=1)
+    q.awaitTermination()
+    state = store.table("docs", "reviews")
+    return state.where(F.col("field") != "id").select(
+        "id", "field", F.parse_json("value_json").try_cast("double").alias("value"))
+
+
 # ---- U4/U5: hashing and child dedup ------------------------------------------------------
 def q_content_hash(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
@@ -570,6 +599,7 @@ QUERIES = {
     "first_present": q_first_present,
     "field_upsert": q_field_upsert,
     "upsert_metrics": q_upsert_metrics,
+    "page_stream_upsert": q_page_stream_upsert,
     "row_upsert": q_row_upsert,
     "content_hash": q_content_hash,
     "child_dedup": q_child_dedup,

@@ -351,6 +351,9 @@ ORACLE = {
     "field_upsert": """
         SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "page_stream_upsert": """
+        SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
     "upsert_metrics": f"""
         WITH b AS (SELECT user_id, event_type, value FROM events WHERE ts < TIMESTAMP '{C.UPSERT_SPLIT_TS}'
                    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
