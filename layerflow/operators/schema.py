@@ -70,24 +70,24 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", sample_limit: int = 0
     if sample_limit:
         docs = docs.limit(sample_limit)
     fv = field_values(docs, doc_col).where(~F.col("field").isin(SKIP_FIELDS))
-    fv = (fv.withColumn("objs", object_elements(F.col("value")))
-            .withColumn("nested", F.coalesce(F.size("objs") > 0, F.lit(False)))
-            .withColumn("sv", F.schema_of_variant("value")))
-
-    # Votes are aggregated per raw field name first (map-side partial
-    # aggregate); names are sanitised afterwards, once per distinct name.
-    scalar = fv.where(~F.col("nested")).select(
-        F.lit("parent").alias("scope"), F.col("field").alias("source_field"),
-        variant_kind(F.col("value"), null_widens, F.col("sv")).alias("kind"), F.lit("value").alias("role"))
-    hashes = fv.where(F.col("nested")).select(
-        F.lit("parent").alias("scope"), F.col("field").alias("source_field"),
-        F.lit("STRING").alias("kind"), F.lit("list_hash").alias("role"))
-    child = (fv.where(F.col("nested"))
-             .select(F.col("field").alias("scope"), F.explode("objs").alias("item"))
-             .select("scope", F.explode(F.col("item").try_cast("map<string, variant>")).alias("k", "v"))
-             .select("scope", F.col("k").alias("source_field"),
-                     variant_kind(F.col("v"), null_widens).alias("kind"), F.lit("value").alias("role")))
-    votes = (scalar.unionByName(hashes).unionByName(child).where(F.col("kind").isNotNull())
+
+    # One pass over the documents: each top-level value yields its votes —
+    # one for a scalar, or a hash-column vote plus one vote per key of each
+    # object of a nested list.
+    def vote(scope, source, kind, role):
+        return F.struct(scope.alias("scope"), source.alias("source_field"), kind.alias("kind"),
+                        F.lit(role).alias("role"))
+
+    objs = object_elements(F.col("value"))
+    child_votes = F.flatten(F.transform(objs, lambda o: F.transform(
+        F.map_entries(o.try_cast("map<string, variant>")),
+        lambda e: vote(F.col("field"), e["key"], variant_kind(e["value"], null_widens), "value"))))
+    votes_arr = F.when(
+        F.coalesce(F.size(objs) > 0, F.lit(False)),
+        F.concat(F.array(vote(F.lit("parent"), F.col("field"), F.lit("STRING"), "list_hash")), child_votes)
+    ).otherwise(F.array(vote(F.lit("parent"), F.col("field"), variant_kind(F.col("value"), null_widens), "value")))
+    votes = (fv.select(F.explode(votes_arr).alias("v")).select("v.*")
+             .where(F.col("kind").isNotNull())
              .withColumn("rank", rank_of(F.col("kind")))
              .groupBy("scope", "source_field", "role")
              .agg(F.max(F.struct("rank", "kind")).alias("m")))

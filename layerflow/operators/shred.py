@@ -38,10 +38,9 @@ def list_hash(v: Column) -> Column:
 def convert(v: Column, data_type: str) -> Column:
     """F13 / §1.2: one VARIANT value to its column type."""
     if data_type == "STRING":
-        s = F.schema_of_variant(v)
-        return (F.when(v.isNull() | (s == "VOID"), F.lit(None).cast("string"))
-                .when(s.startswith("OBJECT") | s.startswith("ARRAY"), F.to_json(v))
-                .otherwise(v.try_cast("string")))
+        # objects and lists become their JSON text, strings their value,
+        # a JSON null becomes NULL
+        return v.try_cast("string")
     if data_type == "BOOLEAN":
         return v.try_cast("boolean")
     if data_type == "TIMESTAMP_NTZ":

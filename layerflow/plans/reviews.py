@@ -10,6 +10,7 @@ compute the same answers straight from the tables.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +22,8 @@ from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
 from layerflow.operators.schema import discover_schema
 from layerflow.operators.shred import shred_children, shred_parent
-from layerflow.session import cut_lineage, spread
+from layerflow.session import cut_lineage, shared_dir, spread
+from layerflow.sources.layers import LayerStore
 
 # Fixed stand-in parameters (shared with the oracle SQL).
 EXTERNAL_ID_OFFSET = 100000
@@ -131,6 +133,7 @@ class Model:
     rel: dict = field(default_factory=dict)
     dead_letter: DataFrame | None = None
     counters: Observation | None = None
+    store: LayerStore | None = None
 
 
 def raw_layer(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> Model:
@@ -177,8 +180,28 @@ def rel_layer(m: Model) -> Model:
     return m
 
 
-def build_model(spark: SparkSession, sf_dir: str) -> Model:
-    return rel_layer(clean_layer(raw_layer(spark, sf_dir)))
+def _publish(m: Model, layer: str, tables: dict, version: str) -> dict:
+    """Write every table of a layer, switch them live together, and hand
+    back readers of what is stored (checks then verify stored data)."""
+    m.store.build_and_publish(layer, tables, version)
+    return {t: m.store.table(layer, t) for t in tables}
+
+
+def build_model(spark: SparkSession, sf_dir: str, store: LayerStore | None = None,
+                version: str | None = None) -> Model:
+    """Run the whole layered build: raw, clean and relational layers are each
+    published (all tables of a layer at once) and read back from storage."""
+    store = store or LayerStore(spark, shared_dir(spark, "review_model"))
+    version = version or uuid.uuid4().hex[:12]
+    m = raw_layer(spark, sf_dir)
+    m.store = store
+    m.raw = _publish(m, "raw", m.raw, version)
+    clean_layer(m)
+    m.clean = _publish(m, "clean", m.clean, version)
+    rel_layer(m)
+    m.rel = _publish(m, "rel", {**m.rel, "dead_letter": m.dead_letter}, version)
+    m.dead_letter = m.rel.pop("dead_letter")
+    return m
 
 
 def star_schema(m: Model) -> dict[str, DataFrame]:
@@ -186,7 +209,18 @@ def star_schema(m: Model) -> dict[str, DataFrame]:
     d_prop = star.dim_property(r["properties"], r["property_id_mapping"])
     d_chan = star.dim_sales_channel(r["reviews"])
     d_asp = star.dim_aspect(r["review_aspects"])
-    f_rev = star.fact_reviews(r["reviews"], r["property_id_mapping"], d_prop, d_chan)
-    return {"dim_date": star.dim_date(r["reviews"]), "dim_property": d_prop, "dim_sales_channel": d_chan,
-            "dim_aspect": d_asp, "fact_reviews": f_rev,
-            "fact_review_aspects": star.fact_review_aspects(r["review_aspects"], f_rev, d_asp)}
+    dims = {"dim_date": star.dim_date(r["reviews"]), "dim_property": d_prop, "dim_sales_channel": d_chan,
+            "dim_aspect": d_asp}
+    if m.store is not None:
+        dims = _publish(m, "star", dims, uuid.uuid4().hex[:12])
+    f_rev = star.fact_reviews(r["reviews"], r["property_id_mapping"], dims["dim_property"],
+                              dims["dim_sales_channel"])
+    facts = {"fact_reviews": f_rev}
+    if m.store is not None:
+        facts = _publish(m, "star", facts, uuid.uuid4().hex[:12])
+    facts["fact_review_aspects"] = star.fact_review_aspects(r["review_aspects"], facts["fact_reviews"],
+                                                           dims["dim_aspect"])
+    if m.store is not None:
+        facts.update(_publish(m, "star", {"fact_review_aspects": facts["fact_review_aspects"]},
+                              uuid.uuid4().hex[:12]))
+    return {**dims, **facts}
