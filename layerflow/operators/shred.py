@@ -110,3 +110,18 @@ def shred_children(docs: DataFrame, schema_rows: list, scope: str, source_field:
     for src, name, typ in child_columns(schema_rows, scope):
         cols.append(convert(F.element_at(F.col("__item"), F.lit(src)), typ).alias(name))
     return items.select(*cols)
+
+
+def dedup_child_rows(children: DataFrame, parent_col: str, content_cols: list[str],
+                     order_cols: list[str]) -> DataFrame:
+    """U5 on child rows that are already rows (no list in hand): one row per
+    (parent, content hash), keeping the first by ``order_cols``. A partial
+    aggregate keyed on (parent, row_hash): a hot parent spreads over its
+    distinct items and repeats collapse map-side, so no parent's children
+    are ever gathered in one place."""
+    obj = F.parse_json(F.to_json(F.struct(*content_cols)))
+    keyed = children.select(F.col(parent_col).cast("string").alias("parent_id"),
+                            content_hash(obj).alias("row_hash"),
+                            F.struct(*order_cols).alias("__o"), F.struct(*content_cols).alias("__c"))
+    first = keyed.groupBy("parent_id", "row_hash").agg(F.min_by("__c", "__o").alias("__c"))
+    return first.select("parent_id", "row_hash", "__c.*")

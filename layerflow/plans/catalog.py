@@ -53,9 +53,15 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict:
 
 
 # ---- S1-S3: pages ------------------------------------------------------------------
+TURNS_PER_PAGE = 100
+PAGE_STRIDE = 10000   # page number = conv_id * PAGE_STRIDE + chunk
+
+
 def conversation_pages(spark: SparkSession, sf_dir: str, with_faults: bool = False) -> DataFrame:
-    """One page envelope per conversation (turns in order). With faults,
-    some pages are broken and some elements invalid, by fixed rules."""
+    """Page envelopes of at most TURNS_PER_PAGE turns of one conversation,
+    in turn order (a page is bounded, however long a conversation is). With
+    faults, some pages are broken and some elements invalid, by fixed rules
+    on the conversation id."""
     c = read(spark, sf_dir, "conversations")
     el = F.struct(F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
                   "conv_id", "turn", "role", "text")
@@ -64,12 +70,13 @@ def conversation_pages(spark: SparkSession, sf_dir: str, with_faults: bool = Fal
         no_id = F.to_json(F.struct("conv_id", "turn", "role", "text"))
         el_json = (F.when((F.col("role") == "assistant") & (F.col("turn") % 2 == 1), F.col("turn").cast("string"))
                    .when(F.col("turn") % 3 == 2, no_id).otherwise(el_json))
-    pages = c.groupBy(F.col("conv_id").alias("page")).agg(
+    page_no = F.col("conv_id") * PAGE_STRIDE + (F.col("turn") / TURNS_PER_PAGE).cast("bigint")
+    pages = c.groupBy(page_no.alias("page")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", el_json.alias("j")))),
                                  lambda e: e["j"]), ",").alias("items"))
     payload = F.concat(F.lit('{"data":['), F.col("items"), F.lit('],"_links":{"next":null}}'))
     if with_faults:
-        p = F.col("page")
+        p = (F.col("page") / PAGE_STRIDE).cast("bigint")
         payload = (F.when(p % 10 == 0, F.lit('{"data": ['))
                    .when(p % 10 == 1, F.lit('{"items": []}'))
                    .when(p % 10 == 2, F.lit('{"data": {"id": "x"}}'))
@@ -318,17 +325,9 @@ def q_content_hash(spark, sf_dir):
 
 def q_child_dedup(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
-    docs = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", "l_returnflag", "l_linestatus", "l_partkey"))).alias("ls")).select(
-        F.col("l_orderkey").cast("string").alias("id"),
-        F.parse_json(F.to_json(F.struct(F.col("l_orderkey").cast("string").alias("id"),
-                                        F.transform("ls", lambda e: F.struct(e["l_linenumber"].alias("l_linenumber"),
-                                                                             e["l_returnflag"].alias("l_returnflag"),
-                                                                             e["l_linestatus"].alias("l_linestatus")))
-                                        .alias("lines")))).alias("doc"))
-    rows = osch.discover_schema(docs).collect()
-    return osh.shred_children(docs, rows, "lines", "lines").select(
-        "parent_id", "l_linenumber", "l_returnflag", "l_linestatus")
+    content = ["l_linenumber", "l_returnflag", "l_linestatus"]
+    return osh.dedup_child_rows(li, "l_orderkey", content, content + ["l_partkey"]).select(
+        "parent_id", *content)
 
 
 # ---- U6/J6: change detection ---------------------------------------------------------

@@ -262,16 +262,18 @@ _PAGE_EL = "CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)"
 
 ORACLE = {
     "pages_explode": f"""
-        SELECT conv_id AS page, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+        SELECT conv_id * {C.PAGE_STRIDE} + turn // {C.TURNS_PER_PAGE} AS page,
+               row_number() OVER (PARTITION BY conv_id, turn // {C.TURNS_PER_PAGE} ORDER BY turn) - 1 AS pos,
                {_PAGE_EL} AS id, role, text FROM conversations""",
-    "pages_quarantine": """
-        WITH p AS (SELECT DISTINCT conv_id AS page FROM conversations),
-        q AS (SELECT page, CASE WHEN page % 10 = 0 THEN 'bad_json' ELSE 'data_not_list' END AS reason,
+    "pages_quarantine": f"""
+        WITH p AS (SELECT DISTINCT conv_id, conv_id * {C.PAGE_STRIDE} + turn // {C.TURNS_PER_PAGE} AS page
+                   FROM conversations),
+        q AS (SELECT page, CASE WHEN conv_id % 10 = 0 THEN 'bad_json' ELSE 'data_not_list' END AS reason,
                      CAST(1 AS BIGINT) AS dropped,
-                     CAST(length(CASE page % 10 WHEN 0 THEN '{"data": [' WHEN 1 THEN '{"items": []}'
-                                  ELSE '{"data": {"id": "x"}}' END) AS BIGINT) AS stored_chars
-              FROM p WHERE page % 10 IN (0, 1, 2)),
-        e AS (SELECT conv_id AS page,
+                     CAST(length(CASE conv_id % 10 WHEN 0 THEN '{{"data": [' WHEN 1 THEN '{{"items": []}}'
+                                  ELSE '{{"data": {{"id": "x"}}}}' END) AS BIGINT) AS stored_chars
+              FROM p WHERE conv_id % 10 IN (0, 1, 2)),
+        e AS (SELECT conv_id * {C.PAGE_STRIDE} + turn // {C.TURNS_PER_PAGE} AS page,
                      CASE WHEN role = 'assistant' AND turn % 2 = 1 THEN 'not_object'
                           WHEN turn % 3 = 2 THEN 'no_id' END AS reason
               FROM conversations WHERE conv_id % 10 NOT IN (0, 1, 2))
@@ -332,8 +334,8 @@ ORACLE = {
                    || l_orderkey || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '"}') AS row_hash
         FROM lineitem""",
     "child_dedup": """
-        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS parent_id, CAST(l_linenumber AS BIGINT) AS l_linenumber,
-               l_returnflag, l_linestatus FROM lineitem""",
+        SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS parent_id, l_linenumber, l_returnflag, l_linestatus
+        FROM lineitem""",
     "change_detect": f"""
         SELECT DISTINCT CAST(CASE WHEN l_orderkey % 7 = 1 THEN l_orderkey + {C.NEW_PARENT_OFFSET} ELSE l_orderkey END AS VARCHAR)
                AS parent_id,
