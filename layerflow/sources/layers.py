@@ -102,11 +102,14 @@ class LayerStore:
         version = version or uuid.uuid4().hex[:12]
         path = self._table_path(layer, table, version)
         obs = Observation(f"w_{table}_{version}")
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = df
         if range_by:
             out = out.repartitionByRange(*range_by)
         if sort_within:
             out = out.sortWithinPartitions(*sort_within)
+        # observed right above the write: a range partitioner's sampling job
+        # runs below this point and cannot report a partial count
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
         out.write.mode("errorifexists").parquet(path)
         observed = int(obs.get["rows"])
         stored = self.spark.read.parquet(path).count()
@@ -146,14 +149,16 @@ class LayerStore:
         raise RuntimeError(f"could not publish layer {layer}: concurrent writers")
 
     def build_and_publish(self, layer: str, builders: dict, version: str | None = None,
-                          extra: dict | None = None) -> dict:
+                          extra: dict | None = None, layouts: dict | None = None) -> dict:
         """Blue/green: build every table aside in order; stop at the first
-        failure and leave the live layer untouched; on success switch all."""
+        failure and leave the live layer untouched; on success switch all.
+        ``layouts`` maps a table to its lookup columns (C3)."""
         version = version or uuid.uuid4().hex[:12]
         written: dict[str, str] = {}
         for name, build in builders.items():
             df = build() if callable(build) else build
-            written[name] = self.write_version(layer, name, df, version).path
+            cols = (layouts or {}).get(name)
+            written[name] = self.write_version(layer, name, df, version, sort_within=cols, range_by=cols).path
         return self.publish(layer, written, extra)
 
     # ---- S11: layer reader -----------------------------------------------

@@ -111,3 +111,17 @@ def test_no_python_udf_in_model_plans(spark, sf_dir):
     for name in ("fact_reviews", "typed_properties", "floor_audit", "shred_children"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_relational_layout_skips_row_groups(spark, sf_dir):
+    from layerflow.plans.catalog import model
+    m = model(spark, sf_dir)
+    r = m.rel["reviews"]
+    plan = r.where(F.col("arrival_date") == F.lit("1996-01-02").cast("date"))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(arrival_date), EqualTo(arrival_date" in plan
+    # files hold disjoint, sorted ranges of the lookup column
+    ranges = (r.groupBy(F.spark_partition_id().alias("p"))
+              .agg(F.min("arrival_date").alias("lo"), F.max("arrival_date").alias("hi"))
+              .orderBy("lo").collect())
+    assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
