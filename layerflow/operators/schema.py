@@ -44,9 +44,25 @@ def rank_of(kind: Column) -> Column:
     return expr
 
 
+def kind_of(rank: Column) -> Column:
+    """Inverse of :func:`rank_of` (ranks are one-to-one with types)."""
+    expr = F.lit("STRING")
+    for name, r in RANK.items():
+        expr = F.when(rank == r, F.lit(name)).otherwise(expr)
+    return expr
+
+
 def object_elements(v: Column) -> Column:
-    """Elements of a VARIANT array that are objects (W1 keeps mixed lists)."""
-    return F.filter(v.try_cast("array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+    """Elements of a VARIANT array that are objects (W1 keeps mixed lists).
+    The object test is a cast, not ``schema_of_variant`` (which would render
+    each element's whole type as text)."""
+    return F.filter(v.try_cast("array<variant>"), lambda e: e.try_cast("map<string, variant>").isNotNull())
+
+
+def object_maps(v: Column) -> Column:
+    """The object elements of a VARIANT array as maps (field -> value)."""
+    return F.filter(F.transform(v.try_cast("array<variant>"), lambda e: e.try_cast("map<string, variant>")),
+                    lambda m: m.isNotNull())
 
 
 def is_list_of_dicts(v: Column) -> Column:
@@ -71,39 +87,44 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", sample_limit: int = 0
         docs = docs.limit(sample_limit)
     fv = field_values(docs, doc_col).where(~F.col("field").isin(SKIP_FIELDS))
 
-    # One pass over the documents: each top-level value yields its votes —
-    # one for a scalar, or a hash-column vote plus one vote per key of each
-    # object of a nested list.
-    def vote(scope, source, kind, role):
-        return F.struct(scope.alias("scope"), source.alias("source_field"), kind.alias("kind"),
+    # One pass over the documents: each top-level value yields its entries —
+    # itself when scalar, or a hash-column entry plus one entry per key of
+    # each object of a nested list. Lambdas only build the entries; the type
+    # of each value is computed once, after the explode, in generated code.
+    def entry(scope, source, value, role):
+        return F.struct(scope.alias("scope"), source.alias("source_field"), value.alias("value"),
                         F.lit(role).alias("role"))
 
-    objs = object_elements(F.col("value"))
-    child_votes = F.flatten(F.transform(objs, lambda o: F.transform(
-        F.map_entries(o.try_cast("map<string, variant>")),
-        lambda e: vote(F.col("field"), e["key"], variant_kind(e["value"], null_widens), "value"))))
-    votes_arr = F.when(
-        F.coalesce(F.size(objs) > 0, F.lit(False)),
-        F.concat(F.array(vote(F.lit("parent"), F.col("field"), F.lit("STRING"), "list_hash")), child_votes)
-    ).otherwise(F.array(vote(F.lit("parent"), F.col("field"), variant_kind(F.col("value"), null_widens), "value")))
-    votes = (fv.select(F.explode(votes_arr).alias("v")).select("v.*")
+    fv = fv.withColumn("objs", object_maps(F.col("value")))
+    child_entries = F.flatten(F.transform("objs", lambda o: F.transform(
+        F.map_entries(o),
+        lambda e: entry(F.col("field"), e["key"], e["value"], "value"))))
+    entries = F.when(
+        F.coalesce(F.size("objs") > 0, F.lit(False)),
+        F.concat(F.array(entry(F.lit("parent"), F.col("field"), F.lit(None).cast("variant"), "list_hash")),
+                 child_entries)
+    ).otherwise(F.array(entry(F.lit("parent"), F.col("field"), F.col("value"), "value")))
+    ex = fv.select(F.explode(entries).alias("v")).select("v.*").withColumn("sv", F.schema_of_variant("value"))
+    kind = F.when(F.col("role") == "list_hash", F.lit("STRING")).otherwise(
+        variant_kind(F.col("value"), null_widens, F.col("sv")))
+    votes = (ex.select("scope", "source_field", "role", kind.alias("kind"))
              .where(F.col("kind").isNotNull())
-             .withColumn("rank", rank_of(F.col("kind")))
              .groupBy("scope", "source_field", "role")
-             .agg(F.max(F.struct("rank", "kind")).alias("m")))
+             # an int buffer keeps this a hash aggregate (partial, map side)
+             .agg(F.max(rank_of(F.col("kind"))).alias("rank")))
     named = votes.select(
         F.when(F.col("scope") == "parent", F.lit("parent")).otherwise(sanitize_identifier_col("scope")).alias("scope"),
         F.when(F.col("role") == "list_hash",
                sanitize_identifier_col(F.concat(F.lit(HASH_PREFIX), sanitize_identifier_col("source_field"))))
         .otherwise(sanitize_identifier_col("source_field")).alias("field"),
-        "source_field", "role", "m")
+        "source_field", "role", "rank")
     merged = (named.groupBy("scope", "field")
-              .agg(F.max("m").alias("m"),
+              .agg(F.max("rank").alias("rank"),
                    F.min("source_field").alias("source_field"),
                    F.max("source_field").alias("source_field_max"),
                    F.max("role").alias("role")))
     return merged.select("scope", "field", "source_field", "role",
-                         F.col("m.kind").alias("data_type"), F.col("m.rank").alias("rank"),
+                         kind_of(F.col("rank")).alias("data_type"), "rank",
                          (F.col("source_field") != F.col("source_field_max")).alias("name_collision"))
 
 
