@@ -106,10 +106,19 @@ def q_pages_quarantine(spark, sf_dir):
 
 # ---- S4/W3/U8: incremental scan ---------------------------------------------------
 def q_incremental_scan(spark, sf_dir):
+    """A first run commits the orders up to half the key range and stops
+    (its resume point is kept); the next run resumes after that key, loads
+    the rest and completes, clearing the resume point."""
+    store = sl.LayerStore(spark, shared_dir(spark, "incremental_scan"))
     orders = read(spark, sf_dir, "orders")
-    # the previous run's high-water mark (one value)
-    hwm = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).first()[0]
-    return orders.where(F.col("o_orderkey") > F.lit(hwm))
+    half = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).first()[0]
+    first = orders.where(F.col("o_orderkey") <= F.lit(half))
+    store.commit_increment("raw", "orders", first, "o_orderkey", done=False)      # run 1 stops here
+    hwm = store.high_water_mark("raw", "orders")
+    rest = sl.scan_after(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey", hwm)
+    store.commit_increment("raw", "orders", rest, "o_orderkey", done=True)        # run 2 resumes
+    assert store.high_water_mark("raw", "orders") is None
+    return store.increments("raw", "orders").where(F.col("o_orderkey") > F.lit(hwm))
 
 
 # ---- S5-S7, P2: CSV -----------------------------------------------------------------

@@ -161,6 +161,30 @@ class LayerStore:
             written[name] = self.write_version(layer, name, df, version, sort_within=cols, range_by=cols).path
         return self.publish(layer, written, extra)
 
+    # ---- U8: resumable incremental load ----------------------------------
+    def high_water_mark(self, layer: str, name: str):
+        """Last committed key of an unfinished incremental run (None: the
+        previous run completed, so the next one is a full pass)."""
+        return self.current(layer).get("hwm", {}).get(name)
+
+    def commit_increment(self, layer: str, name: str, df: DataFrame, key: str, done: bool) -> dict:
+        """Append one committed increment of ``name``; record its highest
+        key as the resume point, or clear it when the run is complete."""
+        cur = self.current(layer)
+        res = self.write_version(layer, f"{name}__part", df)
+        parts = list(cur.get("parts", {}).get(name, [])) + [res.path]
+        top = df.agg(F.max(key)).first()[0]
+        hwm = dict(cur.get("hwm", {}))
+        if done:
+            hwm.pop(name, None)
+        elif top is not None:
+            hwm[name] = top
+        return self.publish(layer, {}, extra={"hwm": hwm, "parts": {**cur.get("parts", {}), name: parts}})
+
+    def increments(self, layer: str, name: str) -> DataFrame:
+        parts = self.current(layer).get("parts", {}).get(name, [])
+        return self.spark.read.parquet(*parts)
+
     # ---- S11: layer reader -----------------------------------------------
     def table(self, layer: str, name: str) -> DataFrame:
         tables = self.current(layer)["tables"]
@@ -169,6 +193,11 @@ class LayerStore:
         return self.spark.read.parquet(tables[name])
 
 
+def scan_after(df: DataFrame, key: str, hwm) -> DataFrame:
+    """S4 + W3: rows after the high-water mark (pushed to the file scan)."""
+    return df if hwm is None else df.where(F.col(key) > F.lit(hwm))
+
+
 # ---- S12: dead letter -------------------------------------------------------
 def split_dead_letter(df: DataFrame, error: "F.Column", key_col: str, as_of) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``error`` expression is non-NULL go to the dead letter

@@ -100,10 +100,21 @@ def test_checks_pass_and_mutations(spark):
         assert (family, "rel", status) in hit, (bad, hit)
 
 
-def test_incremental_scan_pushes_filter(spark, sf_dir):
-    from layerflow.plans.catalog import q_incremental_scan
-    plan = q_incremental_scan(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey" in plan
+def test_incremental_resume_pushes_filter(spark, sf_dir):
+    df = sl.scan_after(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey", 100)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,100)]" in plan
+
+
+def test_incremental_load_resumes(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    src = spark.range(1, 101).toDF("k")
+    store.commit_increment("raw", "t", src.where("k <= 40"), "k", done=False)
+    assert store.high_water_mark("raw", "t") == 40
+    store.commit_increment("raw", "t", sl.scan_after(src, "k", 40), "k", done=True)
+    assert store.high_water_mark("raw", "t") is None
+    got = sorted(r.k for r in store.increments("raw", "t").collect())
+    assert got == list(range(1, 101))
 
 
 def test_no_python_udf_in_model_plans(spark, sf_dir):
