@@ -93,7 +93,8 @@ class LayerStore:
     # ---- S8: count-verified write ----------------------------------------
     def write_version(self, layer: str, table: str, df: DataFrame, version: str | None = None,
                       sort_within: list[str] | None = None,
-                      range_by: list[str] | None = None) -> WriteResult:
+                      range_by: list[str] | None = None,
+                      partition_by: list[str] | None = None) -> WriteResult:
         """Write one immutable version and verify that the stored row count
         equals the rows that went through the write (one pass, Observation).
 
@@ -110,7 +111,10 @@ class LayerStore:
         # observed right above the write: a range partitioner's sampling job
         # runs below this point and cannot report a partial count
         out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("errorifexists").parquet(path)
+        w = out.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
         observed = int(obs.get["rows"])
         stored = self.spark.read.parquet(path).count()
         if stored != observed:
@@ -190,7 +194,8 @@ class LayerStore:
         tables = self.current(layer)["tables"]
         if name not in tables:
             raise KeyError(f"{layer}.{name} is not published")
-        return self.spark.read.parquet(tables[name])
+        paths = tables[name]
+        return self.spark.read.parquet(*paths) if isinstance(paths, list) else self.spark.read.parquet(paths)
 
 
 def scan_after(df: DataFrame, key: str, hwm) -> DataFrame:

@@ -20,6 +20,7 @@ from layerflow.sources import layers as sl
 from layerflow.sources import pages as sp
 
 PAGE_FILE_PATTERN = r"page-(\d+)"
+STATE_BUCKETS = 64
 
 
 def page_stream(spark: SparkSession, path: str, whole_file: bool = False,
@@ -36,20 +37,49 @@ def page_stream(spark: SparkSession, path: str, whole_file: bool = False,
     return df.select(page.alias("page"), src.alias("source"), F.col("value").alias("payload"))
 
 
-def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int) -> None:
-    """Merge one micro-batch of pages into the published document state."""
+def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int,
+                 buckets: int = STATE_BUCKETS) -> None:
+    """Merge one micro-batch of pages into the published document state.
+
+    The state is hash-bucketed on the document id; only the buckets the
+    batch touches are read, merged and rewritten, and the manifest points
+    each bucket at its newest files, so a micro-batch costs the size of the
+    touched state, not of the whole store."""
     cur = store.current(layer)
     done = cur.get("stream_batches", {}).get(table, -1)
     if batch_id <= done:
         return  # replayed batch: already published
     split = sp.split_pages(batch, source_col="source")
     fields = ou.document_fields(split.elements.select("id", "doc", F.struct("page", "pos").alias("seq")), "seq")
-    state = store.table(layer, table) if table in cur["tables"] else None
-    merged = ou.field_upsert(state, fields)
-    res = store.write_version(layer, table, merged)
-    marks = dict(cur.get("stream_batches", {}))
-    marks[table] = batch_id
-    store.publish(layer, {table: res.path}, extra={"stream_batches": marks})
+    # read twice below (touched buckets, merge); a lost block is recomputed
+    # from the replayable file source
+    fields = fields.withColumn("bucket", _bucket(buckets)).persist()
+    try:
+        _merge(store, layer, table, fields, cur, batch_id, buckets)
+    finally:
+        fields.unpersist()
+
+
+def _merge(store, layer, table, fields, cur, batch_id, buckets) -> None:
+    # at most ``buckets`` small integers reach the driver
+    touched = sorted(r.bucket for r in fields.select("bucket").distinct().collect())
+    if not touched:
+        return
+    current = cur.get("buckets", {}).get(table, {})
+    old_paths = [current[str(b)] for b in touched if str(b) in current]
+    state = None
+    if old_paths:
+        state = store.spark.read.parquet(*old_paths).select(*ou.STATE_COLUMNS)
+    merged = ou.field_upsert(state, fields.drop("bucket")).withColumn("bucket", _bucket(buckets))
+    res = store.write_version(layer, f"{table}__state", merged, partition_by=["bucket"])
+    new_map = {**current, **{str(b): f"{res.path}/bucket={b}" for b in touched}}
+    marks = {**cur.get("stream_batches", {}), table: batch_id}
+    store.publish(layer, {table: sorted(new_map.values())},
+                  extra={"stream_batches": marks, "buckets": {**cur.get("buckets", {}), table: new_map}})
+
+
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
 
 
 def run_page_upsert(spark: SparkSession, pages_path: str, store: sl.LayerStore, layer: str, table: str,
