@@ -3,15 +3,15 @@ single-partition window.
 
 The rows are range-partitioned and sorted on the order key, then written to
 the shared checkpoint folder so partition contents and order are fixed even
-if an executor is lost. A per-partition count (one row per partition) gives
-each partition its starting offset; the id is offset + position in the
-partition. The offsets table has exactly one row per partition, so it is
-the one side here that may be broadcast.
+if an executor is lost. A per-partition count (one number per partition, bounded by the
+partition count and never by the data) gives each partition its starting
+offset, applied as a literal array; the id is offset + position in the
+partition. No window and no join are needed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerflow.session import cut_lineage
@@ -28,12 +28,12 @@ def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id",
     ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     fixed = cut_lineage(ordered.withColumn("__pid", F.spark_partition_id())
                         .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
-    counts = fixed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
-    # bounded by the partition count, never by the data
-    joined = fixed.join(F.broadcast(offsets), "__pid")
-    return joined.withColumn(id_col, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos") + 1) \
-        .drop("__pid", "__pos", "__off")
+    # one count per partition: bounded by the partition count, not the data
+    counts = dict(fixed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    offsets, run = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(run)
+        run += counts.get(pid, 0)
+    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("__pid") + 1) \
+        if offsets else F.lit(0).cast("bigint")
+    return fixed.withColumn(id_col, start + F.col("__pos") + 1).drop("__pid", "__pos")

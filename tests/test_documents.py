@@ -133,3 +133,20 @@ def test_shred_parent_skips_null_ids(spark):
     assert got == [("1", 1)]
     assert obs.get == {"processed": 3, "skipped": 2}
     assert "hash_l" in p.columns and "l" not in p.columns
+
+
+def test_name_collision_and_sample_limit(spark):
+    import pytest
+    d = docs_df(spark, [{"id": "1", "a b": 1, "a_b": 2}, {"id": "2", "c": 3}])
+    rows = osch.discover_schema(d).collect()
+    with pytest.raises(ValueError):
+        osch.check_name_collisions(rows)
+    one = osch.discover_schema(docs_df(spark, [{"id": "1", "x": 1}]), sample_limit=1).collect()
+    assert [(r.field, r.data_type) for r in one] == [("x", "BIGINT")]
+
+
+def test_schema_drift(spark):
+    old = osch.discover_schema(docs_df(spark, [{"id": "1", "a": 1}]))
+    new = osch.discover_schema(docs_df(spark, [{"id": "1", "a": 1.5, "b": True}]))
+    got = sorted((r.field, r.old_type, r.new_type, r.change) for r in osch.schema_drift(old, new).collect())
+    assert got == [("a", "BIGINT", "DOUBLE", "widened"), ("b", None, "BOOLEAN", "added")]
