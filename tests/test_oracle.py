@@ -29,6 +29,9 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     cur = con.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(ocols, orows)
