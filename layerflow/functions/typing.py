@@ -51,10 +51,18 @@ def to_nullable_int_error(c) -> Column:
     return F.coalesce(fractional | t.rlike(INFINITY_SHAPE), F.lit(False))
 
 
+ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def to_datetime(c) -> Column:
     """ISO date or date-time text -> TIMESTAMP_NTZ, bad -> NULL. One rule
-    per row (the reference's first-value format inference is not kept, B5)."""
-    return _trimmed(c).try_cast("timestamp_ntz")
+    per row (the reference's first-value format inference is not kept, B5);
+    text with a zone offset is converted to its UTC wall-clock time."""
+    t = _trimmed(c)
+    local = t.try_cast("timestamp_ntz")
+    instant = t.try_cast("timestamp")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return F.when(t.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*" + ZONE_SUFFIX), utc).otherwise(local)
 
 
 def to_date(c) -> Column:

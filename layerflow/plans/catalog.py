@@ -370,7 +370,9 @@ def q_replace_children(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
     # both document sets are read three times (discovery, hashes, shredding)
     old, new = cut_lineage(_line_docs(li)), cut_lineage(_line_docs(_changed_lines(li)))
-    rows = osch.discover_schema(old.unionByName(new)).collect()
+    # the incoming documents define the child columns (the stored ones
+    # were shredded with the same schema)
+    rows = osch.discover_schema(new).collect()
     status = ou.change_detect(_hashes(old), _hashes(new))
     cols = ["parent_id", "n", "f", "q", "p", "s"]
     oc_ = osh.shred_children(old, rows, "lines", "lines").select(*cols)

@@ -57,8 +57,10 @@ def test_nullable_int(spark):
 def test_nullable_float_and_dates(spark):
     assert one_col(spark, ["2.5", "x", "inf", None, " 1e3 "], typing.to_nullable_float) == [2.5, None, None, None, 1000.0]
     import datetime as dt
-    got = one_col(spark, ["2024-01-02", "2024-01-02 03:04:05", "2024-01-02T03:04:05", "bad", None], typing.to_datetime)
-    assert got == [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5), None, None]
+    got = one_col(spark, ["2024-01-02", "2024-01-02 03:04:05", "2024-01-02T03:04:05", "bad", None,
+                          "2024-01-02T10:00:00+02:00", "2024-01-02T10:00:00Z"], typing.to_datetime)
+    assert got == [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5), None, None,
+                   dt.datetime(2024, 1, 2, 8, 0), dt.datetime(2024, 1, 2, 10, 0)]
 
 
 def test_sanitize_identifier(spark):
