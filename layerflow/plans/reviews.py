@@ -23,6 +23,7 @@ from layerflow.operators.keys import dense_ids
 from layerflow.operators.schema import discover_schema
 from layerflow.operators.shred import shred_children, shred_parent
 from layerflow.session import cut_lineage, shared_dir, spread
+from layerflow.sources.csv import read_csv_all_string, write_csv
 from layerflow.sources.layers import LayerStore
 
 # Fixed stand-in parameters (shared with the oracle SQL).
@@ -126,6 +127,25 @@ def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("c_custkey") + EXTERNAL_ID_OFFSET).cast("string").alias("idavantio"))
 
 
+# Fixed stand-in CSV headers: P2 cleans them to the raw column names.
+PROPERTY_CSV_HEADERS = ["ID", "Equipa", "Bairro", "WC CodPostal", "WC ZonaPostal", "CoordsGPS", "Inativo",
+                        "Data Inicio", "Data Inativo", "Andar", "Elevador", "Máx.Ocupação", "NumWCDuche",
+                        "NumWCBasico", "Lugar Garagem", "RCM MaqRoupa", "RCM MaqLoica", "RCM ArCond", "AutoCheckin"]
+MAPPING_CSV_HEADERS = ["IdFLH", "IdAvantio"]
+
+
+def reference_csv(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Stage the property or id-mapping rows as a CSV file with human headers
+    in the shared folder and load it back with the all-string CSV source
+    (S5-S7, P2), as the reference loads its reference files."""
+    rows, headers = ((property_rows(spark, sf_dir), PROPERTY_CSV_HEADERS) if name == "propriedades"
+                     else (mapping_rows(spark, sf_dir), MAPPING_CSV_HEADERS))
+    expected = rows.columns
+    path = shared_dir(spark, f"csv_{name}")
+    write_csv(rows.toDF(*headers), path)
+    return read_csv_all_string(spark, path, expected_columns=expected)
+
+
 @dataclass
 class Model:
     raw: dict = field(default_factory=dict)
@@ -156,7 +176,8 @@ def raw_layer(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -
             children[f"reviews_{scope}"] = ch
     m = Model(counters=counters)
     m.raw = {"reviews": parent, **children,
-             "propriedades": property_rows(spark, sf_dir), "idavantio": mapping_rows(spark, sf_dir)}
+             "propriedades": reference_csv(spark, sf_dir, "propriedades"),
+             "idavantio": reference_csv(spark, sf_dir, "idavantio")}
     return m
 
 
