@@ -158,6 +158,27 @@ def length_violations(df: DataFrame, table: str, sizes: dict[str, int]) -> DataF
         F.lit(table).alias("table_name"), "r.*")
 
 
+def enforce_table(df: DataFrame, table: str, key: list[str], sizes: dict[str, int] | None = None) -> None:
+    """Build gate for one table (C1 + F12): a single aggregate counts rows,
+    distinct and NULL keys and over-long values; any violation raises with
+    the counts, so the layer is never published (B8)."""
+    sizes = {c: n for c, n in (sizes or {}).items() if c in df.columns}
+    any_null = F.lit(False)
+    for k in key:
+        any_null = any_null | F.col(k).isNull()
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
+               F.count_if(any_null).alias("null_keys"),
+               *[F.count_if(ft.length_violation(c, n)).alias(f"len_{c}") for c, n in sizes.items()]).first()
+    problems = []
+    if r["null_keys"]:
+        problems.append(f"{r['null_keys']} NULL key(s)")
+    if r["rows"] - r["null_keys"] != r["keys"]:
+        problems.append(f"{r['rows'] - r['null_keys'] - r['keys']} duplicate key row(s)")
+    problems += [f"{r[f'len_{c}']} value(s) longer than {n} in {c}" for c, n in sizes.items() if r[f"len_{c}"]]
+    if problems:
+        raise ConstraintViolation(f"{table}: " + "; ".join(problems))
+
+
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key has no parent (NULL keys are not
     orphans, as in SQL foreign keys)."""

@@ -201,6 +201,17 @@ def rel_layer(m: Model) -> Model:
     return m
 
 
+def enforce_constraints(m: Model) -> None:
+    """The relational build fails, and nothing is published, when a key,
+    foreign key or column size is violated (C1, C2, J4, F12)."""
+    r = m.rel
+    orl.enforce_table(r["properties"], "properties", ["property_id"], orl.PROPERTY_SIZES)
+    orl.enforce_table(r["property_id_mapping"], "property_id_mapping", ["property_id"])
+    orl.enforce_table(r["reviews"], "reviews", ["review_id"], orl.REVIEW_SIZES)
+    orl.enforce_table(r["review_aspects"], "review_aspects", ["aspect_id"], orl.ASPECT_SIZES)
+    orl.enforce_fk(r["review_aspects"], r["reviews"], "review_id")
+
+
 # The reference's lookup indexes, re-aimed as write layout (files hold
 # key ranges, row groups are sorted, so min/max statistics skip). Each
 # lookup column is followed by the primary key, so one hot value (a date
@@ -228,6 +239,7 @@ def build_model(spark: SparkSession, sf_dir: str, store: LayerStore | None = Non
     clean_layer(m)
     m.clean = _publish(m, "clean", m.clean, version)
     rel_layer(m)
+    enforce_constraints(m)
     m.rel = _publish(m, "rel", {**m.rel, "dead_letter": m.dead_letter}, version, REL_LAYOUT)
     m.dead_letter = m.rel.pop("dead_letter")
     return m

@@ -165,6 +165,27 @@ class LayerStore:
             written[name] = self.write_version(layer, name, df, version, sort_within=cols, range_by=cols).path
         return self.publish(layer, written, extra)
 
+    def vacuum(self, layer: str, keep: int = 1) -> list[str]:
+        """Drop table versions no longer referenced by the newest ``keep``
+        manifests (the old tables of a blue/green swap)."""
+        mdir = self._manifest_dir(layer)
+        names = sorted(n for n in self.fs.list_names(mdir) if n.endswith(".json"))
+        live: set[str] = set()
+        for n in names[-keep:]:
+            for p in json.loads(self.fs.read(f"{mdir}/{n}")).get("tables", {}).values():
+                live.update(p if isinstance(p, list) else [p])
+        live_dirs = {p.split("/bucket=")[0] for p in live}
+        dropped = []
+        for table in self.fs.list_names(f"{self.root}/{layer}"):
+            if table == "_manifests":
+                continue
+            for v in self.fs.list_names(f"{self.root}/{layer}/{table}"):
+                path = f"{self.root}/{layer}/{table}/{v}"
+                if path not in live_dirs:
+                    self.fs.delete(path)
+                    dropped.append(path)
+        return dropped
+
     # ---- U8: resumable incremental load ----------------------------------
     def high_water_mark(self, layer: str, name: str):
         """Last committed key of an unfinished incremental run (None: the

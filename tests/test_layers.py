@@ -136,3 +136,23 @@ def test_relational_layout_skips_row_groups(spark, sf_dir):
               .agg(F.min("arrival_date").alias("lo"), F.max("arrival_date").alias("hi"))
               .orderBy("lo").collect())
     assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
+
+
+def test_vacuum_drops_old_versions(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    a = spark.range(3).toDF("x")
+    store.build_and_publish("rel", {"a": a})
+    store.build_and_publish("rel", {"a": a.limit(1)})
+    dropped = store.vacuum("rel", keep=1)
+    assert len(dropped) == 1 and store.table("rel", "a").count() == 1
+
+
+def test_constraint_gate(spark):
+    from layerflow.operators import relational as orl
+    ok = spark.createDataFrame([(1, "ab"), (2, "c")], "k int, t string")
+    orl.enforce_table(ok, "t", ["k"], {"t": 5})
+    for bad in (spark.createDataFrame([(1, "a"), (1, "b")], "k int, t string"),
+                spark.createDataFrame([(None, "a")], "k int, t string"),
+                spark.createDataFrame([(1, "toolong")], "k int, t string")):
+        with pytest.raises(orl.ConstraintViolation):
+            orl.enforce_table(bad, "t", ["k"], {"t": 5})
