@@ -555,11 +555,7 @@ def q_key_parity_property(spark, sf_dir):
 
 
 # ---- G1, G3, V*: checks --------------------------------------------------------------
-def _check_layers(m: R.Model) -> dict:
-    return {"raw": {"reviews": m.raw["reviews"], "reviews_evaluationaspects": m.raw["reviews_evaluationaspects"],
-                    "propriedades": m.raw["propriedades"]},
-            "clean": {t: m.clean[t] for t in ("reviews", "review_aspects", "properties")},
-            "rel": {t: m.rel[t] for t in ("reviews", "review_aspects", "properties")}}
+_check_layers = R.check_layers
 
 
 def q_row_parity(spark, sf_dir):

@@ -21,6 +21,7 @@ from layerflow.operators import relational as orl
 from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
 from layerflow.operators.schema import discover_schema
+from layerflow.functions.names import sanitize_identifier
 from layerflow.operators.shred import shred_children, shred_parent
 from layerflow.session import cut_lineage, shared_dir, spread
 from layerflow.sources.csv import read_csv_all_string, write_csv
@@ -156,9 +157,12 @@ class Model:
     store: LayerStore | None = None
 
 
-def raw_layer(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> Model:
-    """Documents -> raw parent and child tables (P3, P5, P6, U7), CSV-shaped
-    property and mapping rows."""
+def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None = None,
+              properties: DataFrame | None = None, mapping: DataFrame | None = None,
+              loaded_at: str = LOADED_AT) -> Model:
+    """Documents -> raw parent and child tables (P3, P5, P6, U7), plus the
+    all-string property and id-mapping tables from the CSV source. Without
+    explicit inputs the stand-ins of ``sf_dir`` are used."""
     docs = docs if docs is not None else review_documents(spark, sf_dir)
     # The document table is read by discovery and by both shredders: it is
     # materialised once in the shared folder (as a document store would be).
@@ -170,14 +174,14 @@ def raw_layer(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -
     children = {}
     for r in schema_rows:
         if r["scope"] == "parent" and r["role"] == "list_hash":
-            scope = r["field"][len("hash_"):]
-            ch = shred_children(docs, schema_rows, scope, r["source_field"], loaded_at=LOADED_AT)
+            scope = sanitize_identifier(r["source_field"])
+            ch = shred_children(docs, schema_rows, scope, r["source_field"], loaded_at=loaded_at)
             ch = dense_ids(ch, ["parent_id", "pos", "row_hash"], "id").drop("pos")
             children[f"reviews_{scope}"] = ch
     m = Model(counters=counters)
     m.raw = {"reviews": parent, **children,
-             "propriedades": reference_csv(spark, sf_dir, "propriedades"),
-             "idavantio": reference_csv(spark, sf_dir, "idavantio")}
+             "propriedades": properties if properties is not None else reference_csv(spark, sf_dir, "propriedades"),
+             "idavantio": mapping if mapping is not None else reference_csv(spark, sf_dir, "idavantio")}
     return m
 
 
@@ -227,13 +231,11 @@ def _publish(m: Model, layer: str, tables: dict, version: str, layouts: dict | N
     return {t: m.store.table(layer, t) for t in tables}
 
 
-def build_model(spark: SparkSession, sf_dir: str, store: LayerStore | None = None,
-                version: str | None = None) -> Model:
-    """Run the whole layered build: raw, clean and relational layers are each
-    published (all tables of a layer at once) and read back from storage."""
-    store = store or LayerStore(spark, shared_dir(spark, "review_model"))
+def publish_layers(m: Model, store: LayerStore, version: str | None = None) -> Model:
+    """Publish raw, clean and relational layers in turn (each layer's tables
+    switch live together) and continue from what is stored. The relational
+    layer is published only if its constraints hold."""
     version = version or uuid.uuid4().hex[:12]
-    m = raw_layer(spark, sf_dir)
     m.store = store
     m.raw = _publish(m, "raw", m.raw, version)
     clean_layer(m)
@@ -245,6 +247,21 @@ def build_model(spark: SparkSession, sf_dir: str, store: LayerStore | None = Non
     return m
 
 
+def build_model(spark: SparkSession, sf_dir: str, store: LayerStore | None = None,
+                version: str | None = None) -> Model:
+    """The whole layered build on the stand-ins of ``sf_dir``."""
+    store = store or LayerStore(spark, shared_dir(spark, "review_model"))
+    return publish_layers(raw_layer(spark, sf_dir), store, version)
+
+
+def check_layers(m: Model) -> dict:
+    """The tables the cross-layer checks compare."""
+    return {"raw": {"reviews": m.raw["reviews"], "reviews_evaluationaspects": m.raw["reviews_evaluationaspects"],
+                    "propriedades": m.raw["propriedades"]},
+            "clean": {t: m.clean[t] for t in ("reviews", "review_aspects", "properties")},
+            "rel": {t: m.rel[t] for t in ("reviews", "review_aspects", "properties")}}
+
+
 def star_schema(m: Model) -> dict[str, DataFrame]:
     r = m.rel
     d_prop = star.dim_property(r["properties"], r["property_id_mapping"])
