@@ -77,27 +77,48 @@ def _layers(spark, bad=None):
     asp = spark.range(n).select(F.col("id").alias("aspect_id"), F.col("id").cast("string").alias("review_id"),
                                 F.lit("A").alias("aspect"), F.lit(6.0).alias("score"))
     props = spark.range(20).select(F.col("id").alias("property_id"))
+    raw = {"reviews": rev, "reviews_evaluationaspects": asp, "propriedades": props}
     clean = {"reviews": rev, "review_aspects": asp, "properties": props}
+    if bad == "V2":
+        small = props.where(F.col("property_id") < 5)
+        raw["propriedades"], clean["properties"] = small, small
     rel = dict(clean)
-    if bad == "score":
-        rel["reviews"] = rev.withColumn("overall_score", F.when(F.col("review_id") == "3", 11.0).otherwise(7.0))
-    if bad == "orphan":
+    if bad == "V1":
+        rel["reviews"] = rev.where(F.col("review_id") != "7")
+    if bad == "V3":
+        rel["review_aspects"] = asp.withColumn("aspect_id", F.when(F.col("aspect_id") == 1, 2).otherwise(F.col("aspect_id")))
+    if bad == "V4":   # both layers, so score parity (V9) still holds
+        clean["reviews"] = rel["reviews"] = rev.withColumn(
+            "overall_score", F.when(F.col("review_id") == "3", 11.0).otherwise(7.0))
+    if bad == "V5":
+        clean["reviews"] = rel["reviews"] = rev.withColumn("overall_score", F.lit(2.0))
+    if bad == "V6":
+        rel["reviews"] = rev.withColumn("departure_date", F.lit("2023-12-01"))
+    if bad == "V7":
+        rel["reviews"] = rev.withColumn("sales_channel_code", F.when(F.col("review_id") == "5", None)
+                                        .otherwise(F.col("sales_channel_code")))
+    if bad == "V8":
         rel["review_aspects"] = asp.withColumn("review_id", F.when(F.col("aspect_id") == 1, "zz")
                                                .otherwise(F.col("review_id")))
-    if bad == "dates":
-        rel["reviews"] = rev.withColumn("departure_date", F.lit("2023-12-01"))
-    return {"raw": {"reviews": rev, "reviews_evaluationaspects": asp, "propriedades": props},
-            "clean": clean, "rel": rel}
+    if bad == "V9":
+        rel["reviews"] = rev.withColumn("review_id", F.when(F.col("review_id") == "9", "x9").otherwise(F.col("review_id")))
+    return {"raw": raw, "clean": clean, "rel": rel}
 
 
 def test_checks_pass_and_mutations(spark):
     rep = {r.check_id: r for r in checks.run_checks(_layers(spark), "2026-01-01 00:00:00").collect()}
     assert len(rep) == 44
     assert all(r.status == "PASS" for r in rep.values())
-    for bad, family, status in (("score", "V4", "FAIL"), ("orphan", "V8", "FAIL"), ("dates", "V6", "WARN")):
-        r = checks.run_checks(_layers(spark, bad), "2026-01-01 00:00:00")
-        hit = {(x.family, x.layer, x.status) for x in r.where(F.col("status") != "PASS").collect()}
-        assert (family, "rel", status) in hit, (bad, hit)
+    # non-PASS (family, status) pairs each single mutation must produce: a
+    # review missing from the relational layer also orphans its aspect and
+    # breaks id parity
+    expect = {"V1": {("V1", "FAIL"), ("V8", "FAIL"), ("V9", "FAIL")}, "V2": {("V2", "FAIL")},
+              "V3": {("V3", "FAIL")}, "V4": {("V4", "FAIL")}, "V5": {("V5", "WARN")}, "V6": {("V6", "WARN")},
+              "V7": {("V7", "FAIL")}, "V8": {("V8", "FAIL")}, "V9": {("V8", "FAIL"), ("V9", "FAIL")}}
+    for fam, want in expect.items():
+        r = checks.run_checks(_layers(spark, fam), "2026-01-01 00:00:00")
+        hit = {(x.family, x.status) for x in r.where(F.col("status") != "PASS").collect()}
+        assert hit == want, (fam, hit)
 
 
 def test_incremental_resume_pushes_filter(spark, sf_dir):
