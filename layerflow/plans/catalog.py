@@ -312,10 +312,11 @@ def q_page_stream_upsert(spark, sf_dir):
     pages = ev.groupBy(page.alias("page")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", _event_doc_text().alias("j")))),
                                  lambda e: e["j"]), ",").alias("items"))
-    lines = pages.select(F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"data":['),
-                                  F.col("items"), F.lit("]}")).alias("value"))
+    lines = pages.select("page", F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"data":['),
+                                          F.col("items"), F.lit("]}")).alias("value"))
     root = shared_dir(spark, "page_stream_upsert")
-    lines.repartitionByRange(4, F.col("value")).write.text(f"{root}/pages")
+    # files hold contiguous page ranges, as pages arrive in order
+    lines.repartitionByRange("page").sortWithinPartitions("page").select("value").write.text(f"{root}/pages")
     store = sl.LayerStore(spark, f"{root}/store")
     q = run_page_upsert(spark, f"{root}/pages", store, "docs", "reviews", f"{root}/checkpoint",
                         max_files_per_trigger=1)
