@@ -64,7 +64,9 @@ def shred_parent(docs: DataFrame, schema_rows: list, doc_col: str = "doc",
         "__id", F.when(raw_id.isNull() | F.is_variant_null(raw_id), F.lit(None)).otherwise(raw_id.try_cast("string")))
     if counters is not None:
         base = base.observe(counters, F.count(F.lit(1)).alias("processed"),
-                            F.count_if(F.col("__id").isNull()).alias("skipped"))
+                            F.count_if(F.col("__m").isNotNull() & F.col("__id").isNull()).alias("skipped"),
+                            F.count_if(F.col("__m").isNull()).alias("failed"))
+    # a document that is not an object fails; one without id is skipped
     base = base.where(F.col("__id").isNotNull())
     store_id = F.col("_id").cast("string") if "_id" in docs.columns else F.substring(F.md5(F.col("__id")), 1, 24)
     cols = [F.col("__id").alias("id"), store_id.alias("_id")]

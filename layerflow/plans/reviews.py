@@ -263,22 +263,28 @@ def check_layers(m: Model) -> dict:
 
 
 def star_schema(m: Model) -> dict[str, DataFrame]:
+    """Dimensions, then facts keyed on the stored dimensions; with a
+    layer store every table is written aside first and the whole star is
+    switched live in one publish (shadow build and swap)."""
     r = m.rel
-    d_prop = star.dim_property(r["properties"], r["property_id_mapping"])
-    d_chan = star.dim_sales_channel(r["reviews"])
-    d_asp = star.dim_aspect(r["review_aspects"])
-    dims = {"dim_date": star.dim_date(r["reviews"]), "dim_property": d_prop, "dim_sales_channel": d_chan,
-            "dim_aspect": d_asp}
-    if m.store is not None:
-        dims = _publish(m, "star", dims, uuid.uuid4().hex[:12])
-    f_rev = star.fact_reviews(r["reviews"], r["property_id_mapping"], dims["dim_property"],
-                              dims["dim_sales_channel"])
-    facts = {"fact_reviews": f_rev}
-    if m.store is not None:
-        facts = _publish(m, "star", facts, uuid.uuid4().hex[:12])
-    facts["fact_review_aspects"] = star.fact_review_aspects(r["review_aspects"], facts["fact_reviews"],
-                                                           dims["dim_aspect"])
-    if m.store is not None:
-        facts.update(_publish(m, "star", {"fact_review_aspects": facts["fact_review_aspects"]},
-                              uuid.uuid4().hex[:12]))
-    return {**dims, **facts}
+    store = m.store
+    version = uuid.uuid4().hex[:12]
+    written: dict[str, str] = {}
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        if store is None:
+            return df
+        written[name] = store.write_version("star", name, df, version).path
+        return m.store.spark.read.parquet(written[name])
+
+    dims = {"dim_date": stage("dim_date", star.dim_date(r["reviews"])),
+            "dim_property": stage("dim_property", star.dim_property(r["properties"], r["property_id_mapping"])),
+            "dim_sales_channel": stage("dim_sales_channel", star.dim_sales_channel(r["reviews"])),
+            "dim_aspect": stage("dim_aspect", star.dim_aspect(r["review_aspects"]))}
+    f_rev = stage("fact_reviews", star.fact_reviews(r["reviews"], r["property_id_mapping"], dims["dim_property"],
+                                                    dims["dim_sales_channel"]))
+    f_asp = stage("fact_review_aspects", star.fact_review_aspects(r["review_aspects"], f_rev, dims["dim_aspect"]))
+    if store is not None:
+        store.publish("star", written)
+        return {t: store.table("star", t) for t in written}
+    return {**dims, "fact_reviews": f_rev, "fact_review_aspects": f_asp}

@@ -20,7 +20,7 @@ QUARANTINE_PAYLOAD_CHARS = 10000
 @dataclass
 class PageSplit:
     elements: DataFrame   # page, pos, id, doc (VARIANT) — valid review elements
-    quarantine: DataFrame  # page, source, payload (first 10,000 chars), reason
+    quarantine: DataFrame  # page, source, logged_at, payload (first 10,000 chars), reason
     rejects: DataFrame    # page, reason, dropped  (S3 counts per page)
 
 
@@ -45,7 +45,7 @@ def split_pages(pages: DataFrame, page_col: str = "page", payload_col: str = "pa
     parsed = parsed.withColumn("reason", bad_reason)
 
     quarantine = parsed.where(F.col("reason").isNotNull()).select(
-        "page", "source",
+        "page", "source", F.current_timestamp().alias("logged_at"),
         F.substring("payload", 1, QUARANTINE_PAYLOAD_CHARS).alias("payload"), "reason")
 
     el = (parsed.where(F.col("reason").isNull())
@@ -53,7 +53,7 @@ def split_pages(pages: DataFrame, page_col: str = "page", payload_col: str = "pa
     as_map = F.expr("try_cast(doc as map<string, variant>)")
     el = el.withColumn(
         "reject",
-        F.when(~F.schema_of_variant("doc").startswith("OBJECT"), F.lit("not_object"))
+        F.when(as_map.isNull(), F.lit("not_object"))
         .when(~F.map_contains_key(as_map, F.lit("id")), F.lit("no_id")))
     elements = el.where(F.col("reject").isNull()).select(
         "page", "pos", F.expr("try_variant_get(doc, '$.id', 'string')").alias("id"), "doc")

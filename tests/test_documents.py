@@ -131,7 +131,7 @@ def test_shred_parent_skips_null_ids(spark):
     p = osh.shred_parent(d, rows, counters=obs)
     got = [(r.id, r.a) for r in p.collect()]
     assert got == [("1", 1)]
-    assert obs.get == {"processed": 3, "skipped": 2}
+    assert obs.get == {"processed": 3, "skipped": 2, "failed": 0}
     assert "hash_l" in p.columns and "l" not in p.columns
 
 
