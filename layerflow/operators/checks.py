@@ -177,3 +177,15 @@ def run_checks(layers: dict[str, dict[str, DataFrame]], as_of) -> DataFrame:
 def failed(report: DataFrame) -> bool:
     """Exit status of the reference: true iff any check FAILed."""
     return not report.where(F.col("status") == "FAIL").isEmpty()
+
+
+def with_details(report: DataFrame) -> DataFrame:
+    """Adds a readable ``detail`` per check (what the reference prints)."""
+    n = F.format_number(F.abs(F.col("observed")), 0)
+    kind = (F.when(F.col("family") == "V1", F.concat(F.lit("row delta "), n))
+            .when(F.col("family") == "V2", F.concat(n, F.lit(" rows")))
+            .when(F.col("family") == "V5", F.when(F.col("observed").isNull(), F.lit("no scores found"))
+                  .otherwise(F.concat(F.lit("avg="), F.col("observed").cast("string"))))
+            .otherwise(F.concat(n, F.lit(" violating rows"))))
+    return report.withColumn("detail", F.when(F.col("status") == "PASS", F.concat(F.lit("ok: "), kind))
+                             .otherwise(kind))

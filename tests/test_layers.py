@@ -177,3 +177,20 @@ def test_constraint_gate(spark):
                 spark.createDataFrame([(1, "toolong")], "k int, t string")):
         with pytest.raises(orl.ConstraintViolation):
             orl.enforce_table(bad, "t", ["k"], {"t": 5})
+
+
+def test_csv_separator_and_encoding(spark):
+    d = tempfile.mkdtemp()
+    p = os.path.join(d, "props.csv")
+    with open(p, "wb") as f:
+        f.write("Código;Bairro\n1;Belém\n2;NULL\n".encode("latin-1"))
+    df = scsv.read_csv_all_string(spark, p, sep=";", encoding="ISO-8859-1")
+    assert df.columns == ["c_digo", "bairro"]
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "Belém"), ("2", None)]
+
+
+def test_check_details(spark):
+    rep = checks.with_details(checks.run_checks(_layers(spark, "V2"), "2026-01-01 00:00:00"))
+    d = {r.check_name: r.detail for r in rep.collect()}
+    assert d["raw.propriedades has at least 10 rows"] == "5 rows"
+    assert d["reviews: raw -> clean"] == "ok: row delta 0"
