@@ -165,8 +165,10 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
     explicit inputs the stand-ins of ``sf_dir`` are used."""
     docs = docs if docs is not None else review_documents(spark, sf_dir)
     # The document table is read by discovery and by both shredders: it is
-    # materialised once in the shared folder (as a document store would be).
-    docs = cut_lineage(docs)
+    # materialised once in the shared folder (as a document store would be),
+    # in id order, so child rows exploded from it are already in (parent,
+    # position) order and get their dense ids without another shuffle.
+    docs = cut_lineage(docs.repartitionByRange("id").sortWithinPartitions("id"))
     # The discovered schema is one row per column: the only collect here.
     schema_rows = discover_schema(docs).collect()
     counters = Observation("shred")
@@ -176,7 +178,7 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
         if r["scope"] == "parent" and r["role"] == "list_hash":
             scope = sanitize_identifier(r["source_field"])
             ch = shred_children(docs, schema_rows, scope, r["source_field"], loaded_at=loaded_at)
-            ch = dense_ids(ch, ["parent_id", "pos", "row_hash"], "id").drop("pos")
+            ch = dense_ids(ch, ["parent_id", "pos"], "id", presorted=True).drop("pos")
             children[f"reviews_{scope}"] = ch
     m = Model(counters=counters)
     m.raw = {"reviews": parent, **children,

@@ -194,3 +194,12 @@ def test_check_details(spark):
     d = {r.check_name: r.detail for r in rep.collect()}
     assert d["raw.propriedades has at least 10 rows"] == "5 rows"
     assert d["reviews: raw -> clean"] == "ok: row delta 0"
+
+
+def test_dense_ids_presorted_matches_sorted(spark):
+    df = spark.range(0, 500).select((F.col("id") * 13 % 500).alias("k"))
+    base = {r.k: r.rid for r in dense_ids(df, ["k"], "rid").collect()}
+    from layerflow.session import cut_lineage
+    pre = cut_lineage(df.repartitionByRange(5, "k").sortWithinPartitions("k"))
+    got = {r.k: r.rid for r in dense_ids(pre, ["k"], "rid", presorted=True).collect()}
+    assert got == base
