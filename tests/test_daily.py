@@ -28,7 +28,7 @@ def test_daily_run(spark):
     p2 = {"data": [_review(1, globalValoration=6.0, response=None)]}
     for n, p in ((1, p1), (2, p2)):
         with open(os.path.join(pages, f"page-{n:04d}.json"), "w") as f:
-            json.dump(p, f)
+            json.dump(p, f, indent=2)   # pretty-printed, as an API returns it
     with open(os.path.join(pages, "page-0003.json"), "w") as f:
         f.write('{"data": "not a list"}')
     with open(os.path.join(root, "Propriedades.csv"), "w", encoding="utf-8") as f:
