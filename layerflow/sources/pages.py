@@ -27,7 +27,8 @@ class PageSplit:
 def read_page_files(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """S1 reader. ``whole_file``: one envelope per file (the API's page);
     otherwise one envelope per line. Returns (source, payload)."""
-    df = spark.read.option("wholetext", whole_file).text(path)
+    # text()'s own ``wholetext`` argument would override a reader option
+    df = spark.read.text(path, wholetext=whole_file)
     return df.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("payload"))
 
 

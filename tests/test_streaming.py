@@ -38,3 +38,15 @@ def test_page_stream_upsert_and_replay(spark):
     # a re-delivered page under a new batch id leaves the state unchanged
     st.upsert_batch(store, "docs", "reviews", batch, 99)
     assert _state(store) == want
+
+
+def test_page_stream_whole_file_pages(spark):
+    root = tempfile.mkdtemp()
+    os.makedirs(f"{root}/in")
+    for n, data in ((1, [{"id": "a", "x": 1}]), (2, [{"id": "a", "x": 2}, {"id": "b", "x": 9}])):
+        with open(f"{root}/in/page-{n:04d}.json", "w") as f:
+            json.dump({"data": data}, f, indent=2)      # multi-line: one page per file
+    store = sl.LayerStore(spark, f"{root}/store")
+    st.run_page_upsert(spark, f"{root}/in", store, "docs", "reviews", f"{root}/ckpt",
+                       whole_file=True).awaitTermination()
+    assert _state(store) == {("a", "id"): '"a"', ("a", "x"): "2", ("b", "id"): '"b"', ("b", "x"): "9"}
