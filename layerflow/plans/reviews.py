@@ -20,7 +20,7 @@ from layerflow.operators import clean as oc
 from layerflow.operators import relational as orl
 from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
-from layerflow.operators.schema import discover_schema
+from layerflow.operators.schema import check_name_collisions, discover_schema
 from layerflow.functions.names import sanitize_identifier
 from layerflow.operators.shred import shred_children, shred_parent
 from layerflow.session import cut_lineage, shared_dir, spread
@@ -171,6 +171,7 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
     docs = cut_lineage(docs.repartitionByRange("id").sortWithinPartitions("id"))
     # The discovered schema is one row per column: the only collect here.
     schema_rows = discover_schema(docs).collect()
+    check_name_collisions(schema_rows)     # B14: two fields, one column -> error
     counters = Observation("shred")
     parent = shred_parent(docs, schema_rows, counters=counters)
     children = {}
