@@ -61,3 +61,31 @@ def test_daily_run(spark):
     assert facts["r0"].stay_nights == 3
     bad = res.model.store.table("ingest", "bad_payloads").collect()
     assert [b.reason for b in bad] == ["data_not_list"]
+
+
+def test_daily_second_run_merges_new_pages(spark):
+    root = tempfile.mkdtemp()
+    pages = os.path.join(root, "pages")
+    os.makedirs(pages)
+    with open(os.path.join(pages, "page-0001.json"), "w") as f:
+        json.dump({"data": [_review(i) for i in range(4)]}, f)
+    with open(os.path.join(root, "p.csv"), "w") as f:
+        f.write("ID,Equipa\n1,North\n")
+    with open(os.path.join(root, "m.csv"), "w") as f:
+        f.write("IdFLH,IdAvantio\n1,5000\n")
+    args = (os.path.join(root, "p.csv"), os.path.join(root, "m.csv"), os.path.join(root, "store"))
+    first = daily.run(spark, pages, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    assert first.model.rel["reviews"].count() == 4
+    # the next day: one review changes, one arrives with odd shapes
+    with open(os.path.join(pages, "page-0002.json"), "w") as f:
+        json.dump({"data": [_review(2, globalValoration=3.5, evaluationAspects=[]),
+                            _review(9, accommodationId="5001", createdAt="2024-03-01T10:00:00+02:00",
+                                    **{"Guest Country": "PT"})]}, f)
+    second = daily.run(spark, pages, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    rev = {r.review_id: r for r in second.model.rel["reviews"].collect()}
+    assert len(rev) == 5 and rev["r2"].overall_score == 3.5
+    assert rev["r9"].external_property_id == 5001 and rev["r9"].guest_country == "PT"
+    assert str(rev["r9"].created_at) == "2024-03-01 08:00:00"
+    # an emptied list removes the review's aspects
+    assert second.model.rel["review_aspects"].where(F.col("review_id") == "r2").count() == 0
+    assert second.model.rel["review_aspects"].where(F.col("review_id") == "r1").count() == 2
