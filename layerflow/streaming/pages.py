@@ -74,8 +74,17 @@ def _merge(store, layer, table, fields, cur, batch_id, buckets) -> None:
     res = store.write_version(layer, f"{table}__state", merged, partition_by=["bucket"])
     new_map = {**current, **{str(b): f"{res.path}/bucket={b}" for b in touched}}
     marks = {**cur.get("stream_batches", {}), table: batch_id}
+    # U2 running totals over the documents this batch touched (one row)
+    ids = fields.select("id").distinct()
+    after = store.spark.read.parquet(res.path).select(*ou.STATE_COLUMNS).join(ids, "id", "left_semi")
+    before = state.join(ids, "id", "left_semi") if state is not None else after.limit(0)
+    m = ou.upsert_metrics(before, after).first()
+    totals = dict(cur.get("stream_metrics", {}).get(table, {}))
+    for k in ("upserted", "matched", "modified"):
+        totals[k] = totals.get(k, 0) + int(m[k])
     store.publish(layer, {table: sorted(new_map.values())},
-                  extra={"stream_batches": marks, "buckets": {**cur.get("buckets", {}), table: new_map}})
+                  extra={"stream_batches": marks, "buckets": {**cur.get("buckets", {}), table: new_map},
+                         "stream_metrics": {**cur.get("stream_metrics", {}), table: totals}})
 
 
 def _bucket(buckets: int):

@@ -27,6 +27,8 @@ def test_page_stream_upsert_and_replay(spark):
                        max_files_per_trigger=1).awaitTermination()
     want = {("a", "id"): '"a"', ("a", "x"): "3", ("a", "y"): "null", ("b", "id"): '"b"', ("b", "x"): "5"}
     assert _state(store) == want
+    # U2 totals: a, b new on page 1; a matched and modified on pages 2 and 3
+    assert store.current("docs")["stream_metrics"]["reviews"] == {"upserted": 2, "matched": 2, "modified": 2}
     seq_before = store.current("docs")["seq"]
     # a replayed micro-batch (same id) is a no-op
     batch = spark.createDataFrame([(2, "x", json.dumps(pages[1]))], "page bigint, source string, payload string")
