@@ -53,9 +53,15 @@ def ingest_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_
     cur = store.current("docs")["tables"]
     prev = store.table("docs", "fields") if "fields" in cur else None
     fields = ou.document_fields(split.elements.select("id", "doc", F.struct("page", "pos").alias("seq")), "seq")
-    store.build_and_publish("ingest", {"bad_payloads": split.quarantine, "rejected_elements": split.rejects})
     store.build_and_publish("docs", {"fields": ou.field_upsert(prev, fields)})
-    return ou.assemble_documents(store.table("docs", "fields")).select("id", "doc")
+    state = store.table("docs", "fields")
+    # U2 over the documents these pages touched
+    ids = fields.select("id").distinct()
+    after = state.join(ids, "id", "left_semi")
+    before = prev.join(ids, "id", "left_semi") if prev is not None else after.limit(0)
+    store.build_and_publish("ingest", {"bad_payloads": split.quarantine, "rejected_elements": split.rejects,
+                                       "upsert_metrics": ou.upsert_metrics(before, after)})
+    return ou.assemble_documents(state).select("id", "doc")
 
 
 def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv: str, root: str,

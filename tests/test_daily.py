@@ -82,6 +82,9 @@ def test_daily_second_run_merges_new_pages(spark):
                             _review(9, accommodationId="5001", createdAt="2024-03-01T10:00:00+02:00",
                                     **{"Guest Country": "PT"})]}, f)
     second = daily.run(spark, pages, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    m = second.model.store.table("ingest", "upsert_metrics").first()
+    # both pages are re-read: r0-r3 unchanged but matched, r2 modified, r9 new
+    assert (m.upserted, m.matched, m.modified, m.total) == (1, 4, 1, 5)
     rev = {r.review_id: r for r in second.model.rel["reviews"].collect()}
     assert len(rev) == 5 and rev["r2"].overall_score == 3.5
     assert rev["r9"].external_property_id == 5001 and rev["r9"].guest_country == "PT"
