@@ -82,3 +82,31 @@ def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv:
     report = store.table("checks", "report")
     star = R.star_schema(m) if build_star else {}
     return DailyResult(m, report, star, failed(report))
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m layerflow.plans.daily --pages ... --properties ...
+    --mapping ... --root ...``; exit status 1 iff a check FAILed."""
+    import argparse
+
+    from layerflow.session import build_session
+
+    p = argparse.ArgumentParser(description="layered review build")
+    p.add_argument("--pages", required=True)
+    p.add_argument("--properties", required=True)
+    p.add_argument("--mapping", required=True)
+    p.add_argument("--root", required=True, help="layer store root on the shared file system")
+    p.add_argument("--sep", default=",")
+    p.add_argument("--encoding", default="UTF-8")
+    p.add_argument("--no-star", action="store_true")
+    a = p.parse_args(argv)
+    spark = build_session()
+    res = run(spark, a.pages, a.properties, a.mapping, a.root, sep=a.sep, encoding=a.encoding,
+              build_star=not a.no_star)
+    for r in res.report.orderBy("check_id").collect():
+        print(f"[{r.status:4s}] {r.check_name} (observed {r.observed})")
+    return 1 if res.failed else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
