@@ -44,7 +44,21 @@ def _range_bad(c: str) -> Column:
     return F.count_if(F.col(c).isNotNull() & ((F.col(c) < SCORE_MIN) | (F.col(c) > SCORE_MAX)))
 
 
+CHECKED_COLUMNS = {"reviews": {"review_id": "string", "overall_score": "double", "arrival_date": "string",
+                               "departure_date": "string", "created_at": "string",
+                               "external_property_id": "bigint", "sales_channel_code": "string"},
+                   "review_aspects": {"aspect_id": "bigint", "review_id": "string", "aspect": "string",
+                                      "score": "double"}}
+
+
+def _with_checked_columns(df: DataFrame, table: str) -> DataFrame:
+    """A checked column the table does not carry counts as all NULL."""
+    missing = {c: F.lit(None).cast(t) for c, t in CHECKED_COLUMNS.get(table, {}).items() if c not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
 def table_metrics(layers: dict[str, dict[str, DataFrame]], as_of) -> DataFrame:
+    layers = {lyr: {t: _with_checked_columns(df, t) for t, df in tables.items()} for lyr, tables in layers.items()}
     out = []
     for layer, tables in layers.items():
         for tname, df in tables.items():

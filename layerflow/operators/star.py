@@ -29,9 +29,10 @@ def dim_date(reviews: DataFrame, date_cols=("arrival_date", "departure_date", "c
     """One row per calendar day from the first to the last date found in
     the reviews. The day list is generated from the (min, max) pair, so its
     size is bounded by the calendar span, not by the data."""
-    dates = [F.col(c).cast("date") for c in date_cols if c in reviews.columns]
-    bounds = reviews.agg(F.least(*[F.min(d) for d in dates]).alias("lo"),
-                         F.greatest(*[F.max(d) for d in dates]).alias("hi"))
+    dates = [F.col(c).cast("date") for c in date_cols if c in reviews.columns] or [F.lit(None).cast("date")]
+    mins, maxs = [F.min(d) for d in dates], [F.max(d) for d in dates]
+    bounds = reviews.agg((F.least(*mins) if len(mins) > 1 else mins[0]).alias("lo"),
+                         (F.greatest(*maxs) if len(maxs) > 1 else maxs[0]).alias("hi"))
     days = bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date"))
     d = F.col("full_date")
@@ -49,8 +50,9 @@ def dim_property(properties: DataFrame, mapping: DataFrame) -> DataFrame:
     m = mapping.select("property_id", "external_property_id")
     p = properties.join(m, "property_id", "left")
     labels = {f"{c}_label": _yes_no(c) for c in AMENITY_FLAGS if c in p.columns}
-    p = p.withColumns(labels).withColumn(
-        "status", F.when(F.col("is_inactive") == 1, F.lit("Inactive")).otherwise(F.lit("Active")))
+    status = (F.when(F.col("is_inactive") == 1, F.lit("Inactive")).otherwise(F.lit("Active"))
+              if "is_inactive" in p.columns else F.lit("Unknown"))
+    p = p.withColumns(labels).withColumn("status", status)
     cols = ["property_id", "external_property_id", "team", "neighbourhood", "postcode_prefix", "postcode_suffix",
             "floor", "max_occupancy", *labels.keys(), "status"]
     return dense_ids(p.select(*[c for c in cols if c in p.columns]), ["property_id"], "property_key") \
@@ -66,6 +68,8 @@ def channel_label(code: Column) -> Column:
 
 def dim_sales_channel(reviews: DataFrame) -> DataFrame:
     """D3: distinct channel codes (a partial aggregate), labelled."""
+    if "sales_channel_code" not in reviews.columns:
+        reviews = reviews.withColumn("sales_channel_code", F.lit(None).cast("string"))
     codes = reviews.select("sales_channel_code").where(F.col("sales_channel_code").isNotNull()).distinct()
     codes = codes.withColumn("label", channel_label(F.col("sales_channel_code")))
     return dense_ids(codes, ["sales_channel_code"], "channel_key") \
@@ -94,6 +98,11 @@ def fact_reviews(reviews: DataFrame, mapping: DataFrame, d_property: DataFrame,
     m = mapping.select("external_property_id", "property_id").where(F.col("external_property_id").isNotNull())
     pk = d_property.select("property_id", "property_key")
     ck = d_channel.select("sales_channel_code", "channel_key")
+    # optional review columns that a feed may not carry are NULL
+    reviews = reviews.withColumns({c: F.lit(None).cast(t) for c, t in (
+        ("external_property_id", "bigint"), ("sales_channel_code", "string"), ("arrival_date", "date"),
+        ("departure_date", "date"), ("created_at", "timestamp_ntz"), ("overall_score", "double"))
+        if c not in reviews.columns})
     r = (reviews.join(m, "external_property_id", "left")
          .join(pk, "property_id", "left")
          .join(ck, "sales_channel_code", "left"))

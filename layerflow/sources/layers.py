@@ -161,7 +161,8 @@ class LayerStore:
         written: dict[str, str] = {}
         for name, build in builders.items():
             df = build() if callable(build) else build
-            cols = (layouts or {}).get(name)
+            # layout keys the table does not carry are skipped
+            cols = [c for c in (layouts or {}).get(name, []) if c in df.columns] or None
             written[name] = self.write_version(layer, name, df, version, sort_within=cols, range_by=cols).path
         return self.publish(layer, written, extra)
 

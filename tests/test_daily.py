@@ -92,3 +92,19 @@ def test_daily_second_run_merges_new_pages(spark):
     # an emptied list removes the review's aspects
     assert second.model.rel["review_aspects"].where(F.col("review_id") == "r2").count() == 0
     assert second.model.rel["review_aspects"].where(F.col("review_id") == "r1").count() == 2
+
+
+def test_daily_cli_minimal_inputs(spark):
+    root = tempfile.mkdtemp()
+    os.makedirs(os.path.join(root, "pages"))
+    docs = [{"id": f"r{i}", "accommodationId": 5000, "createdAt": "2024-03-01 10:00:00",
+             "evaluationAspects": [{"evaluationAspect": {"type": "VALUE"}, "valoration": 8.0}]} for i in range(3)]
+    with open(os.path.join(root, "pages", "page-0001.json"), "w") as f:
+        json.dump({"data": docs}, f, indent=2)
+    with open(os.path.join(root, "p.csv"), "w") as f:
+        f.write("ID,Equipa\n1,North\n")
+    with open(os.path.join(root, "m.csv"), "w") as f:
+        f.write("IdFLH,IdAvantio\n1,5000\n")
+    code = daily.main(["--pages", os.path.join(root, "pages"), "--properties", os.path.join(root, "p.csv"),
+                       "--mapping", os.path.join(root, "m.csv"), "--root", os.path.join(root, "store")])
+    assert code == 1          # three reviews are below the minimum-row checks
