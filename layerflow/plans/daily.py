@@ -74,8 +74,10 @@ def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv:
     as_of = as_of or spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss')").first()[0]
     loaded_at = loaded_at or as_of
     docs = ingest_pages(spark, store, pages_path, whole_file_pages)
-    props = read_csv_all_string(spark, properties_csv, sep=sep, encoding=encoding)
-    mapping = read_csv_all_string(spark, mapping_csv, sep=sep, encoding=encoding)
+    # The key columns must be there after name cleaning
+    props = read_csv_all_string(spark, properties_csv, sep=sep, encoding=encoding, expected_columns=["id"])
+    mapping = read_csv_all_string(spark, mapping_csv, sep=sep, encoding=encoding,
+                                  expected_columns=["idflh", "idavantio"])
     m = R.raw_layer(spark, None, docs=docs, properties=props, mapping=mapping, loaded_at=loaded_at)
     m = R.publish_layers(m, store, version)
     store.build_and_publish("checks", {"report": run_checks(R.check_layers(m), as_of)}, version)

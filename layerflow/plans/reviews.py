@@ -188,7 +188,15 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
     return m
 
 
+# The child table of the aspect list, when no document carried one.
+EMPTY_ASPECTS = ("id bigint, parent_id string, row_hash string, created_at timestamp_ntz, "
+                 "evaluationaspect string, valoration double")
+
+
 def clean_layer(m: Model) -> Model:
+    if "reviews_evaluationaspects" not in m.raw:
+        spark = m.raw["reviews"].sparkSession
+        m.raw["reviews_evaluationaspects"] = spark.createDataFrame([], EMPTY_ASPECTS)
     m.clean = {
         "reviews": oc.clean_reviews(m.raw["reviews"]),
         "review_aspects": oc.clean_aspects(m.raw["reviews_evaluationaspects"]),

@@ -108,3 +108,18 @@ def test_daily_cli_minimal_inputs(spark):
     code = daily.main(["--pages", os.path.join(root, "pages"), "--properties", os.path.join(root, "p.csv"),
                        "--mapping", os.path.join(root, "m.csv"), "--root", os.path.join(root, "store")])
     assert code == 1          # three reviews are below the minimum-row checks
+
+
+def test_daily_without_aspect_lists(spark):
+    root = tempfile.mkdtemp()
+    os.makedirs(os.path.join(root, "pages"))
+    with open(os.path.join(root, "pages", "page-0001.json"), "w") as f:
+        json.dump({"data": [{"id": "r1", "accommodationId": 5000, "globalValoration": 9.0}]}, f)
+    with open(os.path.join(root, "p.csv"), "w") as f:
+        f.write("ID\n1\n")
+    with open(os.path.join(root, "m.csv"), "w") as f:
+        f.write("IdFLH,IdAvantio\n1,5000\n")
+    res = daily.run(spark, os.path.join(root, "pages"), os.path.join(root, "p.csv"), os.path.join(root, "m.csv"),
+                    os.path.join(root, "store"), as_of="2026-01-01 00:00:00")
+    assert res.model.rel["reviews"].count() == 1 and res.model.rel["review_aspects"].count() == 0
+    assert res.star["fact_reviews"].first().property_key == 1
