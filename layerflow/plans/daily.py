@@ -23,8 +23,8 @@ from layerflow.operators.checks import failed, run_checks
 from layerflow.plans import reviews as R
 from layerflow.sources.csv import read_csv_all_string
 from layerflow.sources.layers import LayerStore
-from layerflow.sources.pages import read_page_files, split_pages
-from layerflow.streaming.pages import PAGE_FILE_PATTERN
+from layerflow.sources.pages import read_page_files
+from layerflow.streaming.pages import PAGE_FILE_PATTERN, upsert_batch
 
 # The raw table names of the two reference files.
 PROPERTY_TABLE = "propriedades"
@@ -46,22 +46,19 @@ def page_number(payload: str = "payload", source: str = "source"):
 
 
 def ingest_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_file: bool = True) -> DataFrame:
-    """S1-S3 + U1: merge new pages into the document store; returns the
-    stored documents (id, doc)."""
-    pages = read_page_files(spark, pages_path, whole_file)
-    split = split_pages(pages.withColumn("page", page_number()), source_col="source")
-    cur = store.current("docs")["tables"]
-    prev = store.table("docs", "fields") if "fields" in cur else None
-    fields = ou.document_fields(split.elements.select("id", "doc", F.struct("page", "pos").alias("seq")), "seq")
-    store.build_and_publish("docs", {"fields": ou.field_upsert(prev, fields)})
-    state = store.table("docs", "fields")
-    # U2 over the documents these pages touched
-    ids = fields.select("id").distinct()
-    after = state.join(ids, "id", "left_semi")
-    before = prev.join(ids, "id", "left_semi") if prev is not None else after.limit(0)
-    store.build_and_publish("ingest", {"bad_payloads": split.quarantine, "rejected_elements": split.rejects,
-                                       "upsert_metrics": ou.upsert_metrics(before, after)})
-    return ou.assemble_documents(state).select("id", "doc")
+    """S1-S3 + U1 + U2: merge new pages into the document store, rewriting
+    only the hash buckets of the documents they touch (the same merge as the
+    page stream); returns the stored documents (id, doc)."""
+    pages = read_page_files(spark, pages_path, whole_file).withColumn("page", page_number())
+    cur = store.current("docs")
+    batch_id = cur.get("stream_batches", {}).get("fields", -1) + 1
+    out = upsert_batch(store, "docs", "fields", pages, batch_id)
+    m = out["metrics"]
+    metrics = spark.createDataFrame([(m["upserted"], m["matched"], m["modified"], m["total"])],
+                                    "upserted bigint, matched bigint, modified bigint, total bigint")
+    store.build_and_publish("ingest", {"bad_payloads": out["split"].quarantine,
+                                       "rejected_elements": out["split"].rejects, "upsert_metrics": metrics})
+    return ou.assemble_documents(store.table("docs", "fields")).select("id", "doc")
 
 
 def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv: str, root: str,

@@ -38,7 +38,7 @@ def page_stream(spark: SparkSession, path: str, whole_file: bool = False,
 
 
 def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int,
-                 buckets: int = STATE_BUCKETS) -> None:
+                 buckets: int = STATE_BUCKETS) -> dict | None:
     """Merge one micro-batch of pages into the published document state.
 
     The state is hash-bucketed on the document id; only the buckets the
@@ -48,23 +48,25 @@ def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
     cur = store.current(layer)
     done = cur.get("stream_batches", {}).get(table, -1)
     if batch_id <= done:
-        return  # replayed batch: already published
+        return None  # replayed batch: already published
     split = sp.split_pages(batch, source_col="source")
     fields = ou.document_fields(split.elements.select("id", "doc", F.struct("page", "pos").alias("seq")), "seq")
     # read twice below (touched buckets, merge); a lost block is recomputed
     # from the replayable file source
     fields = fields.withColumn("bucket", _bucket(buckets)).persist()
     try:
-        _merge(store, layer, table, fields, cur, batch_id, buckets)
+        metrics = _merge(store, layer, table, fields, cur, batch_id, buckets)
     finally:
         fields.unpersist()
+    return {"split": split, "metrics": metrics}
 
 
-def _merge(store, layer, table, fields, cur, batch_id, buckets) -> None:
+def _merge(store, layer, table, fields, cur, batch_id, buckets) -> dict:
+    """Returns the U2 counts of this batch (documents it touched)."""
     # at most ``buckets`` small integers reach the driver
     touched = sorted(r.bucket for r in fields.select("bucket").distinct().collect())
     if not touched:
-        return
+        return {"upserted": 0, "matched": 0, "modified": 0, "total": 0}
     current = cur.get("buckets", {}).get(table, {})
     old_paths = [current[str(b)] for b in touched if str(b) in current]
     state = None
@@ -85,6 +87,7 @@ def _merge(store, layer, table, fields, cur, batch_id, buckets) -> None:
     store.publish(layer, {table: sorted(new_map.values())},
                   extra={"stream_batches": marks, "buckets": {**cur.get("buckets", {}), table: new_map},
                          "stream_metrics": {**cur.get("stream_metrics", {}), table: totals}})
+    return {k: int(m[k]) for k in ("upserted", "matched", "modified", "total")}
 
 
 def _bucket(buckets: int):
