@@ -123,3 +123,34 @@ def test_daily_without_aspect_lists(spark):
                     os.path.join(root, "store"), as_of="2026-01-01 00:00:00")
     assert res.model.rel["reviews"].count() == 1 and res.model.rel["review_aspects"].count() == 0
     assert res.star["fact_reviews"].first().property_key == 1
+
+
+def _inputs(root, data):
+    os.makedirs(os.path.join(root, "pages"), exist_ok=True)
+    with open(os.path.join(root, "pages", "page-0001.json"), "w") as f:
+        json.dump({"data": data}, f)
+    with open(os.path.join(root, "p.csv"), "w") as f:
+        f.write("ID\n1\n")
+    with open(os.path.join(root, "m.csv"), "w") as f:
+        f.write("IdFLH,IdAvantio\n1,5000\n")
+    return (os.path.join(root, "pages"), os.path.join(root, "p.csv"), os.path.join(root, "m.csv"),
+            os.path.join(root, "store"))
+
+
+def test_daily_numeric_ids_and_repeats_on_a_page(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [{"id": 7, "globalValoration": 5.0}, {"id": 8, "globalValoration": 6.0},
+                          {"id": 7, "globalValoration": 9.5}])
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    rev = {r.review_id: r.overall_score for r in res.model.rel["reviews"].collect()}
+    assert rev == {"7": 9.5, "8": 6.0}                # later position on the page wins
+
+
+def test_daily_name_collision_publishes_nothing(spark):
+    import pytest
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [{"id": "a", "Guest Name": "x"}, {"id": "b", "guest_name": "y"}])
+    with pytest.raises(ValueError):
+        daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    from layerflow.sources.layers import LayerStore
+    assert LayerStore(spark, args[3]).current("rel")["tables"] == {}
