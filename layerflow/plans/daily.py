@@ -63,9 +63,12 @@ def ingest_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_
 
 def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv: str, root: str,
         as_of: str | None = None, loaded_at: str | None = None, sep: str = ",", encoding: str = "UTF-8",
-        whole_file_pages: bool = True, build_star: bool = True) -> DailyResult:
+        whole_file_pages: bool = True, build_star: bool = True,
+        keep_versions: int | None = None) -> DailyResult:
     """Run every step; ``failed`` is true iff a check FAILed (the
-    reference's exit status)."""
+    reference's exit status). ``keep_versions``: after a successful run,
+    drop table versions not referenced by the newest N manifests of each
+    layer (the reference drops the old tables after its swap)."""
     store = LayerStore(spark, root)
     version = uuid.uuid4().hex[:12]
     as_of = as_of or spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss')").first()[0]
@@ -80,6 +83,9 @@ def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv:
     store.build_and_publish("checks", {"report": run_checks(R.check_layers(m), as_of)}, version)
     report = store.table("checks", "report")
     star = R.star_schema(m) if build_star else {}
+    if keep_versions:
+        for layer in ("docs", "ingest", "raw", "clean", "rel", "checks", "star"):
+            store.vacuum(layer, keep=keep_versions)
     return DailyResult(m, report, star, failed(report))
 
 

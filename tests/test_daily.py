@@ -154,3 +154,20 @@ def test_daily_name_collision_publishes_nothing(spark):
         daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
     from layerflow.sources.layers import LayerStore
     assert LayerStore(spark, args[3]).current("rel")["tables"] == {}
+
+
+def test_daily_keep_versions(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [{"id": "a", "globalValoration": 5.0}])
+    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    with open(os.path.join(args[0], "page-0002.json"), "w") as f:
+        json.dump({"data": [{"id": "b", "globalValoration": 7.0}]}, f)
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, keep_versions=1)
+    from layerflow.sources.layers import LayerStore
+    store = LayerStore(spark, args[3])
+    for t in ("reviews", "review_aspects", "properties"):
+        vdirs = os.listdir(os.path.join(args[3], "rel", t))
+        assert len(vdirs) == 1, (t, vdirs)             # superseded versions dropped
+    assert store.table("rel", "reviews").count() == 2
+    assert store.table("docs", "fields").select("id").distinct().count() == 2
+    assert res.report.count() == 44
