@@ -158,14 +158,18 @@ def length_violations(df: DataFrame, table: str, sizes: dict[str, int]) -> DataF
         F.lit(table).alias("table_name"), "r.*")
 
 
-def enforce_table(df: DataFrame, table: str, key: list[str], sizes: dict[str, int] | None = None) -> None:
+def enforce_table(df: DataFrame, table: str, key: list[str], sizes: dict[str, int] | None = None,
+                  nulls_allowed: bool = False) -> None:
     """Build gate for one table (C1 + F12): a single aggregate counts rows,
     distinct and NULL keys and over-long values; any violation raises with
-    the counts, so the layer is never published (B8)."""
+    the counts, so the layer is never published (B8). ``nulls_allowed``
+    gives a UNIQUE key (C2): NULL keys are neither violations nor counted."""
     sizes = {c: n for c, n in (sizes or {}).items() if c in df.columns}
     any_null = F.lit(False)
     for k in key:
         any_null = any_null | F.col(k).isNull()
+    if nulls_allowed:
+        df = df.where(~any_null)
     r = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*[F.col(k) for k in key]).alias("keys"),
                F.count_if(any_null).alias("null_keys"),
                *[F.count_if(ft.length_violation(c, n)).alias(f"len_{c}") for c, n in sizes.items()]).first()

@@ -222,6 +222,8 @@ def enforce_constraints(m: Model) -> None:
     r = m.rel
     orl.enforce_table(r["properties"], "properties", ["property_id"], orl.PROPERTY_SIZES)
     orl.enforce_table(r["property_id_mapping"], "property_id_mapping", ["property_id"])
+    orl.enforce_table(r["property_id_mapping"], "property_id_mapping", ["external_property_id"],
+                      nulls_allowed=True)
     orl.enforce_table(r["reviews"], "reviews", ["review_id"], orl.REVIEW_SIZES)
     orl.enforce_table(r["review_aspects"], "review_aspects", ["aspect_id"], orl.ASPECT_SIZES)
     orl.enforce_fk(r["review_aspects"], r["reviews"], "review_id")

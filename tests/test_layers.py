@@ -177,6 +177,10 @@ def test_constraint_gate(spark):
                 spark.createDataFrame([(1, "toolong")], "k int, t string")):
         with pytest.raises(orl.ConstraintViolation):
             orl.enforce_table(bad, "t", ["k"], {"t": 5})
+    # a UNIQUE key allows any number of NULLs but no repeated value
+    orl.enforce_table(spark.createDataFrame([(None,), (None,), (1,)], "k int"), "u", ["k"], nulls_allowed=True)
+    with pytest.raises(orl.ConstraintViolation):
+        orl.enforce_table(spark.createDataFrame([(1,), (1,)], "k int"), "u", ["k"], nulls_allowed=True)
 
 
 def test_csv_separator_and_encoding(spark):
