@@ -75,3 +75,41 @@ def test_clean_column_names():
     assert names.clean_column_names(["Máx.Ocupação", "  ", "A b", "a_b"]) == ["m_x_ocupa_o", "unnamed_column", "a_b", "a_b_1"]
     assert names.clean_column_names(["a", "a", "a_1"]) == ["a", "a_2", "a_1"]
     assert names.table_name_from_file("Propriedades Ativas.csv") == "propriedades_ativas"
+
+
+def test_zero_postcode_and_stale_inactive(spark):
+    df = spark.createDataFrame([(1, "0", "0", "2023-01-01"), (2, "1100", "1", "2023-01-01"), (3, None, None, None)],
+                               "i int, p string, inactive string, d string")
+    eff = [r[0] for r in df.orderBy("i").select(clean.zero_to_null("p")).collect()]
+    assert eff == ["0", "1100", None]                    # effective reference behaviour (B2)
+    intended = [r[0] for r in df.orderBy("i").select(clean.zero_to_null("p", True)).collect()]
+    assert intended == [None, "1100", None]
+    stale = [r[0] for r in df.orderBy("i").select(clean.clear_stale_inactive("inactive", "d")).collect()]
+    assert stale == [None, "2023-01-01", None]            # active (0) loses its inactive date
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _gps_model(s):
+    import re
+    m = re.fullmatch(r"\s*([-\d.]+)\s*,\s*([-\d.]+)\s*", s)
+    if not m:
+        return (None, None)
+
+    def num(x):
+        try:
+            return float(x) if re.fullmatch(r"-?(\d+\.?\d*|\.\d+)", x) else None
+        except ValueError:
+            return None
+    return (num(m.group(1)), num(m.group(2)))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("-0123456789., ", max_size=12), min_size=1, max_size=12))
+def test_gps_split_matches_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    la, lo = clean.split_gps("v")
+    got = [(r[0], r[1]) for r in df.orderBy("i").select(la, lo).collect()]
+    assert got == [_gps_model(v) for v in values]
