@@ -65,3 +65,21 @@ def test_sanitize_column_equals_driver_helper(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = [r[0] for r in df.orderBy("i").select(names.sanitize_identifier_col("v")).collect()]
     assert got == [names.sanitize_identifier(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.text(max_size=12), min_size=1, max_size=15))
+def test_clean_column_names_unique_and_well_formed(headers):
+    import re
+    out = names.clean_column_names(headers)
+    assert len(out) == len(headers) and len(set(out)) == len(out)
+    assert all(re.fullmatch(r"[a-z0-9_]+", n) and not n.startswith("_") for n in out)
+
+
+@SETTINGS
+@given(st.lists(st.integers(-50, 50), min_size=1, max_size=60, unique=True), st.integers(1, 7))
+def test_dense_ids_are_one_to_n_in_key_order(spark, keys, parts):
+    from layerflow.operators.keys import dense_ids
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    got = sorted((r.k, r.rid) for r in dense_ids(df, ["k"], "rid", num_partitions=parts).collect())
+    assert [rid for _, rid in got] == list(range(1, len(keys) + 1))
