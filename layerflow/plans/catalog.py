@@ -38,15 +38,20 @@ SHIFT_OFFSET = 1000000
 _MODELS: dict = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    # unique per SparkContext, unlike id(), which a new session may reuse
+    return spark.sparkContext.applicationId
+
+
 def model(spark: SparkSession, sf_dir: str) -> R.Model:
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _MODELS:
         _MODELS[key] = R.build_model(spark, sf_dir)
     return _MODELS[key]
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> dict:
-    key = (id(spark), sf_dir, "star")
+    key = (_session_key(spark), sf_dir, "star")
     if key not in _MODELS:
         _MODELS[key] = R.star_schema(model(spark, sf_dir))
     return _MODELS[key]
