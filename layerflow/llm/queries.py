@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from layerflow.llm import decontaminate
+from layerflow.llm import decontaminate, token_store
 
 QUERIES = {
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_token_store": token_store.op8_token_store,
 }
 
 ORACLE = {
