@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from layerflow.llm import decontaminate, token_store
+from layerflow.llm import decontaminate, merge_dropout, token_store
 
 QUERIES = {
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_token_store": token_store.op8_token_store,
+    "op9_merge_dropout": merge_dropout.op9_merge_dropout,
 }
 
 ORACLE = {
