@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from layerflow.llm import decontaminate, merge_dropout, token_store
+from layerflow.llm import decontaminate, language_id, merge_dropout, token_store
 
 QUERIES = {
+    "op6_language_id": language_id.op6_language_id,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_token_store": token_store.op8_token_store,
     "op9_merge_dropout": merge_dropout.op9_merge_dropout,
 }
 
 ORACLE = {
+    "op6_language_id": language_id.op6_language_id,
     "op7_decontaminate": decontaminate.ORACLE,
 }
