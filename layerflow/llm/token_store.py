@@ -31,6 +31,7 @@ import uuid
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from layerflow.llm.common import mix64, parts_for, shared_dir, staged, table, ut
 MAGIC = b"LFTOK1\0\0"
 END_ID = 1
 SHARD_IDS = 8 << 20
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 800_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,8 +62,8 @@ class ChunkEncoder:
 
     The tokenizer's normaliser and pre-tokenizer drop white space and never
     join characters across it, so the ids of a text are those of its
-    space-separated chunks in order. Ids of chunks are kept, at most
-    ``KNOWN_CHUNKS`` of them.
+    space-separated chunks in order. Ids of about ``KNOWN_CHUNKS`` chunks are
+    kept; when there are more, the later half goes, as common chunks come early.
     """
 
     def __init__(self, path: str):
@@ -84,7 +85,7 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[bytes]) -> None:
         if len(self.known) > KNOWN_CHUNKS:
-            self.known = {}
+            self.known = dict(islice(self.known.items(), KNOWN_CHUNKS // 2))
         known = self.known
         parts = {c: self._parts(c) for c in set(chunks) if c not in known}
         asked = list({p for pair in parts.values() for p in pair if p not in known})
