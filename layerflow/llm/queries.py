@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from layerflow.llm import decontaminate, language_id, merge_dropout, token_store
+from layerflow.llm import decontaminate, language_id, merge_dropout, token_store, toxicity
 
 QUERIES = {
     "op6_language_id": language_id.op6_language_id,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_token_store": token_store.op8_token_store,
     "op9_merge_dropout": merge_dropout.op9_merge_dropout,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {
