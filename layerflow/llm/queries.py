@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from layerflow.llm import decontaminate, jaccard_join, language_id, line_dedup, merge_dropout, multi_index, suffix_dedup, token_store, toxicity
+from layerflow.llm import decontaminate, jaccard_join, language_id, line_dedup, merge_dropout, multi_index, page_text, suffix_dedup, token_store, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_multi_index": multi_index.op2_multi_index,
     "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+    "op4_page_text": page_text.op4_page_text,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_language_id": language_id.op6_language_id,
     "op7_decontaminate": decontaminate.op7_decontaminate,
