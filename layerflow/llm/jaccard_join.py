@@ -22,11 +22,12 @@ The boundary S has the smallest cost: rows of enumeration against rows of
 lists, summed over the counts of sets by size.
 
 Lists are shipped as packed arrays of hash buckets and kept where they hold
-two classes or more. First every class is compared with the head of its list
-within a band of sizes; then, once components of those links are known, only
-pairs from different components, of which one is outside the component most
-common on the list. A group of thousands of copies so costs a few comparisons
-each. Every pair is settled by its whole sets.
+two classes or more. First every class is compared with the hub of its list
+within a band of sizes, the class whose lists are longest: in a group of near
+copies that is the least edited one. Then, once components of those links are
+known, only pairs from different components are, of which one is outside the
+component most common on the list. A group of thousands of copies so costs a
+few comparisons each. Every pair is settled by its whole sets.
 
 Defined results: words are maximal runs outside ``\\x20 \\x09-\\x0D`` with A-Z
 in lower case; text with fewer than five words has one shingle, null, empty or
@@ -54,11 +55,11 @@ from layerflow.llm.components import components
 WORDS = 5
 MAX_LIGHT = 24
 SCAN_COST = 4
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
 COMMON_IN_BATCH = 4
 COMMON_AT_ALL = 64
 COMMON_SHINGLES = 1 << 20
-POSTINGS = 1 << 21
+POSTINGS = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(int(_FACTOR), k, 1 << 64) for k in range(WORDS - 1, -1, -1)], np.uint64)
 
@@ -150,13 +151,14 @@ def first_listed(light: int) -> int:
 
 # ---- passes over the documents --------------------------------------------
 
-_SETS = "kind int, doc_id bigint, text_hash bigint, node bigint, n bigint, amount bigint"
+_SETS = "kind int, doc_id bigint, text_hash bigint, node bigint, n bigint, amount bigint, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: the class and size of each document. Kind 1: shingles (as node)
-    that several different sets of a batch hold, and how many."""
-    names = ["kind", "doc_id", "text_hash", "node", "n", "amount"]
+    """Kind 0: the class and size of each document, and the packed set where it
+    may be light. Kind 1: shingles (as node) that several different sets of a
+    batch hold, and how many."""
+    names = ["kind", "doc_id", "text_hash", "node", "n", "amount", "shingles"]
     held: list[np.ndarray] = []
     size, seen = 0, set()
 
@@ -165,25 +167,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, amounts = tokens[amounts >= COMMON_IN_BATCH], amounts[amounts >= COMMON_IN_BATCH]
         none = pa.nulls(len(tokens), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int32)), none, none,
-                                           pa.array(tokens.view(np.int64)), none, pa.array(amounts.astype(np.int64))], names=names)
+                                           pa.array(tokens.view(np.int64)), none, pa.array(amounts.astype(np.int64)),
+                                           pa.nulls(len(tokens), pa.binary())], names=names)
 
     for batch in batches:
-        nodes, sizes = [], []
+        nodes, sizes, light = [], [], []
         for text in batch.column(2):
             shingles = _shingler.set_of(text.as_py())
             node = node_of(shingles) if len(shingles) else None
             nodes.append(node)
             sizes.append(len(shingles))
+            light.append(shingles.tobytes() if 0 < len(shingles) <= MAX_LIGHT else None)
             if node is not None and node not in seen:
                 seen.add(node)
                 held.append(shingles)
                 size += len(shingles)
-                if size > 2 * POSTINGS:
+                if size > 4 * POSTINGS:
                     yield common()
                     held, size, seen = [], 0, set()
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(nodes), np.int32)), batch.column(0), batch.column(1),
                                           pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                                          pa.nulls(len(nodes), pa.int64())], names=names)
+                                          pa.nulls(len(nodes), pa.int64()), pa.array(light, pa.binary())], names=names)
     if held:
         yield common()
 
@@ -241,22 +245,15 @@ def _lister(sent, buckets: int, light: int):
 
 
 def _enumerator(light: int):
-    """The subset keys of light sets."""
+    """The subset keys of light sets (node, packed shingles)."""
     def enumerated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            seen = set()
-            for text in batch.column(0):
-                body = text.as_py()
-                shingles = _shingler.set_of(body)
+            for node, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                shingles = np.frombuffer(packed, np.uint64).tolist()
                 n = len(shingles)
-                if not 0 < n <= light:
-                    continue
-                node = node_of(shingles)
-                if node not in seen:
-                    seen.add(node)
-                    rows += [(int(xxhash.xxh3_64_intdigest(np.array(part, np.uint64).tobytes(), seed=k)) - (1 << 63), k, n, node)
-                             for k in subset_sizes(n, light) for part in combinations(shingles.tolist(), k)]
+                rows += [(int(xxhash.xxh3_64_intdigest(np.array(part, np.uint64).tobytes(), seed=k)) - (1 << 63), k, n, node)
+                         for k in subset_sizes(n, light) for part in combinations(shingles, k)]
             yield pa.RecordBatch.from_pylist([dict(zip(("key", "k", "n", "node"), r, strict=True)) for r in rows], pa.schema(
                 [("key", pa.int64()), ("k", pa.int32()), ("n", pa.int32()), ("node", pa.int64())]))
 
@@ -316,12 +313,13 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---- the join -------------------------------------------------------------
 
-def _share(column: str):
-    return 1 + F.floor(F.col(column) / 20)
+def _share(n):
+    return 1 + F.floor(n / 20)
 
 
-def _light_links(texts: DataFrame, light: int) -> DataFrame:
-    keys = staged(texts.mapInArrow(_enumerator(light), "key bigint, k int, n int, node bigint").distinct(), "subsets")
+def _light_links(found: DataFrame, light: int) -> DataFrame:
+    sets = found.where(F.col("n").between(1, light)).select("node", "shingles").dropDuplicates(["node"])
+    keys = staged(sets.mapInArrow(_enumerator(light), "key bigint, k int, n int, node bigint"), "subsets")
     heads = keys.groupBy("key", "k").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("c")).where("c > 1")
     return keys.join(heads, ["key", "k"]).where(F.col("n") + F.col("head.n") <= F.floor(9 * F.col("k") / 4)) \
         .select(F.col("node").alias("u"), F.col("head.node").alias("v")).where("u <> v").distinct()
@@ -335,11 +333,14 @@ def _settle(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
 
 def _counted(pairs: DataFrame) -> DataFrame:
-    """Pairs (one row per shared prefix shingle) that share enough of them and
-    whose sizes are within 4 : 5."""
+    """Pairs (one row per shared prefix shingle) whose sizes are within 4 : 5 and
+    that share enough: of the set whose prefix ends first in the order, the
+    prefix shingles that are not shared are not in the other set at all, and
+    the rest of it is n - prefix(n) = ceil(4 n / 5) - share(n) shingles."""
+    rest = F.ceil(4 * F.greatest("n", "m") / 5) - _share(F.greatest("n", "m"))
+    enough = F.greatest(F.least(_share(F.col("n")), _share(F.col("m"))), F.ceil(4 * (F.col("n") + F.col("m")) / 9) - rest)
     return pairs.where((5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))).groupBy("u", "v") \
-        .agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("m").alias("m")) \
-        .where(F.col("c") >= F.least(_share("n"), _share("m"))).select("u", "v")
+        .agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).where(F.col("c") >= enough).select("u", "v")
 
 
 def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int) -> DataFrame:
@@ -347,7 +348,7 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int
     shared = staged(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_shared, "token bigint, node bigint, n bigint"), "lists")
     for _ in range(2):  # a class linked with any other shares enough shingles with other classes
-        able = shared.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("size")).where(F.col("c") >= _share("size"))
+        able = shared.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("size")).where(F.col("c") >= _share(F.col("size")))
         shared = shared.join(able.select("node"), "node", "left_semi")
         again = shared.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
         shared = shared.join(again.select("token"), "token", "left_semi")
@@ -360,9 +361,12 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int
     texts = staged(found.mapInArrow(_node_texts, "asked bigint, node bigint, text binary").where("asked = node")
                    .select("node", "text").dropDuplicates(["node"]), "candidates")
 
+    lengths = shared.groupBy("token").agg(F.count("*").alias("length"))
+    weights = shared.join(lengths, "token").groupBy("node").agg(F.sum("length").alias("weight"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
-    banded = shared.withColumn("band", band)
-    heads = banded.groupBy("token", "band").agg(F.min("node").alias("v"), F.min_by("n", "node").alias("m"))
+    banded = staged(shared.join(weights, "node").withColumn("band", band), "weighted-lists")
+    heads = banded.groupBy("token", "band").agg(F.max(F.struct("weight", "node", "n")).alias("hub")) \
+        .select("token", "band", F.col("hub.node").alias("v"), F.col("hub.n").alias("m"))
     first = _counted(banded.join(heads, ["token", "band"]).where("node <> v").withColumnRenamed("node", "u"))
     links = _settle(first, texts, "first-links")
     known = components(links)
@@ -397,7 +401,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     counts = {r[0]: r[1] for r in sets.where(F.col("n").between(1, MAX_LIGHT)).groupBy("n").agg(F.countDistinct("node")).collect()}
     light = boundary(counts)
     buckets = parts_for(spark, (total[0] or 0) // 4, POSTINGS)
-    links = _heavy_links(rows, sets, hot, buckets, light).union(_light_links(rows.select("text"), light))
+    links = _heavy_links(rows, sets, hot, buckets, light).union(_light_links(found.where("kind = 0"), light))
     known = components(links)
     return sets.join(known, "node", "left").select("doc_id", "text_hash", "node", F.col("n").alias("n_shingles"),
                                                    F.coalesce("component", "node").alias("group"))
