@@ -9,20 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from layerflow.functions.typing import EDGE_SPACE
+
 # Fixed values that must equal the reference rules.
 ASPECT_TYPE_PATTERN = r'"type"\s*:\s*"([^"]+)"'
-POSTCODE_FULL_PATTERN = r"^\s*(\d{4})\s*-\s*(\d{3})\s*$"
-POSTCODE_PREFIX_PATTERN = r"(\d{4})"
-POSTCODE_SUFFIX_PATTERN = r"(\d{3})"
-GPS_PATTERN = r"^\s*([-\d.]+)\s*,\s*([-\d.]+)\s*$"
+POSTCODE_FULL_PATTERN = r"(?U)^\s*(\d{4})\s*-\s*(\d{3})\s*$"
+POSTCODE_PREFIX_PATTERN = r"(?U)(\d{4})"
+POSTCODE_SUFFIX_PATTERN = r"(?U)(\d{3})"
+GPS_PATTERN = r"(?U)^\s*([-\d.]+)\s*,\s*([-\d.]+)\s*$"
 FLOOR_GROUND = "R/C"
 FLOOR_GROUND_INPUTS = ["0", "0º", "Piso 0"]
 FLOOR_ORDINAL = "º"
 FLOOR_DEGREE = "°"
 FLOOR_FEMININE_ORDINAL = "ª"
-FLOOR_PISO_PATTERN = r"(?i)^piso\s+\d+\s*[-–]\s*(.+)$"
-
-_EDGE_SPACE = r"^\s+|\s+$"
+FLOOR_PISO_PATTERN = r"(?iU)^piso\s+\d+\s*[-–]\s*(.+)$"
+FLOOR_DIGITS_PATTERN = r"(?U)^\d+$"
 
 
 def _c(c) -> Column:
@@ -30,8 +31,8 @@ def _c(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Python ``str.strip()`` for ASCII whitespace (Spark ``trim`` only strips spaces)."""
-    return F.regexp_replace(_c(c), _EDGE_SPACE, "")
+    """Python ``str.strip()``: Unicode white space (Spark ``trim`` only strips spaces)."""
+    return F.regexp_replace(_c(c), EDGE_SPACE, "")
 
 
 def aspect_type(c) -> Column:
@@ -68,7 +69,7 @@ def standardise_floor(c) -> Column:
     c = _c(c)
     v = strip(c)
     v = F.replace(v, F.lit(FLOOR_DEGREE), F.lit(FLOOR_ORDINAL))
-    v = F.regexp_replace(v, r"\s+" + FLOOR_ORDINAL, FLOOR_ORDINAL)
+    v = F.regexp_replace(v, r"(?U)\s+" + FLOOR_ORDINAL, FLOOR_ORDINAL)
     v = F.replace(v, F.lit(FLOOR_FEMININE_ORDINAL), F.lit(FLOOR_ORDINAL))
     rc = F.regexp_replace(v, r"(?i)^r/c", FLOOR_GROUND)
     rc = F.regexp_replace(rc, r"(?i)^RC(?=[^-]|$)", FLOOR_GROUND)
@@ -78,7 +79,7 @@ def standardise_floor(c) -> Column:
         F.when(c.isNull(), F.lit(None).cast("string"))
         .when(strip(c) == ".", F.lit(None).cast("string"))
         .when(v.isin(*FLOOR_GROUND_INPUTS), F.lit(FLOOR_GROUND))
-        .when(v.rlike(r"^\d+$"), F.concat(v, F.lit(FLOOR_ORDINAL)))
+        .when(v.rlike(FLOOR_DIGITS_PATTERN), F.concat(v, F.lit(FLOOR_ORDINAL)))
         .otherwise(tail)
     )
 

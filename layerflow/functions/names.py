@@ -1,16 +1,12 @@
-"""Identifier rules.
+"""Identifier rules (P1, P2) as Column expressions.
 
-Both rules exist twice: as a Column expression, for names that live in data
-(field names discovered from documents), and as a plain Python helper for
-the handful of column names a driver needs when it builds one ``select``.
+Names live in data (field names of documents, the header record of a CSV
+file), so the rules run where the names are; only the numbering of repeated
+header names is done on the driver, over one header.
 """
 
 from __future__ import annotations
 
-import hashlib
-import os
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,38 +16,31 @@ IDENT_EMPTY = "col"
 CSV_EMPTY = "unnamed_column"
 _ONE_BAD_CHAR = r"[^a-zA-Z0-9_]"
 _BAD_RUN = r"[^a-zA-Z0-9_]+"
+_EDGES = r"^_+|_+$"
+_HASH_DIGITS = 8
+
+
+def _text(c) -> Column:
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
 
 
-def sanitize_identifier(value, max_len: int = IDENT_MAX_LEN) -> str:
-    """Every char outside [A-Za-z0-9_] -> '_', strip '_', lower; empty ->
-    'col'; names longer than ``max_len`` keep ``max_len-9`` chars plus '_' and
-    8 hex digits of the md5 of the cleaned name."""
-    clean = re.sub(_ONE_BAD_CHAR, "_", str(value or "")).strip("_").lower()
-    if not clean:
-        clean = IDENT_EMPTY
-    if len(clean) > max_len:
-        clean = clean[: max_len - 9] + "_" + hashlib.md5(clean.encode("utf-8")).hexdigest()[:8]
-    return clean
+def _or_default(name: Column, default: str) -> Column:
+    return F.when(name == "", F.lit(default)).otherwise(name)
 
 
 def sanitize_identifier_col(c, max_len: int = IDENT_MAX_LEN) -> Column:
-    """P1 as a Column expression (JVM side, codegen)."""
-    c = F.col(c) if isinstance(c, str) else c
-    raw = F.coalesce(c.cast("string"), F.lit(""))
-    cleaned =F.lower(F.regexp_replace(F.regexp_replace(raw, _ONE_BAD_CHAR, "_"), r"^_+|_+$", ""))
-    nonempty = F.when(cleaned == "", F.lit(IDENT_EMPTY)).otherwise(cleaned)
-    return F.when(
-        F.length(nonempty) > max_len,
-        F.concat(F.substring(nonempty, 1, max_len - 9), F.lit("_"),
-                 F.substring(F.md5(nonempty), 1, 8)),
-    ).otherwise(nonempty)
+    """Characters outside [A-Za-z0-9_] become '_', outer '_' go, lower
+    case, 'col' if nothing is left; a longer name ends in the first 8 hex
+    digits of its md5."""
+    name = _or_default(F.lower(F.regexp_replace(F.regexp_replace(_text(c), _ONE_BAD_CHAR, "_"), _EDGES, "")), IDENT_EMPTY)
+    short = F.concat_ws("_", F.left(name, F.lit(max_len - _HASH_DIGITS - 1)), F.left(F.md5(name), F.lit(_HASH_DIGITS)))
+    return F.when(F.length(name) > max_len, short).otherwise(name)
 
 
-def clean_column_name(value) -> str:
-    """P2 (CSV headers): trim + lower, each run outside [A-Za-z0-9_] -> '_',
-    strip '_'; empty -> 'unnamed_column'."""
-    clean = re.sub(_BAD_RUN, "_", str(value).strip().lower()).strip("_")
-    return clean or CSV_EMPTY
+def csv_name_col(c) -> Column:
+    """Lower case, runs outside [A-Za-z0-9_] become one '_', outer '_' go,
+    'unnamed_column' if nothing is left."""
+    return _or_default(F.regexp_replace(F.regexp_replace(F.lower(_text(c)), _BAD_RUN, "_"), _EDGES, ""), CSV_EMPTY)
 
 
 def unique_names(names: list[str]) -> list[str]:
@@ -77,10 +66,9 @@ def unique_names(names: list[str]) -> list[str]:
     return out
 
 
-def clean_column_names(names: list[str]) -> list[str]:
-    return unique_names([clean_column_name(n) for n in names])
-
-
-def table_name_from_file(file_name: str) -> str:
-    stem = os.path.splitext(os.path.basename(file_name))[0]
-    return re.sub(_BAD_RUN, "_", stem.strip().lower()).strip("_")
+def clean_column_names(spark, names: list[str]) -> list[str]:
+    """P2 over one header."""
+    if not names:
+        return []
+    rows = spark.createDataFrame(list(enumerate(names)), "place int, name string")
+    return unique_names([r[0] for r in rows.orderBy("place").select(csv_name_col("name")).collect()])

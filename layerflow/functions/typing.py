@@ -12,28 +12,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the numeric shapes accepted before any cast.
-NUMERIC_SHAPE = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
-INFINITY_SHAPE = r"(?i)^\s*[-+]?(inf|infinity)\s*$"
+NUMERIC_SHAPE = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
+INFINITY_SHAPE = r"(?i)^[-+]?(inf|infinity)$"
+# Fixed value: what the reference strips, Unicode spaces and the four separators.
+EDGE_SPACE = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _trimmed(c) -> Column:
-    return F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
+def trimmed(c) -> Column:
+    """Text without outer white space."""
+    return F.regexp_replace(_c(c).cast("string"), EDGE_SPACE, "")
 
 
 def to_nullable_float(c) -> Column:
     """numeric text -> DOUBLE, anything else -> NULL."""
-    t = _trimmed(c)
+    t = trimmed(c)
     return F.when(t.rlike(NUMERIC_SHAPE), t.try_cast("double"))
 
 
-def to_nullable_int(c, target: str = "bigint") -> Column:
+def to_nullable_int(c, target: str = "bigint", is_trimmed: bool = False) -> Column:
     """integer text, or an integral decimal such as '3.0' -> integer;
-    anything unparsable -> NULL. Exact above 2**53 (bigint cast first)."""
-    t = _trimmed(c)
+    anything unparsable -> NULL. Exact above 2**53 (bigint cast first).
+    ``is_trimmed``: the column has no outer white space."""
+    t = _c(c) if is_trimmed else trimmed(c)
     d = t.try_cast("double")
     as_int = F.coalesce(
         t.try_cast("bigint"),
@@ -42,13 +46,17 @@ def to_nullable_int(c, target: str = "bigint") -> Column:
     return F.when(t.rlike(NUMERIC_SHAPE), as_int.try_cast(target) if target != "bigint" else as_int)
 
 
-def to_nullable_int_error(c) -> Column:
-    """True where F6 would make the reference fail: a fractional number or an
-    infinity."""
-    t = _trimmed(c)
+def to_nullable_int_error(c, target: str = "bigint", is_trimmed: bool = False) -> Column:
+    """Why F6 would make the reference fail, NULL where it would not: a
+    fractional number, an infinity, or a number that ``target`` cannot hold."""
+    t = _c(c) if is_trimmed else trimmed(c)
+    number = t.rlike(NUMERIC_SHAPE)
     d = t.try_cast("double")
-    fractional = t.rlike(NUMERIC_SHAPE) & (d != F.floor(d))
-    return F.coalesce(fractional | t.rlike(INFINITY_SHAPE), F.lit(False))
+    held = to_nullable_int(t, target, True)
+    return (F.when(t.rlike(INFINITY_SHAPE), F.lit("infinite value"))
+            .when(number & (F.abs(d) > 2.0 ** 63), F.lit("value out of range"))
+            .when(number & t.try_cast("bigint").isNull() & (d != F.floor(d)), F.lit("fractional value"))
+            .when(number & held.isNull(), F.lit("value out of range")))
 
 
 ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
@@ -58,7 +66,7 @@ def to_datetime(c) -> Column:
     """ISO date or date-time text -> TIMESTAMP_NTZ, bad -> NULL. One rule
     per row (the reference's first-value format inference is not kept, B5);
     text with a zone offset is converted to its UTC wall-clock time."""
-    t = _trimmed(c)
+    t = trimmed(c)
     local = t.try_cast("timestamp_ntz")
     instant = t.try_cast("timestamp")
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))

@@ -1,9 +1,9 @@
 """Cross-layer data-quality report.
 
-Every table is scanned once: all of its conditional counts, distinct
-counts and averages are one aggregate (G4) that yields a handful of metric
-rows. Cross-table checks (orphans, key and value parity) are joins reduced
-to counts. The metric rows (a fixed, small number) are pivoted into one row
+All conditional counts, distinct counts and averages of a table are one
+aggregate (G4) that yields a handful of metric rows. Cross-table checks scan
+the keys once more: an anti join per layer for orphans, and one full outer join
+of the reviews for key and score parity. The metric rows (a fixed, small number) are pivoted into one row
 and the 44 checks are evaluated as Column expressions, so the report is one
 Spark job and nothing but the final report rows leaves the executors.
 """
@@ -57,6 +57,46 @@ def _with_checked_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+def _beside(left: DataFrame, right: DataFrame, key: str, a: str | None = None, b: str | None = None) -> DataFrame:
+    """Full outer join on a key: l and r say which side has it, a and b are the
+    values of either side."""
+    def value(c):
+        return F.col(c).cast("double") if c else F.lit(None).cast("double")
+
+    l_ = left.select(key, F.lit(1).alias("l"), value(a).alias("a"))
+    r_ = right.select(key, F.lit(1).alias("r"), value(b).alias("b"))
+    return l_.join(r_, key, "full_outer")
+
+
+def key_parity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Distinct keys that only one side has, and those of both."""
+    present = F.col(key).isNotNull()
+    j = _beside(left.select(key).distinct(), right.select(key).distinct(), key)
+    return j.agg(F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"),
+                 F.count_if(present & F.col("l").isNotNull() & F.col("r").isNotNull()).alias("both"))
+
+
+def value_parity(left: DataFrame, right: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """Rows of a key on both sides with values, and those that differ."""
+    j = _beside(left, right, key, a, b).where("a is not null and b is not null")
+    return j.agg(F.count(F.lit(1)).alias("matched"), F.count_if(F.col("a") != F.col("b")).alias("mismatched"))
+
+
+def row_counts(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """G1: (layer, table_name, row_count) of every table."""
+    out = None
+    for layer, tables in layers.items():
+        for t, df in tables.items():
+            c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "row_count")
+            out = c if out is None else out.unionByName(c)
+    return out
+
+
+def score_distribution(aspects: DataFrame, aspect: str = "aspect", score: str = "score") -> DataFrame:
+    """Average score and number of rows per aspect."""
+    return aspects.groupBy(F.col(aspect).alias("aspect")).agg(F.round(F.avg(score), 2).alias("avg_score"), F.count(F.lit(1)).alias("n"))
+
+
 def table_metrics(layers: dict[str, dict[str, DataFrame]], as_of) -> DataFrame:
     layers = {lyr: {t: _with_checked_columns(df, t) for t, df in tables.items()} for lyr, tables in layers.items()}
     out = []
@@ -80,72 +120,57 @@ def table_metrics(layers: dict[str, dict[str, DataFrame]], as_of) -> DataFrame:
                 if lyr == layer and tbl == tname:
                     ex[f"null_{col}"] = F.count_if(F.col(col).isNull())
             out.append(_metric_rows(df, f"{layer}.{tname}", ex))
-    # cross-table: orphans (J1), key parity (X1), score parity
+    # cross-table: orphans (J1), then key and score parity (X1, J2) of one join
     for layer in ("clean", "rel"):
         ra, r = layers[layer]["review_aspects"], layers[layer]["reviews"]
         orphans = ra.select("review_id").join(r.select("review_id"), "review_id", "left_anti")
         out.append(_metric_rows(orphans, f"{layer}.cross", {"orphans": F.count(F.lit(1))}))
-    c_ids = layers["clean"]["reviews"].select("review_id").distinct().withColumn("c", F.lit(1))
-    r_ids = layers["rel"]["reviews"].select("review_id").distinct().withColumn("r", F.lit(1))
-    parity = c_ids.join(r_ids, "review_id", "full_outer")
-    out.append(_metric_rows(parity, "x.ids", {
-        "only_clean": F.count_if(F.col("r").isNull()), "only_rel": F.count_if(F.col("c").isNull()),
-        "clean_ids": F.count_if(F.col("c").isNotNull())}))
-    cs = layers["clean"]["reviews"].where(F.col("overall_score").isNotNull()) \
-        .select("review_id", F.col("overall_score").cast("double").alias("a"))
-    rs = layers["rel"]["reviews"].where(F.col("overall_score").isNotNull()) \
-        .select("review_id", F.col("overall_score").cast("double").alias("b"))
-    out.append(_metric_rows(cs.join(rs, "review_id"), "x.scores", {
-        "mismatch": F.count_if(F.col("a") != F.col("b")), "matched": F.count(F.lit(1))}))
+    both = _beside(layers["clean"]["reviews"], layers["rel"]["reviews"], "review_id", "overall_score", "overall_score")
+    out.append(_metric_rows(both, "x.ids", {
+        "only_clean": F.count_distinct(F.when(F.col("r").isNull(), F.col("review_id"))),
+        "only_rel": F.count_distinct(F.when(F.col("l").isNull(), F.col("review_id"))),
+        "mismatch": F.count_if(F.col("a") != F.col("b"))}))
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
     return res
 
 
+# What a metric of violations must show, by its name (critical columns: null_<column>).
+RULES = {"dupes": "no repeated key", "bad_score": "scores from 0 to 10", "bad_dates": "departure not before arrival",
+         "future_created": "nothing created in the future", "orphans": "every review exists", "only_clean": "the same keys",
+         "mismatch": "the same scores", "avg_score": "plausible average"}
+
+
+def _title(layer: str, table: str, column: str | None, kind: str, metric: str, threshold) -> str:
+    """A check's name from its parts."""
+    what = metric.rsplit(".", 1)[-1]
+    rule = {"eq": "equal row counts", "min": f"at least {threshold} rows"}.get(kind) or RULES.get(what, "no missing value")
+    return f"{layer}.{table}" + (f".{column}" if column else "") + f": {rule}"
+
+
 def _specs() -> list[tuple]:
-    """(family, name, layer, table, column, severity, kind, metric(s), threshold)."""
-    s = []
-    for fam_tbl, raw_t in (("reviews", "reviews"), ("review_aspects", "reviews_evaluationaspects"),
-                           ("properties", "propriedades")):
-        s.append(("V1", f"{fam_tbl}: raw -> clean", "raw/clean", fam_tbl, None, "FAIL", "eq",
-                  (f"raw.{raw_t}.rows", f"clean.{fam_tbl}.rows"), None))
-        s.append(("V1", f"{fam_tbl}: clean -> relational", "clean/rel", fam_tbl, None, "FAIL", "eq",
-                  (f"clean.{fam_tbl}.rows", f"rel.{fam_tbl}.rows"), None))
-    for layer, t, n in MIN_ROWS:
-        s.append(("V2", f"{layer}.{t} has at least {n} rows", layer, t, None, "FAIL", "min",
-                  (f"{layer}.{t}.rows",), n))
-    for layer in ("clean", "rel"):
-        for t, pk in PK.items():
-            s.append(("V3", f"no duplicate {pk} in {layer}.{t}", layer, t, pk, "FAIL", "zero",
-                      (f"{layer}.{t}.dupes",), None))
-    for layer in ("clean", "rel"):
-        s.append(("V3", f"no null review_id in {layer}.reviews", layer, "reviews", "review_id", "FAIL", "zero",
-                  (f"{layer}.reviews.null_review_id",), None))
-    for layer, t, c in (("clean", "reviews", "overall_score"), ("rel", "reviews", "overall_score"),
-                        ("clean", "review_aspects", "score"), ("rel", "review_aspects", "score")):
-        s.append(("V4", f"{c} in range 0-10 in {layer}.{t}", layer, t, c, "FAIL", "zero",
-                  (f"{layer}.{t}.bad_score",), None))
-    s.append(("V5", "average overall_score is plausible", "rel", "reviews", "overall_score", "WARN", "avg",
-              ("rel.reviews.avg_score",), "fail_if_null"))
-    s.append(("V5", "average aspect score is plausible", "rel", "review_aspects", "score", "WARN", "avg",
-              ("rel.review_aspects.avg_score",), "skip_if_null"))
-    for layer in ("clean", "rel"):
-        s.append(("V6", f"departure >= arrival in {layer}.reviews", layer, "reviews", "departure_date", "WARN",
-                  "zero", (f"{layer}.reviews.bad_dates",), None))
-    for layer in ("clean", "rel"):
-        s.append(("V6", f"no future created_at in {layer}.reviews", layer, "reviews", "created_at", "WARN",
-                  "zero", (f"{layer}.reviews.future_created",), None))
-    for layer, t, c in CRITICAL_NULLS:
-        s.append(("V7", f"no nulls in {layer}.{t}.{c}", layer, t, c,
-                  "WARN" if c in WARN_ONLY_NULLS else "FAIL", "zero", (f"{layer}.{t}.null_{c}",), None))
+    """(family, layer, table, column, severity, kind, metric(s), threshold)."""
+    s: list[tuple] = []
+    raw_names = {"reviews": "reviews", "review_aspects": "reviews_evaluationaspects", "properties": "propriedades"}
+    for t, raw_t in raw_names.items():
+        s.append(("V1", "raw/clean", t, None, "FAIL", "eq", (f"raw.{raw_t}.rows", f"clean.{t}.rows"), None))
+        s.append(("V1", "clean/rel", t, None, "FAIL", "eq", (f"clean.{t}.rows", f"rel.{t}.rows"), None))
+    s += [("V2", layer, t, None, "FAIL", "min", (f"{layer}.{t}.rows",), n) for layer, t, n in MIN_ROWS]
     for layer in ("clean", "rel"):
-        s.append(("V8", f"no orphaned aspects in {layer}.review_aspects", layer, "review_aspects", "review_id",
-                  "FAIL", "zero", (f"{layer}.cross.orphans",), None))
-    s.append(("V9", "same review_ids in clean and relational", "clean/rel", "reviews", "review_id", "FAIL",
-              "zero2", ("x.ids.only_clean", "x.ids.only_rel"), None))
-    s.append(("V9", "overall_score consistent: clean vs relational", "clean/rel", "reviews", "overall_score",
-              "FAIL", "zero", ("x.scores.mismatch",), None))
+        s += [("V3", layer, t, pk, "FAIL", "zero", (f"{layer}.{t}.dupes",), None) for t, pk in PK.items()]
+    s += [("V3", layer, "reviews", "review_id", "FAIL", "zero", (f"{layer}.reviews.null_review_id",), None) for layer in ("clean", "rel")]
+    s += [("V4", layer, t, c, "FAIL", "zero", (f"{layer}.{t}.bad_score",), None)
+          for t, c in (("reviews", "overall_score"), ("review_aspects", "score")) for layer in ("clean", "rel")]
+    s.append(("V5", "rel", "reviews", "overall_score", "WARN", "avg", ("rel.reviews.avg_score",), "fail_if_null"))
+    s.append(("V5", "rel", "review_aspects", "score", "WARN", "avg", ("rel.review_aspects.avg_score",), "skip_if_null"))
+    for column, metric in (("departure_date", "bad_dates"), ("created_at", "future_created")):
+        s += [("V6", layer, "reviews", column, "WARN", "zero", (f"{layer}.reviews.{metric}",), None) for layer in ("clean", "rel")]
+    s += [("V7", layer, t, c, "WARN" if c in WARN_ONLY_NULLS else "FAIL", "zero", (f"{layer}.{t}.null_{c}",), None)
+          for layer, t, c in CRITICAL_NULLS]
+    s += [("V8", layer, "review_aspects", "review_id", "FAIL", "zero", (f"{layer}.cross.orphans",), None) for layer in ("clean", "rel")]
+    s.append(("V9", "clean/rel", "reviews", "review_id", "FAIL", "zero2", ("x.ids.only_clean", "x.ids.only_rel"), None))
+    s.append(("V9", "clean/rel", "reviews", "overall_score", "FAIL", "zero", ("x.ids.mismatch",), None))
     return s
 
 
@@ -158,10 +183,11 @@ def run_checks(layers: dict[str, dict[str, DataFrame]], as_of) -> DataFrame:
     FAIL or SKIP (aspect average without scores, as the reference skips it).
     The run fails iff any status is FAIL (``failed(report)``)."""
     metrics = table_metrics(layers, as_of)
-    keys = sorted({m for spec in CHECK_SPECS for m in spec[7]})
+    keys = sorted({m for spec in CHECK_SPECS for m in spec[6]})
     wide = metrics.groupBy().pivot("metric", keys).agg(F.first("value"))
     rows = []
-    for i, (fam, name, layer, tbl, col, sev, kind, ms, thr) in enumerate(CHECK_SPECS, start=1):
+    for i, (fam, layer, tbl, col, sev, kind, ms, thr) in enumerate(CHECK_SPECS, start=1):
+        name = _title(layer, tbl, col, kind, ms[0], thr)
         v = [F.col(f"`{m}`") for m in ms]
         if kind == "eq":
             observed = v[0] - v[1]

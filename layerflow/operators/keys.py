@@ -20,14 +20,16 @@ _POS_MASK = (1 << 33) - 1
 
 
 def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id",
-              num_partitions: int | None = None, presorted: bool = False) -> DataFrame:
+              num_partitions: int | None = None, presorted: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """Assign ``id_col`` = 1..n following ``order_by`` (ascending, NULLs
     first). ``order_by`` should be a total order for reproducible ids (B9).
 
     ``presorted``: ``df`` is already in that order across and within its
     partitions, and is derived deterministically (narrowly) from stored
     data — e.g. rows exploded from a range-partitioned, sorted checkpoint.
-    Then no shuffle or checkpoint is needed, only the per-partition counts."""
+    Then no shuffle or checkpoint is needed, only the per-partition counts;
+    ``counts`` (__pid, __n) gives them where they are cheaper to know than by
+    counting the rows."""
     spark = df.sparkSession
     tagged = lambda d: (d.withColumn("__pid", F.spark_partition_id())
                         .withColumn("__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
@@ -37,11 +39,15 @@ def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id",
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         fixed = cut_lineage(tagged(df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)))
     # one count per partition: bounded by the partition count, not the data
-    counts = dict(fixed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
+    if counts is None:
+        counts = fixed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = dict(counts.select("__pid", "__n").collect())
     offsets, run = [], 0
-    for pid in range(max(counts, default=-1) + 1):
+    for pid in range(max(sizes, default=-1) + 1):
         offsets.append(run)
-        run += counts.get(pid, 0)
-    start = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("__pid") + 1) \
-        if offsets else F.lit(0).cast("bigint")
+        run += sizes.get(pid, 0)
+    # one literal array, however many partitions there are
+    start = F.lit(0).cast("bigint")
+    if offsets:
+        start = F.element_at(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), F.col("__pid") + 1)
     return fixed.withColumn(id_col, start + F.col("__pos") + 1).drop("__pid", "__pos")

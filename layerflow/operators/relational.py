@@ -19,9 +19,13 @@ PROPERTY_SIZES = {"team": 100, "neighbourhood": 200, "floor": 20, "garage_info":
 REVIEW_SIZES = {"review_id": 255, "mongo_id": 255, "sales_channel_code": 50, "language": 10,
                 "external_id": 100, "customer_name": 255}
 ASPECT_SIZES = {"review_id": 255, "aspect": 50}
-PROPERTY_INT_COLUMNS = ["property_id", "postcode_prefix", "postcode_suffix", "is_inactive", "has_elevator",
-                        "max_occupancy", "num_bathrooms_with_shower", "num_basic_bathrooms",
-                        "has_washing_machine", "has_dishwasher", "has_air_conditioning", "has_self_checkin"]
+# Ids are BIGINT, whatever the reference's column holds, so they never run out.
+PROPERTY_INTS = {"property_id": "bigint", **dict.fromkeys(
+    ["postcode_prefix", "postcode_suffix", "is_inactive", "has_elevator", "max_occupancy", "num_bathrooms_with_shower",
+     "num_basic_bathrooms", "has_washing_machine", "has_dishwasher", "has_air_conditioning", "has_self_checkin"], "int")}
+MAPPING_INTS = {"property_id": "bigint", "external_property_id": "bigint"}
+REVIEW_INTS = {"external_property_id": "bigint", "booking_id": "bigint", "is_validated": "int"}
+ASPECT_INTS = {"aspect_id": "bigint"}
 PROPERTY_FLAGS_NOT_NULL = ["is_inactive", "has_washing_machine", "has_dishwasher",
                            "has_air_conditioning", "has_self_checkin"]
 REVIEW_DROP = ["hash_evaluationaspects", "is_eligible_for_response", "external_response_status", "likes_count"]
@@ -31,6 +35,11 @@ class ConstraintViolation(RuntimeError):
     pass
 
 
+# Working columns of trimmed text, so that each rule reads it without trimming
+# again (the rules name their input several times).
+_TRIMMED = "__trimmed_"
+
+
 def _dtype(df: DataFrame, c: str):
     return df.schema[c].dataType
 
@@ -43,16 +52,21 @@ def to_int(df: DataFrame, c: str, target: str = "int") -> Column:
         return F.col(c).try_cast(target)
     if isinstance(t, (T.FractionalType,)):
         return F.when(F.col(c) == F.floor(F.col(c)), F.col(c).try_cast(target))
-    return ft.to_nullable_int(c).try_cast(target)
+    return ft.to_nullable_int(c, target, c.startswith(_TRIMMED))
 
 
-def int_error(df: DataFrame, c: str) -> Column:
+def int_error(df: DataFrame, c: str, target: str = "int") -> Column:
+    """Why a value would fail the integer column; NULL where it would not."""
     t = _dtype(df, c)
-    if isinstance(t, (T.IntegralType, T.BooleanType)):
-        return F.lit(False)
     if isinstance(t, T.FractionalType):
-        return F.coalesce(F.col(c) != F.floor(F.col(c)), F.lit(False))
-    return ft.to_nullable_int_error(c)
+        d = F.col(c).cast("double")
+        return (F.when(F.isnan(d) | (F.abs(d) == float("inf")), F.lit("infinite value"))
+                .when(F.abs(d) > 2.0 ** 63, F.lit("value out of range"))
+                .when(d != F.floor(d), F.lit("fractional value"))
+                .when(d.isNotNull() & F.col(c).try_cast(target).isNull(), F.lit("value out of range")))
+    if isinstance(t, (T.IntegralType, T.BooleanType)):
+        return F.when(F.col(c).isNotNull() & F.col(c).try_cast(target).isNull(), F.lit("value out of range"))
+    return ft.to_nullable_int_error(c, target, c.startswith(_TRIMMED))
 
 
 def to_float(df: DataFrame, c: str) -> Column:
@@ -73,59 +87,73 @@ def to_dt(df: DataFrame, c: str) -> Column:
     return to_ts(df, c).cast("date")
 
 
-def _int_errors(df: DataFrame, cols: list[str]) -> Column:
-    """Name of the first column whose value would fail the integer cast."""
-    expr = F.lit(None).cast("string")
-    for c in reversed([c for c in cols if c in df.columns]):
-        expr = F.when(int_error(df, c), F.lit(f"fractional or infinite value in {c}")).otherwise(expr)
-    return expr
+def int_errors(df: DataFrame, ints: dict[str, str]) -> Column:
+    """Reason and name of the first column whose value fails its integer type."""
+    found = [F.concat(int_error(df, c, t), F.lit(f" in {c.removeprefix(_TRIMMED)}")) for c, t in ints.items() if c in df.columns]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
+def split_errors(df: DataFrame, table: str, key: str, error: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows without an ``error``, and the dead letter of the others
+    (failed_at, table_name, key, error)."""
+    tagged = df.withColumn("__error", error)
+    bad = tagged.where(F.col("__error").isNotNull()).select(
+        F.current_timestamp().alias("failed_at"), F.lit(table).alias("table_name"),
+        F.col(key).cast("string").alias("key"), F.col("__error").alias("error"))
+    return tagged.where(F.col("__error").isNull()).drop("__error"), bad
+
+
+def _typed(clean: DataFrame, table: str, key: str, ints: dict[str, str], others: dict) -> tuple[DataFrame, DataFrame]:
+    """The columns of ``ints`` as integers, those of ``others`` by their rule;
+    rows with a value that no integer column can hold go to the dead letter."""
+    here = {c: t for c, t in ints.items() if c in clean.columns}
+    texts = {c: _TRIMMED + c for c in here if isinstance(_dtype(clean, c), T.StringType)}
+    work = clean.withColumns({w: ft.trimmed(c) for c, w in texts.items()}) if texts else clean
+    good, bad = split_errors(work, table, key, int_errors(work, {texts.get(c, c): t for c, t in here.items()}))
+    conv = {c: to_int(good, texts.get(c, c), t) for c, t in here.items()}
+    conv |= {c: rule(good, c) for c, rule in others.items() if c in clean.columns}
+    return good.withColumns(conv).drop(*texts.values()), bad
+
+
+_PROPERTY_RULES = {"start_date": to_ts, "inactive_date": to_ts}
+_REVIEW_RULES = {"overall_score": to_float, "arrival_date": to_dt, "departure_date": to_dt, "created_at": to_ts,
+                 "response_date": to_dt}
+_ASPECT_RULES = {"score": to_float, "created_at": to_ts}
 
 
 def build_properties(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """P10 + P11 + F8. Returns (properties, dead_letter_rows)."""
+    """P10 + P11 + F8. Returns (properties, dead letter)."""
     df = clean
     if "gps_coordinates" in df.columns:
         lat, lon = fc.split_gps("gps_coordinates")
         df = df.withColumns({"latitude": lat, "longitude": lon}).drop("gps_coordinates")
-    df = df.withColumn("__err", _int_errors(df, PROPERTY_INT_COLUMNS))
-    bad = df.where(F.col("__err").isNotNull()).select(
-        F.col("property_id").cast("string").alias("key"), F.col("__err").alias("error"))
-    good = df.where(F.col("__err").isNull()).drop("__err")
-    conv = {c: to_int(good, c) for c in PROPERTY_INT_COLUMNS if c in good.columns}
-    for c in ("start_date", "inactive_date"):
-        if c in good.columns:
-            conv[c] = to_ts(good, c)
-    good = good.withColumns(conv)
-    good = good.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("tinyint")   # P11
-                             for c in PROPERTY_FLAGS_NOT_NULL if c in good.columns})
-    return good, bad
-
-
-def build_mapping(clean: DataFrame) -> DataFrame:
-    return clean.withColumns({"property_id": to_int(clean, "property_id"),
-                              "external_property_id": to_int(clean, "external_property_id", "bigint")})
-
-
-def build_reviews(clean: DataFrame) -> DataFrame:
-    conv = {}
-    for c, f in (("external_property_id", lambda c: to_int(clean, c, "bigint")),
-                 ("booking_id", lambda c: to_int(clean, c, "bigint")),
-                 ("overall_score", lambda c: to_float(clean, c)),
-                 ("is_validated", lambda c: to_int(clean, c)),
-                 ("arrival_date", lambda c: to_dt(clean, c)),
-                 ("departure_date", lambda c: to_dt(clean, c)),
-                 ("created_at", lambda c: to_ts(clean, c)),
-                 ("response_date", lambda c: to_dt(clean, c))):
-        if c in clean.columns:
-            conv[c] = f(c)
-    return clean.withColumns(conv).drop(*REVIEW_DROP)
-
-
-def build_aspects(clean: DataFrame) -> DataFrame:
-    conv = {"aspect_id": to_int(clean, "aspect_id"), "score": to_float(clean, "score")}
-    if "created_at" in clean.columns:
-        conv["created_at"] = to_ts(clean, "created_at")
-    return clean.withColumns(conv)
+    good, bad = _typed(df, "properties", "property_id", PROPERTY_INTS, _PROPERTY_RULES)
+    flags = [c for c in PROPERTY_FLAGS_NOT_NULL if c in good.columns]
+    return good.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("tinyint") for c in flags}), bad   # P11
+
+
+def filled_flags(clean: DataFrame) -> DataFrame:
+    """P11 audit: per flag column the rows whose missing or unreadable value
+    becomes 0 (column_name, filled)."""
+    flags = [c for c in PROPERTY_FLAGS_NOT_NULL if c in clean.columns]
+    counts = clean.agg(*[F.count_if(to_int(clean, c).isNull()).alias(c) for c in flags] or [F.lit(0).alias("none")])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in flags]
+    if not rows:
+        return counts.select(F.lit("").alias("column_name"), F.lit(0).cast("bigint").alias("filled")).limit(0)
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def build_mapping(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return _typed(clean, "property_id_mapping", "property_id", MAPPING_INTS, {})
+
+
+def build_reviews(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good, bad = _typed(clean, "reviews", "review_id", REVIEW_INTS, _REVIEW_RULES)
+    return good.drop(*REVIEW_DROP), bad
+
+
+def build_aspects(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return _typed(clean, "review_aspects", "aspect_id", ASPECT_INTS, _ASPECT_RULES)
 
 
 # ---- constraints -------------------------------------------------------------

@@ -59,59 +59,42 @@ def object_elements(v: Column) -> Column:
     return F.filter(v.try_cast("array<variant>"), lambda e: e.try_cast("map<string, variant>").isNotNull())
 
 
-def object_maps(v: Column) -> Column:
-    """The object elements of a VARIANT array as maps (field -> value)."""
-    return F.filter(F.transform(v.try_cast("array<variant>"), lambda e: e.try_cast("map<string, variant>")),
-                    lambda m: m.isNotNull())
-
-
-def is_list_of_dicts(v: Column) -> Column:
-    """A non-empty list with at least one object."""
-    return F.coalesce(F.size(object_elements(v)) > 0, F.lit(False))
-
-
-def field_values(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
-    """(id, field, value) — one row per top-level field of each document."""
-    return docs.select(
-        "id", F.explode(F.col(doc_col).try_cast("map<string, variant>")).alias("field", "value"))
-
-
-def discover_schema(docs: DataFrame, doc_col: str = "doc", sample_limit: int = 0,
-                    null_widens: bool = True) -> DataFrame:
-    """P3. Returns (scope, field, source_field, data_type, rank):
-    scope 'parent' for top-level columns (nested lists contribute a
-    ``hash_<field>`` STRING column), scope '<field>' for the columns of the
-    child table of each nested list. ``sample_limit`` = first N documents
-    (O3); 0 = all."""
-    if sample_limit:
-        docs = docs.limit(sample_limit)
-    fv = field_values(docs, doc_col).where(~F.col("field").isin(SKIP_FIELDS))
-
-    # One pass over the documents: each top-level value yields its entries —
-    # itself when scalar, or a hash-column entry plus one entry per key of
-    # each object of a nested list. Lambdas only build the entries; the type
-    # of each value is computed once, after the explode, in generated code.
-    def entry(scope, source, value, role):
-        return F.struct(scope.alias("scope"), source.alias("source_field"), value.alias("value"),
-                        F.lit(role).alias("role"))
-
-    fv = fv.withColumn("objs", object_maps(F.col("value")))
-    child_entries = F.flatten(F.transform("objs", lambda o: F.transform(
-        F.map_entries(o),
-        lambda e: entry(F.col("field"), e["key"], e["value"], "value"))))
-    entries = F.when(
-        F.coalesce(F.size("objs") > 0, F.lit(False)),
-        F.concat(F.array(entry(F.lit("parent"), F.col("field"), F.lit(None).cast("variant"), "list_hash")),
-                 child_entries)
-    ).otherwise(F.array(entry(F.lit("parent"), F.col("field"), F.col("value"), "value")))
-    ex = fv.select(F.explode(entries).alias("v")).select("v.*").withColumn("sv", F.schema_of_variant("value"))
-    kind = F.when(F.col("role") == "list_hash", F.lit("STRING")).otherwise(
-        variant_kind(F.col("value"), null_widens, F.col("sv")))
-    votes = (ex.select("scope", "source_field", "role", kind.alias("kind"))
-             .where(F.col("kind").isNotNull())
-             .groupBy("scope", "source_field", "role")
-             # an int buffer keeps this a hash aggregate (partial, map side)
-             .agg(F.max(rank_of(F.col("kind"))).alias("rank")))
+def _exploded(df: DataFrame, column: str, *keep: str) -> DataFrame:
+    """(keep..., pos, key, value) of each variant's object fields or list
+    elements (key NULL), by a generator inside generated code."""
+    fields = df.sparkSession.tvf.variant_explode(F.col(column).outer())
+    return df.lateralJoin(fields).select(*keep, "key", "value")
+
+
+def _votes(values: DataFrame, scope: Column, role: Column, kind: Column) -> DataFrame:
+    """The highest rank per field; an int buffer keeps this a hash aggregate
+    (partial, map side)."""
+    return (values.select(scope.alias("scope"), F.col("key").alias("source_field"), role.alias("role"), kind.alias("kind"))
+            .where(F.col("kind").isNotNull())
+            .groupBy("scope", "source_field", "role").agg(F.max(rank_of(F.col("kind"))).alias("rank")))
+
+
+def discover_schema(docs: DataFrame, doc_col: str = "doc", null_widens: bool = True) -> DataFrame:
+    """P3. Returns (scope, field, source_field, role, data_type, rank,
+    child_scope, name_collision): scope 'parent' for top-level columns (a
+    nested list contributes a ``hash_<field>`` STRING column whose
+    ``child_scope`` names its table), scope '<field>' for the columns of the
+    child table of each nested list. Every document counts: there is no sample
+    limit (O3), as a column that only later documents have would be lost.
+
+    Two passes: one over the top-level values, one over the nested lists
+    alone; only keys and types travel, values stay where they are."""
+    top = _exploded(docs.select(F.col(doc_col).alias("doc")), "doc") \
+        .where(F.col("key").isNotNull() & ~F.col("key").isin(SKIP_FIELDS)).withColumn("sv", F.schema_of_variant("value"))
+    nested = F.col("sv").startswith("ARRAY<") & F.coalesce(F.size(object_elements(F.col("value"))) > 0, F.lit(False))
+    top = top.withColumn("nested", nested)
+    parents = _votes(top, F.lit("parent"), F.when(F.col("nested"), F.lit("list_hash")).otherwise(F.lit("value")),
+                     F.when(F.col("nested"), F.lit("STRING")).otherwise(variant_kind(F.col("value"), null_widens, F.col("sv"))))
+    lists = top.where("nested").select(F.col("key").alias("list"), F.col("value").alias("items"))
+    elements = _exploded(lists, "items", "list").select("list", F.col("value").alias("element"))
+    fields = _exploded(elements, "element", "list").where(F.col("key").isNotNull()).withColumn("sv", F.schema_of_variant("value"))
+    children = _votes(fields, F.col("list"), F.lit("value"), variant_kind(F.col("value"), null_widens, F.col("sv")))
+    votes = parents.unionByName(children)
     named = votes.select(
         F.when(F.col("scope") == "parent", F.lit("parent")).otherwise(sanitize_identifier_col("scope")).alias("scope"),
         F.when(F.col("role") == "list_hash",
@@ -125,6 +108,7 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", sample_limit: int = 0
                    F.max("role").alias("role")))
     return merged.select("scope", "field", "source_field", "role",
                          kind_of(F.col("rank")).alias("data_type"), "rank",
+                         F.when(F.col("role") == "list_hash", sanitize_identifier_col("source_field")).alias("child_scope"),
                          (F.col("source_field") != F.col("source_field_max")).alias("name_collision"))
 
 

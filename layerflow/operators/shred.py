@@ -70,6 +70,8 @@ def shred_parent(docs: DataFrame, schema_rows: list, doc_col: str = "doc",
     base = base.where(F.col("__id").isNotNull())
     store_id = F.col("_id").cast("string") if "_id" in docs.columns else F.substring(F.md5(F.col("__id")), 1, 24)
     cols = [F.col("__id").alias("id"), store_id.alias("_id")]
+    # only fields that discovery saw as nested lists need the list test
+    nested_fields = {r["source_field"] for r in schema_rows if r["role"] == "list_hash"}
     for r in sorted((r for r in schema_rows if r["scope"] == "parent"), key=lambda r: r["field"]):
         src, field, typ = r["source_field"], r["field"], r["data_type"]
         if r["role"] == "list_hash":
@@ -77,6 +79,9 @@ def shred_parent(docs: DataFrame, schema_rows: list, doc_col: str = "doc",
             cols.append(F.when(F.size(object_elements(v)) > 0, list_hash(v)).alias(field))
             continue
         v = F.element_at(F.col("__m"), F.lit(src))
+        if src not in nested_fields:
+            cols.append(convert(v, typ).alias(field))
+            continue
         # a value that is a list of objects is shredded to the child table
         nested = F.coalesce(F.size(object_elements(v)) > 0, F.lit(False))
         cols.append(F.when(~nested, convert(v, typ)).alias(field))
@@ -95,6 +100,16 @@ def child_columns(schema_rows: list, scope: str) -> list[tuple[str, str, str]]:
     return out
 
 
+def child_counts(docs: DataFrame, source_field: str, doc_col: str = "doc") -> DataFrame:
+    """(__pid, __n): the child rows that each partition of ``docs`` yields,
+    without building them."""
+    m = F.col(doc_col).try_cast("map<string, variant>")
+    kept = F.size(dedup_objects_json(F.element_at(m, F.lit(source_field))))
+    has_id = F.element_at(m, F.lit("id")).try_cast("string").isNotNull()
+    return docs.select(F.spark_partition_id().alias("__pid"), F.when(has_id & (kept > 0), kept).otherwise(0).alias("n")) \
+        .groupBy("__pid").agg(F.sum("n").alias("__n"))
+
+
 def shred_children(docs: DataFrame, schema_rows: list, scope: str, source_field: str,
                    doc_col: str = "doc", loaded_at=None) -> DataFrame:
     """P6 + U5: one row per distinct object of the nested list, first

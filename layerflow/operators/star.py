@@ -92,20 +92,17 @@ def _not_blank(c: str) -> Column:
     return F.coalesce(F.length(F.trim(F.col(c))) > 0, F.lit(False))
 
 
-def fact_reviews(reviews: DataFrame, mapping: DataFrame, d_property: DataFrame,
-                 d_channel: DataFrame) -> DataFrame:
-    """One row per review with date, property and channel keys."""
-    m = mapping.select("external_property_id", "property_id").where(F.col("external_property_id").isNotNull())
-    pk = d_property.select("property_id", "property_key")
+def fact_reviews(reviews: DataFrame, d_property: DataFrame, d_channel: DataFrame) -> DataFrame:
+    """One row per review with date, property and channel keys. The
+    property dimension holds the external id, so it is joined once on that."""
+    pk = d_property.select("external_property_id", "property_key").where(F.col("external_property_id").isNotNull())
     ck = d_channel.select("sales_channel_code", "channel_key")
     # optional review columns that a feed may not carry are NULL
     reviews = reviews.withColumns({c: F.lit(None).cast(t) for c, t in (
         ("external_property_id", "bigint"), ("sales_channel_code", "string"), ("arrival_date", "date"),
         ("departure_date", "date"), ("created_at", "timestamp_ntz"), ("overall_score", "double"))
         if c not in reviews.columns})
-    r = (reviews.join(m, "external_property_id", "left")
-         .join(pk, "property_id", "left")
-         .join(ck, "sales_channel_code", "left"))
+    r = reviews.join(pk, "external_property_id", "left").join(ck, "sales_channel_code", "left")
     return r.select(
         "review_id",
         date_key(F.col("arrival_date")).alias("arrival_date_key"),

@@ -17,7 +17,8 @@ from layerflow.operators import relational as orl
 from layerflow.operators import schema as osch
 from layerflow.operators import shred as osh
 from layerflow.operators import upsert as ou
-from layerflow.operators.checks import run_checks
+from layerflow.operators import checks as ock
+from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
 from layerflow.plans import reviews as R
 from layerflow.session import cut_lineage, shared_dir
@@ -57,6 +58,16 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict:
     return _MODELS[key]
 
 
+def documents(spark: SparkSession, sf_dir: str) -> tuple:
+    """The stored review documents in id order and their discovered schema: the
+    inputs of the shredding queries."""
+    key = (_session_key(spark), sf_dir, "documents")
+    if key not in _MODELS:
+        docs = R.ordered_documents(R.review_documents(spark, sf_dir))
+        _MODELS[key] = (docs, osch.discover_schema(docs).collect())
+    return _MODELS[key]
+
+
 # ---- S1-S3: pages ------------------------------------------------------------------
 TURNS_PER_PAGE = 100
 PAGE_STRIDE = 10000   # page number = conv_id * PAGE_STRIDE + chunk
@@ -113,7 +124,8 @@ def q_pages_quarantine(spark, sf_dir):
 def q_incremental_scan(spark, sf_dir):
     """A first run commits the orders up to half the key range and stops
     (its resume point is kept); the next run resumes after that key, loads
-    the rest and completes, clearing the resume point."""
+    the rest and completes, clearing the resume point. All rows come back,
+    each with the run that loaded it."""
     store = sl.LayerStore(spark, shared_dir(spark, "incremental_scan"))
     orders = read(spark, sf_dir, "orders")
     half = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).first()[0]
@@ -123,7 +135,7 @@ def q_incremental_scan(spark, sf_dir):
     rest = sl.scan_after(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey", hwm)
     store.commit_increment("raw", "orders", rest, "o_orderkey", done=True)        # run 2 resumes
     assert store.high_water_mark("raw", "orders") is None
-    return store.increments("raw", "orders").where(F.col("o_orderkey") > F.lit(hwm))
+    return store.increments("raw", "orders", "load_run")
 
 
 # ---- S5-S7, P2: CSV -----------------------------------------------------------------
@@ -173,7 +185,10 @@ def q_publish_roundtrip(spark, sf_dir):
         store.build_and_publish("rel", {"supplier": sup.where(F.col("s_suppkey") % 2 == 0), "part": broken})
     except RuntimeError:
         pass
-    return store.table("rel", "supplier")
+    tables = {"supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name")}
+    out = [store.table("rel", t).select(F.lit(t).alias("table_name"), F.col(k).cast("bigint").alias("key"), F.col(n).alias("name"))
+           for t, (k, n) in tables.items()]
+    return out[0].unionByName(out[1])
 
 
 # ---- S12: dead letter -------------------------------------------------------------
@@ -185,11 +200,46 @@ def q_dead_letter(spark, sf_dir):
            .otherwise(F.col("l_quantity").cast("bigint").cast("string")))
     rows = li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
                      .alias("row_key"), qty.alias("l_quantity"))
-    err = F.when(ft.to_nullable_int_error("l_quantity"), F.lit("fractional or infinite value in l_quantity"))
-    _, bad = sl.split_dead_letter(rows, err, "row_key", R.AS_OF)
+    _, bad = orl.split_errors(rows, "lineitem", "row_key", orl.int_errors(rows, {"l_quantity": "bigint"}))
     return bad.select("key", "error")
 
 
+def faulty_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The four tables before typing, as text, with values that no integer
+    column holds: fractions, infinities, numbers out of range, words."""
+    c, o, li = (read(spark, sf_dir, t) for t in ("customer", "orders", "lineitem"))
+    k = F.col("c_custkey")
+    text = k.cast("string")
+    props = c.select(F.when(k % 20 == 3, F.concat(text, F.lit(".5"))).otherwise(text).alias("property_id"),
+                     F.when(k % 20 == 7, F.lit("3000000000")).otherwise(F.lit("4")).alias("max_occupancy"), "c_mktsegment")
+    ext = (k + R.EXTERNAL_ID_OFFSET).cast("string")
+    mapping = c.select(F.when(k % 30 == 2, F.lit("1e30")).otherwise(text).alias(oc.MAPPING_COLUMNS[0]),
+                       F.when(k % 30 == 1, F.lit("abc")).otherwise(ext).alias(oc.MAPPING_COLUMNS[1]))
+    r = F.col("o_orderkey")
+    booking = F.when(r % 25 == 4, F.lit("12.5")).when(r % 25 == 5, F.lit("-inf")).when(r % 25 == 6, F.lit("99999999999999999999")) \
+        .otherwise(r.cast("string"))
+    reviews = o.select(r.cast("string").alias("review_id"), booking.alias("booking_id"), F.col("o_custkey").alias("external_property_id"))
+    a = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    aspects = li.select(F.when(a % 40 == 0, F.lit("1.5")).otherwise(a.cast("string")).alias("aspect_id"),
+                        F.col("l_orderkey").cast("string").alias("review_id"), (F.col("l_quantity") / 5).alias("score"))
+    return {"properties": props, "property_id_mapping": mapping, "reviews": reviews, "review_aspects": aspects}
+
+
+def q_dead_letter_all(spark, sf_dir):
+    """S12 over all four tables: of each the rows stored and the rows of the
+    dead letter by error; together they are the rows that went in."""
+    t = faulty_tables(spark, sf_dir)
+    mapping, bad = orl.split_errors(t["property_id_mapping"], "property_id_mapping", oc.MAPPING_COLUMNS[0],
+                                    oc.mapping_errors(t["property_id_mapping"]))
+    built = {"properties": orl.build_properties(t["properties"]), "property_id_mapping": orl.build_mapping(oc.clean_mapping(mapping)),
+             "reviews": orl.build_reviews(t["reviews"]), "review_aspects": orl.build_aspects(t["review_aspects"])}
+    rows = bad.select("table_name", F.col("error").alias("outcome"))
+    for table, (good, letter) in built.items():
+        rows = rows.unionByName(letter.select("table_name", F.col("error").alias("outcome"))) \
+            .unionByName(good.select(F.lit(table).alias("table_name"), F.lit("stored").alias("outcome")))
+    return rows.groupBy("table_name", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- P1: names --------------------------------------------------------------------------
 def q_sanitize_names(spark, sf_dir):
     p = read(spark, sf_dir, "part")
@@ -205,18 +255,17 @@ def _json_docs(df: DataFrame, key: str) -> DataFrame:
 
 def q_infer_types(spark, sf_dir):
     docs = _json_docs(read(spark, sf_dir, "orders"), "o_orderkey").unionByName(
-        _json_docs(read(spark, sf_dir, "events"), "event_id"))
-    s = osch.discover_schema(docs)
-    return s.where(F.col("scope") == "parent").select("field", "data_type")
+        _json_docs(read(spark, sf_dir, "events"), "event_id")).unionByName(_line_docs(read(spark, sf_dir, "lineitem")))
+    return osch.discover_schema(docs).select("scope", "field", "data_type")
 
 
 def q_schema_drift(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     old = osch.discover_schema(_json_docs(o, "o_orderkey"))
     new_docs = _json_docs(o, "o_orderkey").unionByName(_json_docs(read(spark, sf_dir, "events"), "event_id")) \
-        .unionByName(_widened_docs(o))
+        .unionByName(_widened_docs(o)).unionByName(_line_docs(read(spark, sf_dir, "lineitem")))
     new = osch.discover_schema(new_docs)
-    return osch.schema_drift(old, new).select("field", "old_type", "new_type", "change")
+    return osch.schema_drift(old, new).select("scope", "field", "old_type", "new_type", "change")
 
 
 def _widened_docs(o: DataFrame) -> DataFrame:
@@ -228,12 +277,14 @@ def _widened_docs(o: DataFrame) -> DataFrame:
 
 # ---- P5/P6/W2/U9: shredding ------------------------------------------------------------
 def q_shred_parent(spark, sf_dir):
-    return model(spark, sf_dir).raw["reviews"].drop("hash_evaluationaspects")
+    return osh.shred_parent(*documents(spark, sf_dir))
 
 
 def q_shred_children(spark, sf_dir):
-    return model(spark, sf_dir).raw["reviews_evaluationaspects"].select(
-        "id", "parent_id", "created_at", "evaluationaspect", "valoration")
+    docs, rows = documents(spark, sf_dir)
+    children = osh.shred_children(docs, rows, "evaluationaspects", "evaluationAspects", loaded_at=R.LOADED_AT)
+    return dense_ids(children, ["parent_id", "pos"], "id", presorted=True, counts=osh.child_counts(docs, "evaluationAspects")) \
+        .select("id", "parent_id", "row_hash", "created_at", "evaluationaspect", "valoration")
 
 
 def q_shred_counts(spark, sf_dir):
@@ -253,11 +304,11 @@ def q_shred_counts(spark, sf_dir):
 
 # ---- P7-P9: clean -------------------------------------------------------------------------
 def q_rename_clean(spark, sf_dir):
-    return model(spark, sf_dir).clean["reviews"].drop("hash_evaluationaspects")
+    return oc.clean_reviews(model(spark, sf_dir).raw["reviews"])
 
 
 def q_first_present(spark, sf_dir):
-    return model(spark, sf_dir).clean["review_aspects"]
+    return oc.clean_aspects(model(spark, sf_dir).raw["reviews_evaluationaspects"])
 
 
 # ---- U1-U3: upserts ----------------------------------------------------------------------
@@ -310,27 +361,53 @@ EVENTS_PER_PAGE = 100
 
 def q_page_stream_upsert(spark, sf_dir):
     """Events delivered as page files (100 events per page, in id
-    order) -> Structured Streaming micro-batches -> field-level upsert."""
+    order) in three instalments -> one Structured Streaming query, a
+    micro-batch each -> field-level upsert."""
     from layerflow.streaming.pages import run_page_upsert
-    ev = read(spark, sf_dir, "events")
+    pages = event_pages(read(spark, sf_dir, "events"))
+    bounds = pages.agg(F.min("page"), F.max("page")).first()
+    third = ((bounds[1] or 0) - (bounds[0] or 0)) // 3 + 1
+    root = shared_dir(spark, "page_stream_upsert")
+    store = sl.LayerStore(spark, f"{root}/store")
+    for part in range(3):
+        pages.where(F.floor((F.col("page") - F.lit(bounds[0] or 0)) / third) == part).select("value").write.mode("append").text(f"{root}/pages")
+        run_page_upsert(spark, f"{root}/pages", store, "docs", "reviews", f"{root}/checkpoint").awaitTermination()
+    return _state_values(store.table("docs", "reviews"))
+
+
+def event_pages(ev: DataFrame) -> DataFrame:
+    """(page, value): envelopes of EVENTS_PER_PAGE events in id order."""
     page = (F.col("event_id") / EVENTS_PER_PAGE).cast("bigint")
     pages = ev.groupBy(page.alias("page")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", _event_doc_text().alias("j")))),
                                  lambda e: e["j"]), ",").alias("items"))
-    lines = pages.select("page", F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"data":['),
-                                          F.col("items"), F.lit("]}")).alias("value"))
-    root = shared_dir(spark, "page_stream_upsert")
-    # files hold contiguous page ranges, as pages arrive in order
-    lines.repartitionByRange("page").sortWithinPartitions("page").select("value").write.text(f"{root}/pages")
-    store = sl.LayerStore(spark, f"{root}/store")
-    q = run_page_upsert(spark, f"{root}/pages", store, "docs", "reviews", f"{root}/checkpoint",
-                        max_files_per_trigger=1)
-    q.awaitTermination()
-    state = store.table("docs", "reviews")
+    return pages.select("page", F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"data":['),
+                                         F.col("items"), F.lit("]}")).alias("value"))
+
+
+def _state_values(state: DataFrame) -> DataFrame:
     return state.where(F.col("field") != "id").select(
         "id", "field", F.parse_json("value_json").try_cast("double").alias("value"))
 
 
+def q_two_day_upsert(spark, sf_dir):
+    """U1 over two runs: the events before UPSERT_SPLIT_TS and those after it
+    come as two days' pages, the second day's numbered from the front again;
+    another table of the layer is published between. The second day wins."""
+    from layerflow.streaming.pages import upsert_batch
+    ev = read(spark, sf_dir, "events")
+    split = F.lit(UPSERT_SPLIT_TS).cast("timestamp_ntz")
+    store = sl.LayerStore(spark, shared_dir(spark, "two_day_upsert"))
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    for day, events in enumerate((ev.where(F.col("ts") < split), ev.where(F.col("ts") >= split))):
+        # the first day has the high page numbers
+        pages = event_pages(events).select((F.col("page") + (0 if day else last)).alias("page"),
+                                           F.lit(f"day-{day}").alias("source"), F.col("value").alias("payload"))
+        upsert_batch(store, "docs", "reviews", pages)
+        store.guarded_load("docs", "other", spark.range(3).toDF("x"))
+    return _state_values(store.table("docs", "reviews"))
+
+
 # ---- U4/U5: hashing and child dedup ------------------------------------------------------
 def q_content_hash(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
@@ -405,11 +482,20 @@ def q_aspect_type(spark, sf_dir):
 
 
 def q_postcode_split(spark, sf_dir):
-    return model(spark, sf_dir).clean["properties"].select("property_id", "postcode_prefix", "postcode_suffix")
+    return whole_properties(spark, sf_dir).select("property_id", "postcode_prefix", "postcode_suffix")
+
+
+def whole_properties(spark, sf_dir, **options) -> DataFrame:
+    """The cleaned properties of every customer, from the CSV source."""
+    return oc.clean_properties(R.reference_csv(spark, sf_dir, "propriedades", gaps=False), **options)
+
+
+def whole_mapping(spark, sf_dir) -> DataFrame:
+    return oc.clean_mapping(R.reference_csv(spark, sf_dir, "id_mapping", gaps=False))
 
 
 def q_postcode_zero(spark, sf_dir):
-    c = oc.clean_properties(R.property_rows(spark, sf_dir), zero_is_null=True)
+    c = whole_properties(spark, sf_dir, zero_is_null=True)
     return c.select(F.col("property_id"),
                     ft.to_nullable_int("postcode_prefix", "int").alias("postcode_prefix"),
                     ft.to_nullable_int("postcode_suffix", "int").alias("postcode_suffix"))
@@ -451,19 +537,19 @@ def q_gps_split(spark, sf_dir):
 
 
 def q_typed_relational(spark, sf_dir):
-    return model(spark, sf_dir).rel["reviews"]
+    return orl.build_reviews(model(spark, sf_dir).clean["reviews"])[0]
 
 
 def q_typed_properties(spark, sf_dir):
-    return model(spark, sf_dir).rel["properties"]
+    return orl.build_properties(whole_properties(spark, sf_dir))[0]
 
 
 def q_typed_mapping(spark, sf_dir):
-    return model(spark, sf_dir).rel["property_id_mapping"]
+    return orl.build_mapping(whole_mapping(spark, sf_dir))[0]
 
 
 def q_stale_inactive(spark, sf_dir):
-    c = oc.clean_properties(R.property_rows(spark, sf_dir), clear_stale_inactive=True)
+    c = whole_properties(spark, sf_dir, clear_stale_inactive=True)
     return c.select("property_id", "is_inactive", "inactive_date")
 
 
@@ -536,28 +622,19 @@ def q_value_parity(spark, sf_dir):
         "doc_id", F.when(F.col("n_chars") > 1000, 1).otherwise(0).cast("double").alias("a"))
     lab = read(spark, sf_dir, "labels").where(F.col("quality").isNotNull()).select(
         "doc_id", F.col("quality").cast("double").alias("b"))
-    j = d.join(lab, "doc_id")
-    return j.agg(F.count(F.lit(1)).alias("matched"), F.count_if(F.col("a") != F.col("b")).alias("mismatched"))
-
-
-def _key_parity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    l_ = left.select(key).distinct().withColumn("l", F.lit(1))
-    r_ = right.select(key).distinct().withColumn("r", F.lit(1))
-    j = l_.join(r_, key, "full_outer")
-    return j.agg(F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"),
-                 F.count_if(F.col("l").isNotNull() & F.col("r").isNotNull()).alias("both"))
+    return ock.value_parity(d, lab, "doc_id", "a", "b")
 
 
 def q_key_parity(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     shifted = o.where(k % 10 != 0).select(F.when(k % 10 == 1, k + SHIFT_OFFSET).otherwise(k).alias("o_orderkey"))
-    return _key_parity(o, shifted, "o_orderkey")
+    return ock.key_parity(o, shifted, "o_orderkey")
 
 
 def q_key_parity_property(spark, sf_dir):
     r = model(spark, sf_dir).rel
-    return _key_parity(r["reviews"], r["property_id_mapping"], "external_property_id")
+    return ock.key_parity(r["reviews"], r["property_id_mapping"], "external_property_id")
 
 
 # ---- G1, G3, V*: checks --------------------------------------------------------------
@@ -565,32 +642,63 @@ _check_layers = R.check_layers
 
 
 def q_row_parity(spark, sf_dir):
-    layers = _check_layers(model(spark, sf_dir))
-    out = None
-    for layer, tables in layers.items():
-        for t, df in tables.items():
-            c = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "row_count")
-            out = c if out is None else out.unionByName(c)
-    return out
+    return ock.row_counts(_check_layers(model(spark, sf_dir)))
 
 
 def q_score_distribution(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_returnflag").alias("aspect")).agg(
-        F.round(F.avg(F.col("l_quantity") / 5), 2).alias("avg_score"), F.count(F.lit(1)).alias("n"))
+    return ock.score_distribution(li.select("l_returnflag", (F.col("l_quantity") / 5).alias("score")), "l_returnflag")
 
 
 def q_validation_report(spark, sf_dir):
-    return run_checks(_check_layers(model(spark, sf_dir)), R.AS_OF)
+    return ock.run_checks(_check_layers(model(spark, sf_dir)), R.AS_OF)
+
+
+def q_validation_faults(spark, sf_dir):
+    """The check report over layers with faults of every family."""
+    layers = {lyr: dict(tables) for lyr, tables in _check_layers(model(spark, sf_dir)).items()}
+    clean, rel = layers["clean"], layers["rel"]
+    k = F.col("review_id").cast("bigint")
+    clean["reviews"] = clean["reviews"].where(k % 101 != 0).withColumns({
+        "overall_score": F.when(k % 50 == 1, F.lit(11.0)).otherwise(F.col("overall_score")),
+        "sales_channel_code": F.when(k % 31 != 2, F.col("sales_channel_code")),
+        "departure_date": F.when(k % 41 == 3, F.lit("1990-01-01")).otherwise(F.col("departure_date")),
+        "created_at": F.when(k % 43 == 4, F.lit("2030-01-01 00:00:00")).otherwise(F.col("created_at"))})
+    some = rel["reviews"].where(k % 97 != 5)
+    rel["reviews"] = some.unionByName(some.where(k % 89 == 6)) \
+        .withColumn("overall_score", F.when(k % 53 == 7, F.col("overall_score") - 20).otherwise(F.col("overall_score")))
+    clean["review_aspects"] = clean["review_aspects"].withColumn("aspect", F.when(F.col("aspect_id") % 59 != 0, F.col("aspect")))
+    rel["review_aspects"] = rel["review_aspects"].withColumn(
+        "review_id", F.when(F.col("aspect_id") % 61 == 0, F.lit("x")).otherwise(F.col("review_id")))
+    clean["properties"] = clean["properties"].where(F.col("property_id").cast("bigint") < 5)
+    return ock.run_checks(layers, R.AS_OF)
 
 
 # ---- D1-D6: star --------------------------------------------------------------------
-def _star(name):
-    def q(spark, sf_dir):
-        return star_tables(spark, sf_dir)[name]
-    q.__name__ = f"q_{name}"
-    return q
+def q_dim_date(spark, sf_dir):
+    return star.dim_date(model(spark, sf_dir).rel["reviews"])
+
+
+def q_dim_property(spark, sf_dir):
+    return star.dim_property(orl.build_properties(whole_properties(spark, sf_dir))[0], orl.build_mapping(whole_mapping(spark, sf_dir))[0])
+
+
+def q_dim_sales_channel(spark, sf_dir):
+    return star.dim_sales_channel(model(spark, sf_dir).rel["reviews"])
+
+
+def q_dim_aspect(spark, sf_dir):
+    return star.dim_aspect(model(spark, sf_dir).rel["review_aspects"])
+
+
+def q_fact_reviews(spark, sf_dir):
+    s = star_tables(spark, sf_dir)
+    return star.fact_reviews(model(spark, sf_dir).rel["reviews"], s["dim_property"], s["dim_sales_channel"])
+
+
+def q_fact_review_aspects(spark, sf_dir):
+    s = star_tables(spark, sf_dir)
+    return star.fact_review_aspects(model(spark, sf_dir).rel["review_aspects"], s["fact_reviews"], s["dim_aspect"])
 
 
 QUERIES = {
@@ -602,6 +710,7 @@ QUERIES = {
     "guarded_load": q_guarded_load,
     "publish_roundtrip": q_publish_roundtrip,
     "dead_letter": q_dead_letter,
+    "dead_letter_all": q_dead_letter_all,
     "sanitize_names": q_sanitize_names,
     "infer_types": q_infer_types,
     "schema_drift": q_schema_drift,
@@ -613,6 +722,7 @@ QUERIES = {
     "field_upsert": q_field_upsert,
     "upsert_metrics": q_upsert_metrics,
     "page_stream_upsert": q_page_stream_upsert,
+    "two_day_upsert": q_two_day_upsert,
     "row_upsert": q_row_upsert,
     "content_hash": q_content_hash,
     "child_dedup": q_child_dedup,
@@ -642,6 +752,11 @@ QUERIES = {
     "row_parity": q_row_parity,
     "score_distribution": q_score_distribution,
     "validation_report": q_validation_report,
-    **{n: _star(n) for n in ("dim_date", "dim_property", "dim_sales_channel", "dim_aspect",
-                             "fact_reviews", "fact_review_aspects")},
+    "validation_faults": q_validation_faults,
+    "dim_date": q_dim_date,
+    "dim_property": q_dim_property,
+    "dim_sales_channel": q_dim_sales_channel,
+    "dim_aspect": q_dim_aspect,
+    "fact_reviews": q_fact_reviews,
+    "fact_review_aspects": q_fact_review_aspects,
 }

@@ -5,8 +5,8 @@
     reference CSV files     ->  raw all-string tables
     raw -> clean -> relational (constraint-gated) -> checks report -> star
 
-Every layer is published through the layer store (all tables of a layer
-switch together) and each step reads what the previous step stored. A run
+Every layer is published through the layer store (all tables of a
+layer switch together) and each step reads what the previous step stored. A run
 that fails part-way leaves every published layer as it was.
 """
 
@@ -20,16 +20,13 @@ from pyspark.sql import functions as F
 
 from layerflow.operators import upsert as ou
 from layerflow.operators.checks import failed, run_checks
+from layerflow.operators.clean import MAPPING_COLUMNS
+from layerflow.operators.relational import filled_flags
 from layerflow.plans import reviews as R
-from layerflow.sources.csv import read_csv_all_string
+from layerflow.sources.csv import CsvRead, read_csv
 from layerflow.sources.layers import LayerStore
 from layerflow.sources.pages import read_page_files
-from layerflow.streaming.pages import PAGE_FILE_PATTERN, upsert_batch
-
-# The raw table names of the two reference files.
-PROPERTY_TABLE = "propriedades"
-MAPPING_TABLE = "idavantio"
-
+from layerflow.streaming.pages import PAGE_FILE_PATTERN, Batch, merge_batch, read_state
 
 @dataclass
 class DailyResult:
@@ -45,47 +42,64 @@ def page_number(payload: str = "payload", source: str = "source"):
                       F.regexp_extract(F.col(source), PAGE_FILE_PATTERN, 1).try_cast("bigint"))
 
 
-def ingest_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_file: bool = True) -> DataFrame:
-    """S1-S3 + U1 + U2: merge new pages into the document store, rewriting
-    only the hash buckets of the documents they touch (the same merge as the
-    page stream); returns the stored documents (id, doc)."""
+def merge_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_file: bool = True,
+                buckets: int | None = None) -> tuple[Batch, DataFrame]:
+    """S1-S3 + U1 + U2: merge new pages into the document store, rewriting only
+    the hash buckets of the documents they touch (the same merge as the page
+    stream). The result is not live yet; with it come its documents (id, doc)."""
     pages = read_page_files(spark, pages_path, whole_file).withColumn("page", page_number())
-    cur = store.current("docs")
-    batch_id = cur.get("stream_batches", {}).get("fields", -1) + 1
-    out = upsert_batch(store, "docs", "fields", pages, batch_id)
-    m = out["metrics"]
-    metrics = spark.createDataFrame([(m["upserted"], m["matched"], m["modified"], m["total"])],
-                                    "upserted bigint, matched bigint, modified bigint, total bigint")
-    store.build_and_publish("ingest", {"bad_payloads": out["split"].quarantine,
-                                       "rejected_elements": out["split"].rejects, "upsert_metrics": metrics})
-    return ou.assemble_documents(store.table("docs", "fields")).select("id", "doc")
+    batch = merge_batch(store, "docs", "fields", pages, buckets)
+    return batch, ou.assemble_documents(read_state(store, batch.paths)).select("id", "doc")
+
+
+def kept_reference(store: LayerStore, read: CsvRead, table: str) -> DataFrame:
+    """A reference file without rows keeps the table that is live."""
+    if read.rows.isEmpty() and table in store.current("raw")["tables"]:
+        return store.table("raw", table)
+    return read.rows
 
 
 def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv: str, root: str,
         as_of: str | None = None, loaded_at: str | None = None, sep: str = ",", encoding: str = "UTF-8",
-        whole_file_pages: bool = True, build_star: bool = True,
-        keep_versions: int | None = None) -> DailyResult:
-    """Run every step; ``failed`` is true iff a check FAILed (the
-    reference's exit status). ``keep_versions``: after a successful run,
-    drop table versions not referenced by the newest N manifests of each
-    layer (the reference drops the old tables after its swap)."""
+        whole_file_pages: bool = True, build_star: bool = True, keep_versions: int | None = None,
+        keep_seconds: float = 24 * 3600, mapping_columns: tuple[str, str] = MAPPING_COLUMNS,
+        floors: dict[str, int] | None = None, buckets: int | None = None) -> DailyResult:
+    """Run every step; ``failed`` is true iff a check FAILed (the reference's
+    exit status). Every layer, the document store included, is written aside;
+    all go live at the end, after floors and constraints held. ``floors``: the
+    smallest row counts of the clean tables. ``mapping_columns``: the cleaned
+    names of the internal and external id in the mapping file.
+    ``keep_versions``: drop table versions that the newest N manifests of a
+    layer do not name and that are older than ``keep_seconds``."""
     store = LayerStore(spark, root)
     version = uuid.uuid4().hex[:12]
     as_of = as_of or spark.sql("SELECT date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss')").first()[0]
     loaded_at = loaded_at or as_of
-    docs = ingest_pages(spark, store, pages_path, whole_file_pages)
+    batch, docs = merge_pages(spark, store, pages_path, whole_file_pages, buckets)
     # The key columns must be there after name cleaning
-    props = read_csv_all_string(spark, properties_csv, sep=sep, encoding=encoding, expected_columns=["id"])
-    mapping = read_csv_all_string(spark, mapping_csv, sep=sep, encoding=encoding,
-                                  expected_columns=["idflh", "idavantio"])
-    m = R.raw_layer(spark, None, docs=docs, properties=props, mapping=mapping, loaded_at=loaded_at)
-    m = R.publish_layers(m, store, version)
-    store.build_and_publish("checks", {"report": run_checks(R.check_layers(m), as_of)}, version)
+    props = read_csv(spark, properties_csv, sep=sep, encoding=encoding, expected_columns=["id"])
+    mapping = read_csv(spark, mapping_csv, sep=sep, encoding=encoding, expected_columns=list(mapping_columns))
+    m = R.raw_layer(spark, None, docs=docs, properties=kept_reference(store, props, "propriedades"),
+                    mapping=kept_reference(store, mapping, "id_mapping"), loaded_at=loaded_at)
+    m.mapping_columns = mapping_columns
+    m = R.stage_layers(m, store, version, R.CLEAN_FLOORS if floors is None else floors)
+    counters = m.counters.get
+    ingest = {"bad_payloads": batch.split.quarantine, "rejected_elements": batch.split.rejects,
+              "upsert_metrics": spark.createDataFrame([tuple(batch.metrics.values())], ", ".join(f"{k} bigint" for k in batch.metrics)),
+              "shred_counts": spark.createDataFrame([(int(counters["processed"]), int(counters["skipped"]), int(counters["failed"]))],
+                                                    "processed bigint, skipped bigint, failed bigint"),
+              "filled_flags": filled_flags(m.clean["properties"]),
+              "csv_rejects": props.rejects.withColumn("table_name", F.lit("propriedades"))
+              .unionByName(mapping.rejects.withColumn("table_name", F.lit("id_mapping")))}
+    m.aside["ingest"] = store.build_aside("ingest", ingest, version)
+    m.aside["checks"] = store.build_aside("checks", {"report": run_checks(R.check_layers(m), as_of)}, version)
+    star = R.star_schema(m, publish=False) if build_star else {}
+    batch.commit()
+    R.publish_aside(m)
     report = store.table("checks", "report")
-    star = R.star_schema(m) if build_star else {}
     if keep_versions:
         for layer in ("docs", "ingest", "raw", "clean", "rel", "checks", "star"):
-            store.vacuum(layer, keep=keep_versions)
+            store.vacuum(layer, keep_versions, keep_seconds)
     return DailyResult(m, report, star, failed(report))
 
 
@@ -103,11 +117,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--root", required=True, help="layer store root on the shared file system")
     p.add_argument("--sep", default=",")
     p.add_argument("--encoding", default="UTF-8")
+    p.add_argument("--internal-id", default=MAPPING_COLUMNS[0], help="cleaned name of the mapping file's internal id")
+    p.add_argument("--external-id", default=MAPPING_COLUMNS[1], help="cleaned name of the mapping file's external id")
     p.add_argument("--no-star", action="store_true")
     a = p.parse_args(argv)
     spark = build_session()
     res = run(spark, a.pages, a.properties, a.mapping, a.root, sep=a.sep, encoding=a.encoding,
-              build_star=not a.no_star)
+              build_star=not a.no_star, mapping_columns=(a.internal_id, a.external_id))
     for r in res.report.orderBy("check_id").collect():
         print(f"[{r.status:4s}] {r.check_name} (observed {r.observed})")
     return 1 if res.failed else 0

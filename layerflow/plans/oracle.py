@@ -5,11 +5,12 @@ the Spark output; types are cast to the Spark types where DuckDB differs.
 
 from __future__ import annotations
 
-from layerflow.operators.checks import CHECK_SPECS, PLAUSIBLE_AVG
 from layerflow.plans import catalog as C
 from layerflow.plans import reviews as R
 
-WS = r"'^\s+|\s+$'"
+# RE2 knows ASCII spaces only: the Unicode ones, spelled out.
+SP = r"[\s\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+WS = rf"'^{SP}+|{SP}+$'"
 
 
 def _strip(e: str) -> str:
@@ -19,9 +20,9 @@ def _strip(e: str) -> str:
 def sql_floor(x: str) -> str:
     """F3 without lookahead (RE2)."""
     v0 = _strip(x)
-    v1 = f"replace(regexp_replace(replace({v0}, '°', 'º'), '\\s+º', 'º', 'g'), 'ª', 'º')"
+    v1 = f"replace(regexp_replace(replace({v0}, '°', 'º'), '{SP}+º', 'º', 'g'), 'ª', 'º')"
     rc = f"regexp_replace(regexp_replace({v1}, '^[Rr]/[Cc]', 'R/C'), '^[Rr][Cc]([^-]|$)', 'R/C\\1')"
-    piso = f"regexp_extract({rc}, '(?i)^piso\\s+\\d+\\s*[-–]\\s*(.+)$', 1)"
+    piso = f"regexp_extract({rc}, '(?i)^piso{SP}+\\d+{SP}*[-–]{SP}*(.+)$', 1)"
     return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {v0} = '.' THEN NULL "
             f"WHEN {v1} IN ('0', '0º', 'Piso 0') THEN 'R/C' "
             f"WHEN regexp_matches({v1}, '^\\d+$') THEN {v1} || 'º' "
@@ -30,7 +31,7 @@ def sql_floor(x: str) -> str:
 
 def sql_postcode(code: str, zone: str) -> tuple[str, str]:
     st = _strip(code)
-    pat = r"'^\s*(\d{4})\s*-\s*(\d{3})\s*$'"
+    pat = rf"'^{SP}*(\d{{4}}){SP}*-{SP}*(\d{{3}}){SP}*$'"
     g1, g2 = f"regexp_extract({st}, {pat}, 1)", f"regexp_extract({st}, {pat}, 2)"
     full = f"coalesce({g1} <> '', false)"
     empty = f"({zone} IS NULL OR {_strip(zone)} = '' OR lower({_strip(zone)}) = 'nan')"
@@ -43,13 +44,13 @@ def sql_postcode(code: str, zone: str) -> tuple[str, str]:
 
 
 def sql_gps(g: str) -> tuple[str, str]:
-    pat = r"'^\s*([-\d.]+)\s*,\s*([-\d.]+)\s*$'"
+    pat = rf"'^{SP}*([-\d.]+){SP}*,{SP}*([-\d.]+){SP}*$'"
     return (f"TRY_CAST(nullif(regexp_extract({g}, {pat}, 1), '') AS DOUBLE)",
             f"TRY_CAST(nullif(regexp_extract({g}, {pat}, 2), '') AS DOUBLE)")
 
 
 def _case_list(idx: str, values: list) -> str:
-    parts = " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values))
+    parts = " ".join(f"WHEN {i} THEN {'NULL' if v is None else f"'{v}'"}" for i, v in enumerate(values))
     return f"(CASE {idx} {parts} END)"
 
 
@@ -91,14 +92,19 @@ asp0 AS (SELECT l_orderkey, l_returnflag AS f, l_quantity AS q, min(l_linenumber
          FROM lineitem GROUP BY l_orderkey, l_returnflag, l_quantity),
 asp1 AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n0, f, q) - 1 AS pos FROM asp0),
 asp AS (SELECT row_number() OVER (ORDER BY CAST(l_orderkey AS VARCHAR), pos) AS id,
-               CAST(l_orderkey AS VARCHAR) AS parent_id, f, q / 5 AS score FROM asp1)
+               CAST(l_orderkey AS VARCHAR) AS parent_id, f, q / 5 AS score, pos,
+               '{{"evaluationAspect":{{"type":"' || f || '"}},"valoration":' ||
+               CASE WHEN CAST(q AS BIGINT) % 5 = 0 THEN CAST(CAST(q AS BIGINT) // 5 AS VARCHAR)
+                    ELSE CAST(CAST(q AS BIGINT) // 5 AS VARCHAR) || '.' || CAST(CAST(q AS BIGINT) % 5 * 2 AS VARCHAR) END || '}}' AS item
+        FROM asp1),
+lists AS (SELECT parent_id, md5('[' || string_agg(item, ',' ORDER BY pos) || ']') AS hash_evaluationaspects FROM asp GROUP BY parent_id)
 """
 
 _K = "c.c_custkey"
 _P4 = f"lpad(CAST({_K} % 10000 AS VARCHAR), 4, '0')"
 _S3 = f"lpad(CAST({_K} % 1000 AS VARCHAR), 3, '0')"
 _CODE = (f"(CASE WHEN {_K} % 5 = 0 THEN {_P4} || '-' || {_S3} WHEN {_K} % 5 = 1 THEN {_P4} "
-         f"WHEN {_K} % 5 = 2 THEN ' ' || {_P4} || ' - ' || {_S3} || ' ' WHEN {_K} % 5 = 3 THEN '0000-000' END)")
+         f"WHEN {_K} % 5 = 2 THEN chr(160) || {_P4} || ' -' || chr(160) || {_S3} || ' ' WHEN {_K} % 5 = 3 THEN '0000-000' END)")
 _ZONE = f"(CASE WHEN {_K} % 3 = 1 THEN {_S3} WHEN {_K} % 3 = 2 THEN 'nan' END)"
 _GPS = (f"(CASE WHEN {_K} % 6 = 5 THEN '38.1.2, -9.' || CAST({_K} % 10 AS VARCHAR) "
         f"ELSE '38.' || CAST({_K} % 100 AS VARCHAR) || ', -9.' || CAST({_K} % 1000 AS VARCHAR) END)")
@@ -108,7 +114,11 @@ def _flag(m: int) -> str:
     return f"(CASE WHEN {_K} % {m} = 0 THEN '1' ELSE '0' END)"
 
 
-PROPS = f"""
+def props(gaps: bool = True) -> str:
+    """The property and mapping layers, with the gaps of the model or whole."""
+    has = f"c.c_custkey % {R.PROPERTY_GAP_MOD} <> {R.PROPERTY_GAP_REM}" if gaps else "true"
+    mapped = f"c_custkey % {R.MAPPING_GAP_MOD} <> {R.MAPPING_GAP_REM}" if gaps else "true"
+    return f"""
 praw AS (
   SELECT c.c_custkey AS k, CAST({_K} AS VARCHAR) AS id, c.c_mktsegment AS team,
          'Zone ' || CAST(c.c_nationkey AS VARCHAR) AS neighbourhood,
@@ -124,13 +134,13 @@ praw AS (
          CASE WHEN {_K} % 4 = 0 THEN 'Garage ' || CAST({_K} AS VARCHAR) END AS garage_info,
          {_flag(2)} AS maqroupa, CASE WHEN {_K} % 3 = 0 THEN '1' END AS maqloica, '1' AS arcond,
          {_flag(5)} AS autocheckin
-  FROM customer c WHERE c.c_custkey % {R.PROPERTY_GAP_MOD} <> {R.PROPERTY_GAP_REM}),
+  FROM customer c WHERE {has}),
 pclean AS (
   SELECT *, {sql_postcode('code', 'zone')[0]} AS postcode_prefix, {sql_postcode('code', 'zone')[1]} AS postcode_suffix,
          {sql_floor('andar')} AS floor
   FROM praw),
 rel_props AS (
-  SELECT CAST(k AS INTEGER) AS property_id, team, neighbourhood,
+  SELECT CAST(k AS BIGINT) AS property_id, team, neighbourhood,
          TRY_CAST(postcode_prefix AS INTEGER) AS postcode_prefix, TRY_CAST(postcode_suffix AS INTEGER) AS postcode_suffix,
          CAST(coalesce(TRY_CAST(inativo AS INTEGER), 0) AS TINYINT) AS is_inactive,
          TRY_CAST(data_inicio AS TIMESTAMP) AS start_date, TRY_CAST(data_inativo AS TIMESTAMP) AS inactive_date,
@@ -145,10 +155,13 @@ rel_props AS (
          {sql_gps('gps')[0]} AS latitude, {sql_gps('gps')[1]} AS longitude
   FROM pclean),
 rel_map AS (
-  SELECT CAST(c_custkey AS INTEGER) AS property_id, c_custkey + {R.EXTERNAL_ID_OFFSET} AS external_property_id
-  FROM customer WHERE c_custkey % {R.MAPPING_GAP_MOD} <> {R.MAPPING_GAP_REM})
+  SELECT CAST(c_custkey AS BIGINT) AS property_id, c_custkey + {R.EXTERNAL_ID_OFFSET} AS external_property_id
+  FROM customer WHERE {mapped})
 """
 
+
+PROPS = props()
+
 STAR = """
 dim_property AS (
   SELECT row_number() OVER (ORDER BY p.property_id) AS property_key, p.property_id, m.external_property_id,
@@ -187,75 +200,120 @@ fact_reviews AS (
                              ("DIRECT", "Direct")]))
 
 MODEL = f"WITH {REV}, {PROPS}, {STAR}"
+WHOLE = f"WITH {REV}, {props(gaps=False)}, {STAR}"
 
 
 def _q(body: str) -> str:
     return f"{MODEL} {body}"
 
 
-def _metric_sql() -> dict[str, str]:
-    """Metric name -> scalar SQL over the model CTEs (layers hold equal rows)."""
-    m: dict[str, str] = {}
-    for layer in ("raw", "clean", "rel"):
-        m[f"{layer}.reviews.rows"] = "(SELECT count(*) FROM rv)"
-    for t in ("reviews_evaluationaspects",):
-        m[f"raw.{t}.rows"] = "(SELECT count(*) FROM asp)"
+def _whole(body: str) -> str:
+    """Over every customer, without the model's gaps."""
+    return f"{WHOLE} {body}"
+
+
+#: The 44 checks, written out apart from the code under test: family, layer,
+#: table, column, severity, title, and the SQL of the observed value and of
+#: passing, over the CTEs {layer}_{table} (columns as in the layers).
+_RV, _RA, _PR = "reviews", "review_aspects", "properties"
+
+
+def _count(cte: str, cond: str = "true") -> str:
+    return f"(SELECT count(*) FILTER (WHERE {cond}) FROM {cte})"
+
+
+def _checks() -> list[tuple]:
+    out: list[tuple] = []
+
+    def add(fam, layer, table, column, sev, rule, observed, passes, null_status=None):
+        title = f"{layer}.{table}" + (f".{column}" if column else "") + f": {rule}"
+        out.append((fam, layer, table, column, sev, title, observed, passes, null_status))
+
+    for t in (_RV, _RA, _PR):
+        add("V1", "raw/clean", t, None, "FAIL", "equal row counts", f"{_count('raw_' + t)} - {_count('clean_' + t)}", "= 0")
+        add("V1", "clean/rel", t, None, "FAIL", "equal row counts", f"{_count('clean_' + t)} - {_count('rel_' + t)}", "= 0")
+    for layer, t, shown, n in (("raw", _RV, _RV, 100), ("clean", _RV, _RV, 100), ("rel", _RV, _RV, 100),
+                               ("raw", _RA, "reviews_evaluationaspects", 100), ("clean", _RA, _RA, 100),
+                               ("raw", _PR, "propriedades", 10), ("clean", _PR, _PR, 10)):
+        add("V2", layer, shown, None, "FAIL", f"at least {n} rows", _count(f"{layer}_{t}"), f">= {n}")
     for layer in ("clean", "rel"):
-        m[f"{layer}.review_aspects.rows"] = "(SELECT count(*) FROM asp)"
-        m[f"{layer}.properties.rows"] = "(SELECT count(*) FROM rel_props)"
-        m[f"{layer}.reviews.dupes"] = "(SELECT count(*) - count(DISTINCT review_id) FROM rv)"
-        m[f"{layer}.review_aspects.dupes"] = "(SELECT count(*) - count(DISTINCT id) FROM asp)"
-        m[f"{layer}.properties.dupes"] = "(SELECT count(*) - count(DISTINCT property_id) FROM rel_props)"
-        m[f"{layer}.reviews.null_review_id"] = "(SELECT count(*) FILTER (review_id IS NULL) FROM rv)"
-        m[f"{layer}.reviews.bad_score"] = ("(SELECT count(*) FILTER (overall_score IS NOT NULL AND "
-                                           "(overall_score < 0 OR overall_score > 10)) FROM rv)")
-        m[f"{layer}.review_aspects.bad_score"] = ("(SELECT count(*) FILTER (score IS NOT NULL AND "
-                                                  "(score < 0 OR score > 10)) FROM asp)")
-        m[f"{layer}.reviews.bad_dates"] = ("(SELECT count(*) FILTER (arrival_date IS NOT NULL AND departure_date IS NOT NULL"
-                                           " AND departure_date < arrival_date) FROM rel_reviews)")
-        m[f"{layer}.reviews.future_created"] = (f"(SELECT count(*) FILTER (created_at > TIMESTAMP '{R.AS_OF}') "
-                                                "FROM rel_reviews)")
-        m[f"{layer}.cross.orphans"] = "(SELECT count(*) FROM asp WHERE parent_id NOT IN (SELECT review_id FROM rv))"
-    m["raw.propriedades.rows"] = "(SELECT count(*) FROM praw)"
-    m["rel.reviews.avg_score"] = "(SELECT round(avg(overall_score), 2) FROM rv)"
-    m["rel.review_aspects.avg_score"] = "(SELECT round(avg(score), 2) FROM asp)"
+        for t, pk in ((_RV, "review_id"), (_RA, "aspect_id"), (_PR, "property_id")):
+            add("V3", layer, t, pk, "FAIL", "no repeated key", f"(SELECT count(*) - count(DISTINCT {pk}) FROM {layer}_{t})", "= 0")
     for layer in ("clean", "rel"):
-        m[f"{layer}.reviews.null_external_property_id"] = \
-            "(SELECT count(*) FILTER (external_property_id IS NULL) FROM rv)"
-        m[f"{layer}.reviews.null_sales_channel_code"] = "(SELECT count(*) FILTER (sales_channel_code IS NULL) FROM rv)"
-        m[f"{layer}.review_aspects.null_aspect_id"] = "(SELECT count(*) FILTER (id IS NULL) FROM asp)"
-    m["clean.reviews.null_created_at"] = "(SELECT count(*) FILTER (created_txt IS NULL) FROM rv)"
-    m["clean.review_aspects.null_review_id"] = "(SELECT count(*) FILTER (parent_id IS NULL) FROM asp)"
-    m["clean.review_aspects.null_aspect"] = "(SELECT count(*) FILTER (f IS NULL) FROM asp)"
-    m["x.ids.only_clean"] = "0"
-    m["x.ids.only_rel"] = "0"
-    m["x.scores.mismatch"] = "0"
-    return m
-
-
-def validation_report_sql() -> str:
-    ms = _metric_sql()
+        add("V3", layer, _RV, "review_id", "FAIL", "no missing value", _count(f"{layer}_{_RV}", "review_id IS NULL"), "= 0")
+    for t, c in ((_RV, "overall_score"), (_RA, "score")):
+        for layer in ("clean", "rel"):
+            add("V4", layer, t, c, "FAIL", "scores from 0 to 10", _count(f"{layer}_{t}", f"{c} < 0 OR {c} > 10"), "= 0")
+    add("V5", "rel", _RV, "overall_score", "WARN", "plausible average", "(SELECT round(avg(overall_score), 2) FROM rel_reviews)",
+        "BETWEEN 5 AND 10", "FAIL")
+    add("V5", "rel", _RA, "score", "WARN", "plausible average", "(SELECT round(avg(score), 2) FROM rel_review_aspects)",
+        "BETWEEN 5 AND 10", "SKIP")
+    for layer in ("clean", "rel"):
+        add("V6", layer, _RV, "departure_date", "WARN", "departure not before arrival",
+            _count(f"{layer}_{_RV}", "CAST(departure_date AS DATE) < CAST(arrival_date AS DATE)"), "= 0")
+    for layer in ("clean", "rel"):
+        add("V6", layer, _RV, "created_at", "WARN", "nothing created in the future",
+            _count(f"{layer}_{_RV}", "CAST(created_at AS TIMESTAMP) > TIMESTAMP '2026-01-01 00:00:00'"), "= 0")
+    for layer, t, c, sev in (("clean", _RV, "external_property_id", "WARN"), ("clean", _RV, "created_at", "FAIL"),
+                             ("clean", _RV, "sales_channel_code", "FAIL"), ("rel", _RV, "external_property_id", "WARN"),
+                             ("rel", _RV, "sales_channel_code", "FAIL"), ("clean", _RA, "aspect_id", "FAIL"),
+                             ("clean", _RA, "review_id", "FAIL"), ("clean", _RA, "aspect", "FAIL"), ("rel", _RA, "aspect_id", "FAIL")):
+        add("V7", layer, t, c, sev, "no missing value", _count(f"{layer}_{t}", f"{c} IS NULL"), "= 0")
+    for layer in ("clean", "rel"):
+        add("V8", layer, _RA, "review_id", "FAIL", "every review exists",
+            f"(SELECT count(*) FROM {layer}_{_RA} a WHERE NOT EXISTS (SELECT 1 FROM {layer}_{_RV} r WHERE r.review_id = a.review_id))", "= 0")
+    only = "(SELECT count(DISTINCT review_id) FROM {a} WHERE review_id NOT IN (SELECT review_id FROM {b}))"
+    add("V9", "clean/rel", _RV, "review_id", "FAIL", "the same keys",
+        only.format(a="clean_reviews", b="rel_reviews") + " + " + only.format(a="rel_reviews", b="clean_reviews"), "= 0")
+    add("V9", "clean/rel", _RV, "overall_score", "FAIL", "the same scores",
+        "(SELECT count(*) FROM clean_reviews a JOIN rel_reviews b USING (review_id) "
+        "WHERE CAST(a.overall_score AS DOUBLE) <> CAST(b.overall_score AS DOUBLE))", "= 0")
+    return out
+
+
+_LAYERS = """
+raw_reviews AS (SELECT review_id FROM rv), raw_review_aspects AS (SELECT id FROM asp), raw_properties AS (SELECT k FROM praw),
+clean0_reviews AS (SELECT review_id, external_property_id, arrival_txt AS arrival_date, departure_txt AS departure_date,
+                          created_txt AS created_at, overall_score, sales_channel_code FROM rv),
+rel0_reviews AS (SELECT review_id, external_property_id, arrival_date, departure_date, created_at, overall_score, sales_channel_code
+                 FROM rel_reviews0),
+clean0_review_aspects AS (SELECT id AS aspect_id, parent_id AS review_id, f AS aspect, score FROM asp),
+rel0_review_aspects AS (SELECT * FROM clean0_review_aspects),
+clean0_properties AS (SELECT id AS property_id FROM praw), rel_properties AS (SELECT property_id FROM rel_props),
+"""
+_WHOLE_LAYERS = """
+clean_reviews AS (SELECT * FROM clean0_reviews), rel_reviews AS (SELECT * FROM rel0_reviews),
+clean_review_aspects AS (SELECT * FROM clean0_review_aspects), rel_review_aspects AS (SELECT * FROM rel0_review_aspects),
+clean_properties AS (SELECT * FROM clean0_properties)
+"""
+_FAULTY_LAYERS = """
+clean_reviews AS (SELECT review_id, external_property_id, arrival_date,
+    CASE WHEN CAST(review_id AS BIGINT) % 41 = 3 THEN '1990-01-01' ELSE departure_date END AS departure_date,
+    CASE WHEN CAST(review_id AS BIGINT) % 43 = 4 THEN '2030-01-01 00:00:00' ELSE created_at END AS created_at,
+    CASE WHEN CAST(review_id AS BIGINT) % 50 = 1 THEN 11.0 ELSE overall_score END AS overall_score,
+    CASE WHEN CAST(review_id AS BIGINT) % 31 <> 2 THEN sales_channel_code END AS sales_channel_code
+  FROM clean0_reviews WHERE CAST(review_id AS BIGINT) % 101 <> 0),
+some_reviews AS (SELECT * FROM rel0_reviews WHERE CAST(review_id AS BIGINT) % 97 <> 5),
+rel_reviews AS (SELECT * REPLACE (CASE WHEN CAST(review_id AS BIGINT) % 53 = 7 THEN overall_score - 20 ELSE overall_score END AS overall_score)
+  FROM (SELECT * FROM some_reviews UNION ALL SELECT * FROM some_reviews WHERE CAST(review_id AS BIGINT) % 89 = 6)),
+clean_review_aspects AS (SELECT * REPLACE (CASE WHEN aspect_id % 59 <> 0 THEN aspect END AS aspect) FROM clean0_review_aspects),
+rel_review_aspects AS (SELECT * REPLACE (CASE WHEN aspect_id % 61 = 0 THEN 'x' ELSE review_id END AS review_id) FROM rel0_review_aspects),
+clean_properties AS (SELECT * FROM clean0_properties WHERE CAST(property_id AS BIGINT) < 5)
+"""
+
+
+def checks_sql(layers: str) -> str:
     rows = []
-    for i, (fam, name, layer, tbl, col, sev, kind, keys, thr) in enumerate(CHECK_SPECS, start=1):
-        v = [f"CAST({ms[k]} AS DOUBLE)" for k in keys]
-        if kind == "eq":
-            obs, ok = f"({v[0]} - {v[1]})", f"({v[0]} - {v[1]}) = 0"
-        elif kind == "min":
-            obs, ok = v[0], f"{v[0]} >= {thr}"
-        elif kind == "zero2":
-            obs, ok = f"({v[0]} + {v[1]})", f"({v[0]} + {v[1]}) = 0"
-        elif kind == "avg":
-            obs, ok = v[0], f"{v[0]} BETWEEN {PLAUSIBLE_AVG[0]} AND {PLAUSIBLE_AVG[1]}"
-        else:
-            obs, ok = v[0], f"{v[0]} = 0"
-        status = f"CASE WHEN {ok} THEN 'PASS' ELSE '{sev}' END"
-        if kind == "avg":
-            status = f"CASE WHEN {obs} IS NULL THEN '{'FAIL' if thr == 'fail_if_null' else 'SKIP'}' ELSE {status} END"
-        colsql = "NULL" if col is None else f"'{col}'"
-        rows.append(f"SELECT {i} AS check_id, '{fam}' AS family, '{name}' AS check_name, '{layer}' AS layer, "
-                    f"'{tbl}' AS table_name, CAST({colsql} AS VARCHAR) AS column_name, '{sev}' AS severity, "
-                    f"{status} AS status, {obs} AS observed")
-    return _q(" UNION ALL ".join(rows))
+    for i, (fam, layer, table, column, sev, title, observed, passes, null_status) in enumerate(_checks(), start=1):
+        obs = f"CAST({observed} AS DOUBLE)"
+        status = f"CASE WHEN {obs} {passes} THEN 'PASS' ELSE '{sev}' END"
+        if null_status:
+            status = f"CASE WHEN {obs} IS NULL THEN '{null_status}' ELSE {status} END"
+        col = "NULL" if column is None else f"'{column}'"
+        rows.append(f"SELECT {i} AS check_id, '{fam}' AS family, '{title}' AS check_name, '{layer}' AS layer, '{table}' AS table_name, "
+                    f"CAST({col} AS VARCHAR) AS column_name, '{sev}' AS severity, {status} AS status, {obs} AS observed")
+    model = MODEL.replace("rel_reviews", "rel_reviews0")  # the checks' own name for the layer's table
+    return f"{model}, {_LAYERS} {layers} " + " UNION ALL ".join(rows)
 
 
 _PAGE_EL = "CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)"
@@ -282,7 +340,8 @@ ORACLE = {
         SELECT page, reason, count(*) AS dropped, CAST(NULL AS BIGINT) AS stored_chars
         FROM e WHERE reason IS NOT NULL GROUP BY page, reason""",
     "incremental_scan": """
-        SELECT * FROM orders WHERE o_orderkey > (SELECT CAST(trunc(max(o_orderkey) / 2) AS BIGINT) FROM orders)""",
+        SELECT *, CASE WHEN o_orderkey > (SELECT CAST(trunc(max(o_orderkey) / 2) AS BIGINT) FROM orders) THEN 2 ELSE 1 END AS load_run
+        FROM orders""",
     "csv_all_string": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey,
                CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE n_name END AS n_name,
@@ -292,11 +351,27 @@ ORACLE = {
         SELECT 'part' AS table_name, count(*) AS rows_read, count(*) AS rows_stored FROM part
         UNION ALL SELECT 'supplier', count(*), count(*) FROM supplier""",
     "guarded_load": "SELECT * FROM part",
-    "publish_roundtrip": "SELECT * FROM supplier",
+    "publish_roundtrip": """
+        SELECT 'supplier' AS table_name, CAST(s_suppkey AS BIGINT) AS key, s_name AS name FROM supplier
+        UNION ALL SELECT 'part', CAST(p_partkey AS BIGINT), p_name FROM part""",
     "dead_letter": """
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key,
-               'fractional or infinite value in l_quantity' AS error
+               CASE (l_orderkey + l_linenumber) % 9 WHEN 0 THEN 'fractional value' ELSE 'infinite value' END || ' in l_quantity' AS error
         FROM lineitem WHERE (l_orderkey + l_linenumber) % 9 IN (0, 1)""",
+    "dead_letter_all": f"""
+        WITH r AS (
+          SELECT 'properties' AS table_name, CASE WHEN c_custkey % 20 = 3 THEN 'fractional value in property_id'
+                 WHEN c_custkey % 20 = 7 THEN 'value out of range in max_occupancy' ELSE 'stored' END AS outcome FROM customer
+          UNION ALL
+          SELECT 'property_id_mapping', CASE WHEN c_custkey % 30 = 1 THEN 'not a number in external_property_id'
+                 WHEN c_custkey % 30 = 2 THEN 'value out of range in property_id' ELSE 'stored' END FROM customer
+          UNION ALL
+          SELECT 'reviews', CASE o_orderkey % 25 WHEN 4 THEN 'fractional value in booking_id' WHEN 5 THEN 'infinite value in booking_id'
+                 WHEN 6 THEN 'value out of range in booking_id' ELSE 'stored' END FROM orders
+          UNION ALL
+          SELECT 'review_aspects', CASE WHEN (l_orderkey * 8 + l_linenumber) % 40 = 0 THEN 'fractional value in aspect_id'
+                 ELSE 'stored' END FROM lineitem)
+        SELECT table_name, outcome, count(*) AS n FROM r GROUP BY 1, 2""",
     "sanitize_names": """
         WITH s AS (SELECT p_partkey, p_name || ' ' || p_type || '.' || repeat('-x', p_size) AS source_name FROM part),
         c AS (SELECT p_partkey, source_name,
@@ -356,6 +431,9 @@ ORACLE = {
     "page_stream_upsert": """
         SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
+    "two_day_upsert": f"""
+        SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts >= TIMESTAMP '{C.UPSERT_SPLIT_TS}' DESC, event_id DESC) = 1""",
     "upsert_metrics": f"""
         WITH b AS (SELECT user_id, event_type, value FROM events WHERE ts < TIMESTAMP '{C.UPSERT_SPLIT_TS}'
                    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1),
@@ -426,8 +504,13 @@ ORACLE = {
         t AS (SELECT k, json_type(j, '$."' || k || '"') AS jt FROM kv),
         r AS (SELECT k, max(CASE jt WHEN 'BOOLEAN' THEN 1 WHEN 'BIGINT' THEN 2 WHEN 'UBIGINT' THEN 2
                                     WHEN 'DOUBLE' THEN 3 ELSE 99 END) AS rk FROM t GROUP BY k)
-        SELECT k AS field, CASE rk WHEN 1 THEN 'BOOLEAN' WHEN 2 THEN 'BIGINT' WHEN 3 THEN 'DOUBLE' ELSE 'STRING' END AS data_type
-        FROM r WHERE k NOT IN ('id', '_id')""",
+        SELECT 'parent' AS scope, k AS field,
+               CASE rk WHEN 1 THEN 'BOOLEAN' WHEN 2 THEN 'BIGINT' WHEN 3 THEN 'DOUBLE' ELSE 'STRING' END AS data_type
+        FROM r WHERE k NOT IN ('id', '_id')
+        UNION ALL
+        SELECT * FROM (VALUES ('parent', 'hash_lines', 'STRING'), ('lines', 'n', 'BIGINT'), ('lines', 'f', 'STRING'),
+                              ('lines', 'q', 'DOUBLE'), ('lines', 'p', 'BIGINT'), ('lines', 's', 'BIGINT'))
+        WHERE (SELECT count(*) FROM lineitem) > 0""",
 }
 
 
@@ -445,11 +528,15 @@ ORACLE["schema_drift"] = f"""
     n AS {_types_of("SELECT to_json(orders) AS j FROM orders UNION ALL SELECT to_json(events) FROM events "
                     "UNION ALL SELECT to_json({'o_orderkey': o_orderkey, 'o_custkey': CAST(o_custkey AS VARCHAR)}) "
                     "FROM orders WHERE o_orderkey % 100 = 0")}
-    SELECT n.k AS field, CASE WHEN o.rk IS NULL THEN NULL ELSE {_TYPE_NAME.format(r='o.rk')} END AS old_type,
+    SELECT 'parent' AS scope, n.k AS field, CASE WHEN o.rk IS NULL THEN NULL ELSE {_TYPE_NAME.format(r='o.rk')} END AS old_type,
            {_TYPE_NAME.format(r='n.rk')} AS new_type,
            CASE WHEN o.rk IS NULL THEN 'added' ELSE 'widened' END AS change
     FROM n LEFT JOIN o ON n.k = o.k
-    WHERE n.k NOT IN ('id', '_id') AND (o.rk IS NULL OR n.rk > o.rk)"""
+    WHERE n.k NOT IN ('id', '_id') AND (o.rk IS NULL OR n.rk > o.rk)
+    UNION ALL
+    SELECT scope, field, NULL, new_type, 'added' FROM (VALUES ('parent', 'hash_lines', 'STRING'), ('lines', 'n', 'BIGINT'),
+        ('lines', 'f', 'STRING'), ('lines', 'q', 'DOUBLE'), ('lines', 'p', 'BIGINT'), ('lines', 's', 'BIGINT')) AS v(scope, field, new_type)
+    WHERE (SELECT count(*) FROM lineitem) > 0"""
 
 _FLOOR_SRC = f"""
     WITH f AS (SELECT p_partkey AS id, CASE
@@ -468,10 +555,10 @@ ORACLE.update({
                departure_txt AS departuredate, overall_score AS globalvaloration, language, likes_count AS likes,
                negative_comment AS negativecomment, neutral_comment AS neutralcomment,
                positive_comment AS positivecomment, response_text AS response, response_txt AS responsedate,
-               sales_channel_code AS saleschannelcode, review_title AS title, validated
-        FROM rv"""),
+               sales_channel_code AS saleschannelcode, review_title AS title, validated, hash_evaluationaspects
+        FROM rv LEFT JOIN lists ON parent_id = review_id"""),
     "shred_children": _q(f"""
-        SELECT id, parent_id, TIMESTAMP '{R.LOADED_AT}' AS created_at, '{{"type":"' || f || '"}}' AS evaluationaspect,
+        SELECT id, parent_id, md5(item) AS row_hash, TIMESTAMP '{R.LOADED_AT}' AS created_at, '{{"type":"' || f || '"}}' AS evaluationaspect,
                score AS valoration FROM asp"""),
     "shred_counts": """
         SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 0) AS processed,
@@ -481,23 +568,23 @@ ORACLE.update({
         SELECT review_id, mongo_id, external_property_id, arrival_txt AS arrival_date, booking_id,
                created_txt AS created_at, customer_name, departure_txt AS departure_date, overall_score, language,
                likes_count, negative_comment, positive_comment, response_text, response_txt AS response_date,
-               sales_channel_code, review_title, validated AS is_validated
-        FROM rv"""),
+               sales_channel_code, review_title, validated AS is_validated, hash_evaluationaspects
+        FROM rv LEFT JOIN lists ON parent_id = review_id"""),
     "first_present": _q(f"""
         SELECT id AS aspect_id, parent_id AS review_id, TIMESTAMP '{R.LOADED_AT}' AS created_at, f AS aspect, score
         FROM asp"""),
     "typed_relational": _q("SELECT * FROM rel_reviews"),
-    "typed_properties": _q("SELECT * FROM rel_props"),
-    "typed_mapping": _q("SELECT * FROM rel_map"),
-    "postcode_split": _q("SELECT id AS property_id, postcode_prefix, postcode_suffix FROM pclean"),
-    "postcode_zero": _q("""
+    "typed_properties": _whole("SELECT * FROM rel_props"),
+    "typed_mapping": _whole("SELECT * FROM rel_map"),
+    "postcode_split": _whole("SELECT id AS property_id, postcode_prefix, postcode_suffix FROM pclean"),
+    "postcode_zero": _whole("""
         SELECT id AS property_id,
                CASE WHEN TRY_CAST(postcode_prefix AS INTEGER) = 0 THEN NULL ELSE TRY_CAST(postcode_prefix AS INTEGER) END
                  AS postcode_prefix,
                CASE WHEN TRY_CAST(postcode_suffix AS INTEGER) = 0 THEN NULL ELSE TRY_CAST(postcode_suffix AS INTEGER) END
                  AS postcode_suffix
         FROM pclean"""),
-    "stale_inactive": _q("""
+    "stale_inactive": _whole("""
         SELECT id AS property_id, inativo AS is_inactive,
                CASE WHEN TRY_CAST(inativo AS BIGINT) = 0 THEN NULL ELSE data_inativo END AS inactive_date
         FROM praw"""),
@@ -530,7 +617,8 @@ ORACLE.update({
         UNION ALL SELECT 'rel', 'reviews', count(*) FROM rv
         UNION ALL SELECT 'rel', 'review_aspects', count(*) FROM asp
         UNION ALL SELECT 'rel', 'properties', count(*) FROM rel_props"""),
-    "validation_report": validation_report_sql(),
+    "validation_report": checks_sql(_WHOLE_LAYERS),
+    "validation_faults": checks_sql(_FAULTY_LAYERS),
     "dim_date": _q("""
         , bounds AS (SELECT least(min(arrival_date), min(CAST(created_at AS DATE)), min(departure_date), min(response_date)) AS lo,
                           greatest(max(arrival_date), max(CAST(created_at AS DATE)), max(departure_date), max(response_date)) AS hi
@@ -541,12 +629,12 @@ ORACLE.update({
                CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
                CAST(weekofyear(d) AS INTEGER) AS week, CAST(day(d) AS INTEGER) AS day, isodow(d) IN (6, 7) AS is_weekend
         FROM days""".replace("\n        , bounds", ", bounds", 1)),
-    "dim_property": _q("SELECT * FROM dim_property"),
+    "dim_property": _whole("SELECT * FROM dim_property"),
     "dim_sales_channel": _q("SELECT * FROM dim_channel"),
     "dim_aspect": _q("SELECT * FROM dim_aspect"),
     "fact_reviews": _q("SELECT * FROM fact_reviews"),
     "fact_review_aspects": _q("""
-        SELECT CAST(a.id AS INTEGER) AS aspect_id, a.parent_id AS review_id, coalesce(da.aspect_key, -1) AS aspect_key,
+        SELECT a.id AS aspect_id, a.parent_id AS review_id, coalesce(da.aspect_key, -1) AS aspect_key,
                coalesce(fr.property_key, -1) AS property_key, coalesce(fr.channel_key, -1) AS channel_key,
                fr.arrival_date_key AS date_key, a.score
         FROM asp a LEFT JOIN fact_reviews fr ON fr.review_id = a.parent_id

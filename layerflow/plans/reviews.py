@@ -21,11 +21,10 @@ from layerflow.operators import relational as orl
 from layerflow.operators import star
 from layerflow.operators.keys import dense_ids
 from layerflow.operators.schema import check_name_collisions, discover_schema
-from layerflow.functions.names import sanitize_identifier
-from layerflow.operators.shred import shred_children, shred_parent
-from layerflow.session import cut_lineage, shared_dir, spread
+from layerflow.operators.shred import child_counts, shred_children, shred_parent
+from layerflow.session import cut_lineage, shared_dir
 from layerflow.sources.csv import read_csv_all_string, write_csv
-from layerflow.sources.layers import LayerStore
+from layerflow.sources.layers import LayerStore, LoadGuardError
 
 # Fixed stand-in parameters (shared with the oracle SQL).
 EXTERNAL_ID_OFFSET = 100000
@@ -36,11 +35,12 @@ PROPERTY_GAP_MOD, PROPERTY_GAP_REM = 10, 7    # customers missing from the prope
 CHANNELS = [("1-URGENT", "AIRBNB"), ("2-HIGH", "BOOKING"), ("3-MEDIUM", "HOMEAWAY"),
             ("4-NOT SPECIFIED", "DIRECT")]
 LANGUAGES = ["en", "pt", "es", "fr"]
-FLOORS = ["0", "0º", "Piso 0", "3", "2°", "r/c esq", "RC-Esq", "RCD", "Piso 2 - Esq", ".", None, "1º Dto"]
+FLOORS = ["0", "0º", "Piso 0", "3", "2°", "r/c esq", "RC-Esq", "RCD", "Piso 2 - Esq", ".", None, "1º Dto",
+          "\u00a03", "2\u00a0º", "Piso\u00a02\u2003- Esq"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def review_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,14 +86,17 @@ def review_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k.cast("string").alias("id"), F.parse_json(F.to_json(doc)).alias("doc"))
 
 
-def property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string ``propriedades`` rows from ``customer`` (as read from CSV)."""
-    c = read(spark, sf_dir, "customer").where(F.col("c_custkey") % PROPERTY_GAP_MOD != PROPERTY_GAP_REM)
+def property_rows(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """All-string ``propriedades`` rows from ``customer`` (as read from CSV);
+    with ``gaps`` some are missing, so that joins have unmatched members."""
+    c = read(spark, sf_dir, "customer")
+    if gaps:
+        c = c.where(F.col("c_custkey") % PROPERTY_GAP_MOD != PROPERTY_GAP_REM)
     k = F.col("c_custkey")
     p4 = F.lpad((k % 10000).cast("string"), 4, "0")
     s3 = F.lpad((k % 1000).cast("string"), 3, "0")
     code = (F.when(k % 5 == 0, F.concat(p4, F.lit("-"), s3)).when(k % 5 == 1, p4)
-            .when(k % 5 == 2, F.concat(F.lit(" "), p4, F.lit(" - "), s3, F.lit(" ")))
+            .when(k % 5 == 2, F.concat(F.lit("\u00a0"), p4, F.lit(" -\u00a0"), s3, F.lit(" ")))
             .when(k % 5 == 3, F.lit("0000-000")))
     zone = F.when(k % 3 == 1, s3).when(k % 3 == 2, F.lit("nan"))
     gps = F.when(k % 6 == 5, F.concat(F.lit("38.1.2, -9.") , (k % 10).cast("string"))).otherwise(
@@ -121,26 +124,28 @@ def property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mapping_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string ``idavantio`` rows: internal id -> external id."""
-    c = read(spark, sf_dir, "customer").where(F.col("c_custkey") % MAPPING_GAP_MOD != MAPPING_GAP_REM)
-    return c.select(F.col("c_custkey").cast("string").alias("idflh"),
-                    (F.col("c_custkey") + EXTERNAL_ID_OFFSET).cast("string").alias("idavantio"))
+def mapping_rows(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
+    """All-string ``id_mapping`` rows: internal id -> external id."""
+    c = read(spark, sf_dir, "customer")
+    if gaps:
+        c = c.where(F.col("c_custkey") % MAPPING_GAP_MOD != MAPPING_GAP_REM)
+    return c.select(F.col("c_custkey").cast("string").alias("internal_id"),
+                    (F.col("c_custkey") + EXTERNAL_ID_OFFSET).cast("string").alias("external_id"))
 
 
 # Fixed stand-in CSV headers: P2 cleans them to the raw column names.
 PROPERTY_CSV_HEADERS = ["ID", "Equipa", "Bairro", "WC CodPostal", "WC ZonaPostal", "CoordsGPS", "Inativo",
                         "Data Inicio", "Data Inativo", "Andar", "Elevador", "Máx.Ocupação", "NumWCDuche",
                         "NumWCBasico", "Lugar Garagem", "RCM MaqRoupa", "RCM MaqLoica", "RCM ArCond", "AutoCheckin"]
-MAPPING_CSV_HEADERS = ["IdFLH", "IdAvantio"]
+MAPPING_CSV_HEADERS = ["Internal Id", "External Id"]
 
 
-def reference_csv(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def reference_csv(spark: SparkSession, sf_dir: str, name: str, gaps: bool = True) -> DataFrame:
     """Stage the property or id-mapping rows as a CSV file with human headers
     in the shared folder and load it back with the all-string CSV source
     (S5-S7, P2), as the reference loads its reference files."""
-    rows, headers = ((property_rows(spark, sf_dir), PROPERTY_CSV_HEADERS) if name == "propriedades"
-                     else (mapping_rows(spark, sf_dir), MAPPING_CSV_HEADERS))
+    rows, headers = ((property_rows(spark, sf_dir, gaps), PROPERTY_CSV_HEADERS) if name == "propriedades"
+                     else (mapping_rows(spark, sf_dir, gaps), MAPPING_CSV_HEADERS))
     expected = rows.columns
     path = shared_dir(spark, f"csv_{name}")
     write_csv(rows.toDF(*headers), path)
@@ -155,6 +160,8 @@ class Model:
     dead_letter: DataFrame | None = None
     counters: Observation | None = None
     store: LayerStore | None = None
+    mapping_columns: tuple[str, str] = oc.MAPPING_COLUMNS
+    aside: dict = field(default_factory=dict)   # layer -> table -> path, written but not yet live
 
 
 def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None = None,
@@ -168,7 +175,7 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
     # materialised once in the shared folder (as a document store would be),
     # in id order, so child rows exploded from it are already in (parent,
     # position) order and get their dense ids without another shuffle.
-    docs = cut_lineage(docs.repartitionByRange("id").sortWithinPartitions("id"))
+    docs = ordered_documents(docs)
     # The discovered schema is one row per column: the only collect here.
     schema_rows = discover_schema(docs).collect()
     check_name_collisions(schema_rows)     # B14: two fields, one column -> error
@@ -177,45 +184,68 @@ def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None =
     children = {}
     for r in schema_rows:
         if r["scope"] == "parent" and r["role"] == "list_hash":
-            scope = sanitize_identifier(r["source_field"])
+            scope = r["child_scope"]
             ch = shred_children(docs, schema_rows, scope, r["source_field"], loaded_at=loaded_at)
-            ch = dense_ids(ch, ["parent_id", "pos"], "id", presorted=True).drop("pos")
+            ch = dense_ids(ch, ["parent_id", "pos"], "id", presorted=True, counts=child_counts(docs, r["source_field"])).drop("pos")
             children[f"reviews_{scope}"] = ch
     m = Model(counters=counters)
     m.raw = {"reviews": parent, **children,
              "propriedades": properties if properties is not None else reference_csv(spark, sf_dir, "propriedades"),
-             "idavantio": mapping if mapping is not None else reference_csv(spark, sf_dir, "idavantio")}
+             "id_mapping": mapping if mapping is not None else reference_csv(spark, sf_dir, "id_mapping")}
     return m
 
 
+def ordered_documents(docs: DataFrame) -> DataFrame:
+    """The documents in id order in fixed partitions. They are written once
+    before: range partitioning reads its input twice (bounds, then rows)."""
+    spark = docs.sparkSession
+    path = shared_dir(spark, "documents") + "/data"
+    docs.write.parquet(path)
+    return cut_lineage(spark.read.parquet(path).repartitionByRange("id").sortWithinPartitions("id"))
+
+
 # The child table of the aspect list, when no document carried one.
 EMPTY_ASPECTS = ("id bigint, parent_id string, row_hash string, created_at timestamp_ntz, "
                  "evaluationaspect string, valoration double")
 
 
+# The smallest row counts a clean table may be replaced with.
+CLEAN_FLOORS = {"reviews": 1, "review_aspects": 1, "property_id_mapping": 1, "properties": 1}
+
+
 def clean_layer(m: Model) -> Model:
     if "reviews_evaluationaspects" not in m.raw:
         spark = m.raw["reviews"].sparkSession
         m.raw["reviews_evaluationaspects"] = spark.createDataFrame([], EMPTY_ASPECTS)
+    mapping, m.dead_letter = orl.split_errors(m.raw["id_mapping"], "property_id_mapping", m.mapping_columns[0],
+                                              oc.mapping_errors(m.raw["id_mapping"], m.mapping_columns))
     m.clean = {
         "reviews": oc.clean_reviews(m.raw["reviews"]),
         "review_aspects": oc.clean_aspects(m.raw["reviews_evaluationaspects"]),
-        "property_id_mapping": oc.clean_mapping(m.raw["idavantio"]),
+        "property_id_mapping": oc.clean_mapping(mapping, columns=m.mapping_columns),
         "properties": oc.clean_properties(m.raw["propriedades"]),
     }
     return m
 
 
 def rel_layer(m: Model) -> Model:
-    props, bad = orl.build_properties(m.clean["properties"])
-    reviews = orl.build_reviews(m.clean["reviews"])
-    aspects = orl.build_aspects(m.clean["review_aspects"])
-    m.rel = {"properties": props, "property_id_mapping": orl.build_mapping(m.clean["property_id_mapping"]),
-             "reviews": reviews, "review_aspects": aspects}
-    m.dead_letter = bad
+    """The typed tables, and one dead letter for the rows of all of them that
+    an integer column cannot hold."""
+    builders = {"properties": orl.build_properties, "property_id_mapping": orl.build_mapping,
+                "reviews": orl.build_reviews, "review_aspects": orl.build_aspects}
+    for table, build in builders.items():
+        m.rel[table], bad = build(m.clean[table])
+        m.dead_letter = bad if m.dead_letter is None else m.dead_letter.unionByName(bad)
     return m
 
 
+def enforce_floors(m: Model, floors: dict[str, int]) -> None:
+    """Nothing is replaced by a table below its floor."""
+    for table, least in floors.items():
+        if least > 0 and m.clean[table].limit(least).count() < least:
+            raise LoadGuardError(f"clean.{table}: fewer than {least} rows, build refused")
+
+
 def enforce_constraints(m: Model) -> None:
     """The relational build fails, and nothing is published, when a key,
     foreign key or column size is violated (C1, C2, J4, F12)."""
@@ -237,26 +267,41 @@ REL_LAYOUT = {"reviews": ["arrival_date", "review_id"], "review_aspects": ["revi
               "properties": ["property_id"], "property_id_mapping": ["external_property_id", "property_id"]}
 
 
-def _publish(m: Model, layer: str, tables: dict, version: str, layouts: dict | None = None) -> dict:
-    """Write every table of a layer, switch them live together, and hand
-    back readers of what is stored (checks then verify stored data)."""
-    m.store.build_and_publish(layer, tables, version, layouts=layouts)
-    return {t: m.store.table(layer, t) for t in tables}
+def _aside(m: Model, layer: str, tables: dict, version: str, layouts: dict | None = None) -> dict:
+    """Write every table of a layer without switching it live, and hand back
+    readers of what is stored (checks then verify stored data)."""
+    m.aside[layer] = m.store.build_aside(layer, tables, version, layouts)
+    return {t: m.store.spark.read.parquet(path) for t, path in m.aside[layer].items()}
 
 
-def publish_layers(m: Model, store: LayerStore, version: str | None = None) -> Model:
-    """Publish raw, clean and relational layers in turn (each layer's tables
-    switch live together) and continue from what is stored. The relational
-    layer is published only if its constraints hold."""
+def stage_layers(m: Model, store: LayerStore, version: str | None = None, floors: dict[str, int] | None = None) -> Model:
+    """Write the raw, clean and relational layers aside, each from what is
+    stored of the one before. Floors, keys, foreign keys and column sizes must
+    hold; a violation raises and leaves every live layer as it was."""
     version = version or uuid.uuid4().hex[:12]
     m.store = store
-    m.raw = _publish(m, "raw", m.raw, version)
+    m.raw = _aside(m, "raw", m.raw, version)
     clean_layer(m)
-    m.clean = _publish(m, "clean", m.clean, version)
+    m.clean = _aside(m, "clean", m.clean, version)
+    enforce_floors(m, floors or {})
     rel_layer(m)
+    stored = _aside(m, "rel", {**m.rel, "dead_letter": m.dead_letter}, version, REL_LAYOUT)
+    m.dead_letter, m.rel = stored.pop("dead_letter"), stored
     enforce_constraints(m)
-    m.rel = _publish(m, "rel", {**m.rel, "dead_letter": m.dead_letter}, version, REL_LAYOUT)
-    m.dead_letter = m.rel.pop("dead_letter")
+    return m
+
+
+def publish_aside(m: Model) -> None:
+    """Switch live what has been written aside, layer by layer."""
+    for layer, tables in m.aside.items():
+        m.store.publish(layer, tables)
+    m.aside = {}
+
+
+def publish_layers(m: Model, store: LayerStore, version: str | None = None) -> Model:
+    """Write all layers aside, check them, then switch them live."""
+    stage_layers(m, store, version)
+    publish_aside(m)
     return m
 
 
@@ -275,7 +320,7 @@ def check_layers(m: Model) -> dict:
             "rel": {t: m.rel[t] for t in ("reviews", "review_aspects", "properties")}}
 
 
-def star_schema(m: Model) -> dict[str, DataFrame]:
+def star_schema(m: Model, publish: bool = True) -> dict[str, DataFrame]:
     """Dimensions, then facts keyed on the stored dimensions; with a
     layer store every table is written aside first and the whole star is
     switched live in one publish (shadow build and swap)."""
@@ -294,10 +339,10 @@ def star_schema(m: Model) -> dict[str, DataFrame]:
             "dim_property": stage("dim_property", star.dim_property(r["properties"], r["property_id_mapping"])),
             "dim_sales_channel": stage("dim_sales_channel", star.dim_sales_channel(r["reviews"])),
             "dim_aspect": stage("dim_aspect", star.dim_aspect(r["review_aspects"]))}
-    f_rev = stage("fact_reviews", star.fact_reviews(r["reviews"], r["property_id_mapping"], dims["dim_property"],
-                                                    dims["dim_sales_channel"]))
+    f_rev = stage("fact_reviews", star.fact_reviews(r["reviews"], dims["dim_property"], dims["dim_sales_channel"]))
     f_asp = stage("fact_review_aspects", star.fact_review_aspects(r["review_aspects"], f_rev, dims["dim_aspect"]))
     if store is not None:
-        store.publish("star", written)
-        return {t: store.table("star", t) for t in written}
+        m.aside["star"] = written
+        if publish:
+            publish_aside(m)
     return {**dims, "fact_reviews": f_rev, "fact_review_aspects": f_asp}

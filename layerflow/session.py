@@ -3,8 +3,8 @@
 Everything that must be written between steps (CSV inputs for the CSV
 source, published layer versions, checkpoints that cut lineage) goes under
 the folder the cluster names in ``spark.checkpoint.dir``. A private folder
-under the system temp dir is created only when the session has none, which
-is the case in local tests.
+under the system temp dir is created only when the session has none and runs
+in local mode, as in tests; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -49,7 +51,8 @@ def _is_local_path(path: str) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for this session (``spark.checkpoint.dir``).
 
-    Read from the session; set to a fresh private folder only when unset.
+    Read from the session; set to a fresh private folder only when unset in
+    local mode, where driver and executors are one process.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,7 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the session names no shared folder (local tests).
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="layerflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -77,14 +81,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy work at least ``min_partitions`` (default: the
-    cluster's parallelism) tasks. Large inputs already have more splits and
-    pass through unchanged; only small ones (a single-row-group file, say)
-    are redistributed round-robin."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

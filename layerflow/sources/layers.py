@@ -1,24 +1,32 @@
 """Versioned layer store: count-verified writes, guarded loads, multi-table
-atomic publish and the dead-letter sink (S8-S12, D7).
+atomic publish, resumable increments (S8-S11, U8, D7).
 
 Layout under ``root``::
 
     <layer>/<table>/v=<run_id>/part-*.parquet     immutable table versions
     <layer>/_manifests/<seq>.json                 one file per publish
 
-A publish writes the next manifest file with create-if-absent, which is the
-only commit point: readers take the highest manifest, so either every table
-of a publish is visible or none is, and the previous versions stay readable
-until they are cleaned up. All file access goes through the Hadoop
-FileSystem of the session, so the same code runs on HDFS, S3 or local disk.
+A publish writes the next manifest under a private name and renames it to its
+number, refusing to replace a file; that rename is the only commit point.
+Readers take the highest number, so either every table of a publish is visible
+or none is, no manifest is seen half written, and the previous versions stay
+readable until they are cleaned up. A manifest carries the whole state of its
+layer (tables, buckets, marks, counters): a publish starts from the current
+one and changes only its own keys, again after a lost race. The root must be on
+a file system whose rename is atomic and does not overwrite (HDFS, or local
+disk); all access goes through the session's Hadoop file system classes.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,18 +56,35 @@ class _FS:
         self._Path = jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.fs = self._Path(root).getFileSystem(conf)
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), conf)
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        self._never_replace = spark.sparkContext._gateway.new_array(rename, 1)
+        self._never_replace[0] = rename.NONE
 
     def create_new(self, path: str, text: str) -> bool:
-        p = self._Path(path)
-        if self.fs.exists(p):
-            return False
-        out = self.fs.create(p, False)
+        """Create ``path`` whole, or return False if it is there already."""
+        final = self._Path(path)
+        private = self._Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex}")
+        out = self.fs.create(private, False)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        try:
+            self._context.rename(private, final, self._never_replace)
+        except Py4JJavaError:
+            self.fs.delete(private, False)
+            if self.fs.exists(final):
+                return False
+            raise
         return True
 
+    def age(self, path: str) -> float:
+        """Seconds since the newest change in a folder."""
+        p = self._Path(path)
+        times = [s.getModificationTime() for s in [self.fs.getFileStatus(p), *self.fs.listStatus(p)]]
+        return time.time() - max(times) / 1000
+
     def read(self, path: str) -> str:
         stream = self.fs.open(self._Path(path))
         try:
@@ -71,7 +96,7 @@ class _FS:
         p = self._Path(path)
         if not self.fs.exists(p):
             return []
-        return [s.getPath().getName() for s in self.fs.listStatus(p)]
+        return [n for n in (s.getPath().getName() for s in self.fs.listStatus(p)) if not n.startswith(".")]
 
     def delete(self, path: str) -> None:
         self.fs.delete(self._Path(path), True)
@@ -128,7 +153,7 @@ class LayerStore:
         """Refuse inputs below ``min_rows`` before writing anything; write a
         staging version, verify its count, then publish it alone."""
         # The guard reads only as many rows as the floor (no full count).
-        if min_rows > 0 and len(df.limit(min_rows).take(min_rows)) < min_rows:
+        if min_rows > 0 and df.limit(min_rows).count() < min_rows:
             raise LoadGuardError(f"{layer}.{table}: fewer than {min_rows} rows, load refused")
         res = self.write_version(layer, table, df, version)
         self.publish(layer, {table: res.path})
@@ -141,22 +166,28 @@ class LayerStore:
             return {"seq": 0, "tables": {}}
         return json.loads(self.fs.read(f"{self._manifest_dir(layer)}/{names[-1]}"))
 
-    def publish(self, layer: str, tables: dict[str, str], extra: dict | None = None) -> dict:
+    def publish(self, layer: str, tables: dict[str, str], extra: Callable[[dict], dict] | None = None) -> dict:
         """Make ``tables`` (name -> version path) current together, keeping
-        every other table of the layer as it is."""
+        every other table and all other state of the layer as they are.
+        ``extra`` gets the manifest that is replaced and returns the top-level
+        keys to set; it runs again when another writer was faster."""
         for _ in range(20):
             cur = self.current(layer)
-            new = {"seq": cur["seq"] + 1, "tables": {**cur["tables"], **tables}}
-            new.update(extra or {})
+            new = {**cur, **(extra(cur) if extra else {}), "seq": cur["seq"] + 1, "tables": {**cur["tables"], **tables}}
             if self.fs.create_new(f"{self._manifest_dir(layer)}/{new['seq']:012d}.json", json.dumps(new)):
                 return new
         raise RuntimeError(f"could not publish layer {layer}: concurrent writers")
 
     def build_and_publish(self, layer: str, builders: dict, version: str | None = None,
-                          extra: dict | None = None, layouts: dict | None = None) -> dict:
+                          extra: Callable[[dict], dict] | None = None, layouts: dict | None = None) -> dict:
         """Blue/green: build every table aside in order; stop at the first
         failure and leave the live layer untouched; on success switch all.
         ``layouts`` maps a table to its lookup columns (C3)."""
+        return self.publish(layer, self.build_aside(layer, builders, version, layouts), extra)
+
+    def build_aside(self, layer: str, builders: dict, version: str | None = None,
+                    layouts: dict | None = None) -> dict[str, str]:
+        """Write every table without switching it live: name -> path."""
         version = version or uuid.uuid4().hex[:12]
         written: dict[str, str] = {}
         for name, build in builders.items():
@@ -164,17 +195,17 @@ class LayerStore:
             # layout keys the table does not carry are skipped
             cols = [c for c in (layouts or {}).get(name, []) if c in df.columns] or None
             written[name] = self.write_version(layer, name, df, version, sort_within=cols, range_by=cols).path
-        return self.publish(layer, written, extra)
+        return written
 
-    def vacuum(self, layer: str, keep: int = 1) -> list[str]:
-        """Drop table versions no longer referenced by the newest ``keep``
-        manifests (the old tables of a blue/green swap)."""
+    def vacuum(self, layer: str, keep: int = 1, min_age: float = 24 * 3600) -> list[str]:
+        """Drop table versions that none of the newest ``keep`` manifests names
+        anywhere (tables, buckets, increments) and that are older than
+        ``min_age`` seconds, so that versions another run still writes stay."""
         mdir = self._manifest_dir(layer)
         names = sorted(n for n in self.fs.list_names(mdir) if n.endswith(".json"))
         live: set[str] = set()
         for n in names[-keep:]:
-            for p in json.loads(self.fs.read(f"{mdir}/{n}")).get("tables", {}).values():
-                live.update(p if isinstance(p, list) else [p])
+            live.update(_strings(json.loads(self.fs.read(f"{mdir}/{n}"))))
         live_dirs = {p.split("/bucket=")[0] for p in live}
         dropped = []
         for table in self.fs.list_names(f"{self.root}/{layer}"):
@@ -182,7 +213,7 @@ class LayerStore:
                 continue
             for v in self.fs.list_names(f"{self.root}/{layer}/{table}"):
                 path = f"{self.root}/{layer}/{table}/{v}"
-                if path not in live_dirs:
+                if path not in live_dirs and self.fs.age(path) >= min_age:
                     self.fs.delete(path)
                     dropped.append(path)
         return dropped
@@ -194,22 +225,46 @@ class LayerStore:
         return self.current(layer).get("hwm", {}).get(name)
 
     def commit_increment(self, layer: str, name: str, df: DataFrame, key: str, done: bool) -> dict:
-        """Append one committed increment of ``name``; record its highest
-        key as the resume point, or clear it when the run is complete."""
-        cur = self.current(layer)
+        """Commit one increment of ``name``, keyed by ``key``; its highest
+        stored key becomes the resume point, which goes when the pass is
+        complete. The increments of a pass replace the rows of earlier passes
+        that have their keys, so a second full pass leaves every row once."""
         res = self.write_version(layer, f"{name}__part", df)
-        parts = list(cur.get("parts", {}).get(name, [])) + [res.path]
-        top = df.agg(F.max(key)).first()[0]
-        hwm = dict(cur.get("hwm", {}))
-        if done:
-            hwm.pop(name, None)
-        elif top is not None:
-            hwm[name] = top
-        return self.publish(layer, {}, extra={"hwm": hwm, "parts": {**cur.get("parts", {}), name: parts}})
-
-    def increments(self, layer: str, name: str) -> DataFrame:
-        parts = self.current(layer).get("parts", {}).get(name, [])
-        return self.spark.read.parquet(*parts)
+        top = self.spark.read.parquet(res.path).agg(F.max(key)).first()[0]
+
+        def with_part(cur: dict) -> dict:
+            hwm, parts = dict(cur.get("hwm", {})), dict(cur.get("parts", {}))
+            before = parts.get(name, {"key": key, "passes": [], "open": False, "runs": 0})
+            passes = [list(p) for p in before["passes"]]
+            if not before["open"]:
+                passes.append([])
+            passes[-1].append({"path": res.path, "run": before["runs"] + 1})
+            parts[name] = {"key": key, "passes": passes, "open": not done, "runs": before["runs"] + 1}
+            if done:
+                hwm.pop(name, None)
+            elif top is not None:
+                hwm[name] = top
+            return {"hwm": hwm, "parts": parts}
+
+        return self.publish(layer, {}, with_part)
+
+    def increments(self, layer: str, name: str, run_col: str | None = None) -> DataFrame:
+        """The rows of all increments, of each key those of its latest pass;
+        ``run_col``: the number of the run that committed them."""
+        state = self.current(layer).get("parts", {}).get(name)
+        if not state:
+            raise KeyError(f"{layer}.{name} has no increments")
+        out = None
+        for parts in state["passes"]:
+            rows = None
+            for p in parts:
+                part = self.spark.read.parquet(p["path"])
+                part = part.withColumn(run_col, F.lit(p["run"])) if run_col else part
+                rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+            if out is not None:   # an interrupted pass leaves the other keys to the one before
+                rows = rows.unionByName(out.join(rows.select(state["key"]).distinct(), state["key"], "left_anti"), allowMissingColumns=True)
+            out = rows
+        return out
 
     # ---- S11: layer reader -----------------------------------------------
     def table(self, layer: str, name: str) -> DataFrame:
@@ -220,18 +275,14 @@ class LayerStore:
         return self.spark.read.parquet(*paths) if isinstance(paths, list) else self.spark.read.parquet(paths)
 
 
+def _strings(value) -> set[str]:
+    """Every text inside a JSON value."""
+    if isinstance(value, str):
+        return {value}
+    items = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
+    return set().union(*map(_strings, items))
+
+
 def scan_after(df: DataFrame, key: str, hwm) -> DataFrame:
     """S4 + W3: rows after the high-water mark (pushed to the file scan)."""
     return df if hwm is None else df.where(F.col(key) > F.lit(hwm))
-
-
-# ---- S12: dead letter -------------------------------------------------------
-def split_dead_letter(df: DataFrame, error: "F.Column", key_col: str, as_of) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``error`` expression is non-NULL go to the dead letter
-    (time, key, error); processing continues with the rest."""
-    tagged = df.withColumn("__error", error)
-    good = tagged.where(F.col("__error").isNull()).drop("__error")
-    bad = tagged.where(F.col("__error").isNotNull()).select(
-        F.lit(as_of).alias("failed_at"), F.col(key_col).cast("string").alias("key"),
-        F.col("__error").alias("error"))
-    return good, bad

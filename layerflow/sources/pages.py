@@ -13,14 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the quarantine keeps at most this many payload characters.
-QUARANTINE_PAYLOAD_CHARS = 10000
-
 
 @dataclass
 class PageSplit:
-    elements: DataFrame   # page, pos, id, doc (VARIANT) — valid review elements
-    quarantine: DataFrame  # page, source, logged_at, payload (first 10,000 chars), reason
+    elements: DataFrame   # page, source, pos, id, doc (VARIANT) — valid review elements
+    quarantine: DataFrame  # page, source, logged_at, payload (whole), reason
     rejects: DataFrame    # page, reason, dropped  (S3 counts per page)
 
 
@@ -47,17 +44,17 @@ def split_pages(pages: DataFrame, page_col: str = "page", payload_col: str = "pa
 
     quarantine = parsed.where(F.col("reason").isNotNull()).select(
         "page", "source", F.current_timestamp().alias("logged_at"),
-        F.substring("payload", 1, QUARANTINE_PAYLOAD_CHARS).alias("payload"), "reason")
+        "payload", "reason")
 
     el = (parsed.where(F.col("reason").isNull())
-          .select("page", F.posexplode("data").alias("pos", "doc")))
+          .select("page", "source", F.posexplode("data").alias("pos", "doc")))
     as_map = F.expr("try_cast(doc as map<string, variant>)")
     el = el.withColumn(
         "reject",
         F.when(as_map.isNull(), F.lit("not_object"))
         .when(~F.map_contains_key(as_map, F.lit("id")), F.lit("no_id")))
     elements = el.where(F.col("reject").isNull()).select(
-        "page", "pos", F.expr("try_variant_get(doc, '$.id', 'string')").alias("id"), "doc")
+        "page", "source", "pos", F.expr("try_variant_get(doc, '$.id', 'string')").alias("id"), "doc")
     rejects = (el.where(F.col("reject").isNotNull())
                .groupBy("page", F.col("reject").alias("reason"))
                .agg(F.count(F.lit(1)).alias("dropped")))

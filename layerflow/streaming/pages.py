@@ -4,23 +4,31 @@ Page files arriving in a folder are read by the Structured Streaming file
 source; each micro-batch is split into valid review elements (S1-S3) and
 merged into the document state (U1) inside ``foreachBatch``. The state is a
 versioned table of the layer store; the publish that makes a new version
-current also records the micro-batch id, so a batch that is replayed after
-a failure (same id, from the streaming checkpoint) changes nothing. The
-upsert itself is idempotent as well, so even a re-delivered page is safe.
+current also records the stream's id and the micro-batch id, so a batch that
+is replayed after a failure (both from the streaming checkpoint) changes
+nothing, while another stream's batches, or those of a new checkpoint, count.
+Bad pages and reject counts are stored in the same publish.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from layerflow.operators import upsert as ou
+from layerflow.session import shared_dir
 from layerflow.sources import layers as sl
 from layerflow.sources import pages as sp
 
 PAGE_FILE_PATTERN = r"page-(\d+)"
+# Buckets of a new document state; a caller's own count is kept with the state.
 STATE_BUCKETS = 64
+STATE_SCHEMA = "id string, field string, value_json string, seq struct<batch:bigint,page:bigint,source:string,pos:int>"
 
 
 def page_stream(spark: SparkSession, path: str, whole_file: bool = False,
@@ -37,71 +45,130 @@ def page_stream(spark: SparkSession, path: str, whole_file: bool = False,
     return df.select(page.alias("page"), src.alias("source"), F.col("value").alias("payload"))
 
 
-def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int,
-                 buckets: int = STATE_BUCKETS) -> dict | None:
-    """Merge one micro-batch of pages into the published document state.
+@dataclass
+class Batch:
+    """A merged batch of pages, written but not yet visible."""
+    split: sp.PageSplit
+    metrics: dict
+    paths: list[str] | None          # files of the whole state with this batch, None if nothing changed
+    commit: Callable[[], dict | None]
+
+
+def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, buckets: int | None = None,
+                mark: tuple[str, int] | None = None) -> Batch | None:
+    """Merge pages into the document state and write what changes aside.
 
-    The state is hash-bucketed on the document id; only the buckets the
-    batch touches are read, merged and rewritten, and the manifest points
-    each bucket at its newest files, so a micro-batch costs the size of the
-    touched state, not of the whole store."""
+    The state is hash-bucketed on the document id. The bucket count is part of
+    the published state: only the buckets that the batch touches are read,
+    merged and rewritten, unless ``buckets`` asks for another count, which
+    rewrites all of them. Fields are ordered by (batch, page, source, position),
+    the batch being counted by the manifest, so a later run wins over an
+    earlier one whatever its page numbers. ``mark``: (query id, micro-batch id);
+    one that is published already returns None."""
     cur = store.current(layer)
-    done = cur.get("stream_batches", {}).get(table, -1)
-    if batch_id <= done:
-        return None  # replayed batch: already published
+    if mark and cur.get("stream_marks", {}).get(table, {}).get(mark[0], -1) >= mark[1]:
+        return None
+    number = cur.get("batches", {}).get(table, 0) + 1
+    stored = cur.get("bucket_counts", {}).get(table)
+    count = buckets or stored or STATE_BUCKETS
     split = sp.split_pages(batch, source_col="source")
-    fields = ou.document_fields(split.elements.select("id", "doc", F.struct("page", "pos").alias("seq")), "seq")
-    # read twice below (touched buckets, merge); a lost block is recomputed
-    # from the replayable file source
-    fields = fields.withColumn("bucket", _bucket(buckets)).persist()
-    try:
-        metrics = _merge(store, layer, table, fields, cur, batch_id, buckets)
-    finally:
-        fields.unpersist()
-    return {"split": split, "metrics": metrics}
-
-
-def _merge(store, layer, table, fields, cur, batch_id, buckets) -> dict:
-    """Returns the U2 counts of this batch (documents it touched)."""
-    # at most ``buckets`` small integers reach the driver
+    seq = F.struct(F.lit(number).cast("bigint").alias("batch"), F.col("page").cast("bigint").alias("page"), F.col("source").alias("source"),
+                   F.col("pos").cast("int").alias("pos"))
+    fields = ou.document_fields(split.elements.select("id", "doc", seq.alias("seq")), "seq")
+    # read twice below (touched buckets, merge): written once, so a lost executor costs no parsing
+    path = shared_dir(store.spark, "page-batch") + "/fields"
+    fields.withColumn("bucket", _bucket(count)).write.parquet(path)
+    fields = store.spark.read.parquet(path)
+    # at most ``count`` small integers reach the driver
     touched = sorted(r.bucket for r in fields.select("bucket").distinct().collect())
-    if not touched:
-        return {"upserted": 0, "matched": 0, "modified": 0, "total": 0}
     current = cur.get("buckets", {}).get(table, {})
-    old_paths = [current[str(b)] for b in touched if str(b) in current]
-    state = None
-    if old_paths:
-        state = store.spark.read.parquet(*old_paths).select(*ou.STATE_COLUMNS)
-    merged = ou.field_upsert(state, fields.drop("bucket")).withColumn("bucket", _bucket(buckets))
-    res = store.write_version(layer, f"{table}__state", merged, partition_by=["bucket"])
-    new_map = {**current, **{str(b): f"{res.path}/bucket={b}" for b in touched}}
-    marks = {**cur.get("stream_batches", {}), table: batch_id}
-    # U2 running totals over the documents this batch touched (one row)
-    ids = fields.select("id").distinct()
-    after = store.spark.read.parquet(res.path).select(*ou.STATE_COLUMNS).join(ids, "id", "left_semi")
-    before = state.join(ids, "id", "left_semi") if state is not None else after.limit(0)
-    m = ou.upsert_metrics(before, after).first()
-    totals = dict(cur.get("stream_metrics", {}).get(table, {}))
-    for k in ("upserted", "matched", "modified"):
-        totals[k] = totals.get(k, 0) + int(m[k])
-    store.publish(layer, {table: sorted(new_map.values())},
-                  extra={"stream_batches": marks, "buckets": {**cur.get("buckets", {}), table: new_map},
-                         "stream_metrics": {**cur.get("stream_metrics", {}), table: totals}})
-    return {k: int(m[k]) for k in ("upserted", "matched", "modified", "total")}
+    rebucket = bool(current) and stored not in (None, count)
+    metrics = {"upserted": 0, "matched": 0, "modified": 0, "total": 0}
+    new_map = dict(current)
+    if touched or rebucket:
+        olds = list(current.values()) if rebucket else [current[str(b)] for b in touched if str(b) in current]
+        state = store.spark.read.schema(STATE_SCHEMA).parquet(*olds) if olds else None
+        merged = ou.field_upsert(state, fields.drop("bucket")).withColumn("bucket", _bucket(count))
+        # rows of a bucket meet before the write, large buckets are split by size: few files, none huge
+        res = store.write_version(layer, f"{table}__state", merged.hint("rebalance", "bucket"), partition_by=["bucket"])
+        written = store.spark.read.parquet(res.path)
+        if rebucket:
+            new_map = {str(r.bucket): f"{res.path}/bucket={r.bucket}" for r in written.select("bucket").distinct().collect()}
+        else:
+            new_map |= {str(b): f"{res.path}/bucket={b}" for b in touched}
+        # U2 over the documents that this batch touched (one row)
+        ids = fields.select("id").distinct()
+        after = written.select(*ou.STATE_COLUMNS).join(ids, "id", "left_semi")
+        before = state.join(ids, "id", "left_semi") if state is not None else after.limit(0)
+        row = ou.upsert_metrics(before, after).first()
+        metrics = {k: int(row[k]) for k in metrics}
+    rejected = {name: store.write_version(layer, f"{table}__{name}", df.withColumn("batch", F.lit(number).cast("bigint")))
+                for name, df in (("quarantine", split.quarantine), ("rejects", split.rejects))}
+
+    def state_of(now: dict) -> dict:
+        if now.get("batches", {}).get(table, 0) != number - 1:
+            raise RuntimeError(f"{layer}.{table}: another batch was published meanwhile; merge again")
+        totals = dict(now.get("stream_metrics", {}).get(table, {}))
+        for k in ("upserted", "matched", "modified"):
+            totals[k] = totals.get(k, 0) + metrics[k]
+        out = {"batches": {**now.get("batches", {}), table: number}, "bucket_counts": {**now.get("bucket_counts", {}), table: count},
+               "buckets": {**now.get("buckets", {}), table: new_map}, "stream_metrics": {**now.get("stream_metrics", {}), table: totals}}
+        if mark:
+            marks = now.get("stream_marks", {})
+            out["stream_marks"] = {**marks, table: {**marks.get(table, {}), mark[0]: mark[1]}}
+        return out
+
+    def commit() -> dict | None:
+        tables = {table: sorted(new_map.values())} if new_map else {}
+        for name, res in rejected.items():
+            if res.rows_stored:   # kept beside those of earlier batches
+                before = store.current(layer)["tables"].get(f"{table}__{name}", [])
+                tables[f"{table}__{name}"] = [*before, res.path]
+        published = store.publish(layer, tables, state_of)
+        store.fs.delete(path)
+        return published
+
+    return Batch(split, metrics, sorted(new_map.values()) or None, commit)
+
+
+def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int | None = None,
+                 buckets: int | None = None, query_id: str = "") -> dict | None:
+    """Merge and publish one micro-batch; a replayed one (same query and batch
+    id) changes nothing and returns None. Quarantined pages and reject counts
+    are published with it as ``<table>__quarantine`` and ``<table>__rejects``."""
+    done = merge_batch(store, layer, table, batch, buckets, None if batch_id is None else (query_id, batch_id))
+    if done is None:
+        return None
+    done.commit()
+    return {"split": done.split, "metrics": done.metrics}
+
+
+def read_state(store: sl.LayerStore, paths: list[str] | None) -> DataFrame:
+    """The document state in the given files (of a batch not yet published)."""
+    reader = store.spark.read.schema(STATE_SCHEMA)
+    return reader.parquet(*paths) if paths else store.spark.createDataFrame([], STATE_SCHEMA)
 
 
 def _bucket(buckets: int):
     return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
 
 
+def query_id(checkpoint: str, spark: SparkSession) -> str:
+    """The id that Spark keeps in a stream's checkpoint folder; a new folder is
+    a new query, whose batch ids start again."""
+    fs = sl._FS(spark, checkpoint)
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    return json.loads(fs.read(path))["id"] if fs.fs.exists(fs._Path(path)) else ""
+
+
 def run_page_upsert(spark: SparkSession, pages_path: str, store: sl.LayerStore, layer: str, table: str,
-                    checkpoint: str, whole_file: bool = False,
-                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+                    checkpoint: str, whole_file: bool = False, max_files_per_trigger: int | None = None,
+                    buckets: int | None = None) -> StreamingQuery:
     """Start the stream with ``availableNow``: process every page present,
     in micro-batches, then stop."""
     stream = page_stream(spark, pages_path, whole_file, max_files_per_trigger)
     return (stream.writeStream
-            .foreachBatch(lambda df, bid: upsert_batch(store, layer, table, df, bid))
+            .foreachBatch(lambda df, bid: upsert_batch(store, layer, table, df, bid, buckets, query_id(checkpoint, spark)))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

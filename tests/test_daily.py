@@ -5,7 +5,13 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from layerflow.operators.relational import ConstraintViolation
 from layerflow.plans import daily
+from layerflow.sources.layers import LayerStore, LoadGuardError
+
+NO_FLOORS = {}
 
 
 def _review(i, **kw):
@@ -37,9 +43,9 @@ def test_daily_run(spark):
                 "RCM ArCond,AutoCheckin\n")
         f.write('1,North,Alfama,1100-123,,"38.71, -9.13",0,2020-01-01,,3°,1,4,1,0,,1,,1,0\n')
         f.write("2,South,Belém,1400,045,bad,1,2019-05-01,2023-01-01,rc esq,0,6.0,2,1,P1,0,1,0,NA\n")
-    with open(os.path.join(root, "idavantio.csv"), "w") as f:
-        f.write("IdFLH,IdAvantio\n1,5000\n2,5001\n")
-    res = daily.run(spark, pages, os.path.join(root, "Propriedades.csv"), os.path.join(root, "idavantio.csv"),
+    with open(os.path.join(root, "mapping.csv"), "w") as f:
+        f.write("Internal Id,External Id\n1,5000\n2,5001\n")
+    res = daily.run(spark, pages, os.path.join(root, "Propriedades.csv"), os.path.join(root, "mapping.csv"),
                     os.path.join(root, "store"), as_of="2026-01-01 00:00:00", loaded_at="2024-06-01 00:00:00")
     m = res.model
     rev = {r.review_id: r for r in m.rel["reviews"].collect()}
@@ -61,6 +67,10 @@ def test_daily_run(spark):
     assert facts["r0"].stay_nights == 3
     bad = res.model.store.table("ingest", "bad_payloads").collect()
     assert [b.reason for b in bad] == ["data_not_list"]
+    assert res.model.store.table("docs", "fields__quarantine").count() == 1
+    assert tuple(res.model.store.table("ingest", "shred_counts").first()) == (6, 0, 0)
+    filled = {r.column_name: r.filled for r in res.model.store.table("ingest", "filled_flags").collect()}
+    assert filled == {"is_inactive": 0, "has_washing_machine": 0, "has_dishwasher": 0, "has_air_conditioning": 0, "has_self_checkin": 1}
 
 
 def test_daily_second_run_merges_new_pages(spark):
@@ -72,7 +82,7 @@ def test_daily_second_run_merges_new_pages(spark):
     with open(os.path.join(root, "p.csv"), "w") as f:
         f.write("ID,Equipa\n1,North\n")
     with open(os.path.join(root, "m.csv"), "w") as f:
-        f.write("IdFLH,IdAvantio\n1,5000\n")
+        f.write("Internal Id,External Id\n1,5000\n")
     args = (os.path.join(root, "p.csv"), os.path.join(root, "m.csv"), os.path.join(root, "store"))
     first = daily.run(spark, pages, *args, as_of="2026-01-01 00:00:00", build_star=False)
     assert first.model.rel["reviews"].count() == 4
@@ -104,7 +114,7 @@ def test_daily_cli_minimal_inputs(spark):
     with open(os.path.join(root, "p.csv"), "w") as f:
         f.write("ID,Equipa\n1,North\n")
     with open(os.path.join(root, "m.csv"), "w") as f:
-        f.write("IdFLH,IdAvantio\n1,5000\n")
+        f.write("Internal Id,External Id\n1,5000\n")
     code = daily.main(["--pages", os.path.join(root, "pages"), "--properties", os.path.join(root, "p.csv"),
                        "--mapping", os.path.join(root, "m.csv"), "--root", os.path.join(root, "store")])
     assert code == 1          # three reviews are below the minimum-row checks
@@ -118,9 +128,9 @@ def test_daily_without_aspect_lists(spark):
     with open(os.path.join(root, "p.csv"), "w") as f:
         f.write("ID\n1\n")
     with open(os.path.join(root, "m.csv"), "w") as f:
-        f.write("IdFLH,IdAvantio\n1,5000\n")
+        f.write("Internal Id,External Id\n1,5000\n")
     res = daily.run(spark, os.path.join(root, "pages"), os.path.join(root, "p.csv"), os.path.join(root, "m.csv"),
-                    os.path.join(root, "store"), as_of="2026-01-01 00:00:00")
+                    os.path.join(root, "store"), as_of="2026-01-01 00:00:00", floors=NO_FLOORS)
     assert res.model.rel["reviews"].count() == 1 and res.model.rel["review_aspects"].count() == 0
     assert res.star["fact_reviews"].first().property_key == 1
 
@@ -132,7 +142,7 @@ def _inputs(root, data):
     with open(os.path.join(root, "p.csv"), "w") as f:
         f.write("ID\n1\n")
     with open(os.path.join(root, "m.csv"), "w") as f:
-        f.write("IdFLH,IdAvantio\n1,5000\n")
+        f.write("Internal Id,External Id\n1,5000\n")
     return (os.path.join(root, "pages"), os.path.join(root, "p.csv"), os.path.join(root, "m.csv"),
             os.path.join(root, "store"))
 
@@ -141,7 +151,7 @@ def test_daily_numeric_ids_and_repeats_on_a_page(spark):
     root = tempfile.mkdtemp()
     args = _inputs(root, [{"id": 7, "globalValoration": 5.0}, {"id": 8, "globalValoration": 6.0},
                           {"id": 7, "globalValoration": 9.5}])
-    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, floors=NO_FLOORS)
     rev = {r.review_id: r.overall_score for r in res.model.rel["reviews"].collect()}
     assert rev == {"7": 9.5, "8": 6.0}                # later position on the page wins
 
@@ -159,15 +169,89 @@ def test_daily_name_collision_publishes_nothing(spark):
 def test_daily_keep_versions(spark):
     root = tempfile.mkdtemp()
     args = _inputs(root, [{"id": "a", "globalValoration": 5.0}])
-    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, floors=NO_FLOORS)
     with open(os.path.join(args[0], "page-0002.json"), "w") as f:
         json.dump({"data": [{"id": "b", "globalValoration": 7.0}]}, f)
-    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, keep_versions=1)
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, keep_versions=1, keep_seconds=0,
+                    floors=NO_FLOORS)
     from layerflow.sources.layers import LayerStore
     store = LayerStore(spark, args[3])
+    assert store.table("docs", "fields").select("id").distinct().count() == 2
     for t in ("reviews", "review_aspects", "properties"):
         vdirs = os.listdir(os.path.join(args[3], "rel", t))
         assert len(vdirs) == 1, (t, vdirs)             # superseded versions dropped
     assert store.table("rel", "reviews").count() == 2
     assert store.table("docs", "fields").select("id").distinct().count() == 2
     assert res.report.count() == 44
+
+
+LAYERS = ("docs", "ingest", "raw", "clean", "rel", "checks", "star")
+
+
+def _manifests(spark, root):
+    return {layer: LayerStore(spark, root).current(layer)["seq"] for layer in LAYERS}
+
+
+def test_failed_runs_leave_every_layer(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [_review(i) for i in range(3)])
+    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    before = _manifests(spark, args[3])
+    assert before["rel"] == 1 and before["docs"] == 1
+    with open(args[1], "w") as f:                 # a repeated property key
+        f.write("ID\n1\n1\n")
+    with open(os.path.join(args[0], "page-0002.json"), "w") as f:
+        json.dump({"data": [_review(8)]}, f)
+    with pytest.raises(ConstraintViolation):
+        daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    assert _manifests(spark, args[3]) == before
+    with open(args[1], "w") as f:
+        f.write("ID\n1\n")
+    with pytest.raises(LoadGuardError):           # fewer rows than the floor
+        daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, floors={"reviews": 100})
+    assert _manifests(spark, args[3]) == before
+
+
+def test_empty_feed_refused_and_empty_csv_keeps_the_table(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [])
+    with pytest.raises(LoadGuardError):
+        daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    assert set(_manifests(spark, args[3]).values()) == {0}
+    args = _inputs(root, [_review(i) for i in range(2)])
+    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    with open(args[1], "w") as f:
+        f.write("ID\n")
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    assert [r.id for r in res.model.raw["propriedades"].collect()] == ["1"]
+    assert res.model.rel["properties"].count() == 1
+
+
+def test_later_run_wins_whatever_its_page_numbers(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [])
+    os.remove(os.path.join(args[0], "page-0001.json"))
+    with open(os.path.join(args[0], "page-0007.json"), "w") as f:
+        json.dump({"data": [_review(1, title="old")]}, f)
+    daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    os.remove(os.path.join(args[0], "page-0007.json"))
+    with open(os.path.join(args[0], "page-0001.json"), "w") as f:
+        json.dump({"data": [_review(1, title="NEW")]}, f)
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False, mapping_columns=("internal_id", "external_id"))
+    assert [r.review_title for r in res.model.rel["reviews"].collect()] == ["NEW"]
+
+
+def test_dead_letter_of_all_tables_and_csv_rejects(spark):
+    root = tempfile.mkdtemp()
+    args = _inputs(root, [_review(1), _review(2, bookingId="12.5"), _review(3, bookingId="inf")])
+    with open(args[1], "w") as f:
+        f.write("ID,Equipa\n1,a\n3000000000,b\n2.5,c\n4,d,surplus\n")
+    with open(args[2], "w") as f:
+        f.write("Internal Id,External Id\n1,5000\n2,abc\n")
+    res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
+    got = {(r.table_name, r.key, r.error) for r in res.model.dead_letter.collect()}
+    assert got == {("properties", "2.5", "fractional value in property_id"), ("property_id_mapping", "2", "not a number in external_property_id"),
+                   ("reviews", "r2", "fractional value in booking_id"), ("reviews", "r3", "infinite value in booking_id")}
+    assert sorted(r.property_id for r in res.model.rel["properties"].collect()) == [1, 3000000000]   # ids are BIGINT
+    rejects = res.model.store.table("ingest", "csv_rejects").collect()
+    assert [(r.table_name, json.loads(r.record)) for r in rejects] == [("propriedades", ["4", "d", "surplus"])]

@@ -23,7 +23,7 @@ def test_pages_split(spark):
         (2, json.dumps({"data": []})),
         (3, json.dumps({"nodata": 1})),
         (4, json.dumps({"data": {"id": "x"}})),
-        (5, "{not json"),
+        (5, "{not json" + "x" * 20_000),
     ], "page int, payload string")
     split = sp.split_pages(pages, source_col=None)
     el = sorted((r.page, r.pos, r.id) for r in split.elements.collect())
@@ -32,6 +32,7 @@ def test_pages_split(spark):
     assert rej == [(1, "no_id", 1), (1, "not_object", 2)]
     q = sorted((r.page, r.reason) for r in split.quarantine.collect())
     assert q == [(3, "data_not_list"), (4, "data_not_list"), (5, "bad_json")]
+    assert max(len(r.payload) for r in split.quarantine.collect()) == 20_009      # whole payloads
 
 
 def _upsert(spark, batches):
@@ -135,14 +136,16 @@ def test_shred_parent_skips_null_ids(spark):
     assert "hash_l" in p.columns and "l" not in p.columns
 
 
-def test_name_collision_and_sample_limit(spark):
+def test_name_collision(spark):
     import pytest
     d = docs_df(spark, [{"id": "1", "a b": 1, "a_b": 2}, {"id": "2", "c": 3}])
     rows = osch.discover_schema(d).collect()
     with pytest.raises(ValueError):
         osch.check_name_collisions(rows)
-    one = osch.discover_schema(docs_df(spark, [{"id": "1", "x": 1}]), sample_limit=1).collect()
-    assert [(r.field, r.data_type) for r in one] == [("x", "BIGINT")]
+    # a field that only the last of many documents has is found, and so is an empty object's list
+    late = osch.discover_schema(docs_df(spark, [{"id": str(i), "x": 1} for i in range(300)] + [{"id": "z", "late": 1.5, "l": [{}]}, 7, [1]])).collect()
+    assert {(r.scope, r.field, r.data_type) for r in late} == {("parent", "x", "BIGINT"), ("parent", "late", "DOUBLE"), ("parent", "hash_l", "STRING")}
+    assert [r.child_scope for r in late if r.role == "list_hash"] == ["l"]
 
 
 def test_schema_drift(spark):

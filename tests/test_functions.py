@@ -20,7 +20,7 @@ def test_postcode(spark):
              ("12345", "6789", "1234", "678"), ("1000-12", None, "1000", None),
              ("abc", None, None, None), ("0000-000", None, None, None),
              ("0000", "123", "0000", "123"), (None, "123", None, "123"),
-             ("1000-123", "nan", "1000", "123")]
+             ("1000-123", "nan", "1000", "123"), ("\u00a01000\u2003-\u00a0123", "\u00a0", "1000", "123")]
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _, _) in enumerate(cases)], "i int, code string, suf string")
     p, s = clean.split_postcode("code", "suf")
     got = [(r[0], r[1]) for r in df.orderBy("i").select(p, s).collect()]
@@ -32,7 +32,8 @@ def test_floor(spark):
              "3 º": "3º", "3ª": "3º", "00": "00º", "r/c": "R/C", "rc": "R/C", "RC": "R/C",
              "r/c esq": "R/C esq", "RC Esq": "R/C Esq", "RC-Esq": "RC-Esq", "RCD": "R/CD",
              "Piso 2 - Esq": "Esq", "piso 12 – Dto": "Dto", "Piso 2": "Piso 2", ".": None,
-             "": "", "  ": "", "1º Dto": "1º Dto", " 2 ": "2º"}
+             "": "", "  ": "", "1º Dto": "1º Dto", " 2 ": "2º", "\u00a03": "3º", "2\u00a0º": "2º",
+             "Piso\u00a02\u2003- Esq": "Esq"}
     keys = list(cases) + [None]
     got = one_col(spark, keys, clean.standardise_floor)
     assert got == [cases[k] for k in cases] + [None]
@@ -47,11 +48,13 @@ def test_gps(spark):
 
 
 def test_nullable_int(spark):
-    vals = ["3", " 7 ", "3.0", "0012", "x", "3d", "NaN", "9007199254740993", "3.5", "inf", None, "1e3"]
+    vals = ["3", " 7 ", "3.0", "0012", "x", "3d", "NaN", "9007199254740993", "3.5", "inf", None, "1e3", "\u00a08", "3000000000", "1e30"]
     got = one_col(spark, vals, typing.to_nullable_int)
-    assert got == [3, 7, 3, 12, None, None, None, 9007199254740993, None, None, None, 1000]
+    assert got == [3, 7, 3, 12, None, None, None, 9007199254740993, None, None, None, 1000, 8, 3000000000, None]
     err = one_col(spark, vals, typing.to_nullable_int_error)
-    assert err == [False] * 8 + [True, True, False, False]
+    assert err == [None] * 8 + ["fractional value", "infinite value", None, None, None, None, "value out of range"]
+    narrow = one_col(spark, vals, lambda c: typing.to_nullable_int_error(c, "int"))
+    assert narrow[7] == narrow[13] == "value out of range" and narrow[0] is None
 
 
 def test_nullable_float_and_dates(spark):
@@ -65,16 +68,15 @@ def test_nullable_float_and_dates(spark):
 
 def test_sanitize_identifier(spark):
     vals = ["_id", "__hash_a", "a-b.c", "a--b", "___", "", "a" * 70, "Máx.Ocupação"]
-    py = [names.sanitize_identifier(v) for v in vals]
-    assert py[:6] == ["id", "hash_a", "a_b_c", "a__b", "col", "col"]
-    assert py[6].startswith("a" * 55 + "_") and len(py[6]) == 64
-    assert one_col(spark, vals, names.sanitize_identifier_col) == py
+    got = one_col(spark, vals, names.sanitize_identifier_col)
+    assert got[:6] == ["id", "hash_a", "a_b_c", "a__b", "col", "col"] and got[7] == "m_x_ocupa__o"
+    assert got[6].startswith("a" * 55 + "_") and len(got[6]) == 64
 
 
-def test_clean_column_names():
-    assert names.clean_column_names(["Máx.Ocupação", "  ", "A b", "a_b"]) == ["m_x_ocupa_o", "unnamed_column", "a_b", "a_b_1"]
-    assert names.clean_column_names(["a", "a", "a_1"]) == ["a", "a_2", "a_1"]
-    assert names.table_name_from_file("Propriedades Ativas.csv") == "propriedades_ativas"
+def test_clean_column_names(spark):
+    assert names.clean_column_names(spark, ["Máx.Ocupação", "  ", "A b", "a_b"]) == ["m_x_ocupa_o", "unnamed_column", "a_b", "a_b_1"]
+    assert names.clean_column_names(spark, ["a", "a", "a_1"]) == ["a", "a_2", "a_1"]
+    assert names.clean_column_names(spark, []) == []
 
 
 def test_zero_postcode_and_stale_inactive(spark):

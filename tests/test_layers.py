@@ -35,7 +35,7 @@ def test_csv_expected_columns_and_empty(spark):
     d = tempfile.mkdtemp()
     p = _write(os.path.join(d, "t.csv"), "a,b\n")
     df = scsv.read_csv_all_string(spark, p, expected_columns=["a"])
-    assert df.isEmpty()                              # S6: caller skips the load
+    assert df.isEmpty()                              # S6: the daily job keeps the live table
     with pytest.raises(scsv.SchemaMismatch) as e:
         scsv.read_csv_all_string(spark, p, expected_columns=["a", "zz"])
     assert "zz" in str(e.value)
@@ -136,6 +136,64 @@ def test_incremental_load_resumes(spark):
     assert store.high_water_mark("raw", "t") is None
     got = sorted(r.k for r in store.increments("raw", "t").collect())
     assert got == list(range(1, 101))
+    # a second full pass overwrites by key, even while it is not complete
+    again = src.withColumn("v", F.lit("new"))
+    store.commit_increment("raw", "t", again.where("k <= 70"), "k", done=False)
+    rows = store.increments("raw", "t", "run").collect()
+    assert sorted(r.k for r in rows) == list(range(1, 101)) and sum(r.v == "new" for r in rows) == 70
+    store.commit_increment("raw", "t", sl.scan_after(again, "k", 70), "k", done=True)
+    rows = store.increments("raw", "t", "run").collect()
+    assert sorted(r.k for r in rows) == list(range(1, 101)) and {r.run for r in rows} == {3, 4}
+
+
+def test_publish_keeps_the_other_state_of_a_layer(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    a = spark.range(3).toDF("x")
+    store.build_and_publish("docs", {"a": a}, extra=lambda cur: {"marks": {"q": 1}})
+    store.guarded_load("docs", "b", a)
+    now = store.current("docs")
+    assert now["marks"] == {"q": 1} and set(now["tables"]) == {"a", "b"}
+    # a lost race: the state is computed again from the manifest that won
+    seen = []
+
+    def counted(cur):
+        if not seen:
+            seen.append(cur["seq"])
+            sl.LayerStore(spark, store.root).publish("docs", {}, lambda c: {"n": c.get("n", 0) + 1})
+        return {"n": cur.get("n", 0) + 1}
+    store.publish("docs", {}, counted)
+    assert store.current("docs")["n"] == 2 and store.current("docs")["marks"] == {"q": 1}
+    assert not store.fs.create_new(f"{store.root}/docs/_manifests/{1:012d}.json", "{}")   # never replaced
+
+
+def test_csv_surplus_fields_and_differing_headers(spark):
+    d = tempfile.mkdtemp()
+    _write(os.path.join(d, "a.csv"), 'a,b\n1,2\n1,2,3\n4\n5,6,\n"x,y",""\n')
+    got = scsv.read_csv(spark, d)
+    assert sorted(got.rows.collect(), key=str) == sorted([("1", "2"), ("4", None), ("x,y", None)], key=str)
+    assert sorted(r.record for r in got.rejects.collect()) == ['["1","2","3"]', '["5","6",""]']
+    _write(os.path.join(d, "b.csv"), "b,a\n1,2\n")
+    with pytest.raises(scsv.SchemaMismatch):
+        scsv.read_csv(spark, d)
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    from layerflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
 
 
 def test_no_python_udf_in_model_plans(spark, sf_dir):
@@ -164,8 +222,14 @@ def test_vacuum_drops_old_versions(spark):
     a = spark.range(3).toDF("x")
     store.build_and_publish("rel", {"a": a})
     store.build_and_publish("rel", {"a": a.limit(1)})
-    dropped = store.vacuum("rel", keep=1)
+    assert store.vacuum("rel", keep=1) == []               # too young: another run may still write it
+    dropped = store.vacuum("rel", keep=1, min_age=0)
     assert len(dropped) == 1 and store.table("rel", "a").count() == 1
+    # committed increments are live, whatever layer state names them
+    store.commit_increment("rel", "inc", a, "x", done=False)
+    store.guarded_load("rel", "b", a)
+    store.vacuum("rel", keep=1, min_age=0)
+    assert store.increments("rel", "inc").count() == 3 and store.high_water_mark("rel", "inc") == 2
 
 
 def test_constraint_gate(spark):
@@ -196,8 +260,8 @@ def test_csv_separator_and_encoding(spark):
 def test_check_details(spark):
     rep = checks.with_details(checks.run_checks(_layers(spark, "V2"), "2026-01-01 00:00:00"))
     d = {r.check_name: r.detail for r in rep.collect()}
-    assert d["raw.propriedades has at least 10 rows"] == "5 rows"
-    assert d["reviews: raw -> clean"] == "ok: row delta 0"
+    assert d["raw.propriedades: at least 10 rows"] == "5 rows"
+    assert d["raw/clean.reviews: equal row counts"] == "ok: row delta 0"
 
 
 def test_dense_ids_presorted_matches_sorted(spark):
@@ -211,9 +275,9 @@ def test_dense_ids_presorted_matches_sorted(spark):
 
 def test_csv_windows_line_endings(spark):
     d = tempfile.mkdtemp()
-    p = _write(os.path.join(d, "m.csv"), 'IdFLH,IdAvantio\r\n1,5000\r\n2,"50\r\n01"\r\n')
+    p = _write(os.path.join(d, "m.csv"), 'Internal Id,External Id\r\n1,5000\r\n2,"50\r\n01"\r\n')
     df = scsv.read_csv_all_string(spark, p)
-    assert df.columns == ["idflh", "idavantio"]
+    assert df.columns == ["internal_id", "external_id"]
     # row-ending CRLFs leave no stray \r; a CRLF inside a quoted value is
     # normalised to \n by Spark's CSV parser
     assert sorted(tuple(r) for r in df.collect()) == [("1", "5000"), ("2", "50\n01")]

@@ -4,11 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from layerflow.plans.catalog import QUERIES
+from layerflow.plans.oracle import ORACLE
 from tools.compare import TABLES, digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
@@ -20,6 +19,7 @@ def con(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
