@@ -12,12 +12,14 @@ document with a smaller id; strings are judged on the whole input.
 2. Transforms. Pieces are dealt to buckets by anchor, so all equal spans meet.
    In a bucket the distinct pieces are cut into shards, and each shard's
    suffixes are sorted once into its Burrows-Wheeler transform. The shards are
-   merged by interleave refinement: round h reads the preceding byte of every
-   suffix in the present order and deals the rows out by it, which leaves all
-   suffixes of all shards in the order of their first h bytes. A boundary
-   that appears in round h is a common prefix of h - 1 bytes. After ``SPAN``
-   rounds the stretches without a boundary are the intervals of equal spans;
-   the smallest document id of an interval decides. No suffix is sorted again.
+   merged by interleave refinement: a round reads the two bytes before every
+   suffix in the present order and deals the rows out by them, which leaves all
+   suffixes of all shards in the order of two more bytes. A boundary that
+   appears in round r is a common prefix of 2 (r - 1) bytes or one more. After
+   ``SPAN / 2`` rounds the stretches without a boundary are the intervals of
+   equal spans; the smallest document id of an interval decides. No suffix is
+   sorted again. A piece whose anchor has no other text has nothing to be
+   merged with: its spans are repeated where the whole piece is.
 3. Removal. The spans to remove are put together per document and cut out.
 
 Equal texts are one document in steps 1 and 2 (the smallest id stands for
@@ -250,10 +252,13 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---- transforms -----------------------------------------------------------
 
-def transform(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A shard's transform: for each suffix in order the preceding code (0 at a
-    start), its string and its offset. Codes are bytes plus one; a string's end
-    sorts before every code, ends of several strings in the order of strings."""
+def transform(codes: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """A shard's transform: for each suffix in order the two preceding codes as
+    one number, the row of the suffix that starts with them (the mapping from
+    last to first column, twice), its string and its offset; and for each string
+    the rows of its end and of its last code, and that code. Codes are bytes plus
+    one; a string's end sorts before every code, ends of several strings
+    in the order of strings."""
     lengths = np.array([len(c) for c in codes])
     width = int(lengths.max()) + 1
     padded = np.zeros((len(codes), 2 * width), np.uint8)
@@ -264,34 +269,42 @@ def transform(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     suffixes = np.lib.stride_tricks.sliding_window_view(padded, width, axis=1)[string, offset]
     order = np.argsort(np.ascontiguousarray(suffixes).view(f"S{width}").ravel(), kind="stable")
     string, offset = string[order], offset[order]
-    return np.where(offset > 0, padded[string, np.maximum(offset, 1) - 1], 0).astype(np.uint8), string, offset
-
-
-def merged(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave the suffixes of all shards by their first ``rounds`` codes:
-    their rows in merged order, and the common prefix of each with the one
-    before it (``rounds`` where no boundary has appeared)."""
-    codes = np.concatenate([s[0] for s in shards])
-    rows_of = np.array([len(s[0]) for s in shards])
-    kind = np.uint8 if len(shards) <= 1 << 8 else np.uint16 if len(shards) <= 1 << 16 else np.uint32
-    shard = np.repeat(np.arange(len(shards), dtype=kind), rows_of)
-    ends = np.repeat(np.arange(len(shards), dtype=kind), [int((s[0] == 0).sum()) for s in shards])
-    n, n_ends = len(codes), len(ends)
-    block, prefix = np.zeros(n, np.int32), np.full(n, rounds, np.int16)
-    row = np.empty(n, np.int64)
-    for h in range(1, rounds + 1):
-        row[np.argsort(shard, kind="stable")] = np.arange(n)
-        before = codes[row]
-        order = np.argsort(before, kind="stable")
-        shard = shard[order]
-        shard[:n_ends] = ends  # the ends of strings keep the order of strings
-        before, block = before[order], block[order]
+    pair = padded[string, np.maximum(offset, 2) - 2].astype(np.uint16) << 8 | padded[string, np.maximum(offset, 2) - 1]
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    place = np.empty(len(string), np.int32)
+    place[starts[string] + offset] = np.arange(len(string))
+    return (pair, place[starts[string] + np.maximum(offset, 2) - 2], string, offset,
+            place[starts + lengths], place[starts + lengths - 1], padded[np.arange(len(codes)), lengths - 1])
+
+
+def merged(shards: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave the suffixes of all shards by their first ``length`` (even)
+    codes: their rows in merged order, and a lower bound of the common prefix
+    of each with the one before it, exact to two codes (``length`` where no
+    boundary has appeared)."""
+    base = np.cumsum([0, *(len(s[0]) for s in shards)])
+    pairs = np.concatenate([s[0] for s in shards])
+    two_before = np.concatenate([s[1] + np.int32(b) for s, b in zip(shards, base, strict=False)])
+    long = np.concatenate([s[3] for s in shards]) >= 2       # rows with two codes before them
+    # suffixes of no and of one code have no suffix two further: they come first, in the order of strings
+    short_row = np.concatenate([s[i] + b for i in (4, 5) for s, b in zip(shards, base, strict=False)]).astype(np.int32)
+    last = np.concatenate([s[6] for s in shards]).astype(np.uint16) << 8
+    short_pair = np.concatenate([np.zeros(len(last), np.uint16), last])
+    n, n_short = len(pairs), len(short_row)
+    block, prefix = np.zeros(n, np.int32), np.full(n, length, np.int16)
+    row = np.arange(n, dtype=np.int32)
+    for done in range(0, length, 2):
+        moving = long[row]
+        before = row[moving]
+        key = np.concatenate([short_pair, pairs[before]])
+        order = np.argsort(key, kind="stable")
+        row = np.concatenate([short_row, two_before[before]])[order]
+        block = np.concatenate([np.arange(-n_short, 0, dtype=np.int32), block[moving]])[order]   # short ones are apart
+        key = key[order]
         edge = np.ones(n, bool)
-        edge[1:] = (before[1:] != before[:-1]) | (block[1:] != block[:-1])
-        edge[:n_ends + 1] = True
-        prefix[edge & (prefix == rounds)] = h - 1
+        edge[1:] = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+        prefix[edge & (prefix == length)] = done
         block = np.cumsum(edge, dtype=np.int32)
-    row[np.argsort(shard, kind="stable")] = np.arange(n)
     return row, prefix
 
 
@@ -304,8 +317,8 @@ def smallest_owner(strings: list[bytes], owners: np.ndarray, span: int) -> list[
     edges = [0, *cut.tolist(), len(codes)]
     shards = [transform(codes[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
     row, prefix = merged(shards, span)
-    string = np.concatenate([s[1] + a for s, a in zip(shards, edges, strict=False)])[row]
-    offset = np.concatenate([s[2] for s in shards])[row]
+    string = np.concatenate([s[2] + a for s, a in zip(shards, edges, strict=False)])[row]
+    offset = np.concatenate([s[3] for s in shards])[row]
     starts = np.flatnonzero(prefix < span)
     least = np.repeat(np.minimum.reduceat(owners[string], starts), np.diff(np.append(starts, len(row))))
     lengths = np.array([len(c) for c in codes])
@@ -418,12 +431,14 @@ def _cuts(parts: int):
 
 def _least(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
     """smallest_owner in batches of whole anchors: equal spans have equal
-    anchors, so no span is missed."""
+    anchors, so no span is missed, and a lone piece is its own."""
     if not strings:
         return []
     anchor = anchors_of(strings)
+    out = [np.full(len(s) - SPAN + 1, o, np.int64) for s, o in zip(strings, owner.tolist(), strict=True)]
     order = np.argsort(anchor, kind="stable")
-    out: list[np.ndarray] = [None] * len(strings)  # type: ignore[list-item]
+    starts, stops = _runs(anchor[order])
+    order = order[np.repeat(stops - starts > 1, stops - starts)]
     held, size = [], 0
     for n, i in enumerate(order.tolist()):
         if size >= BATCH_CHARS and anchor[i] != anchor[order[n - 1]]:
@@ -432,8 +447,9 @@ def _least(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
             held, size = [], 0
         held.append(i)
         size += len(strings[i])
-    for j, x in zip(held, smallest_owner([strings[j] for j in held], owner[held], SPAN), strict=True):
-        out[j] = x
+    if held:
+        for j, x in zip(held, smallest_owner([strings[j] for j in held], owner[held], SPAN), strict=True):
+            out[j] = x
     return out
 
 
