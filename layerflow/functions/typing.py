@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the numeric shapes accepted before any cast.
 NUMERIC_SHAPE = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
-INFINITY_SHAPE = r"(?i)^[-+]?(inf|infinity)$"
+INFINITY_SHAPE = r"^[-+]?(?i:inf|infinity)$"
 # Fixed value: what the reference strips, Unicode spaces and the four separators.
 EDGE_SPACE = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 
@@ -83,6 +83,13 @@ def to_strict_bigint(c) -> Column:
     return _c(c).cast("bigint")
 
 
+def is_failed_int(c, target: str = "bigint") -> Column:
+    """Whether :func:`to_nullable_int_error` has a reason, for trimmed text (a
+    shorter expression: it stands in filters)."""
+    t = _c(c)
+    return F.coalesce(t.rlike(NUMERIC_SHAPE + "|" + INFINITY_SHAPE), F.lit(False)) & to_nullable_int(t, target, True).isNull()
+
+
 def length_violation(c, max_len: int) -> Column:
     """true where the text is longer than the column size."""
     return F.coalesce(F.length(_c(c)) > max_len, F.lit(False))

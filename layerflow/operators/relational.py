@@ -7,6 +7,8 @@ keys by exact distinct counts, foreign keys by anti joins, column sizes by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,14 +95,19 @@ def int_errors(df: DataFrame, ints: dict[str, str]) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def split_errors(df: DataFrame, table: str, key: str, error: Column) -> tuple[DataFrame, DataFrame]:
+def _failed(df: DataFrame, ints: dict[str, str]) -> Column:
+    """Whether any column has a value that its integer type cannot hold."""
+    flags = [ft.is_failed_int(c, t) if c.startswith(_TRIMMED) else int_error(df, c, t).isNotNull() for c, t in ints.items()]
+    return reduce(lambda a, b: a | b, flags, F.lit(False))
+
+
+def split_errors(df: DataFrame, table: str, key: str, error: Column, failed: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows without an ``error``, and the dead letter of the others
-    (failed_at, table_name, key, error)."""
-    tagged = df.withColumn("__error", error)
-    bad = tagged.where(F.col("__error").isNotNull()).select(
-        F.current_timestamp().alias("failed_at"), F.lit(table).alias("table_name"),
-        F.col(key).cast("string").alias("key"), F.col("__error").alias("error"))
-    return tagged.where(F.col("__error").isNull()).drop("__error"), bad
+    (failed_at, table_name, key, error); ``failed``: a cheaper test of them."""
+    failed = error.isNotNull() if failed is None else failed
+    bad = df.where(failed).select(F.current_timestamp().alias("failed_at"), F.lit(table).alias("table_name"),
+                                  F.col(key).cast("string").alias("key"), error.alias("error"))
+    return df.where(~failed), bad
 
 
 def _typed(clean: DataFrame, table: str, key: str, ints: dict[str, str], others: dict) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +116,8 @@ def _typed(clean: DataFrame, table: str, key: str, ints: dict[str, str], others:
     here = {c: t for c, t in ints.items() if c in clean.columns}
     texts = {c: _TRIMMED + c for c in here if isinstance(_dtype(clean, c), T.StringType)}
     work = clean.withColumns({w: ft.trimmed(c) for c, w in texts.items()}) if texts else clean
-    good, bad = split_errors(work, table, key, int_errors(work, {texts.get(c, c): t for c, t in here.items()}))
+    read = {texts.get(c, c): t for c, t in here.items()}
+    good, bad = split_errors(work, table, key, int_errors(work, read), _failed(work, read))
     conv = {c: to_int(good, texts.get(c, c), t) for c, t in here.items()}
     conv |= {c: rule(good, c) for c, rule in others.items() if c in clean.columns}
     return good.withColumns(conv).drop(*texts.values()), bad

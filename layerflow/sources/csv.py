@@ -31,14 +31,9 @@ class CsvRead:
     rejects: DataFrame   # source, record (JSON array of the fields read), error
 
 
-# A field value that no file holds: every field that is there, the empty one
-# included, then reads as not NULL, and one too many can be told from none.
-_NO_FIELD = "\ue000"
-
-
 def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
     return (spark.read.option("sep", sep).option("encoding", encoding)
-            .option("quote", '"').option("escape", '"').option("nullValue", _NO_FIELD).option("emptyValue", "")
+            .option("quote", '"').option("escape", '"')
             .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
 
 
@@ -63,8 +58,8 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UT
     """Header row, all columns STRING, NA tokens -> NULL, names by P2.
     S7: ``expected_columns`` missing after cleaning raises, listing both sets;
     so do files of one folder whose headers differ. A record with more fields
-    than the header is a reject (the reference's reader fails on it); missing
-    fields at the end are NULL.
+    than the header is a reject (the reference's reader fails on it), unless the
+    surplus is empty and nothing is lost; missing fields at the end are NULL.
 
     ``multi_line`` keeps quoted newlines (one task per file); pass False for
     very large single files without embedded newlines to split them.

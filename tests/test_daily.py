@@ -70,7 +70,7 @@ def test_daily_run(spark):
     assert res.model.store.table("docs", "fields__quarantine").count() == 1
     assert tuple(res.model.store.table("ingest", "shred_counts").first()) == (6, 0, 0)
     filled = {r.column_name: r.filled for r in res.model.store.table("ingest", "filled_flags").collect()}
-    assert filled == {"is_inactive": 0, "has_washing_machine": 0, "has_dishwasher": 0, "has_air_conditioning": 0, "has_self_checkin": 1}
+    assert filled == {"is_inactive": 0, "has_washing_machine": 0, "has_dishwasher": 1, "has_air_conditioning": 0, "has_self_checkin": 1}
 
 
 def test_daily_second_run_merges_new_pages(spark):
