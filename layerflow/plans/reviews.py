@@ -230,11 +230,17 @@ def clean_layer(m: Model) -> Model:
 
 def rel_layer(m: Model) -> Model:
     """The typed tables, and one dead letter for the rows of all of them that
-    an integer column cannot hold."""
+    an integer column cannot hold; the aspects of such a review go with it."""
     builders = {"properties": orl.build_properties, "property_id_mapping": orl.build_mapping,
                 "reviews": orl.build_reviews, "review_aspects": orl.build_aspects}
     for table, build in builders.items():
         m.rel[table], bad = build(m.clean[table])
+        if table == "reviews":
+            lost = bad.select(F.col("key").alias("review_id"))
+        if table == "review_aspects":
+            gone = m.rel[table].join(lost, "review_id", "left_semi")
+            m.rel[table] = m.rel[table].join(lost, "review_id", "left_anti")
+            bad = bad.unionByName(orl.split_errors(gone, table, "aspect_id", F.lit("its review is in the dead letter"))[1])
         m.dead_letter = bad if m.dead_letter is None else m.dead_letter.unionByName(bad)
     return m
 

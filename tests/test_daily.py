@@ -251,7 +251,9 @@ def test_dead_letter_of_all_tables_and_csv_rejects(spark):
     res = daily.run(spark, *args, as_of="2026-01-01 00:00:00", build_star=False)
     got = {(r.table_name, r.key, r.error) for r in res.model.dead_letter.collect()}
     assert got == {("properties", "2.5", "fractional value in property_id"), ("property_id_mapping", "2", "not a number in external_property_id"),
-                   ("reviews", "r2", "fractional value in booking_id"), ("reviews", "r3", "infinite value in booking_id")}
+                   ("reviews", "r2", "fractional value in booking_id"), ("reviews", "r3", "infinite value in booking_id"),
+                   *(("review_aspects", str(i), "its review is in the dead letter") for i in (3, 4, 5, 6))}
+    assert {r.review_id for r in res.model.rel["review_aspects"].collect()} == {"r1"}
     assert sorted(r.property_id for r in res.model.rel["properties"].collect()) == [1, 3000000000]   # ids are BIGINT
     rejects = res.model.store.table("ingest", "csv_rejects").collect()
     assert [(r.table_name, json.loads(r.record)) for r in rejects] == [("propriedades", ["4", "d", "surplus"])]
