@@ -26,8 +26,10 @@ two classes or more. First every class is compared with the hub of its list
 within a band of sizes, the class whose lists are longest: in a group of near
 copies that is the least edited one. Then, once components of those links are
 known, only pairs from different components are, of which one is outside the
-component most common on the list. A group of thousands of copies so costs a
-few comparisons each. Every pair is settled by its whole sets.
+component most common on the list, and neither of which has more shingles of
+its own alone than a link allows (known for shingles that are not common, where
+the other's prefix reaches common ones). A group of thousands of copies so
+costs a few comparisons each. Every pair is settled by its whole sets.
 
 Defined results: words are maximal runs outside ``\\x20 \\x09-\\x0D`` with A-Z
 in lower case; text with fewer than five words has one shingle, null, empty or
@@ -192,7 +194,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield common()
 
 
-_PACKED = "bucket int, tokens binary, nodes binary, sizes binary"
+_PACKED = "bucket int, tokens binary, nodes binary, sizes binary, rares binary"
 
 
 def _lister(sent, buckets: int, light: int):
@@ -201,20 +203,20 @@ def _lister(sent, buckets: int, light: int):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, levels = sent.value
-        tokens, nodes, sizes, held, seen = [], [], [], 0, set()
+        tokens, nodes, sizes, rares, held, seen = [], [], [], [], 0, set()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            t, d, n = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(sizes)
+            t, d, n, z = (np.concatenate(x) for x in (tokens, nodes, sizes, rares))
             bucket = ((t >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            t, d, n, bucket = t[order], d[order], n[order], bucket[order]
+            t, d, n, z, bucket = t[order], d[order], n[order], z[order], bucket[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             starts, stops = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(bucket)]])
             for at in range(0, len(starts), 4096):
                 s, e = starts[at:at + 4096], stops[at:at + 4096]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket[s])] + [pa.array([x[a:b].tobytes() for a, b in zip(s, e, strict=True)], pa.binary())
-                                             for x in (t, d, n)], names=["bucket", "tokens", "nodes", "sizes"])
+                                             for x in (t, d, n, z)], names=["bucket", "tokens", "nodes", "sizes", "rares"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -230,14 +232,17 @@ def _lister(sent, buckets: int, light: int):
                 if len(common):
                     at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
                     level = np.where(common[at] == shingles, levels[at], 0)
-                chosen = shingles[np.lexsort((shingles, level))[:int(prefix(n))]]
+                order = np.lexsort((shingles, level))[:int(prefix(n))]
+                chosen, rare = shingles[order], level[order] == 0
+                # how many shingles are not common, whether common ones follow, and whether this one is not common
+                rares.append((int(rare.sum()) << 2 | (0 if rare.all() else 2) | rare).astype(np.uint32))
                 tokens.append(chosen)
                 nodes.append(np.full(len(chosen), node, np.int64))
                 sizes.append(np.full(len(chosen), n, np.uint32))
                 held += len(chosen)
                 if held > POSTINGS:
                     yield from flush()
-                    tokens, nodes, sizes, held, seen = [], [], [], 0, set()
+                    tokens, nodes, sizes, rares, held, seen = [], [], [], [], 0, set()
         if held:
             yield from flush()
 
@@ -261,21 +266,22 @@ def _enumerator(light: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings (token, node, n) of the lists that hold several classes; the
-    rows of a bucket follow each other."""
+    """Postings (token, node, n, rare) of the lists that hold several classes;
+    the rows of a bucket follow each other."""
     def lists(rows: list[tuple]) -> pa.RecordBatch:
         t = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
         d = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
-        n = np.frombuffer(b"".join(r[2] for r in rows), np.uint32)
+        n, z = (np.frombuffer(b"".join(r[i] for r in rows), np.uint32) for i in (2, 3))
         order = np.lexsort((d, t))
-        t, d, n = t[order], d[order], n[order]
+        t, d, n, z = t[order], d[order], n[order], z[order]
         same = t[1:] == t[:-1]
         once = np.concatenate([[True], ~(same & (d[1:] == d[:-1]))])
-        t, d, n = t[once], d[once], n[once]
+        t, d, n, z = t[once], d[once], n[once], z[once]
         same = t[1:] == t[:-1]
         several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         return pa.RecordBatch.from_arrays([pa.array(t[several].view(np.int64)), pa.array(d[several]),
-                                           pa.array(n[several].astype(np.int64))], names=["token", "node", "n"])
+                                           pa.array(n[several].astype(np.int64)), pa.array(z[several].astype(np.int64))],
+                                          names=["token", "node", "n", "rare"])
 
     bucket, held = None, []
     for batch in batches:
@@ -337,7 +343,7 @@ def _counted(pairs: DataFrame) -> DataFrame:
     that share enough: of the set whose prefix ends first in the order, the
     prefix shingles that are not shared are not in the other set at all, and
     the rest of it is n - prefix(n) = ceil(4 n / 5) - share(n) shingles."""
-    rest = F.ceil(4 * F.greatest("n", "m") / 5) - _share(F.greatest("n", "m"))
+    rest = F.greatest(*[F.ceil(4 * F.col(c) / 5) - _share(F.col(c)) for c in ("n", "m")])
     enough = F.greatest(F.least(_share(F.col("n")), _share(F.col("m"))), F.ceil(4 * (F.col("n") + F.col("m")) / 9) - rest)
     return pairs.where((5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))).groupBy("u", "v") \
         .agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).where(F.col("c") >= enough).select("u", "v")
@@ -346,7 +352,11 @@ def _counted(pairs: DataFrame) -> DataFrame:
 def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int) -> DataFrame:
     packed = docs.select("text").mapInArrow(_lister(hot, buckets, light), _PACKED)
     shared = staged(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_shared, "token bigint, node bigint, n bigint"), "lists")
+                    .mapInArrow(_shared, "token bigint, node bigint, n bigint, rare bigint"), "lists")
+    bounds = staged(shared.groupBy("node").agg(F.first("n").alias("n"), F.max(F.shiftright("rare", 1)).alias("z"),
+                                               F.sum(F.col("rare").bitwiseAND(F.lit(1))).alias("held"))
+                    .select("node", (F.col("n") - F.shiftright("z", 1) + F.col("held")).alias("most"),
+                            (F.col("z").bitwiseAND(F.lit(1)) > 0).alias("deep")), "bounds")
     for _ in range(2):  # a class linked with any other shares enough shingles with other classes
         able = shared.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("size")).where(F.col("c") >= _share(F.col("size")))
         shared = shared.join(able.select("node"), "node", "left_semi")
@@ -371,14 +381,23 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int
     links = _settle(first, texts, "first-links")
     known = components(links)
 
-    named = staged(shared.join(known, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("component")), "lists")
+    named = staged(shared.join(known, "node", "left").join(bounds, "node")
+                   .select("token", "node", "n", "most", "deep", F.coalesce("component", "node").alias("component")), "lists")
     groups = named.groupBy("token", "component").agg(F.count("*").alias("c"))
     split = groups.groupBy("token").agg(F.count("*").alias("several"), F.max_by("component", F.struct("c", "component")).alias("main")) \
         .where("several > 1").select("token", "main")
     mixed = staged(named.join(split, "token"), "mixed-lists")
-    minor = mixed.where("component <> main").select("token", F.col("node").alias("u"), "n", F.col("component").alias("cu"))
-    rest = mixed.select("token", F.col("node").alias("v"), F.col("n").alias("m"), F.col("component").alias("cv"), "main")
-    crossed = minor.join(rest, "token").where("cu <> cv and (cv = main or u < v)").select("u", "v", "n", "m")
+    minor = mixed.where("component <> main").select("token", F.col("node").alias("u"), "n", F.col("component").alias("cu"),
+                                                    F.col("most").alias("most_u"), F.col("deep").alias("deep_u"))
+    rest = mixed.select("token", F.col("node").alias("v"), F.col("n").alias("m"), F.col("component").alias("cv"), "main",
+                        F.col("most").alias("most_v"), F.col("deep").alias("deep_v"))
+    # a partner whose prefix reaches common shingles holds none of the other's unshared rare ones
+    able = "(not deep_v or 9 * most_u >= 4 * (n + m)) and (not deep_u or 9 * most_v >= 4 * (n + m))"
+    crossed = minor.join(rest, "token").where(f"cu <> cv and (cv = main or u < v) and {able}")
+    # one pair meets as (u, v) on some lists and as (v, u) on others: count it as one
+    ahead = F.col("u") < F.col("v")
+    crossed = crossed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
+                             F.when(ahead, F.col("n")).otherwise(F.col("m")).alias("n"), F.when(ahead, F.col("m")).otherwise(F.col("n")).alias("m"))
     return links.union(_settle(_counted(crossed), texts, "cross-links"))
 
 

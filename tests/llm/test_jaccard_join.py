@@ -122,3 +122,16 @@ def test_query_matches_sql(spark, sf_dir):
     cur = con.execute(E.oracle_sql()["op5_jaccard_join"])
     names = [d[0] for d in cur.description]
     assert sorted(tuple(r) for r in E.queries()["op5_jaccard_join"](spark, sf_dir).select(*names).collect()) == sorted(cur.fetchall())
+
+
+def test_large_groups_with_common_shingles(spark, monkeypatch):
+    """Groups in which most shingles are common, with copies on either side of
+    the limit: the bound by unshared shingles must lose no link."""
+    monkeypatch.setattr(m, "COMMON_AT_ALL", 4)  # read on the driver
+    rows = []
+    for g in range(3):
+        base = prose(900 + g, 90 + 30 * g)
+        for i in range(30):
+            rows.append((len(rows), edited(base, 40 * g + i, i % 8)))
+        rows += [(len(rows) + i, edited(edited(base, 40 * g + i, 5), 7, 1)) for i in range(6)]  # twins by a shared edit
+    assert run(spark, rows) == expected(rows)
