@@ -19,6 +19,5 @@ QUERIES = {
 
 ORACLE = {
     "op5_jaccard_join": jaccard_join.ORACLE,
-    "op6_language_id": language_id.op6_language_id,
     "op7_decontaminate": decontaminate.ORACLE,
 }
