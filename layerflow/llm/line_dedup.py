@@ -1,17 +1,23 @@
-"""Line dedup by content-defined chunks of lines.
-
-A rolling hash over the hashes of ``WINDOW`` neighbouring lines ends a chunk
-wherever it is divisible by ``DIVISOR``: boundaries depend on the lines around
-them alone, so an insertion elsewhere in a document does not shift them. A
-chunk of several lines (at least ``MIN_LINES`` that are not blank) that also
-occurs earlier - in a smaller document id, or further up in the same document -
-is removed after its bytes have been compared with those of the first
-occurrence. Chunks of one line always stay.
-
-The first pass ships 16-byte chunk hashes only; texts are dealt out by
-document once, and that exchange serves both the fetching of the chunks to
-compare and the removal. A chunk that a third of the rows hold is met by the
-map-side minimum and by the splitting of skewed joins.
+"""Line dedup: runs of lines that occur earlier are removed.
+
+A rolling hash over ``WINDOW`` neighbouring lines that are not blank (with the
+blank lines between them) anchors every place of a document. An anchor that
+occurs earlier - in a smaller document id, or further up in the same document
+without overlap - is a repeat; repeats that follow each other here and at their
+first occurrences are one run, as long as both sides go on alike. The bytes of
+a run are compared with those of its first occurrence, then all its lines go.
+So every run of ``MIN_LINES`` or more lines goes that an earlier document
+holds, wherever it begins or ends.
+
+Lines that repeat alone, between lines that do not, always stay, and so do
+blank lines around a run. The earliest occurrence of a line is never removed.
+The content-defined chunks (``chunks_of``) only count how much of a document
+is gone.
+
+The first pass ships 16-byte hashes only; texts are dealt out by document
+once, and that exchange serves both the fetching of the runs to compare and the
+removal. A run that a third of the rows hold is met by the map-side minimum and
+by the splitting of skewed joins.
 
 Defined results: null text stays null and has no lines; empty text has one
 blank line and stays; kept lines are joined by line feeds; a document may
@@ -57,7 +63,15 @@ def multi_line(lines: list[bytes], start: int, stop: int) -> bool:
     return stop - start >= MIN_LINES and sum(1 for x in lines[start:stop] if x.strip()) >= MIN_LINES
 
 
-_CHUNKS = "doc_id bigint, text_hash bigint, no int, chunk binary"
+def anchors_of(lines: list[bytes]) -> tuple[list[int], list[bytes]]:
+    """The numbers of the lines that are not blank, and the hash of each
+    ``MIN_LINES`` of them that follow each other, from the first to the last
+    byte; the anchor ``i`` starts at the ``i``-th line that is not blank."""
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    return full, [xxhash.xxh3_128_digest(b"\n".join(lines[a:b + 1])) for a, b in zip(full, full[MIN_LINES - 1:], strict=False)]
+
+
+_ANCHORS = "doc_id bigint, text_hash bigint, no int, anchor binary"
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,33 +80,62 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text_hash, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             if text is None:
                 continue
-            lines, parts = chunks_of(text)
-            for no, (a, b) in enumerate(parts):
-                if multi_line(lines, a, b):
-                    for held, value in zip(rows, (doc_id, text_hash, no, xxhash.xxh3_128_digest(b"\n".join(lines[a:b]))), strict=True):
-                        held.append(value)
+            anchors = anchors_of(text.split(b"\n"))[1]
+            for held, values in zip(rows, ([doc_id] * len(anchors), [text_hash] * len(anchors), range(len(anchors)), anchors), strict=True):
+                held.extend(values)
         yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                                         names=["doc_id", "text_hash", "no", "chunk"])
+                                         names=["doc_id", "text_hash", "no", "anchor"])
+
+
+def runs_of(repeats: list[tuple]) -> list[tuple]:
+    """Repeated anchors (no, id, hash and no of the first occurrence) of one
+    document -> its runs (first anchor, anchors, id, hash and anchor there)."""
+    runs: list[list] = []
+    for no, *source, at in sorted(repeats, key=lambda r: r[0]):
+        if runs and runs[-1][2:4] == source and no == runs[-1][0] + runs[-1][1] and at == runs[-1][4] + runs[-1][1]:
+            runs[-1][1] += 1
+        else:
+            runs.append([no, 1, *source, at])
+    return [tuple(r) for r in runs]
+
+
+_RUN = pa.list_(pa.struct([("no", pa.int32()), ("n", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32())]))
+
+
+def _joiner():
+    @F.arrow_udf("array<struct<no:int,n:int,doc_id:bigint,text_hash:bigint,at:int>>")
+    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for repeats in batches:
+            rows = [runs_of([(r["no"], r["doc_id"], r["text_hash"], r["at"]) for r in x]) for x in repeats.to_pylist()]
+            yield pa.array([[dict(zip(("no", "n", "doc_id", "text_hash", "at"), r, strict=True)) for r in x] for x in rows], _RUN)
+
+    return joined
 
 
 def _fetcher(text: str):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_hash", "no", "chunk", "first", "body"]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_(), pa.binary())
+        names = ["doc_id", "text_hash", "no", "n", "source", "first", "body"]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.binary())
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [], [])
+            rows: tuple[list, ...] = ([], [], [], [], [], [], [])
             texts = batch.column(0).field(text)
             for i, (doc_id, text_hash, wanted) in enumerate(zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)):
-                lines, parts = chunks_of(texts[i].as_py().encode())
+                lines = texts[i].as_py().encode().split(b"\n")
+                full = anchors_of(lines)[0]
                 for w in wanted:
-                    body = b"\n".join(lines[slice(*parts[w["no"]])])
-                    for held, value in zip(rows, (doc_id, text_hash, w["no"], w["chunk"], w["first"], body), strict=True):
+                    body = b"\n".join(lines[slice(*span(full, w["no"], w["n"]))])
+                    for held, value in zip(rows, (doc_id, text_hash, w["no"], w["n"], w["source"], w["first"], body), strict=True):
                         held.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, kinds, strict=True)], names=names)
 
     return fetch
 
 
+def span(full: list[int], no: int, n: int) -> tuple[int, int]:
+    """Start and stop line of a run of ``n`` anchors from anchor ``no`` on."""
+    return full[no], full[no + n + MIN_LINES - 2] + 1
+
+
 _KEPT = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("n_chunks", pa.int64()), ("n_removed_chunks", pa.int64()),
                    ("n_removed_lines", pa.int64())])
 
@@ -102,16 +145,20 @@ def _keeper():
     def kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, gone in batches:
             rows = []
-            for text, nos in zip(texts, gone.to_pylist(), strict=True):
+            for text, runs in zip(texts, gone.to_pylist(), strict=True):
                 text = text.as_py()
                 if text is None:
                     rows.append({"text": None, "n_lines": 0, "n_chunks": 0, "n_removed_chunks": 0, "n_removed_lines": 0})
                     continue
                 lines, parts = chunks_of(text.encode())
-                drop = set(nos or ())
-                kept = [x for no, (a, b) in enumerate(parts) if no not in drop for x in lines[a:b]]
-                rows.append({"text": b"\n".join(kept).decode() if drop else text, "n_lines": len(lines), "n_chunks": len(parts),
-                             "n_removed_chunks": len(drop), "n_removed_lines": len(lines) - len(kept)})
+                drop: set[int] = set()
+                if runs:
+                    full = anchors_of(lines)[0]
+                    for r in runs:
+                        drop.update(range(*span(full, r["no"], r["n"])))
+                rows.append({"text": b"\n".join([x for i, x in enumerate(lines) if i not in drop]).decode() if drop else text,
+                             "n_lines": len(lines), "n_chunks": len(parts),
+                             "n_removed_chunks": sum(drop.issuperset(range(a, b)) for a, b in parts) if drop else 0, "n_removed_lines": len(drop)})
             yield pa.array(rows, _KEPT)
 
     return kept
@@ -122,23 +169,32 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     struct ``kept``: the remaining text and counts."""
     key, body = docs[f"`{doc_id}`"].cast("bigint"), docs[f"`{text}`"].cast("string")
     found = staged(docs.select(key, F.xxhash64(body), body.cast("binary")).toDF("doc_id", "text_hash", "text")
-                   .mapInArrow(_hashed, _CHUNKS), "chunks")
+                   .mapInArrow(_hashed, _ANCHORS), "anchors")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "no")
-    several = staged(found.groupBy("chunk").agg(F.min(place).alias("at"), F.count("*").alias("c")).where("c > 1").select("chunk", "at"),
-                     "repeated-chunks")
-    same = (F.col("doc_id").eqNullSafe(F.col("at.doc_id"))) & (F.col("text_hash") == F.col("at.text_hash")) & (F.col("no") == F.col("at.no"))
-    asked = found.join(several, "chunk").select("doc_id", "text_hash", F.struct("no", "chunk", same.alias("first")).alias("w")) \
-        .groupBy("doc_id", "text_hash").agg(F.collect_set("w").alias("wanted"))  # at most the chunks of one document
+    several = staged(found.groupBy("anchor").agg(F.min(place).alias("first"), F.count("*").alias("c")).where("c > 1").select("anchor", "first"),
+                     "repeated-anchors")
+    here = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("text_hash") == F.col("first.text_hash"))
+    repeats = found.join(several, "anchor").where(~here | (F.col("no") >= F.col("first.no") + MIN_LINES)) \
+        .groupBy("doc_id", "text_hash") \
+        .agg(F.collect_set(F.struct("no", "first.doc_id", "first.text_hash", F.col("first.no").alias("at"))).alias("r"))  # at most the anchors of one document
+    run = F.col("run")
+    source = F.concat_ws(" ", F.coalesce(run["doc_id"].cast("string"), F.lit("-")), run["text_hash"], run["at"], run["n"])
+    runs = staged(repeats.select("doc_id", "text_hash", F.explode(_joiner()("r")).alias("run"))
+                  .select("doc_id", "text_hash", "run", source.alias("source")), "runs")
+    sources = runs.select(run["doc_id"].alias("doc_id"), run["text_hash"].alias("text_hash"), run["at"].alias("no"), run["n"].alias("n"),
+                          "source", F.lit(True).alias("first")).distinct()
+    asked = runs.select("doc_id", "text_hash", run["no"], run["n"], "source", F.lit(False)).toDF(*sources.columns).union(sources) \
+        .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("no", "n", "source", "first")).alias("wanted"))
     rows = wrapped(docs, id=key, hash=F.xxhash64(body))
 
     def of_row(other: DataFrame):
         return rows["id"].eqNullSafe(other["doc_id"]) & (rows["hash"] == other["text_hash"])
 
     bodies = rows.join(asked, of_row(asked)).select("row", "doc_id", "text_hash", "wanted").mapInArrow(
-        _fetcher(text), "doc_id bigint, text_hash bigint, no int, chunk binary, first boolean, body binary")
-    first = bodies.where("first").select("chunk", F.col("body").alias("first_body")).dropDuplicates(["chunk"])
-    gone = bodies.where("not first").join(first, "chunk").where("body = first_body") \
-        .groupBy("doc_id", "text_hash").agg(F.collect_set("no").alias("gone"))
+        _fetcher(text), "doc_id bigint, text_hash bigint, no int, n int, source string, first boolean, body binary")
+    first = bodies.where("first").select("source", F.col("body").alias("first_body")).dropDuplicates(["source"])
+    gone = bodies.where("not first").join(first, "source").where("body = first_body") \
+        .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("no", "n")).alias("gone"))
     return rows.join(gone, of_row(gone), "left").select("row", _keeper()(F.col("row")[text], F.col("gone")).alias("kept"))
 
 
@@ -150,6 +206,6 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated chunks; all documents stay."""
+    """Pipeline stage: texts without their repeated runs of lines; all documents stay."""
     kept = dedup_lines(docs)
     return kept.select(*[F.col("kept.text").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

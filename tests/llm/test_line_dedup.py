@@ -63,3 +63,41 @@ def test_query_digest(spark, sf_dir):
     for r in E.queries()["op1_line_dedup"](spark, sf_dir).collect():
         kept = want[(False, r["doc_id"], docs[r["doc_id"]])]
         assert r["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def runs_brute(rows):
+    """Per (null id last, id, text) the lines outside every run of two lines
+    that are not blank (and the blank ones between) which an earlier document
+    or an earlier place of the same one holds; no chunks, no hashes."""
+    def pairs(lines):
+        full = [i for i, x in enumerate(lines) if x.strip()]
+        return [(a, b + 1) for a, b in zip(full, full[1:])]
+
+    earlier, out = [], {}
+    for key in sorted({(d is None, d or 0, t) for d, t in rows if t is not None}):
+        lines = key[2].encode().split(b"\n")
+        gone = set()
+        for a, b in pairs(lines):
+            run = lines[a:b]
+            if any(run == old[i:i + b - a] for old in earlier for i in range(len(old))) or \
+                    any(run == lines[i:j] for i, j in pairs(lines) if j <= a):
+                gone.update(range(a, b))
+        out[key] = b"\n".join(x for i, x in enumerate(lines) if i not in gone).decode()
+        earlier.append(lines)
+    return out
+
+
+def test_every_repeated_run_goes(spark):
+    two = "first shared line of two\nsecond shared line of two"
+    rows = [(200 + i, prose(500 + i, 30) + "\n" + two + "\n" + prose(600 + i, 30)) for i in range(6)]
+    rows += [(210 + i, prose(700 + i, 40) + "\n" + prose(800, 20 + 9 * n) + "\n" + prose(900 + i, 20)) for i, n in enumerate((9, 1, 2, 3, 5, 8))]
+    rows += [(220, "a b\n" * 7 + "c\n\n \nd\n\ne"), (221, "x\nc\n\n \nd\n\ny"), (222, "x\nlone\nz"), (223, "w\nlone\nv"), (224, "c\nd\nq"), (225, "")]
+    rows += [r[:2] for r in corpus() if r[0] is not None and r[0] < 70]
+    got = m.dedup_lines(frame(spark, rows)).select("row.doc_id", "row.text", F.col("kept.text").alias("kept"), "kept.n_removed_lines").collect()
+    want = runs_brute(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["kept"] == (None if r["text"] is None else want[False, r["doc_id"], r["text"]]), r["doc_id"]
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    assert two in kept[200] and not any("of two" in kept[i] for i in range(201, 206))
+    assert kept[222] == "x\nlone\nz" and kept[223] == "w\nlone\nv"  # a single line stays
