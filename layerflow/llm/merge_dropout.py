@@ -2,17 +2,18 @@
 
 The text becomes one symbol per character and the agenda (a heap by piece
 score, then position) joins neighbours whose union is a piece. Each candidate
-popped from the agenda is skipped where a keyed hash of (seed, variant, word,
-piece, position) falls below ``dropout``, so the same seed always gives the
-same segmentation and another seed another one. Without dropout the result is
-that of the sentencepiece library.
+popped from the agenda is skipped with probability ``dropout``, told by a keyed
+hash of (seed, document key, place of the word, number of the candidate), so
+the same seed always gives the same segmentation and another seed another one.
+Without dropout the result is that of the sentencepiece library.
 
 No piece crosses the start of a run of spaces, a line feed or (looked up in
 the model) the end of a word before a point or comma, so texts are encoded word
-by word. Each occurrence of a word takes one of ``variants``
-segmentations, drawn by a hash of the seed, the document key and the word's
-place; segmentations are kept per (variant, word), at most ``KNOWN_WORDS`` of
-them per worker, the oldest (in a corpus: the commonest) longest.
+by word. Every occurrence of a word draws its own dropout; a word may take any
+of the segmentations that dropout can give. A segmentation depends on the word
+and the candidates skipped alone, so those met are kept per worker, at most
+``KNOWN`` of them, the oldest (in a corpus: the commonest) longest.
+``variants`` above 0 lets a word take at most so many segmentations.
 
 Decoding is exact for every text: a character without a piece is written as
 its UTF-8 bytes in byte pieces, and so is a literal U+2581, which would
@@ -39,8 +40,8 @@ from layerflow.llm.common import fresh, mix64, table
 
 SEED = 17
 DROPOUT = 0.1
-VARIANTS = 2
-KNOWN_WORDS = 1_600_000
+VARIANTS = 0
+KNOWN = 1_600_000
 SPACE = "▁"
 _WORDS = re.compile(r"\n| *[^ \n]+| +")
 #: The same, with a cut before a point or comma that follows a Latin letter or a digit.
@@ -48,6 +49,18 @@ _SHORTER = re.compile(r"\n| *[^ \n.,]*[A-Za-z0-9\u00C0-\u024F](?=[.,])|[.,][^ \n
 _ACROSS = re.compile(r"[A-Za-z0-9\u00C0-\u024F][.,]")
 _MASK = (1 << 64) - 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of the probability of a skip, and the candidates that one draw decides.
+_PRECISION = 16
+_DRAWN = 64
+_ROUNDS = (np.arange(1, _PRECISION + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))[:, None]
+_NEXT = np.uint64(0xA0761D6478BD642F)
+
+
+class _Symbols(dict):
+    """Ids of pieces, -1 for a character without one."""
+
+    def __missing__(self, piece: str) -> int:
+        return -1
 
 
 class Segmenter:
@@ -57,8 +70,10 @@ class Segmenter:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.seed, self.variants = seed, variants if dropout else 1
-        self.below = int(dropout * (1 << 32))
+        self.seed, self.variants = seed, variants
+        self.below = min(round(dropout * (1 << _PRECISION)), 1 << _PRECISION)
+        if dropout > 0 and not self.below:
+            raise ValueError(f"dropout below {0.5 / (1 << _PRECISION)} is not told from none")
         self.ids, self.bytes_id = {}, {}
         self.shown: list[bytes] = []
         for i in range(sp.get_piece_size()):
@@ -72,36 +87,66 @@ class Segmenter:
                 self.ids[piece] = i
                 self.shown.append(piece.replace(SPACE, " ").encode())
         order = {score: r for r, score in enumerate(sorted({sp.get_score(i) for i in self.ids.values()}, reverse=True))}
-        self.rank = {i: order[sp.get_score(i)] for i in self.ids.values()}
+        self.rank = [0] * sp.get_piece_size()  # shifted, to be joined with a position
+        for i in self.ids.values():
+            self.rank[i] = order[sp.get_score(i)] << 32
+        self.symbols = _Symbols(self.ids).__getitem__
         self.pairs = {self.ids[piece[:cut]] << 16 | self.ids[piece[cut:]]: i for piece, i in self.ids.items()
                       for cut in range(1, len(piece)) if piece[:cut] in self.ids and piece[cut:] in self.ids}
         self.words = (_WORDS if any(_ACROSS.search(piece) for piece in self.ids) else _SHORTER).findall
         self.dtype = np.dtype("<u2" if sp.get_piece_size() <= 1 << 16 else "<u4")
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def segment(self, word: str, variant: int) -> bytes:
-        """Ids of one word, its spaces written as U+2581. Agenda entries are
+        self.known: dict[str, tuple] = {}  # word -> candidates met, those skipped, ids
+        self.others: dict[str, dict[int, dict[int, bytes]]] = {}  # word -> candidates met (as bits) -> those skipped -> ids
+        self.kept = 0
+
+    def draws(self, keys: np.ndarray) -> np.ndarray:
+        """A number for each key, each of its bits set with probability ``dropout``."""
+        if not 0 < self.below < 1 << _PRECISION:
+            return np.full(len(keys), _MASK if self.below else 0, np.uint64)
+        with np.errstate(over="ignore"):
+            random = mix64(keys + _ROUNDS)
+        out = np.zeros(len(keys), np.uint64)
+        for k in range(_PRECISION):
+            (np.bitwise_or if self.below >> k & 1 else np.bitwise_and)(out, random[k], out=out)
+        return out
+
+    def _further(self, key: int, symbols: int) -> Iterator[int]:
+        """The draws after the first, for a word of so many symbols."""
+        blocks = np.arange(1, 3 * symbols // _DRAWN + 2, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            return iter(self.draws(mix64(np.uint64(key) + blocks * _NEXT)).tolist())
+
+    def segment(self, word: str, draw: int, key: int = 0) -> bytes:
+        return self._merged(word, draw, key)[0]
+
+    def _merged(self, word: str, draw: int, key: int) -> tuple[bytes, int]:
+        """Ids of one word, its spaces written as U+2581, and the number of
+        candidates met; the bits of ``draw``, then of further draws of ``key``,
+        tell which of them are skipped. Agenda entries are
         rank * 2**32 + position; ``here`` holds the piece that the pair at a
         position would become, so entries of pairs that changed are passed over."""
-        find, rank, join, below = self.ids.get, self.rank, self.pairs.get, self.below
-        key = xxhash.xxh3_64_intdigest(f"{self.seed}|{variant}|{word}") if below else 0
-        symbols = [find(c, -1) for c in word]
+        rank, join, below = self.rank, self.pairs.get, self.below
+        met, further = 0, None
+        symbols = list(map(self.symbols, word))
         n = len(symbols)
-        before, after, here = list(range(-1, n - 1)), list(range(1, n + 1)), [-1] * n
-        agenda = []
-        for i in range(n - 1):
-            here[i] = made = join(symbols[i] << 16 | symbols[i + 1], -1)
-            if made >= 0:
-                agenda.append(rank[made] << 32 | i)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        here = [join(a << 16 | b, -1) for a, b in zip(symbols, symbols[1:], strict=False)]
+        agenda = [rank[made] | i for i, made in enumerate(here) if made >= 0]
+        here.append(-1)
         heapify(agenda)
         while agenda:
             entry = heappop(agenda)
             i = entry & 0xFFFFFFFF
             made = here[i]
-            if made < 0 or rank[made] != entry >> 32:
+            if made < 0 or rank[made] | i != entry:
                 continue
             if below:
-                if ((key ^ entry) * 0x9E3779B97F4A7C15 & _MASK) >> 32 < below:
+                if met and not met % _DRAWN:
+                    further = further or self._further(key, n)
+                    draw = next(further)
+                skip = draw >> met % _DRAWN & 1
+                met += 1
+                if skip:
                     here[i] = -1
                     continue
             j = after[i]
@@ -112,58 +157,90 @@ class Segmenter:
                 before[k] = i
                 here[i] = then = join(made << 16 | symbols[k], -1)
                 if then >= 0:
-                    heappush(agenda, rank[then] << 32 | i)
+                    heappush(agenda, rank[then] | i)
             p = before[i]
             if p >= 0:
                 here[p] = then = join(symbols[p] << 16 | made, -1)
                 if then >= 0:
-                    heappush(agenda, rank[then] << 32 | p)
+                    heappush(agenda, rank[then] | p)
         if -1 in symbols:
             out = []
             for c, s in zip(word, symbols, strict=True):
                 out += [self.bytes_id[b] for b in c.encode()] if s == -1 else [s] if s >= 0 else []
         else:
             out = [s for s in symbols if s >= 0]
-        return np.array(out, self.dtype).tobytes()
+        return np.array(out, self.dtype).tobytes(), met
 
     def encode(self, text: str, key: str) -> bytes:
         if not text:
             return b""
         raw = SPACE in text or "\0" in text
         words = self.words(" " + text)
-        if self.variants > 1:
+        if self.below:
             base = np.uint64(xxhash.xxh3_64_intdigest(f"{self.seed}|{key}"))
             with np.errstate(over="ignore"):
-                drawn = (mix64(base + _STEP * np.arange(len(words), dtype=np.uint64)) % np.uint64(self.variants)).tolist()
+                keys = mix64(base + _STEP * np.arange(len(words), dtype=np.uint64))
+            if self.variants:
+                taken = (keys % np.uint64(self.variants)).tolist()
+                keys = np.array([xxhash.xxh3_64_intdigest(f"{self.seed}|{v}|{w}") for w, v in zip(words, taken, strict=True)], np.uint64)
+            draws = self.draws(keys).tolist()
         else:
-            drawn = [0] * len(words)
+            keys, draws = np.zeros(len(words), np.uint64), [0] * len(words)
         if raw:
-            return b"".join([self._exact(w, v) for w, v in zip(words, drawn, strict=True)])
-        known = self.known
-        try:
-            return b"".join([known[v][w] for w, v in zip(words, drawn, strict=True)])
-        except KeyError:
-            self._learn(words, drawn)
-            return b"".join([self.known[v][w] for w, v in zip(words, drawn, strict=True)])
-
-    def _learn(self, words: list[str], drawn: list[int]) -> None:
-        most = KNOWN_WORDS // self.variants
-        for v, kept in enumerate(self.known):
-            if len(kept) > most:
-                self.known[v] = dict(x for x, _ in zip(kept.items(), range(most // 2)))
-        for w, v in zip(words, drawn, strict=True):
-            if w not in self.known[v]:
-                self.known[v][w] = self.segment(w.replace(" ", SPACE), v)
-
-    def _exact(self, word: str, variant: int) -> bytes:
+            return b"".join([self._exact(w, d, k) for w, d, k in zip(words, draws, keys.tolist(), strict=True)])
+        if self.kept > KNOWN:
+            self._forget()
+        out, known, others = [], self.known.get, self.others.get
+        for at, (w, draw) in enumerate(zip(words, draws, strict=True)):
+            first = known(w)
+            if first is not None:
+                if draw & first[0] == first[1]:
+                    out.append(first[2])
+                    continue
+                for met, kept in (others(w) or {}).items():
+                    ids = kept.get(draw & met)
+                    if ids is not None:
+                        break
+                else:
+                    ids = None
+                if ids is not None:
+                    out.append(ids)
+                    continue
+            out.append(self._learn(w, draw, int(keys[at]), first is None))
+        return b"".join(out)
+
+    def _learn(self, word: str, draw: int, key: int, new: bool) -> bytes:
+        """Segment a word and keep the result, unless it took several draws."""
+        ids, met = self._merged(word.replace(" ", SPACE), draw, key)
+        if met <= _DRAWN:
+            bits = (1 << met) - 1
+            self.kept += 1
+            if new:
+                self.known[word] = bits, draw & bits, ids
+            else:
+                self.others.setdefault(word, {}).setdefault(bits, {})[draw & bits] = ids
+        return ids
+
+    def _forget(self) -> None:
+        """Keep the older half of the words."""
+        self.known = dict(x for x, _ in zip(self.known.items(), range(len(self.known) // 2)))
+        self.others = {w: x for w, x in self.others.items() if w in self.known}
+        self.kept = len(self.known) + sum(len(k) for x in self.others.values() for k in x.values())
+        if self.kept > KNOWN // 2:
+            self.others, self.kept = {}, len(self.known)
+
+    def _exact(self, word: str, draw: int, key: int) -> bytes:
         """A word that may hold U+2581 or U+0000 itself: those characters go to
-        byte pieces, what lies between them is segmented."""
+        byte pieces, what lies between them is segmented, each with a draw."""
         out = []
-        for part in re.split(f"([{SPACE}\0])", word):
+        for no, part in enumerate(re.split(f"([{SPACE}\0])", word)):
             if part in (SPACE, "\0"):
                 out.append(np.array([self.bytes_id[b] for b in part.encode()], self.dtype).tobytes())
             elif part:
-                out.append(self.segment(part.replace(" ", SPACE), variant))
+                if no:
+                    key = (key + no * int(_STEP)) & _MASK
+                    draw = int(self.draws(np.array([key], np.uint64))[0])
+                out.append(self.segment(part.replace(" ", SPACE), draw, key))
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:

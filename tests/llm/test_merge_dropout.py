@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers as P
 import sentencepiece
@@ -64,3 +66,40 @@ def test_query(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     made = m.Segmenter(MODEL)
     assert len(got) == len(docs) and all(r["lossless"] and r["n_ids"] == len(ids(made, docs[r["doc_id"]] or "", str(r["doc_id"]))) for r in got)
+
+
+def test_every_occurrence_draws_its_own_dropout():
+    made = m.Segmenter(MODEL)  # as the query and the stage make it
+    word, times = "reconsideration", 4000
+    seen = {}
+    for key in range(40):
+        row = "|".join(LIBRARY.id_to_piece(int(i)) for i in ids(made, " ".join([word] * (times // 40)), str(key)))
+        for taken in row.replace("|\u2581", "\n\u2581").split("\n"):
+            seen[taken] = seen.get(taken, 0) + 1
+    assert len(seen) > 12 and sum(seen.values()) == times
+    # the shares are those of skips drawn by another source, without kept words
+    r, other = random.Random(3), {}
+    for _ in range(times):
+        draw = sum(1 << k for k in range(64) if r.random() < m.DROPOUT)
+        row = np.frombuffer(made.segment("\u2581" + word, draw), made.dtype)
+        taken = "|".join(LIBRARY.id_to_piece(int(i)) for i in row)
+        other[taken] = other.get(taken, 0) + 1
+    assert len(other) > 12
+    assert sum(abs(seen.get(k, 0) - other.get(k, 0)) for k in {*seen, *other}) < 0.25 * times
+
+
+def test_kept_segmentations_do_not_matter(monkeypatch):
+    texts = ["the international reconsideration of the reconsidered " * 30 + "a" * 300 + " ", "\u2581 odd \u2581words reconsideration " * 20, LONG[:5000]]
+    whole = m.Segmenter(MODEL)
+    want = [ids(whole, t, k).tolist() for t in texts for k in "123"]
+    assert [ids(whole, t, k).tolist() for t in texts for k in "123"] == want
+    monkeypatch.setattr(m, "KNOWN", 10)
+    small = m.Segmenter(MODEL)
+    assert [ids(small, t, k).tolist() for t in texts for k in "123"] == want and small.kept <= 10 + 2000
+    assert all(whole.decode(np.array(x)) == t for x, t in zip(want, [t for t in texts for _ in "123"]))
+
+
+def test_draws_have_the_probability_of_dropout():
+    for dropout in (0.1, 0.3, 1.0):
+        bits = np.unpackbits(m.Segmenter(MODEL, 1, dropout).draws(np.arange(20_000, dtype=np.uint64) * np.uint64(977)).view(np.uint8))
+        assert abs(bits.mean() - dropout) < 0.003
