@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,45 +48,42 @@ MIN_LENGTH = 6
 MIN_COUNT = 5
 RATIO = 5
 EVERY = 199
-GROUP = 1024
+GROUP = 256
 CELLS = 1 << 20
 _TILE = 1 << 21
-_HELD = 200_000
+_HELD = 500_000
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _LETTERS = "a-zÀ-ÿ"
 _WORD = "word string, n bigint"
 
 
-def altered(run: str, seed: int, every: int = EVERY) -> str:
-    """The run as it is counted: one code point goes if ``every`` divides its hash."""
-    h = zlib.crc32(run.encode(), seed)
-    if h % every:
-        return run
-    at = h % len(run)
+def without(run: str, at: int) -> str:
+    """The run less one code point."""
     return run[:at] + run[at + 1:]
 
 
 def _counter(min_length: int, every: int):
+    """UTF-8 texts -> partial counts; ``bytes.lower`` touches A-Z alone."""
     runs = re.compile(f"[{_LETTERS}]{{{min_length},}}")
 
-    def batch_of(held: Counter) -> pa.RecordBatch:
+    def batch_of(held: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[str, int] = defaultdict(int)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 if not text.is_valid:
                     continue
                 seed = zlib.crc32(((doc_id.as_py() or "") + ":").encode())
-                for run, n in Counter(runs.findall(text.as_py().translate(_LOWER))).items():
-                    word = altered(run, seed, every)
+                for run, n in Counter(runs.findall(text.as_py().lower().decode())).items():
+                    h = zlib.crc32(run.encode(), seed)
+                    word = run if h % every else without(run, h % len(run))
                     if len(word) >= min_length:
                         held[word] += n
                 if len(held) > _HELD:
                     yield batch_of(held)
-                    held = Counter()
+                    held = defaultdict(int)
         if held:
             yield batch_of(held)
 
@@ -96,7 +93,7 @@ def _counter(min_length: int, every: int):
 def vocabulary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_length: int = MIN_LENGTH,
                min_count: int = MIN_COUNT, every: int = EVERY) -> DataFrame:
     """The words of all texts with their counts ``n``."""
-    return docs.select(F.col(f"`{doc_id}`").cast("string"), F.col(f"`{text}`").cast("string")) \
+    return docs.select(F.col(f"`{doc_id}`").cast("string"), F.col(f"`{text}`").cast("string").cast("binary")) \
         .mapInArrow(_counter(min_length, every), _WORD).groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
