@@ -57,10 +57,3 @@ def test_stages_on_odd_tables(spark, sf_dir):
             assert now.columns[:len(docs.columns)] == docs.columns, name
         assert now.count() <= table.count()
     assert re.fullmatch(r"\w+", corpus_pipeline.STAGES[0][0]) and line_dedup.MIN_LINES >= 2
-
-
-def test_pipeline_removes_whole_runs(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(dedup, "brute", dedup.runs_brute)
-    docs = read(spark, sf_dir, "documents")
-    got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, sf_dir).collect())
-    assert got == sorted(brute(spark, docs, sf_dir))
