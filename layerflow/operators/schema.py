@@ -101,10 +101,15 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", null_widens: bool = T
                sanitize_identifier_col(F.concat(F.lit(HASH_PREFIX), sanitize_identifier_col("source_field"))))
         .otherwise(sanitize_identifier_col("source_field")).alias("field"),
         "source_field", "role", "rank")
-    merged = (named.groupBy("scope", "field")
+    return _merged(named.withColumn("source_field_max", F.col("source_field")))
+
+
+def _merged(votes: DataFrame) -> DataFrame:
+    """The votes of one column as one: the highest rank."""
+    merged = (votes.groupBy("scope", "field")
               .agg(F.max("rank").alias("rank"),
                    F.min("source_field").alias("source_field"),
-                   F.max("source_field").alias("source_field_max"),
+                   F.max("source_field_max").alias("source_field_max"),
                    F.max("role").alias("role")))
     return merged.select("scope", "field", "source_field", "role",
                          kind_of(F.col("rank")).alias("data_type"), "rank",
@@ -112,6 +117,18 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", null_widens: bool = T
                          (F.col("source_field") != F.col("source_field_max")).alias("name_collision"))
 
 
+def merge_schemas(old: DataFrame, new: DataFrame) -> DataFrame:
+    """P3 by parts: the schema of two sets of documents from the schemas of
+    both (per field the lattice maximum, which is order-free), so a stored
+    schema is brought up to date by the votes of new documents alone."""
+    def votes(df: DataFrame) -> DataFrame:
+        # a collision that one side knows of stays known
+        return df.select("scope", "field", "rank", "source_field", "role",
+                         F.when(F.col("name_collision"), F.concat("source_field", F.lit("\uffff"))).otherwise(F.col("source_field")).alias("source_field_max"))
+
+    return _merged(votes(old).unionByName(votes(new)))
+
+
 def schema_drift(old_schema: DataFrame, new_schema: DataFrame) -> DataFrame:
     """Columns the new discovery adds, and columns whose merged type
     widened. Existing types are never narrowed (additive evolution)."""

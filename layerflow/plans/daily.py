@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from layerflow.operators import upsert as ou
 from layerflow.operators.checks import failed, run_checks
 from layerflow.operators.clean import MAPPING_COLUMNS
+from layerflow.operators.increment import shred_increment
 from layerflow.operators.relational import filled_flags
 from layerflow.plans import reviews as R
 from layerflow.sources.csv import CsvRead, read_csv
@@ -44,12 +45,16 @@ def page_number(payload: str = "payload", source: str = "source"):
 
 def merge_pages(spark: SparkSession, store: LayerStore, pages_path: str, whole_file: bool = True,
                 buckets: int | None = None) -> tuple[Batch, DataFrame]:
-    """S1-S3 + U1 + U2: merge new pages into the document store, rewriting only
-    the hash buckets of the documents they touch (the same merge as the page
-    stream). The result is not live yet; with it come its documents (id, doc)."""
+    """S1-S3 + U1 + U2: merge new pages into the document store as a delta (the
+    same merge as the page stream). The result is not live yet; with it come the
+    documents (id, doc) that the pages touch, or all of them where the raw layer
+    has none yet."""
     pages = read_page_files(spark, pages_path, whole_file).withColumn("page", page_number())
     batch = merge_batch(store, "docs", "fields", pages, buckets)
-    return batch, ou.assemble_documents(read_state(store, batch.paths)).select("id", "doc")
+    if "reviews" not in store.current("raw").get("groups", {}):
+        return batch, ou.assemble_documents(read_state(store, batch.parts)).select("id", "doc")
+    fields = read_state(store, batch.touched).join(batch.ids, "id", "left_semi")
+    return batch, ou.assemble_documents(fields).select("id", "doc")
 
 
 def kept_reference(store: LayerStore, read: CsvRead, table: str) -> DataFrame:
@@ -79,9 +84,11 @@ def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv:
     # The key columns must be there after name cleaning
     props = read_csv(spark, properties_csv, sep=sep, encoding=encoding, expected_columns=["id"])
     mapping = read_csv(spark, mapping_csv, sep=sep, encoding=encoding, expected_columns=list(mapping_columns))
-    m = R.raw_layer(spark, None, docs=docs, properties=kept_reference(store, props, "propriedades"),
-                    mapping=kept_reference(store, mapping, "id_mapping"), loaded_at=loaded_at)
-    m.mapping_columns = mapping_columns
+    # Only documents that are new or changed are shredded; all other raw rows stay where they are
+    shredded = shred_increment(store, "raw", "reviews", docs, loaded_at)
+    m = R.Model(counters=shredded.counters, mapping_columns=mapping_columns, grouped=shredded.tables, extras={"raw": shredded.extra})
+    m.raw = {**shredded.tables, "propriedades": kept_reference(store, props, "propriedades"),
+             "id_mapping": kept_reference(store, mapping, "id_mapping")}
     m = R.stage_layers(m, store, version, R.CLEAN_FLOORS if floors is None else floors)
     counters = m.counters.get
     ingest = {"bad_payloads": batch.split.quarantine, "rejected_elements": batch.split.rejects,

@@ -162,6 +162,8 @@ class Model:
     store: LayerStore | None = None
     mapping_columns: tuple[str, str] = oc.MAPPING_COLUMNS
     aside: dict = field(default_factory=dict)   # layer -> table -> path, written but not yet live
+    grouped: dict = field(default_factory=dict)  # raw tables kept as deltas, written by the increment
+    extras: dict = field(default_factory=dict)   # layer -> what its publish sets beside the tables
 
 
 def raw_layer(spark: SparkSession, sf_dir: str | None, docs: DataFrame | None = None,
@@ -286,7 +288,7 @@ def stage_layers(m: Model, store: LayerStore, version: str | None = None, floors
     hold; a violation raises and leaves every live layer as it was."""
     version = version or uuid.uuid4().hex[:12]
     m.store = store
-    m.raw = _aside(m, "raw", m.raw, version)
+    m.raw = {**_aside(m, "raw", {t: df for t, df in m.raw.items() if t not in m.grouped}, version), **m.grouped}
     clean_layer(m)
     m.clean = _aside(m, "clean", m.clean, version)
     enforce_floors(m, floors or {})
@@ -300,8 +302,8 @@ def stage_layers(m: Model, store: LayerStore, version: str | None = None, floors
 def publish_aside(m: Model) -> None:
     """Switch live what has been written aside, layer by layer."""
     for layer, tables in m.aside.items():
-        m.store.publish(layer, tables)
-    m.aside = {}
+        m.store.publish(layer, tables, m.extras.get(layer))
+    m.aside, m.extras = {}, {}
 
 
 def publish_layers(m: Model, store: LayerStore, version: str | None = None) -> Model:

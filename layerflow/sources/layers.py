@@ -20,6 +20,7 @@ disk); all access goes through the session's Hadoop file system classes.
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -206,7 +207,7 @@ class LayerStore:
         live: set[str] = set()
         for n in names[-keep:]:
             live.update(_strings(json.loads(self.fs.read(f"{mdir}/{n}"))))
-        live_dirs = {p.split("/bucket=")[0] for p in live}
+        live_dirs = {re.split("/_*bucket=", p)[0] for p in live}
         dropped = []
         for table in self.fs.list_names(f"{self.root}/{layer}"):
             if table == "_manifests":
@@ -268,13 +269,42 @@ class LayerStore:
 
     # ---- S11: layer reader -----------------------------------------------
     def table(self, layer: str, name: str) -> DataFrame:
-        tables = self.current(layer)["tables"]
-        if name not in tables:
+        """The rows of a table as the current manifest has them; tables kept as
+        deltas are merged on read."""
+        cur = self.current(layer)
+        if name in cur.get("groups", {}):
+            from layerflow.sources.groups import grouped
+            return grouped(self, layer, name).read()
+        if name not in cur["tables"]:
             raise KeyError(f"{layer}.{name} is not published")
-        paths = tables[name]
+        rule = cur.get("merge", {}).get(name)
+        if rule:
+            return read_parts(self.spark, cur["buckets"][name], rule["keys"], rule["order"])
+        paths = cur["tables"][name]
         return self.spark.read.parquet(*paths) if isinstance(paths, list) else self.spark.read.parquet(paths)
 
 
+def parts_of(buckets: dict) -> dict[str, list[str]]:
+    """Bucket -> its files, oldest first."""
+    return {b: [p] if isinstance(p, str) else list(p) for b, p in buckets.items()}
+
+
+def read_parts(spark: SparkSession, buckets: dict, keys: list[str], order: str, schema: str | None = None) -> DataFrame:
+    """The latest row (by ``order``) of each key. Buckets of one file are read
+    as they are, those with deltas are merged: two branches at most."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    parts = parts_of(buckets)
+    single = sorted(p for ps in parts.values() if len(ps) == 1 for p in ps)
+    several = sorted(p for ps in parts.values() if len(ps) > 1 for p in ps)
+    out = reader.parquet(*single) if single else None
+    if several:
+        rows = reader.parquet(*several)
+        rest = [c for c in rows.columns if c not in keys]
+        merged = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row")).select(*keys, "__row.*").select(*rows.columns)
+        out = merged if out is None else out.unionByName(merged)
+    return out
+
+
 def _strings(value) -> set[str]:
     """Every text inside a JSON value."""
     if isinstance(value, str):

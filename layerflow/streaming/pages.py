@@ -3,8 +3,10 @@
 Page files arriving in a folder are read by the Structured Streaming file
 source; each micro-batch is split into valid review elements (S1-S3) and
 merged into the document state (U1) inside ``foreachBatch``. The state is a
-versioned table of the layer store; the publish that makes a new version
-current also records the stream's id and the micro-batch id, so a batch that
+bucketed table of the layer store: a batch writes one delta with its own fields,
+readers take the latest row of each field, and a bucket with ``MAX_PARTS`` files
+is folded into one. What a batch writes so grows with the batch, not with the
+store. The publish that makes a delta current also records the stream's id and the micro-batch id, so a batch that
 is replayed after a failure (both from the streaming checkpoint) changes
 nothing, while another stream's batches, or those of a new checkpoint, count.
 Bad pages and reject counts are stored in the same publish.
@@ -28,6 +30,9 @@ from layerflow.sources import pages as sp
 PAGE_FILE_PATTERN = r"page-(\d+)"
 # Buckets of a new document state; a caller's own count is kept with the state.
 STATE_BUCKETS = 64
+# Files of a bucket at which the next batch folds them into one.
+MAX_PARTS = 8
+MAX_SINK_PARTS = 16
 STATE_SCHEMA = "id string, field string, value_json string, seq struct<batch:bigint,page:bigint,source:string,pos:int>"
 
 
@@ -50,18 +55,21 @@ class Batch:
     """A merged batch of pages, written but not yet visible."""
     split: sp.PageSplit
     metrics: dict
-    paths: list[str] | None          # files of the whole state with this batch, None if nothing changed
+    parts: dict                      # files of the whole state with this batch, by bucket
+    touched: dict                    # those of them in the buckets that the batch falls in
+    ids: DataFrame                   # the documents of the batch
+    rows_written: int
     commit: Callable[[], dict | None]
 
 
 def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, buckets: int | None = None,
-                mark: tuple[str, int] | None = None) -> Batch | None:
+                mark: tuple[str, int] | None = None, max_parts: int = MAX_PARTS) -> Batch | None:
     """Merge pages into the document state and write what changes aside.
 
     The state is hash-bucketed on the document id. The bucket count is part of
-    the published state: only the buckets that the batch touches are read,
-    merged and rewritten, unless ``buckets`` asks for another count, which
-    rewrites all of them. Fields are ordered by (batch, page, source, position),
+    the published state. The batch's own fields are written as one delta; only a
+    bucket that would have more than ``max_parts`` files is merged and rewritten,
+    and all of them if ``buckets`` asks for another count. Fields are ordered by (batch, page, source, position),
     the batch being counted by the manifest, so a later run wins over an
     earlier one whatever its page numbers. ``mark``: (query id, micro-batch id);
     one that is published already returns None."""
@@ -81,26 +89,35 @@ def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
     fields = store.spark.read.parquet(path)
     # at most ``count`` small integers reach the driver
     touched = sorted(r.bucket for r in fields.select("bucket").distinct().collect())
-    current = cur.get("buckets", {}).get(table, {})
+    current = sl.parts_of(cur.get("buckets", {}).get(table, {}))
     rebucket = bool(current) and stored not in (None, count)
     metrics = {"upserted": 0, "matched": 0, "modified": 0, "total": 0}
-    new_map = dict(current)
+    new_map, written = dict(current), 0
+    fold = {str(b) for b in touched if len(current.get(str(b), ())) + 1 > max_parts}
+    ids = fields.select("id").distinct()
+    within = ou.field_upsert(None, fields.drop("bucket")).withColumn("bucket", _bucket(count))
     if touched or rebucket:
-        olds = list(current.values()) if rebucket else [current[str(b)] for b in touched if str(b) in current]
-        state = store.spark.read.schema(STATE_SCHEMA).parquet(*olds) if olds else None
-        merged = ou.field_upsert(state, fields.drop("bucket")).withColumn("bucket", _bucket(count))
+        old = current if rebucket else {str(b): current[str(b)] for b in touched if str(b) in current}
+        state = read_state(store, old)
+        if rebucket:
+            rows = ou.field_upsert(state, fields.drop("bucket"))
+        else:
+            folded = F.col("bucket").cast("string").isin(*fold)
+            rows = within.where(~folded).drop("bucket").unionByName(
+                ou.field_upsert(read_state(store, {b: old[b] for b in fold}), fields.where(folded).drop("bucket"))) if fold else within.drop("bucket")
         # rows of a bucket meet before the write, large buckets are split by size: few files, none huge
-        res = store.write_version(layer, f"{table}__state", merged.hint("rebalance", "bucket"), partition_by=["bucket"])
-        written = store.spark.read.parquet(res.path)
+        res = store.write_version(layer, f"{table}__state", rows.withColumn("bucket", _bucket(count)).hint("rebalance", "bucket"),
+                                  partition_by=["bucket"])
+        written = res.rows_stored
         if rebucket:
-            new_map = {str(r.bucket): f"{res.path}/bucket={r.bucket}" for r in written.select("bucket").distinct().collect()}
+            hit = store.spark.read.parquet(res.path).select("bucket").distinct().collect()
+            new_map = {str(r.bucket): [f"{res.path}/bucket={r.bucket}"] for r in hit}
         else:
-            new_map |= {str(b): f"{res.path}/bucket={b}" for b in touched}
+            for b in map(str, touched):
+                new_map[b] = ([] if b in fold else current.get(b, [])) + [f"{res.path}/bucket={b}"]
         # U2 over the documents that this batch touched (one row)
-        ids = fields.select("id").distinct()
-        after = written.select(*ou.STATE_COLUMNS).join(ids, "id", "left_semi")
-        before = state.join(ids, "id", "left_semi") if state is not None else after.limit(0)
-        row = ou.upsert_metrics(before, after).first()
+        before = state.join(ids, "id", "left_semi")
+        row = ou.upsert_metrics(before, ou.field_upsert(before, fields.drop("bucket"))).first()
         metrics = {k: int(row[k]) for k in metrics}
     rejected = {name: store.write_version(layer, f"{table}__{name}", df.withColumn("batch", F.lit(number).cast("bigint")))
                 for name, df in (("quarantine", split.quarantine), ("rejects", split.rejects))}
@@ -112,23 +129,30 @@ def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
         for k in ("upserted", "matched", "modified"):
             totals[k] = totals.get(k, 0) + metrics[k]
         out = {"batches": {**now.get("batches", {}), table: number}, "bucket_counts": {**now.get("bucket_counts", {}), table: count},
-               "buckets": {**now.get("buckets", {}), table: new_map}, "stream_metrics": {**now.get("stream_metrics", {}), table: totals}}
+               "buckets": {**now.get("buckets", {}), table: new_map},
+               "merge": {**now.get("merge", {}), table: {"keys": ["id", "field"], "order": "seq"}}, "stream_metrics": {**now.get("stream_metrics", {}), table: totals}}
         if mark:
             marks = now.get("stream_marks", {})
             out["stream_marks"] = {**marks, table: {**marks.get(table, {}), mark[0]: mark[1]}}
         return out
 
     def commit() -> dict | None:
-        tables = {table: sorted(new_map.values())} if new_map else {}
+        tables = {table: sorted(p for ps in new_map.values() for p in ps)} if new_map else {}
         for name, res in rejected.items():
-            if res.rows_stored:   # kept beside those of earlier batches
-                before = store.current(layer)["tables"].get(f"{table}__{name}", [])
-                tables[f"{table}__{name}"] = [*before, res.path]
+            if not res.rows_stored:
+                store.fs.delete(res.path)
+                continue
+            # kept beside those of earlier batches, in at most MAX_SINK_PARTS files
+            before = store.current(layer)["tables"].get(f"{table}__{name}", [])
+            if len(before) + 1 > MAX_SINK_PARTS:
+                before = [store.write_version(layer, f"{table}__{name}", store.spark.read.parquet(*before)).path]
+            tables[f"{table}__{name}"] = [*before, res.path]
         published = store.publish(layer, tables, state_of)
         store.fs.delete(path)
         return published
 
-    return Batch(split, metrics, sorted(new_map.values()) or None, commit)
+    own = {str(b): new_map[str(b)] for b in touched}
+    return Batch(split, metrics, new_map, own, ids, written, commit)
 
 
 def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int | None = None,
@@ -140,13 +164,15 @@ def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
     if done is None:
         return None
     done.commit()
-    return {"split": done.split, "metrics": done.metrics}
+    return {"split": done.split, "metrics": done.metrics, "rows_written": done.rows_written}
 
 
-def read_state(store: sl.LayerStore, paths: list[str] | None) -> DataFrame:
-    """The document state in the given files (of a batch not yet published)."""
-    reader = store.spark.read.schema(STATE_SCHEMA)
-    return reader.parquet(*paths) if paths else store.spark.createDataFrame([], STATE_SCHEMA)
+def read_state(store: sl.LayerStore, parts: dict | None) -> DataFrame:
+    """The document state in the given files by bucket (of a batch that may not
+    be published yet)."""
+    if not parts:
+        return store.spark.createDataFrame([], STATE_SCHEMA)
+    return sl.read_parts(store.spark, parts, ["id", "field"], "seq", STATE_SCHEMA)
 
 
 def _bucket(buckets: int):
