@@ -463,6 +463,56 @@ def q_replace_children(spark, sf_dir):
     return ou.replace_children(oc_, nc_, status)
 
 
+def q_incremental_build(spark, sf_dir):
+    """U6 + U7 over two days: the lines of all orders, then a second delivery in
+    which some orders have other lines, some are new and the rest are unchanged.
+    The stored children with their ids, which unchanged rows keep."""
+    from layerflow.operators.increment import shred_increment
+    li = read(spark, sf_dir, "lineitem")
+    store = sl.LayerStore(spark, shared_dir(spark, "incremental_build"))
+    for day in (li, _changed_lines(li)):
+        store.publish("raw", {}, shred_increment(store, "raw", "orders", _line_docs(day)).extra)
+    return store.table("raw", "orders_lines").select("id", "parent_id", "n", "f", "q", "p", "s")
+
+
+def _order_docs(o: DataFrame, *extra) -> DataFrame:
+    return o.select(F.col("o_orderkey").cast("string").alias("id"),
+                    F.parse_json(F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), *extra))).alias("doc"))
+
+
+def q_drift_applied(spark, sf_dir):
+    """Day one has whole prices of the orders with even keys, day two exact
+    prices and priorities of the odd ones; rows of both days read back under
+    one schema, with the column widened and the added one NULL on day one."""
+    from layerflow.operators.increment import shred_increment
+    o = read(spark, sf_dir, "orders")
+    store = sl.LayerStore(spark, shared_dir(spark, "drift_applied"))
+    days = (_order_docs(o.where("o_orderkey % 2 = 0"), F.floor("o_totalprice").alias("price")),
+            _order_docs(o.where("o_orderkey % 2 = 1"), F.col("o_totalprice").cast("double").alias("price"), F.col("o_orderpriority").alias("priority")))
+    for docs in days:
+        store.publish("raw", {}, shred_increment(store, "raw", "orders", docs).extra)
+    return store.table("raw", "orders").select("id", "price", "priority")
+
+
+DELTA_BATCHES = 10
+
+
+def q_delta_batches(spark, sf_dir):
+    """U1/T1 as a delta store: the events in DELTA_BATCHES batches, the highest
+    ids first, each written as its own delta; buckets fold on the way. The
+    latest batch wins, within it the highest event id."""
+    from layerflow.streaming.pages import upsert_batch
+    ev = read(spark, sf_dir, "events")
+    top = ev.agg(F.max("event_id")).first()[0] or 0
+    store = sl.LayerStore(spark, shared_dir(spark, "delta_batches"))
+    pages = cut_lineage(event_pages(ev))
+    last = top // EVENTS_PER_PAGE
+    for batch in range(DELTA_BATCHES):
+        own = F.floor(F.col("page") * DELTA_BATCHES / (last + 1)) == DELTA_BATCHES - 1 - batch
+        upsert_batch(store, "docs", "events", pages.where(own).select("page", F.lit("events").alias("source"), F.col("value").alias("payload")), buckets=8)
+    return _state_values(store.table("docs", "events"))
+
+
 # ---- U7: dense ids ----------------------------------------------------------------------
 def q_dense_ids(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
@@ -728,6 +778,9 @@ QUERIES = {
     "child_dedup": q_child_dedup,
     "change_detect": q_change_detect,
     "replace_children": q_replace_children,
+    "incremental_build": q_incremental_build,
+    "drift_applied": q_drift_applied,
+    "delta_batches": q_delta_batches,
     "dense_ids": q_dense_ids,
     "aspect_type": q_aspect_type,
     "postcode_split": q_postcode_split,

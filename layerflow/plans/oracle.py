@@ -425,6 +425,28 @@ ORACLE = {
         UNION
         SELECT DISTINCT CAST(l_orderkey + {C.NEW_PARENT_OFFSET} AS VARCHAR), CAST(l_linenumber AS BIGINT), l_returnflag,
                l_quantity, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey % 7 = 1""",
+    "incremental_build": f"""
+        WITH lines AS (SELECT DISTINCT l_orderkey AS k, CAST(l_linenumber AS BIGINT) AS n, l_returnflag AS f, l_quantity AS q, l_partkey AS p,
+                              l_suppkey AS s FROM lineitem),
+        one AS (SELECT CAST(k AS VARCHAR) AS parent_id, n, f, q, p, s, k % 7 = 0 AS changes,
+                       row_number() OVER (ORDER BY CAST(k AS VARCHAR), n, f, q, p, s) AS id FROM lines),
+        two AS (SELECT CAST(CASE WHEN k % 7 = 1 THEN k + {C.NEW_PARENT_OFFSET} ELSE k END AS VARCHAR) AS parent_id, n, f,
+                       CASE WHEN k % 7 = 0 THEN q + 1 ELSE q END AS q, p, s FROM lines WHERE k % 7 IN (0, 1)),
+        met AS (SELECT two.*, one.id AS old FROM two LEFT JOIN one USING (parent_id, n, f, q, p, s))
+        SELECT CAST(id AS BIGINT) AS id, parent_id, n, f, q, p, s FROM one WHERE NOT changes
+        UNION ALL SELECT CAST(old AS BIGINT), parent_id, n, f, q, p, s FROM met WHERE old IS NOT NULL
+        UNION ALL SELECT CAST((SELECT count(*) FROM one) + row_number() OVER (ORDER BY parent_id, n, f, q, p, s) AS BIGINT), parent_id, n, f, q, p, s
+                  FROM met WHERE old IS NULL""",
+    "drift_applied": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id,
+               CASE WHEN o_orderkey % 2 = 0 THEN CAST(floor(o_totalprice) AS DOUBLE) ELSE CAST(o_totalprice AS DOUBLE) END AS price,
+               CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority
+        FROM orders""",
+    "delta_batches": f"""
+        WITH e AS (SELECT *, {C.DELTA_BATCHES - 1} - (event_id // {C.EVENTS_PER_PAGE}) * {C.DELTA_BATCHES}
+                             // (1 + (SELECT max(event_id) FROM events) // {C.EVENTS_PER_PAGE}) AS batch FROM events)
+        SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM e
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY batch DESC, event_id DESC) = 1""",
     "field_upsert": """
         SELECT CAST(user_id AS VARCHAR) AS id, event_type AS field, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
