@@ -29,8 +29,7 @@ known, only pairs from different components are, of which one is outside the
 component most common on the list, and neither of which has more shingles of
 its own alone than a link allows (known for shingles that are not common, where
 the other's prefix reaches common ones). A group of thousands of copies so
-costs a few comparisons each. Every pair is settled by its whole sets, which the
-first pass packs and stores once for each class and task; texts are read once.
+costs a few comparisons each. Every pair is settled by its whole sets.
 
 Defined results: words are maximal runs outside ``\\x20 \\x09-\\x0D`` with A-Z
 in lower case; text with fewer than five words has one shingle, null, empty or
@@ -43,7 +42,7 @@ rows are one class. Two different shingles are taken for one with a chance of
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, islice
+from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -58,7 +57,6 @@ from layerflow.llm.components import components
 WORDS = 5
 MAX_LIGHT = 24
 SCAN_COST = 4
-KNOWN_WORDS = 300_000
 COMMON_IN_BATCH = 4
 COMMON_AT_ALL = 64
 COMMON_SHINGLES = 1 << 20
@@ -69,41 +67,23 @@ _POWERS = np.array([pow(int(_FACTOR), k, 1 << 64) for k in range(WORDS - 1, -1,
 
 # ---- sets -----------------------------------------------------------------
 
-class Shingler:
+def shingles_of(text: bytes) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def words(self, text: bytes) -> np.ndarray:
-        words = text.lower().split()
-        known = self.known
-        try:
-            return np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            if len(known) > KNOWN_WORDS:
-                known = self.known = dict(islice(known.items(), KNOWN_WORDS // 2))
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-            return np.array([known[w] for w in words], np.uint64)
-
-    def set_of(self, text: bytes) -> np.ndarray:
-        words = self.words(text)
-        with np.errstate(over="ignore"):
-            if len(words) < WORDS:
-                if not len(words):
-                    return words
-                short = (words * _POWERS[:len(words)]).sum() + np.uint64(len(words))
-                return mix64(np.array([short], np.uint64))
-            last = len(words) - WORDS + 1
-            total = words[:last] * _POWERS[0]
-            for k in range(1, WORDS):
-                total += words[k:k + last] * _POWERS[k]
-        return np.unique(mix64(total))
-
-
-_shingler = Shingler()
+    split = text.lower().split()
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, split), np.uint64, len(split))
+    with np.errstate(over="ignore"):
+        if len(words) < WORDS:
+            if not len(words):
+                return words
+            short = (words * _POWERS[:len(words)]).sum() + np.uint64(len(words))
+            return mix64(np.array([short], np.uint64))
+        last = len(words) - WORDS + 1
+        total = words[:last] * _POWERS[0]
+        for k in range(1, WORDS):
+            total += words[k:k + last] * _POWERS[k]
+    found = mix64(total)
+    found.sort()
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -158,9 +138,9 @@ _SETS = "kind int, doc_id bigint, text_hash bigint, node bigint, n bigint, amoun
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: the class and size of each document, and the packed set where the
-    class comes first. Kind 1: shingles (as node) that several different sets
-    of a batch hold, and how many."""
+    """Kind 0: the class and size of each document, and the packed set where it
+    may be light. Kind 1: shingles (as node) that several different sets of a
+    batch hold, and how many."""
     names = ["kind", "doc_id", "text_hash", "node", "n", "amount", "shingles"]
     held: list[np.ndarray] = []
     size, seen = 0, set()
@@ -174,15 +154,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            pa.nulls(len(tokens), pa.binary())], names=names)
 
     for batch in batches:
-        nodes, sizes, packed = [], [], []
+        nodes, sizes, light = [], [], []
         for text in batch.column(2):
-            shingles = _shingler.set_of(text.as_py())
+            shingles = shingles_of(text.as_py())
             node = node_of(shingles) if len(shingles) else None
             nodes.append(node)
             sizes.append(len(shingles))
-            new = node is not None and node not in seen
-            packed.append(shingles.tobytes() if new else None)
-            if new:
+            light.append(shingles.tobytes() if 0 < len(shingles) <= MAX_LIGHT else None)
+            if node is not None and node not in seen:
                 seen.add(node)
                 held.append(shingles)
                 size += len(shingles)
@@ -191,17 +170,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held, size, seen = [], 0, set()
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(nodes), np.int32)), batch.column(0), batch.column(1),
                                           pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                                          pa.nulls(len(nodes), pa.int64()), pa.array(packed, pa.binary())], names=names)
+                                          pa.nulls(len(nodes), pa.int64()), pa.array(light, pa.binary())], names=names)
     if held:
         yield common()
-    _shingler.known = {}  # the worker may go on to other work
 
 
 _PACKED = "bucket int, tokens binary, nodes binary, sizes binary, rares binary"
 
 
-def _lister(sent, buckets: int):
-    """Prefix postings of classes (node, packed set), packed by bucket."""
+def _lister(sent, buckets: int, light: int):
+    """Prefix postings, packed by bucket."""
+    least = first_listed(light)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, levels = sent.value
         tokens, nodes, sizes, rares, held, seen = [], [], [], [], 0, set()
@@ -220,12 +200,15 @@ def _lister(sent, buckets: int):
                                              for x in (t, d, n, z)], names=["bucket", "tokens", "nodes", "sizes", "rares"])
 
         for batch in batches:
-            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for text in batch.column(0):
+                shingles = shingles_of(text.as_py())
+                n = len(shingles)
+                if n < least:
+                    continue
+                node = node_of(shingles)
                 if node in seen:
                     continue
                 seen.add(node)
-                shingles = np.frombuffer(packed.as_py(), np.uint64)
-                n = len(shingles)
                 level = np.zeros(n, np.int8)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
@@ -293,12 +276,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield lists(held)
 
 
+def _node_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = []
+        for text in batch.column(0):
+            shingles = shingles_of(text.as_py())
+            nodes.append(node_of(shingles) if len(shingles) else None)
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(nodes, pa.int64()), batch.column(0)],
+                                         names=["asked", "node", "text"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (u, v, set of u, set of v) -> those that link."""
+    kept: tuple = (None, None)
     for batch in batches:
-        keep = pa.array([linked(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64))
-                         for a, b in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+        u, v, keep = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+        for i in range(len(u)):
+            if kept[0] != v[i]:
+                kept = (v[i], shingles_of(batch.column(3)[i].as_py()))
+            keep.append(linked(shingles_of(batch.column(2)[i].as_py()), kept[1]))
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())),
+                                          batch.column(1).filter(pa.array(keep, pa.bool_()))], names=["u", "v"])
 
 
 # ---- the join -------------------------------------------------------------
@@ -308,17 +305,17 @@ def _share(n):
 
 
 def _light_links(found: DataFrame, light: int) -> DataFrame:
-    sets = found.where(F.col("n").between(1, light) & F.col("shingles").isNotNull()).select("node", "shingles").dropDuplicates(["node"])
+    sets = found.where(F.col("n").between(1, light)).select("node", "shingles").dropDuplicates(["node"])
     keys = staged(sets.mapInArrow(_enumerator(light), "key bigint, k int, n int, node bigint"), "subsets")
     heads = keys.groupBy("key", "k").agg(F.min(F.struct("n", "node")).alias("head"), F.count("*").alias("c")).where("c > 1")
     return keys.join(heads, ["key", "k"]).where(F.col("n") + F.col("head.n") <= F.floor(9 * F.col("k") / 4)) \
         .select(F.col("node").alias("u"), F.col("head.node").alias("v")).where("u <> v").distinct()
 
 
-def _settle(pairs: DataFrame, whole: DataFrame, name: str) -> DataFrame:
+def _settle(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """The pairs (u, v) that link, by their whole sets."""
-    a, b = whole.select(F.col("node").alias("u"), F.col("shingles").alias("a")), whole.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    both = pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", "a", "b")
+    a, b = texts.select(F.col("node").alias("u"), F.col("text").alias("a")), texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
+    both = pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", "a", "b").sortWithinPartitions("v")
     return staged(both.mapInArrow(_verified, "u bigint, v bigint"), name)
 
 
@@ -333,9 +330,8 @@ def _counted(pairs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("m").alias("m")).where(F.col("c") >= enough).select("u", "v")
 
 
-def _heavy_links(found: DataFrame, hot, buckets: int, light: int) -> DataFrame:
-    sets = found.where(F.col("shingles").isNotNull() & (F.col("n") >= first_listed(light))).select("node", "shingles")
-    packed = sets.mapInArrow(_lister(hot, buckets), _PACKED)
+def _heavy_links(docs: DataFrame, sets: DataFrame, hot, buckets: int, light: int) -> DataFrame:
+    packed = docs.select("text").mapInArrow(_lister(hot, buckets, light), _PACKED)
     shared = staged(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                     .mapInArrow(_shared, "token bigint, node bigint, n bigint, rare bigint"), "lists")
     bounds = staged(shared.groupBy("node").agg(F.first("n").alias("n"), F.max(F.shiftright("rare", 1)).alias("z"),
@@ -349,7 +345,12 @@ def _heavy_links(found: DataFrame, hot, buckets: int, light: int) -> DataFrame:
         shared = shared.join(again.select("token"), "token", "left_semi")
         shared = staged(shared.select("token", "node", "n"), "lists")
     nodes = shared.select("node").distinct()
-    whole = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "candidates")
+    asked = sets.join(nodes, "node").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")) \
+        .select(F.col("node").alias("asked"), F.col("r.doc_id").alias("want"), F.col("r.text_hash").alias("want_hash"))
+    found = docs.join(asked, F.col("doc_id").eqNullSafe(F.col("want")) & (F.col("text_hash") == F.col("want_hash"))) \
+        .select("text", "asked")
+    texts = staged(found.mapInArrow(_node_texts, "asked bigint, node bigint, text binary").where("asked = node")
+                   .select("node", "text").dropDuplicates(["node"]), "candidates")
 
     lengths = shared.groupBy("token").agg(F.count("*").alias("length"))
     weights = shared.join(lengths, "token").groupBy("node").agg(F.sum("length").alias("weight"))
@@ -358,7 +359,7 @@ def _heavy_links(found: DataFrame, hot, buckets: int, light: int) -> DataFrame:
     heads = banded.groupBy("token", "band").agg(F.max(F.struct("weight", "node", "n")).alias("hub")) \
         .select("token", "band", F.col("hub.node").alias("v"), F.col("hub.n").alias("m"))
     first = _counted(banded.join(heads, ["token", "band"]).where("node <> v").withColumnRenamed("node", "u"))
-    links = _settle(first, whole, "first-links")
+    links = _settle(first, texts, "first-links")
     known = components(links)
 
     named = staged(shared.join(known, "node", "left").join(bounds, "node")
@@ -378,7 +379,7 @@ def _heavy_links(found: DataFrame, hot, buckets: int, light: int) -> DataFrame:
     ahead = F.col("u") < F.col("v")
     crossed = crossed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
                              F.when(ahead, F.col("n")).otherwise(F.col("m")).alias("n"), F.when(ahead, F.col("m")).otherwise(F.col("n")).alias("m"))
-    return links.union(_settle(_counted(crossed), whole, "cross-links"))
+    return links.union(_settle(_counted(crossed), texts, "cross-links"))
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -400,7 +401,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     counts = {r[0]: r[1] for r in sets.where(F.col("n").between(1, MAX_LIGHT)).groupBy("n").agg(F.countDistinct("node")).collect()}
     light = boundary(counts)
     buckets = parts_for(spark, (total[0] or 0) // 4, POSTINGS)
-    links = _heavy_links(found.where("kind = 0"), hot, buckets, light).union(_light_links(found.where("kind = 0"), light))
+    links = _heavy_links(rows, sets, hot, buckets, light).union(_light_links(found.where("kind = 0"), light))
     known = components(links)
     return sets.join(known, "node", "left").select("doc_id", "text_hash", "node", F.col("n").alias("n_shingles"),
                                                    F.coalesce("component", "node").alias("group"))
