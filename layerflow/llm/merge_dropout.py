@@ -41,7 +41,7 @@ from layerflow.llm.common import fresh, mix64, table
 SEED = 17
 DROPOUT = 0.1
 VARIANTS = 0
-KNOWN = 1_600_000
+KNOWN = 500_000
 SPACE = "▁"
 _WORDS = re.compile(r"\n| *[^ \n]+| +")
 #: The same, with a cut before a point or comma that follows a Latin letter or a digit.
