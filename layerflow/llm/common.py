@@ -6,7 +6,11 @@ names in ``spark.checkpoint.dir``; lost executors recompute from there.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +59,16 @@ def parts_for(spark: SparkSession, amount: int, per_part: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // per_part), 1)
 
 
+def release() -> None:
+    """Hand memory that earlier work of this worker process has freed back to
+    the system: Spark reuses workers, and allocators keep what they once had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -66,4 +80,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-__all__ = ["checkpoint_root", "fresh", "held_out", "mix64", "parts_for", "shared_dir", "staged", "table", "utf8", "wrapped"]
+__all__ = ["checkpoint_root", "fresh", "held_out", "mix64", "parts_for", "release", "shared_dir", "staged", "table", "utf8", "wrapped"]

@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import mix64, parts_for, staged, table, utf8, wrapped
+from layerflow.llm.common import mix64, parts_for, release, staged, table, utf8, wrapped
 from layerflow.llm.components import components
 
 WORDS = 5
@@ -173,6 +173,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.nulls(len(nodes), pa.int64()), pa.array(light, pa.binary())], names=names)
     if held:
         yield common()
+    held.clear()
+    release()
 
 
 _PACKED = "bucket int, tokens binary, nodes binary, sizes binary, rares binary"
@@ -226,6 +228,8 @@ def _lister(sent, buckets: int, light: int):
                     tokens, nodes, sizes, rares, held, seen = [], [], [], [], 0, set()
         if held:
             yield from flush()
+        tokens, nodes, sizes, rares = [], [], [], []
+        release()
 
     return pack
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import fresh, held_out, table
+from layerflow.llm.common import fresh, held_out, release, table
 
 LENGTH = 256
 WIDTHS = (2, 3, 4)
@@ -161,6 +161,7 @@ def _predictor(sent):
         for batch in batches:
             yield pa.array([{"lang": a, "score": b} for a, b in predictions(net, (x.as_py() for x in batch))],
                            pa.struct([("lang", pa.string()), ("score", pa.float64())]))
+        release()
 
     return predict
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import mix64, staged, table, wrapped
+from layerflow.llm.common import mix64, release, staged, table, wrapped
 
 WINDOW = 2
 DIVISOR = 2
@@ -101,6 +101,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(doc_id, text_hash, *a) for doc_id, text_hash, text in zip(*[c.to_pylist() for c in batch.columns], strict=True)
                 if text is not None for a in anchors_of(text)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
+    release()
 
 
 def runs_of(repeats: list[tuple]) -> list[tuple]:
@@ -212,6 +213,7 @@ def _keeper():
                              "n_lines": len(lines), "n_chunks": len(parts),
                              "n_removed_chunks": sum(drop.issuperset(range(a, b)) for a, b in parts) if drop else 0, "n_removed_lines": len(drop)})
             yield pa.array(rows, _KEPT)
+        release()
 
     return kept
 

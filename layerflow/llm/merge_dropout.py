@@ -36,12 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import fresh, mix64, table
+from layerflow.llm.common import fresh, mix64, release, table
 
 SEED = 17
 DROPOUT = 0.1
 VARIANTS = 0
-KNOWN = 500_000
+KNOWN = 300_000
 SPACE = "▁"
 _WORDS = re.compile(r"\n| *[^ \n]+| +")
 #: The same, with a cut before a point or comma that follows a Latin letter or a digit.
@@ -261,15 +261,17 @@ def segmenter(*args) -> Segmenter:
 def _encoder(args: tuple):
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        release()
         made = segmenter(*args)
         for texts, keys in batches:
-            rows = [None if t is None else np.frombuffer(made.encode(t, str(k)), made.dtype)
-                    for t, k in zip(texts.to_pylist(), keys.to_pylist(), strict=True)]
+            rows = [np.frombuffer(made.encode(t.as_py(), str(k)), made.dtype) if t.is_valid else None
+                    for t, k in zip(texts, keys.to_pylist(), strict=True)]
             ends = np.cumsum([0, *(0 if r is None else len(r) for r in rows)])
             flat = np.concatenate([r for r in rows if r is not None] or [np.zeros(0)]).astype(np.int32)
             made_ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat),
                                                 mask=pa.array([r is None for r in rows], pa.bool_()))
             yield made_ids
+        release()
 
     return ids
 
