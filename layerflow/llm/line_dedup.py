@@ -91,6 +91,7 @@ def anchors_of(text: bytes) -> list[tuple[int, int, int, int, bytes]]:
             if (body := b"\n".join(lines[a:b])).strip()]
 
 
+_AT_ONCE = 1000  # documents whose anchors a worker holds at a time
 _ANCHORS = "doc_id bigint, text_hash bigint, no int, n int, before int, after int, anchor binary"
 
 
@@ -98,9 +99,11 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "text_hash", "no", "n", "before", "after", "anchor"]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
     for batch in batches:
-        rows = [(doc_id, text_hash, *a) for doc_id, text_hash, text in zip(*[c.to_pylist() for c in batch.columns], strict=True)
-                if text is not None for a in anchors_of(text)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
+        for at in range(0, len(batch), _AT_ONCE):
+            part = batch.slice(at, _AT_ONCE)
+            rows = [(doc_id, text_hash, *a) for doc_id, text_hash, text in zip(*[c.to_pylist() for c in part.columns], strict=True)
+                    if text is not None for a in anchors_of(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
     release()
 
 

@@ -229,6 +229,10 @@ class Segmenter:
         if self.kept > KNOWN // 2:
             self.others, self.kept = {}, len(self.known)
 
+    def forget(self) -> None:
+        """Drop every segmentation kept."""
+        self.known, self.others, self.kept = {}, {}, 0
+
     def _exact(self, word: str, draw: int, key: int) -> bytes:
         """A word that may hold U+2581 or U+0000 itself: those characters go to
         byte pieces, what lies between them is segmented, each with a draw."""
@@ -271,6 +275,7 @@ def _encoder(args: tuple):
             made_ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat),
                                                 mask=pa.array([r is None for r in rows], pa.bool_()))
             yield made_ids
+        made.forget()  # the worker may go on to other stages
         release()
 
     return ids
