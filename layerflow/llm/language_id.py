@@ -19,7 +19,6 @@ Repeated rows get equal results.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +37,12 @@ WINDOWS_PER_DOC = 3
 EPOCHS = 5
 MIN_SCORE = 0.3
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (superscripts, fractions, circled or
+    Roman numerals are none)."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass
@@ -148,7 +152,7 @@ def sampled(docs: DataFrame, allowed: Column, doc_id: str, text: str, lang: str,
     taken: dict[str, int] = {}
     out = []
     for lang_, _, body in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        if taken.setdefault(lang_, 0) < per_lang and _LETTER.search(bytes(body).decode()):
+        if taken.setdefault(lang_, 0) < per_lang and has_letter(bytes(body).decode()):
             taken[lang_] += 1
             out.append((lang_, bytes(body).lower()))
     return out
@@ -169,7 +173,7 @@ def _predictor(sent):
 def predictions(net: ByteNet | None, texts) -> list[tuple[str, float]]:
     out: list[tuple[str, float]] = []
     for text in texts:
-        if net is None or text is None or not _LETTER.search(text):
+        if net is None or text is None or not has_letter(text):
             out.append((UNKNOWN, 0.0))
             continue
         view, added = windows_of(text.encode().lower())

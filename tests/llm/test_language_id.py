@@ -65,3 +65,7 @@ def test_labels_are_never_inputs(spark):
     other = [(i, t, "zz" if i in held else lang) for i, t, lang in rows]
     out = [{r["doc_id"]: r["language"] for r in m.identify(frame(spark, x), ~m.held_out(F.col("doc_id"))).collect()} for x in (rows, other)]
     assert out[0] == out[1]
+
+
+def test_numerals_are_no_letters():
+    assert not any(map(m.has_letter, ("", "²", "½ ①", "\u2167 12", "_-!"))) and m.has_letter("1 é") and m.has_letter("語")
