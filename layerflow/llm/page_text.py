@@ -64,11 +64,21 @@ CHROME_NAMES = frozenset((
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 MAIN = frozenset(("article", "main"))
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|xmp|noembed|noframes|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|</?[a-z][^>]*>|<[!?/][^>]*>", re.I | re.S)
+#: Elements whose content is text up to their own end tag; none of it is shown.
+RAW = frozenset(("iframe", "noembed", "noframes", "script", "style", "textarea", "title", "xmp"))
+LISTED = frozenset(("dd", "dt", "li", "option", "td", "th", "tr"))
+HOLDERS = frozenset(("article", "div", "dl", "main", "menu", "ol", "select", "table", "ul"))
+
+_TAG = re.compile(r"</?([a-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>", re.I)
+_PLAIN_TAG = re.compile(r"</?([a-z][^\s/>]*+)([^>]*+)>", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 #: Words that only say where a part of the page stands.
 PLACES = frozenset(("bottom", "global", "left", "page", "primary", "right", "secondary", "site", "top"))
+#: Words that only say what a part of the page is built of.
+SHAPES = frozenset(("area", "bar", "block", "box", "container", "inner", "link", "links", "list", "outer", "post", "posts", "section", "slot", "wrap",
+                    "wrapper"))
+#: Of the chrome names, those of what readers wrote or what leads to other pages.
+FOREIGN = frozenset(("comment", "comments", "disqus", "promo", "promoted", "related", "replies", "sponsor", "sponsored"))
 #: One attribute with its value, so that no name is found inside a value.
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
@@ -90,51 +100,106 @@ def _is_chrome(tag: str, attributes: str, in_main: bool) -> bool:
 
 
 def _names_chrome(token: str) -> bool:
-    """Whether a class or id is made of chrome names alone, places aside:
-    ``cookie-notice`` and ``site-footer``, but not ``with-sidebar``."""
-    names = set(_NAME.findall(token)) - PLACES
+    """Whether a class or id is made of chrome names alone, places and shapes
+    aside: ``cookie-notice``, ``site-footer`` and ``comment-list``, but not
+    ``with-sidebar``."""
+    names = set(_NAME.findall(token)) - PLACES - SHAPES
     return bool(names) and names <= CHROME_NAMES
 
 
+def _is_foreign(attributes: str) -> bool:
+    return any(name.lower() in ("class", "id") and not FOREIGN.isdisjoint(_NAME.findall("".join(values).lower()))
+               for name, *values in _ATTRIBUTE.findall(attributes))
+
+
+def markup(page: str) -> Iterator[tuple[int, int, str | None, str, bool]]:
+    """(start, end, tag, attributes, whether it closes) of everything in the page
+    that is no text, in order; ``tag`` is None for comments, declarations and
+    elements without shown text. One pass: a page is searched to its end at most
+    once for anything that is missing (a ``>``, a quote, the end of a comment or
+    of a script). A comment or script without end takes the rest of the page, a
+    tag without end is text. Quotes count after ``=`` only, and no longer once a
+    tag has no end outside of them."""
+    last, tag_at, at = page.rfind(">"), _TAG, page.find("<")
+    while 0 <= at:
+        after = page[at + 1:at + 2]
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 2)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, None, "", False
+        elif at > last:
+            end = page.find("<!--", at)
+            if end < 0:
+                return
+            yield end, len(page), None, "", False
+            return
+        elif after in ("!", "?") or after == "/" and not page[at + 2:at + 3].isalpha():
+            end = page.find(">", at) + 1
+            yield at, end, None, "", False
+        elif m := (tag_at.match(page, at) or _PLAIN_TAG.match(page, at)):
+            if m.re is not tag_at:
+                tag_at = _PLAIN_TAG
+            end, tag = m.end(), m[1].lower()
+            if tag in RAW and after != "/":
+                close = _RAW_END[tag].search(page, end)
+                end = len(page) if close is None else page.find(">", close.end()) + 1 or len(page)
+                yield at, end, None, "", False
+            else:
+                yield at, end, tag, m[2], after == "/"
+        else:
+            end = at + 1
+        at = page.find("<", end)
+
+
 def lines_of(page: str, lift: bool = False) -> tuple[list[str], list[bool], bool]:
     """The page's lines, whether each is main text by markup, and whether the
     page has an article or main element. No element around a ``main`` is
-    chrome; neither is one around an ``article`` (``lift``), if no other main
-    text is left: otherwise it holds teasers or comments."""
+    chrome; neither is one around an ``article`` (``lift``), if the page has no
+    other main text, and either no text at all outside chrome or less than
+    in articles that neither readers' comments nor teasers surround: otherwise
+    it holds those. An article inside a list item is an entry of a list and
+    marks no main text."""
     lines: list[str] = []
     main: list[bool] = []
     piece: list[str] = []
-    open_: list[tuple[str, bool]] = []  # open blocks (and chrome of any kind): tag, whether it is chrome
-    chrome = inside = done = 0
-    has_main = buried = False
+    open_: list[tuple[str, bool, bool, bool]] = []  # open blocks (and chrome of any kind): tag, chrome, main, foreign
+    places: dict[str, list[int]] = {}  # of each tag, where it is in open_
+    chrome = inside = foreign = done = plain = buried_text = clean = buried = 0
+    has_main = False
 
     def end_line() -> None:
+        nonlocal plain, buried_text
         if piece:
             text = " ".join(references.unescape("".join(piece)).split())
             piece.clear()
             if text:
                 lines.append(text)
                 main.append(inside > 0 and not chrome)
+                if not chrome:
+                    plain += len(text)
+                elif inside and not foreign:
+                    buried_text += len(text)
 
     def close(down_to: int) -> None:
-        nonlocal chrome, inside
+        nonlocal chrome, inside, foreign, clean
         end_line()
         while len(open_) > down_to:
-            tag, was_chrome = open_.pop()
+            tag, was_chrome, was_main, was_foreign = open_.pop()
+            places[tag].pop()
             chrome -= was_chrome
-            inside -= tag in MAIN
-
-    for m in _MARKUP.finditer(page):
-        if m.start() > done:
-            piece.append(page[done:m.start()])
-        done = m.end()
-        if m[3] is None:
+            inside -= was_main
+            foreign -= was_foreign
+        clean = min(clean, len(open_))
+
+    for start, end, tag, attributes, closes in markup(page):
+        if start > done:
+            piece.append(page[done:start])
+        done = end
+        if tag is None:
             continue
-        tag = m[3].lower()
-        if m[2]:
-            at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
-            if at is not None:
-                close(at)
+        if closes:
+            if places.get(tag):
+                close(places[tag][-1])
             elif tag in BLOCKS:
                 end_line()
             continue
@@ -147,32 +212,34 @@ def lines_of(page: str, lift: bool = False) -> tuple[list[str], list[bool], bool
             end_line()
             if open_ and open_[-1][0] == "p":
                 close(len(open_) - 1)
-            if tag in ("li", "dt", "dd", "td", "th", "tr", "option"):
-                at = len(open_) - 1
-                while at >= 0 and open_[at][0] not in ("ul", "ol", "dl", "table", "menu", "select", "div", "article", "main", "tr" if tag in ("td", "th") else ""):
-                    if open_[at][0] == tag:
-                        close(at)
-                        break
-                    at -= 1
-        is_chrome = _is_chrome(tag, m[4], inside > 0)
+            if tag in LISTED and places.get(tag):
+                holders = HOLDERS | {"tr"} if tag in ("td", "th") else HOLDERS
+                if places[tag][-1] > max((places[h][-1] for h in holders if places.get(h)), default=-1):
+                    close(places[tag][-1])
+        is_chrome = _is_chrome(tag, attributes, inside > 0)
         if tag in BLOCKS or is_chrome:
             if is_chrome:
                 end_line()
-            if not m[4].endswith("/") or tag in BLOCKS:
-                if tag in MAIN and chrome:
+            if not attributes.endswith("/") or tag in BLOCKS:
+                listed = places.get("li") and (places.get("ul") or places.get("ol"))
+                is_main = tag == "main" or tag == "article" and (inside > 0 or not listed)
+                if is_main and chrome:
                     if lift or tag == "main":
-                        open_[:] = [(t, False) for t, _ in open_]
-                        chrome = 0
+                        open_[clean:] = [(t, False, m, f) for t, _, m, f in open_[clean:]]
+                        chrome, clean = 0, len(open_)
                     else:
-                        buried = True
-                open_.append((tag, is_chrome))
+                        buried += 1
+                is_foreign = is_chrome and _is_foreign(attributes)
+                places.setdefault(tag, []).append(len(open_))
+                open_.append((tag, is_chrome, is_main, is_foreign))
                 chrome += is_chrome
-                inside += tag in MAIN
-                has_main = has_main or tag in MAIN and not chrome
+                inside += is_main
+                foreign += is_foreign
+                has_main = has_main or is_main and not chrome
     if done < len(page):
         piece.append(page[done:])
     close(0)
-    if buried and not any(main):
+    if buried and not any(main) and not lift and (not plain or buried_text > plain):
         return lines_of(page, True)
     return lines, main, has_main
 
@@ -247,6 +314,8 @@ def shared_lines(a: list[int], b: list[int], most: int = 1 << 22) -> list[int]:
 
 # ---- pairing --------------------------------------------------------------
 
+#: Bytes of line hashes and paths that a partition of sorted pages takes.
+PART_BYTES = 32 << 20
 _URL = re.compile(r"^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)", re.I)
 _PAGES = "host string, path string, page_id bigint, mark bigint, alike binary, lines array<bigint>"
 
@@ -312,16 +381,18 @@ def shared_with_nearest(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     checkpoint_root(spark)
     order = ["host", "path", "page_id", "mark", "alike"]
-    n = parts_for(spark, 1, 1)
     every = pages.mapInArrow(_hashed, _PAGES).where("host is not null").checkpoint()
+    size = every.agg(F.sum(F.size("lines") * 8 + F.length("path") + 64)).first()[0] or 0
+    n = parts_for(spark, size, PART_BYTES)
     first = every.groupBy("host", "alike").agg(F.min(F.struct("path", "page_id", "mark", "lines")).alias("first"))
     ranges = first.select("host", "first.path", "first.page_id", "first.mark", "alike", "first.lines") \
         .repartitionByRange(n, *order).withColumn("range", F.spark_partition_id()).checkpoint()
     row = F.struct(*order, "lines")
     ends = ranges.groupBy("range").agg(F.min(row).alias("first"), F.max(row).alias("last"))  # one row per range
-    steps = Window.orderBy("range")
-    beside = ends.select("range", F.lag("last").over(steps).alias("before"), F.lead("first").over(steps).alias("after"))
-    context = beside.select("range", F.explode(F.array("before", "after")).alias("c")).where("c is not null")
+    steps = Window.orderBy("range")  # over the range numbers alone
+    beside = ends.select("range").select("range", F.lag("range").over(steps).alias("before"), F.lead("range").over(steps).alias("after")).checkpoint()
+    context = beside.select("range", F.col("before").alias("at")).join(ends.select(F.col("range").alias("at"), F.col("last").alias("c")), "at") \
+        .union(beside.select("range", F.col("after").alias("at")).join(ends.select(F.col("range").alias("at"), F.col("first").alias("c")), "at"))
     with_context = ranges.select("range", *order, "lines", F.lit(False).alias("context")) \
         .union(context.select("range", *[F.col("c")[c] for c in order], F.col("c")["lines"], F.lit(True)))
     told = with_context.repartition(n, "range").sortWithinPartitions("range", *order).mapInArrow(_differenced, _SHARED)

@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -115,3 +116,72 @@ def test_elements_around_the_article_stay():
             assert m.main_text(f"<{wrapper}>menu<{tag}><p>Text<div class=ad>no</div></{tag}>after</{wrapper.split()[0]}>", ()) == "Text"
     page = "<article>Text<section id=comments><article>reader</article></section></article><aside><article>teaser</article></aside>"
     assert m.main_text(page, ()) == "Text"
+
+
+def test_broken_markup_takes_linear_time():
+    pages = ["<a" * 100_000, "<p " * 60_000, "<div>" * 40_000 + "</p>" * 40_000, '<a ">" ' * 30_000 + "'", "<!--" * 50_000, "<script>" * 30_000,
+             "<main><nav>" * 20_000, "<nav><article>" * 20_000, "<li><ul>" + "<section>" * 20_000 + "<li></li>" * 20_000, "<a " + "= " * 100_000 + ">",
+             "<p " + "a " * 100_000 + ">", "<title></titl" * 20_000, "<b x='" * 30_000 + ">"]
+    for page in pages:
+        start = time.process_time()
+        m.main_text(page, ())
+        m.outside_chrome(page)
+        assert time.process_time() - start < 5, page[:20]
+
+
+def test_ends_that_are_missing():
+    for page, lines in {"a<p b": ["a<p b"], "a<!-- b <p>c": ["a"], "a<script>b<p>c": ["a"], "a <3 b": ["a <3 b"], "a<p x=\"1>b": ["a", "b"],
+                        "<a title=it's>a</a> don't": ["a don't"], "a<!-->b": ["ab"], "a</ x>b<?y>c": ["abc"], "<p x='>'>a": ["a"],
+                        "a<script>1</scripts></script >b": ["ab"], "a<b>c > d <e": ["ac > d <e"]}.items():
+        assert m.lines_of(page)[0] == lines, page
+
+
+def test_shapes_of_chrome_and_lists_of_articles():
+    for name in ("comment-list", "comments-area", "post-comments", "ad-slot", "cookie-bar", "nav-wrapper", "social-links", "advertisement-box", "related-posts"):
+        assert m.main_text(f"<article>a<div class={name}>no</div>b</article>", ()) == "a\n\nb", name
+    for name in ("post", "section", "list-box", "with-comments", "postscript"):
+        assert m.main_text(f"<article>a<div class={name}>yes</div></article>", ()) == "a\n\nyes", name
+    story = "<div id=content>Story</div>"
+    assert m.main_text(story + '<ol class="comment-list"><li><article>reader wrote much more</article></ol>', ()) == "Story"
+    assert m.main_text(story + "<ul><li><article>an entry</article></ul>", ()) == "Story\n\nan entry"
+    assert m.main_text(story + '<div class="widget"><article>the whole article</article></div>', ()) == "the whole article"
+    assert m.main_text(story + '<div class="related-posts"><article>a longer teaser</article></div>', ()) == "Story"
+
+
+def test_whole_pages_of_known_parts():
+    """Pages put together from parts whose share of the text is known."""
+    r = random.Random(5)
+
+    def words():
+        return [r.choice(["one", "two", "&amp;", "caf&eacute;", "<b>bold</b>", "x<br>y", "&lt;p&gt;", "5 > 4", "<a href='/?a>b'>link</a>", "\n z"])
+                for _ in range(r.randrange(1, 9))]
+
+    def shown(parts):
+        told = {"&amp;": "&", "caf&eacute;": "café", "<b>bold</b>": "bold", "x<br>y": "x y", "&lt;p&gt;": "<p>", "<a href='/?a>b'>link</a>": "link", "\n z": "z"}
+        return " ".join(told.get(w, w) for w in parts)
+
+    def block():
+        parts = words()
+        return r.choice(["<p>{}</p>", "<p>{}", "<h2 class=title>{}</h2>", "<div><div>{}</div></div>", "<ul><li>{}</ul>", "<blockquote><p>{}</blockquote>",
+                         "<table><tr><td>{}</table>", "<section data-id='ad'>{}</section>"]).format(" ".join(parts)), [shown(parts)]
+
+    def chrome():
+        inner = " ".join(words())
+        return r.choice(["<nav>{}</nav>", "<footer><p>{}</p></footer>", "<aside><div>{}</div></aside>", "<div class='ad slot'>{}</div>", "<form><p>{}</form>",
+                         "<div class=comment-list><ol><li><p>{}</ol></div>", "<!-- {} -->", "<script>if (a < b) '</p>' {}</script>", "<style>{}</style>",
+                         "<div hidden>{}</div>", "<ul role=navigation><li>{}</ul>", "<section id=related-posts><h3>{}</h3></section>"]).format(inner), []
+
+    for _ in range(400):
+        inside = [block() if r.random() < .7 else chrome() for _ in range(r.randrange(1, 9))]
+        around = [[r.choice([chrome, block])()[0] for _ in range(r.randrange(4))] for _ in range(2)]
+        tag = r.choice(["article", "main", "article class=post"])
+        page = "<!doctype html><html><head><title>t</title></head><body>" + "".join(around[0]) + f"<{tag}>" + "".join(x for x, _ in inside) \
+            + f"</{tag.split()[0]}>" + "".join(around[1]) + "</body></html>"
+        assert m.main_text(page, ()) == "\n\n".join(x for _, xs in inside for x in xs), page
+
+
+def test_small_ranges_pair_the_same_pages(spark, monkeypatch):
+    pages = [(i, f"http://h{i % 2}.example/p/{i * 7 % 90}", PLAIN.format(f"w{i % 31}")) for i in range(120)]
+    whole = rows(spark, pages)
+    monkeypatch.setattr(m, "PART_BYTES", 200)
+    assert rows(spark, pages) == whole
