@@ -12,8 +12,10 @@ slot is the rank of that bit), then per slot a 32-bit fingerprint of the key,
 the offset of its first id and the number of its ids. A key that was never
 stored is told by the fingerprint.
 
-Documents are range-partitioned by id, so shards follow each other in id order
-and a shard's base is the sum of the sizes before it. A task streams its rows
+Documents are range-partitioned by id (where ids repeat, by id, text and the
+number of the copy, so an id with a third of all rows spreads over tasks), so
+shards follow each other in id order and a shard's base is the sum of the sizes
+before it. A task streams its rows
 and closes a shard every ``shard_ids`` ids, so memory does not grow with the
 input. Files are written under a private name and renamed; a task that runs
 again replaces its files by equal ones.
@@ -35,18 +37,20 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import mix64, parts_for, shared_dir, staged, table, utf8
+from layerflow.llm.common import checkpoint_root, mix64, parts_for, shared_dir, staged, table, utf8
 
 MAGIC = b"LFTOK1\0\0"
 END_ID = 1
 SHARD_IDS = 8 << 20
 KNOWN_CHUNKS = 800_000
+BLOCK_BYTES = 16 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,12 +62,14 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 class ChunkEncoder:
-    """Ids of a text by the tokenizers library, one call per distinct chunk.
+    """Ids of texts by the tokenizers library, one call per distinct chunk.
 
     The tokenizer's normaliser and pre-tokenizer drop white space and never
     join characters across it, so the ids of a text are those of its
-    space-separated chunks in order. Ids of about ``KNOWN_CHUNKS`` chunks are
-    kept; when there are more, the later half goes, as common chunks come early.
+    space-separated chunks in order. A block of texts is split and its chunks
+    numbered in Arrow; each distinct one is looked up once, and ids are gathered
+    by number. Ids of about ``KNOWN_CHUNKS`` chunks are kept from block to block;
+    when there are more, the later half goes, as common chunks come early.
     """
 
     def __init__(self, path: str):
@@ -75,26 +81,38 @@ class ChunkEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
-        chunks = text.split()
+        return self.encode_block(pa.array([text], pa.binary()))[0].tobytes()
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (UTF-8 bytes) one after another, and where each
+        text's begin; one place more at the end."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        self._learn(chunks)
         known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            self._learn(chunks)
-            return b"".join([self.known[c] for c in chunks])
+        found = [known[c] for c in chunks]
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        first = np.cumsum(size) - size
+        number = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size[number])])
+        at = np.repeat(first[number] - ends[:-1], size[number]) + np.arange(ends[-1])
+        offsets = split.offsets.to_numpy()
+        return flat[at], ends[offsets - offsets[0]]
 
     def _learn(self, chunks: list[bytes]) -> None:
         if len(self.known) > KNOWN_CHUNKS:
             self.known = dict(islice(self.known.items(), KNOWN_CHUNKS // 2))
         known = self.known
-        parts = {c: self._parts(c) for c in set(chunks) if c not in known}
-        asked = list({p for pair in parts.values() for p in pair if p not in known})
+        parts = {c: self._parts(c) for c in chunks if c not in known}
+        asked = list(dict.fromkeys(p for pair in parts.values() for p in pair if p not in known))
         encoded = self.tokenizer.encode_batch_fast([a.decode() for a in asked], add_special_tokens=False)
         found = {a: np.array(e.ids, self.dtype).tobytes() for a, e in zip(asked, encoded, strict=True)}
         known.update(found)
-        for c in chunks:
+        for c, pair in parts.items():
             if c not in known:
-                known[c] = b"".join([known[p] for p in parts[c]])
+                known[c] = b"".join([known[p] for p in pair])
 
     @staticmethod
     def _parts(chunk: bytes) -> tuple[bytes, ...]:
@@ -209,12 +227,22 @@ class Shard:
 _MANIFEST = "part int, seq int, file string, first_id bigint, first_k bigint, docs bigint, ids bigint"
 
 
-def _writer(folder: str, tokenizer: str, end_id: int, shard_ids: int):
+def blocks_of(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[pa.Array]:
+    """Consecutive slices of about ``most`` bytes, one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def _writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, first_k: dict[int, int]):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
         part, seq, held, total = TaskContext.get().partitionId(), 0, [], 0
-        last: tuple = (False, None, -1)
+        last: tuple = (False, None, -1)  # id and number of the row before; a first one may go on from the task before
         disk, top = filesystem(folder)
 
         def close() -> pa.RecordBatch:
@@ -229,15 +257,22 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_ids: int):
                 names=["part", "seq", "file", "first_id", "first_k", "docs", "ids"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                k = last[2] + 1 if last[0] and last[1] == doc_id else 0
-                last = (True, doc_id, k)
-                payload = enc.encode(text.as_py()) + end
-                held.append((doc_id, k, payload))
-                total += len(payload) // enc.dtype.itemsize
-                if total >= shard_ids:
-                    yield close()
-                    seq, held, total = seq + 1, [], 0
+            ids = iter(batch.column(0).to_pylist())
+            for block in blocks_of(batch.column(1)):
+                tokens, places = enc.encode_block(block)
+                for at, to in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
+                    doc_id = next(ids)
+                    if not last[0]:
+                        k = first_k.get(part, 0)
+                    else:
+                        k = last[2] + 1 if last[1] == doc_id else 0
+                    last = (True, doc_id, k)
+                    payload = tokens[at:to].tobytes() + end
+                    held.append((doc_id, k, payload))
+                    total += len(payload) // enc.dtype.itemsize
+                    if total >= shard_ids:
+                        yield close()
+                        seq, held, total = seq + 1, [], 0
         if held:
             yield close()
 
@@ -253,8 +288,43 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc
     disk.create_dir(top, recursive=True)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), utf8(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = rows.repartitionByRange(parts_for(spark, size, part_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
-    return staged(parts.mapInArrow(_writer(folder, tokenizer, end_id, shard_ids), _MANIFEST), "token-manifest")
+    n = parts_for(spark, size, part_bytes)
+    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        parts, first_k = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id"), {}
+    else:
+        parts, first_k = _ranged_copies(rows, n)
+    return staged(parts.mapInArrow(_writer(folder, tokenizer, end_id, shard_ids, first_k), _MANIFEST), "token-manifest")
+
+
+def _ranged_copies(rows: DataFrame, n: int) -> tuple[DataFrame, dict[int, int]]:
+    """Rows whose ids repeat, in order of (id, text): an id may spread over any
+    number of partitions, equal rows too (they are counted, then numbered). With
+    them the number k that the first row of each partition has among those of
+    its id, from one row per partition."""
+    checkpoint_root(rows.sparkSession)
+    order = ["doc_id", "text", "copy"]
+    parts = rows.groupBy("doc_id", "text").count() \
+        .select("doc_id", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count"))).alias("copy")) \
+        .repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text").checkpoint()
+    first_k, carry = {}, None
+    for r in sorted(parts.select("doc_id").mapInArrow(_partition_ends, "part int, first bigint, last bigint, n bigint, n_last bigint").collect()):
+        if carry and carry[0] == r["first"]:
+            first_k[r.part] = carry[1]
+        whole = r.n == r.n_last
+        carry = (r["last"], r.n_last + (first_k.get(r.part, 0) if whole else 0))
+    return parts, first_k
+
+
+def _partition_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first, last, n, n_last = None, None, 0, 0
+    for batch in batches:
+        for doc_id in batch.column(0).to_pylist():
+            n_last = n_last + 1 if n and doc_id == last else 1
+            first = doc_id if not n else first
+            last, n = doc_id, n + 1
+    if n:
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((TaskContext.get().partitionId(), first, last, n, n_last), (
+            pa.int32(), *[pa.int64()] * 4), strict=True)], names=["part", "first", "last", "n", "n_last"])
 
 
 def shard_bases(manifest: DataFrame) -> list[tuple]:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from pyarrow import fs
@@ -87,3 +88,30 @@ def test_query_digest(spark, sf_dir):
         g = got[r["doc_id"]]
         assert (g["start"], g["n_tokens"], g["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_blocks_hold_every_text(monkeypatch):
+    enc, t = m.ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    texts = pa.array([x.encode() for x in ODD * 3], pa.binary())
+    for most in (1, 30, 1 << 20):
+        got = []
+        for block in m.blocks_of(texts, most):
+            tokens, places = enc.encode_block(block)
+            got += [tokens[a:b].tolist() for a, b in zip(places, places[1:])]
+        assert got == [t.encode(x, add_special_tokens=False).ids for x in ODD * 3]
+
+
+def test_an_id_with_most_rows_spreads_over_tasks(spark):
+    rows = [(5, f"text {i % 3} of a hot id") for i in range(300)] + [(5, None)] * 60 + [(None, "n")] * 40 + [(i, f"alone {i}") for i in range(40) if i != 5]
+    folder = shared_dir(spark, "tokens-test")
+    docs = frame(spark, rows).repartition(7)
+    manifest = m.write_store(docs, folder, PATH, shard_ids=100)
+    assert manifest.where("first_id = 5").select("part").distinct().count() > 2
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], r["ids"]) for r in m.read_store(docs, manifest, folder).collect())
+    t = Tokenizer.from_file(PATH)
+    start, want = 0, []
+    for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+        ids = t.encode(text or "", add_special_tokens=False).ids + [1]
+        want.append((d is not None, d or 0, start, ids))
+        start += len(ids)
+    assert got == want
