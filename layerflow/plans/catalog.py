@@ -138,6 +138,30 @@ def q_incremental_scan(spark, sf_dir):
     return store.increments("raw", "orders", "load_run")
 
 
+# ---- S10: one commit over layers ---------------------------------------------------
+def q_run_commit(spark, sf_dir):
+    """Two runs each publish the orders of a period (layer raw) and the totals
+    by customer computed from them (layer rel) in one commit. A reader pinned
+    between the runs and one of the newest commit each compare the two layers:
+    per customer, the orders and value in raw and those in rel."""
+    store = sl.LayerStore(spark, shared_dir(spark, "run_commit"))
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    readers = {}
+    for name, rows in (("pinned", orders.where("o_orderkey % 2 = 0")), ("newest", orders)):
+        raw = store.build_aside("raw", {"orders": rows})
+        totals = spark.read.parquet(raw["orders"]).groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("price").alias("value"))
+        store.publish_together({"raw": (raw, None), "rel": (store.build_aside("rel", {"totals": totals}), None)})
+        readers[name] = store.pinned() if name == "pinned" else store
+    out = None
+    for name, reader in readers.items():
+        raw = reader.table("raw", "orders").groupBy("o_custkey").agg(F.count("*").alias("raw_n"), F.sum("price").alias("raw_value"))
+        rows = raw.join(reader.table("rel", "totals"), "o_custkey", "full_outer") \
+            .select(F.lit(name).alias("reader"), F.col("o_custkey").alias("custkey"), "raw_n", F.col("n").alias("rel_n"),
+                    F.col("raw_value").cast("double").alias("raw_value"), F.col("value").cast("double").alias("rel_value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---- S5-S7, P2: CSV -----------------------------------------------------------------
 CSV_HEADER = ["N NationKey", "N-Name", "Região.Nome", "n_name", "Note"]
 
@@ -755,6 +779,7 @@ QUERIES = {
     "pages_explode": q_pages_explode,
     "pages_quarantine": q_pages_quarantine,
     "incremental_scan": q_incremental_scan,
+    "run_commit": q_run_commit,
     "csv_all_string": q_csv_all_string,
     "refresh_counts": q_refresh_counts,
     "guarded_load": q_guarded_load,

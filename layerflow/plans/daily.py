@@ -5,9 +5,9 @@
     reference CSV files     ->  raw all-string tables
     raw -> clean -> relational (constraint-gated) -> checks report -> star
 
-Every layer is published through the layer store (all tables of a
-layer switch together) and each step reads what the previous step stored. A run
-that fails part-way leaves every published layer as it was.
+Each step reads what the previous step stored aside; all layers of a run, the
+document store included, go live in one commit of the layer store. A run that
+fails part-way leaves every published layer as it was.
 """
 
 from __future__ import annotations
@@ -101,8 +101,8 @@ def run(spark: SparkSession, pages_path: str, properties_csv: str, mapping_csv:
     m.aside["ingest"] = store.build_aside("ingest", ingest, version)
     m.aside["checks"] = store.build_aside("checks", {"report": run_checks(R.check_layers(m), as_of)}, version)
     star = R.star_schema(m, publish=False) if build_star else {}
-    batch.commit()
-    R.publish_aside(m)
+    R.publish_aside(m, {"docs": batch.change()})  # one commit over all layers
+    batch.clean_up()
     report = store.table("checks", "report")
     if keep_versions:
         for layer in ("docs", "ingest", "raw", "clean", "rel", "checks", "star"):

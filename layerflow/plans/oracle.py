@@ -342,6 +342,11 @@ ORACLE = {
     "incremental_scan": """
         SELECT *, CASE WHEN o_orderkey > (SELECT CAST(trunc(max(o_orderkey) / 2) AS BIGINT) FROM orders) THEN 2 ELSE 1 END AS load_run
         FROM orders""",
+    "run_commit": """
+        WITH runs AS (SELECT 'pinned' AS reader, * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'newest', * FROM orders),
+        sums AS (SELECT reader, o_custkey AS custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value
+                 FROM runs GROUP BY ALL)
+        SELECT reader, custkey, n AS raw_n, n AS rel_n, value AS raw_value, value AS rel_value FROM sums""",
     "csv_all_string": """
         SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey,
                CASE WHEN n_nationkey % 7 = 0 THEN NULL ELSE n_name END AS n_name,

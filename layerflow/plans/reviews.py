@@ -299,10 +299,10 @@ def stage_layers(m: Model, store: LayerStore, version: str | None = None, floors
     return m
 
 
-def publish_aside(m: Model) -> None:
-    """Switch live what has been written aside, layer by layer."""
-    for layer, tables in m.aside.items():
-        m.store.publish(layer, tables, m.extras.get(layer))
+def publish_aside(m: Model, others: dict | None = None) -> None:
+    """Switch live what has been written aside, all layers in one commit, with
+    the (tables, state) of ``others``."""
+    m.store.publish_together({**(others or {}), **{layer: (tables, m.extras.get(layer)) for layer, tables in m.aside.items()}})
     m.aside, m.extras = {}, {}
 
 

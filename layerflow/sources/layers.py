@@ -4,22 +4,28 @@ atomic publish, resumable increments (S8-S11, U8, D7).
 Layout under ``root``::
 
     <layer>/<table>/v=<run_id>/part-*.parquet     immutable table versions
-    <layer>/_manifests/<seq>.json                 one file per publish
-
-A publish writes the next manifest under a private name and renames it to its
-number, refusing to replace a file; that rename is the only commit point.
-Readers take the highest number, so either every table of a publish is visible
-or none is, no manifest is seen half written, and the previous versions stay
-readable until they are cleaned up. A manifest carries the whole state of its
-layer (tables, buckets, marks, counters): a publish starts from the current
-one and changes only its own keys, again after a lost race. The root must be on
-a file system whose rename is atomic and does not overwrite (HDFS, or local
-disk); all access goes through the session's Hadoop file system classes.
+    <layer>/_manifests/<seq>-<id>.json            state of a layer, written before its commit
+    _commits/<seq>.json                           one file per publish: the manifest of every layer
+
+A publish writes the manifests of its layers, then the next commit under a
+private name, and renames that to its number, refusing to replace a file. The
+rename is the only commit point, of one layer or of several: readers take the
+commit with the highest number, so either every table of a publish is visible
+or none is, a run that dies in between leaves manifests that nothing names, and
+no commit is seen half written. Previous versions stay readable until they are
+cleaned up; :meth:`LayerStore.pinned` keeps reading one commit. A manifest
+carries the whole state of its layer (tables, buckets, marks, counters): a
+publish starts from the current one and changes only its own keys, again after a
+lost race. A layer that no commit names yet is read from its newest plainly
+numbered manifest. The root must be on a file system whose rename is atomic and
+does not overwrite (HDFS, or local disk); all access goes through the session's
+Hadoop file system classes.
 """
 
 from __future__ import annotations
 
 import json
+import random
 import re
 import time
 import uuid
@@ -108,6 +114,7 @@ class LayerStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = _FS(spark, self.root)
+        self._pin: dict | None = None
 
     # ---- paths -----------------------------------------------------------
     def _table_path(self, layer: str, table: str, version: str) -> str:
@@ -160,24 +167,54 @@ class LayerStore:
         self.publish(layer, {table: res.path})
         return res
 
-    # ---- S10: multi-table atomic publish ---------------------------------
-    def current(self, layer: str) -> dict:
-        names = sorted(n for n in self.fs.list_names(self._manifest_dir(layer)) if n.endswith(".json"))
-        if not names:
-            return {"seq": 0, "tables": {}}
-        return json.loads(self.fs.read(f"{self._manifest_dir(layer)}/{names[-1]}"))
+    # ---- S10: atomic publish of tables and layers -------------------------
+    def head(self) -> dict:
+        """The newest commit: its number, and the manifest of each layer."""
+        names = self._commit_names()
+        return json.loads(self.fs.read(f"{self.root}/_commits/{names[-1]}")) if names else {"seq": 0, "layers": {}}
+
+    def _commit_names(self) -> list[str]:
+        return sorted(n for n in self.fs.list_names(f"{self.root}/_commits") if n.endswith(".json"))
+
+    def pinned(self) -> LayerStore:
+        """A reader that stays at the commit that is newest now, over all layers."""
+        reader = LayerStore(self.spark, self.root)
+        reader._pin = self.head()
+        return reader
+
+    def current(self, layer: str, commit: dict | None = None) -> dict:
+        """A layer's manifest in ``commit`` (default: the pinned one, else the newest)."""
+        name = (commit or self._pin or self.head())["layers"].get(layer)
+        if name is None:
+            plain = sorted(n for n in self.fs.list_names(self._manifest_dir(layer)) if re.fullmatch(r"\d+\.json", n))
+            name = plain[-1] if plain else None
+        return json.loads(self.fs.read(f"{self._manifest_dir(layer)}/{name}")) if name else {"seq": 0, "tables": {}}
 
     def publish(self, layer: str, tables: dict[str, str], extra: Callable[[dict], dict] | None = None) -> dict:
         """Make ``tables`` (name -> version path) current together, keeping
         every other table and all other state of the layer as they are.
         ``extra`` gets the manifest that is replaced and returns the top-level
         keys to set; it runs again when another writer was faster."""
-        for _ in range(20):
-            cur = self.current(layer)
-            new = {**cur, **(extra(cur) if extra else {}), "seq": cur["seq"] + 1, "tables": {**cur["tables"], **tables}}
-            if self.fs.create_new(f"{self._manifest_dir(layer)}/{new['seq']:012d}.json", json.dumps(new)):
+        return self.publish_together({layer: (tables, extra)})[layer]
+
+    def publish_together(self, changes: dict[str, tuple[dict, Callable[[dict], dict] | None]]) -> dict[str, dict]:
+        """Publish the (tables, extra) of several layers in one commit."""
+        if self._pin:
+            raise RuntimeError("a pinned reader does not publish")
+        for attempt in range(50):
+            head, new, names = self.head(), {}, {}
+            for layer, (tables, extra) in changes.items():
+                cur = self.current(layer, head)
+                new[layer] = {**cur, **(extra(cur) if extra else {}), "seq": cur["seq"] + 1, "tables": {**cur["tables"], **tables}}
+                names[layer] = f"{new[layer]['seq']:012d}-{uuid.uuid4().hex[:12]}.json"
+                self.fs.create_new(f"{self._manifest_dir(layer)}/{names[layer]}", json.dumps(new[layer]))
+            commit = {"seq": head["seq"] + 1, "layers": {**head["layers"], **names}}
+            if self.fs.create_new(f"{self.root}/_commits/{commit['seq']:012d}.json", json.dumps(commit)):
                 return new
-        raise RuntimeError(f"could not publish layer {layer}: concurrent writers")
+            for layer, name in names.items():
+                self.fs.delete(f"{self._manifest_dir(layer)}/{name}")
+            time.sleep(random.random() * 0.02 * attempt)
+        raise RuntimeError(f"could not publish {', '.join(changes)}: concurrent writers")
 
     def build_and_publish(self, layer: str, builders: dict, version: str | None = None,
                           extra: Callable[[dict], dict] | None = None, layouts: dict | None = None) -> dict:
@@ -202,11 +239,17 @@ class LayerStore:
         """Drop table versions that none of the newest ``keep`` manifests names
         anywhere (tables, buckets, increments) and that are older than
         ``min_age`` seconds, so that versions another run still writes stay."""
-        mdir = self._manifest_dir(layer)
-        names = sorted(n for n in self.fs.list_names(mdir) if n.endswith(".json"))
         live: set[str] = set()
-        for n in names[-keep:]:
-            live.update(_strings(json.loads(self.fs.read(f"{mdir}/{n}"))))
+        kept: list[str] = []
+        for name in reversed(self._commit_names()):
+            manifest = json.loads(self.fs.read(f"{self.root}/_commits/{name}"))["layers"].get(layer)
+            if manifest and manifest not in kept:
+                kept.append(manifest)
+                live.update(_strings(json.loads(self.fs.read(f"{self._manifest_dir(layer)}/{manifest}"))))
+            if len(kept) == keep:
+                break
+        if not kept:
+            live.update(_strings(self.current(layer)))
         live_dirs = {re.split("/_*bucket=", p)[0] for p in live}
         dropped = []
         for table in self.fs.list_names(f"{self.root}/{layer}"):

@@ -59,7 +59,9 @@ class Batch:
     touched: dict                    # those of them in the buckets that the batch falls in
     ids: DataFrame                   # the documents of the batch
     rows_written: int
-    commit: Callable[[], dict | None]
+    change: Callable[[], tuple[dict, Callable[[dict], dict]]]  # tables and state, for a publish with other layers
+    commit: Callable[[], dict | None]                          # publishes the batch by itself
+    clean_up: Callable[[], None]                               # after it is published
 
 
 def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, buckets: int | None = None,
@@ -136,7 +138,7 @@ def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
             out["stream_marks"] = {**marks, table: {**marks.get(table, {}), mark[0]: mark[1]}}
         return out
 
-    def commit() -> dict | None:
+    def change() -> tuple[dict, Callable[[dict], dict]]:
         tables = {table: sorted(p for ps in new_map.values() for p in ps)} if new_map else {}
         for name, res in rejected.items():
             if not res.rows_stored:
@@ -147,12 +149,18 @@ def merge_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame,
             if len(before) + 1 > MAX_SINK_PARTS:
                 before = [store.write_version(layer, f"{table}__{name}", store.spark.read.parquet(*before)).path]
             tables[f"{table}__{name}"] = [*before, res.path]
-        published = store.publish(layer, tables, state_of)
+        return tables, state_of
+
+    def clean_up() -> None:
         store.fs.delete(path)
+
+    def commit() -> dict | None:
+        published = store.publish(layer, *change())
+        clean_up()
         return published
 
     own = {str(b): new_map[str(b)] for b in touched}
-    return Batch(split, metrics, new_map, own, ids, written, commit)
+    return Batch(split, metrics, new_map, own, ids, written, change, commit, clean_up)
 
 
 def upsert_batch(store: sl.LayerStore, layer: str, table: str, batch: DataFrame, batch_id: int | None = None,

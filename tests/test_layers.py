@@ -163,7 +163,7 @@ def test_publish_keeps_the_other_state_of_a_layer(spark):
         return {"n": cur.get("n", 0) + 1}
     store.publish("docs", {}, counted)
     assert store.current("docs")["n"] == 2 and store.current("docs")["marks"] == {"q": 1}
-    assert not store.fs.create_new(f"{store.root}/docs/_manifests/{1:012d}.json", "{}")   # never replaced
+    assert not store.fs.create_new(f"{store.root}/_commits/{1:012d}.json", "{}")   # never replaced
 
 
 def test_csv_surplus_fields_and_differing_headers(spark):
@@ -281,3 +281,70 @@ def test_csv_windows_line_endings(spark):
     # row-ending CRLFs leave no stray \r; a CRLF inside a quoted value is
     # normalised to \n by Spark's CSV parser
     assert sorted(tuple(r) for r in df.collect()) == [("1", "5000"), ("2", "50\n01")]
+
+
+def test_one_commit_over_layers_survives_a_crash_at_any_step(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+
+    def change(n):
+        return {layer: (store.build_aside(layer, {"t": spark.range(n)}), lambda now, n=n: {"run": n}) for layer in ("docs", "raw", "rel")}
+
+    def seen(reader):
+        return {(reader.table(layer, "t").count(), reader.current(layer)["run"]) for layer in ("docs", "raw", "rel")}
+
+    store.publish_together(change(1))
+    real = store.fs.create_new
+    for step in range(4):                       # three manifests, then the commit
+        after = change(2)
+        for fails_before in (True, False) if step < 3 else (True,):
+            calls = iter(range(10))
+
+            def crash(path, text):
+                if next(calls) == step:
+                    if not fails_before:
+                        real(path, text)
+                    raise OSError("lost")
+                return real(path, text)
+
+            store.fs.create_new = crash
+            with pytest.raises(OSError):
+                store.publish_together(after)
+            store.fs.create_new = real
+            assert seen(sl.LayerStore(spark, store.root)) == {(1, 1)}
+    reader = store.pinned()
+    store.publish_together(change(2))
+    store.vacuum("raw", keep=2, min_age=0)      # the pinned run is among the kept ones
+    assert seen(store) == {(2, 2)} and seen(reader) == {(1, 1)}
+    with pytest.raises(RuntimeError, match="pinned"):
+        reader.publish("raw", {})
+    store.vacuum("raw", keep=1, min_age=0)
+    assert seen(store) == {(2, 2)}
+
+
+def test_a_lost_race_starts_from_the_other_commit(spark):
+    store, other = (sl.LayerStore(spark, root) for root in [tempfile.mkdtemp()] * 2)
+    paths = {n: store.write_version("rel", n, spark.range(2)).path for n in ("a", "b")}
+    runs = []
+
+    def extra(now):
+        if not runs:                            # the other writer is faster once
+            other.publish("rel", {"b": paths["b"]}, lambda now: {"other": 1})
+            other.publish("raw", {"b": paths["b"]})
+        runs.append(now["seq"])
+        return {"own": now["seq"]}
+
+    store.publish_together({"rel": ({"a": paths["a"]}, extra)})
+    cur = store.current("rel")
+    assert runs == [0, 1] and set(cur["tables"]) == {"a", "b"} and (cur["other"], cur["own"], cur["seq"]) == (1, 1, 2)
+    assert store.table("raw", "b").count() == 2
+    assert len(store.fs.list_names(f"{store.root}/rel/_manifests")) == 2   # the lost one is gone
+
+
+def test_a_layer_published_before_commits_were_kept(spark):
+    import json
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    path = store.write_version("rel", "a", spark.range(4)).path
+    store.fs.create_new(f"{store.root}/rel/_manifests/{3:012d}.json", json.dumps({"seq": 3, "tables": {"a": path}}))
+    assert store.table("rel", "a").count() == 4 and store.vacuum("rel", min_age=0) == []
+    store.publish("rel", {"b": path})
+    assert store.table("rel", "a").count() == 4 and store.current("rel")["seq"] == 4
