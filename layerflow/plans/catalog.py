@@ -138,6 +138,22 @@ def q_incremental_scan(spark, sf_dir):
     return store.increments("raw", "orders", "load_run")
 
 
+def q_increment_passes(spark, sf_dir):
+    """Each year is a pass of two runs over the orders of its customers: a
+    customer's orders of a later year replace those of earlier ones, and parts
+    are folded on the way. The orders of each customer's last year, each with
+    the run that loaded it."""
+    store = sl.LayerStore(spark, shared_dir(spark, "increment_passes"))
+    orders = read(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    first, last, middle = orders.agg(F.min(year), F.max(year), (F.max("o_custkey") / 2).cast("bigint")).first()
+    for n in range(first, last + 1):
+        own = orders.where(year == n)
+        store.commit_increment("raw", "orders", own.where(F.col("o_custkey") <= F.lit(middle)), "o_custkey", done=False)
+        store.commit_increment("raw", "orders", own.where(F.col("o_custkey") > F.lit(middle)), "o_custkey", done=True)
+    return store.increments("raw", "orders", "load_run")
+
+
 # ---- S10: one commit over layers ---------------------------------------------------
 def q_run_commit(spark, sf_dir):
     """Two runs each publish the orders of a period (layer raw) and the totals
@@ -779,6 +795,7 @@ QUERIES = {
     "pages_explode": q_pages_explode,
     "pages_quarantine": q_pages_quarantine,
     "incremental_scan": q_incremental_scan,
+    "increment_passes": q_increment_passes,
     "run_commit": q_run_commit,
     "csv_all_string": q_csv_all_string,
     "refresh_counts": q_refresh_counts,

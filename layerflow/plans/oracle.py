@@ -342,6 +342,13 @@ ORACLE = {
     "incremental_scan": """
         SELECT *, CASE WHEN o_orderkey > (SELECT CAST(trunc(max(o_orderkey) / 2) AS BIGINT) FROM orders) THEN 2 ELSE 1 END AS load_run
         FROM orders""",
+    "increment_passes": """
+        WITH o AS (SELECT *, year(o_orderdate) AS y FROM orders),
+        r AS (SELECT *, max(y) OVER (PARTITION BY o_custkey) AS newest, min(y) OVER () AS start,
+                     CAST(trunc(max(o_custkey) OVER () / 2) AS BIGINT) AS middle FROM o)
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               CAST((y - start) * 2 + CASE WHEN o_custkey > middle THEN 2 ELSE 1 END AS INTEGER) AS load_run
+        FROM r WHERE y = newest""",
     "run_commit": """
         WITH runs AS (SELECT 'pinned' AS reader, * FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'newest', * FROM orders),
         sums AS (SELECT reader, o_custkey AS custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value

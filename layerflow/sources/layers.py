@@ -31,6 +31,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 
@@ -110,6 +111,8 @@ class _FS:
 
 
 class LayerStore:
+    FOLD_AT, LEVELS = 8, 2   # increments: parts of a level that are folded, and levels below the oldest part
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -272,43 +275,95 @@ class LayerStore:
         """Commit one increment of ``name``, keyed by ``key``; its highest
         stored key becomes the resume point, which goes when the pass is
         complete. The increments of a pass replace the rows of earlier passes
-        that have their keys, so a second full pass leaves every row once."""
+        that have their keys (null is a key, too), so a second full pass leaves
+        every row once; rows of one pass never replace each other. After the
+        commit, parts that are due are folded (:meth:`fold_increments`)."""
         res = self.write_version(layer, f"{name}__part", df)
-        top = self.spark.read.parquet(res.path).agg(F.max(key)).first()[0]
+        top = self.spark.read.parquet(res.path).agg(F.max(f"`{key}`")).first()[0]
 
         def with_part(cur: dict) -> dict:
-            hwm, parts = dict(cur.get("hwm", {})), dict(cur.get("parts", {}))
-            before = parts.get(name, {"key": key, "passes": [], "open": False, "runs": 0})
-            passes = [list(p) for p in before["passes"]]
-            if not before["open"]:
-                passes.append([])
-            passes[-1].append({"path": res.path, "run": before["runs"] + 1})
-            parts[name] = {"key": key, "passes": passes, "open": not done, "runs": before["runs"] + 1}
+            hwm = dict(cur.get("hwm", {}))
+            before = increment_state(cur, name) or {"key": key, "open": False, "runs": 0, "pass": 0, "parts": []}
+            if before["key"] != key:
+                raise ValueError(f"{layer}.{name}: its increments are keyed by {before['key']}, not by {key}")
+            number = before["pass"] + (not before["open"])
+            part = {"path": res.path, "first": number, "pass": number, "run": before["runs"] + 1, "level": 0}
+            state = {"key": key, "open": not done, "runs": part["run"], "pass": number, "parts": [*before["parts"], part]}
             if done:
                 hwm.pop(name, None)
             elif top is not None:
                 hwm[name] = top
-            return {"hwm": hwm, "parts": parts}
-
-        return self.publish(layer, {}, with_part)
+            return {"hwm": hwm, "parts": {**cur.get("parts", {}), name: state}}
+
+        self.publish(layer, {}, with_part)
+        self.fold_increments(layer, name)
+        return self.current(layer)
+
+    def fold_increments(self, layer: str, name: str) -> None:
+        """Fold ``FOLD_AT`` parts of one level into one part of the next, of
+        each key the rows of its latest pass among them. The last of ``LEVELS``
+        is folded into a single part, so at most ``LEVELS * FOLD_AT`` parts are
+        ever read and the oldest rows are rewritten once in ``FOLD_AT ** LEVELS``
+        increments. A fold is a commit of its own that changes no result; what
+        it replaces is named no more, and ``vacuum`` drops it."""
+        for level in range(self.LEVELS):
+            state = increment_state(self.current(layer), name)
+            due = [p for p in state["parts"] if p["level"] == level]
+            if len(due) < self.FOLD_AT:
+                continue
+            if level == self.LEVELS - 1:
+                due = [p for p in state["parts"] if p["level"] >= level]
+            rows, marks = self._latest(due, state["key"])
+            path = self.write_version(layer, f"{name}__part", rows).path
+            folded = {"path": path, "first": due[0]["first"], "pass": due[-1]["pass"], "marks": marks, "level": level + 1}
+            gone = [p["path"] for p in due]
+
+            def with_fold(cur: dict) -> dict:
+                now = increment_state(cur, name)
+                at = [i for i, p in enumerate(now["parts"]) if p["path"] in gone]
+                if len(at) != len(gone):  # another writer folded them meanwhile
+                    return {}
+                parts = [*now["parts"][:at[0]], folded, *now["parts"][at[-1] + 1:]]
+                return {"parts": {**cur["parts"], name: {**now, "parts": parts}}}
+
+            self.publish(layer, {}, with_fold)
+
+    def _latest(self, parts: list[dict], key: str) -> tuple[DataFrame, list[str]]:
+        """Of each key in ``parts`` (in order of commit) the rows of its latest
+        pass, with the names of two further columns: their pass and run. No
+        rows meet in a group: they are joined with the latest pass of their key,
+        which Spark splits where a key is frequent. (An anti join would be pushed
+        into every part, and the plan grow with the square of the parts.)"""
+        frames = [self.spark.read.parquet(p["path"]) for p in parts]
+        taken = {c.lower() for f in frames for c in f.columns}
+        marks = [next(n for n in (f"__{c}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken) for c in ("pass", "run")]
+
+        def marked(f: DataFrame, p: dict) -> DataFrame:
+            own = [F.col(f"`{c}`") for c in p["marks"]] if "marks" in p else [F.lit(p["pass"]), F.lit(p["run"])]
+            data = [F.col(f"`{c}`") for c in f.columns if c not in p.get("marks", ())]
+            return f.select(*data, *[c.cast("int").alias(n) for c, n in zip(own, marks, strict=True)])
+
+        def union(frames: list[DataFrame]) -> DataFrame:
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+        frames = [marked(f, p) for f, p in zip(frames, parts, strict=True)]
+        rows = union(frames)
+        # rows of the earliest pass replace none, and the oldest part is folded in itself
+        later = [f for f, p in zip(frames[1:], parts[1:], strict=True) if p["pass"] > parts[0]["first"]]
+        if not later:
+            return rows, marks
+        newest = union([f.select(F.col(f"`{key}`").alias("k"), F.col(marks[0]).alias("p")) for f in later]).groupBy("k").agg(F.max("p").alias("p"))
+        held = rows.join(newest, rows[f"`{key}`"].eqNullSafe(newest["k"]), "left").where(newest["p"].isNull() | (rows[marks[0]] == newest["p"]))
+        return held.select(*[rows[f"`{c}`"] for c in rows.columns]), marks
 
     def increments(self, layer: str, name: str, run_col: str | None = None) -> DataFrame:
         """The rows of all increments, of each key those of its latest pass;
         ``run_col``: the number of the run that committed them."""
-        state = self.current(layer).get("parts", {}).get(name)
+        state = increment_state(self.current(layer), name)
         if not state:
             raise KeyError(f"{layer}.{name} has no increments")
-        out = None
-        for parts in state["passes"]:
-            rows = None
-            for p in parts:
-                part = self.spark.read.parquet(p["path"])
-                part = part.withColumn(run_col, F.lit(p["run"])) if run_col else part
-                rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
-            if out is not None:   # an interrupted pass leaves the other keys to the one before
-                rows = rows.unionByName(out.join(rows.select(state["key"]).distinct(), state["key"], "left_anti"), allowMissingColumns=True)
-            out = rows
-        return out
+        rows, (pass_col, stored_run) = self._latest(state["parts"], state["key"])
+        return rows.drop(pass_col).withColumnRenamed(stored_run, run_col) if run_col else rows.drop(pass_col, stored_run)
 
     # ---- S11: layer reader -----------------------------------------------
     def table(self, layer: str, name: str) -> DataFrame:
@@ -327,6 +382,17 @@ class LayerStore:
         return self.spark.read.parquet(*paths) if isinstance(paths, list) else self.spark.read.parquet(paths)
 
 
+def increment_state(manifest: dict, name: str) -> dict | None:
+    """What a manifest holds on the increments of ``name``: key, whether a pass
+    is open, runs and passes so far, and the parts in order of commit. Manifests
+    of earlier releases list the parts by pass."""
+    state = manifest.get("parts", {}).get(name)
+    if state and "passes" in state:
+        parts = [{"path": p["path"], "first": n, "pass": n, "run": p["run"], "level": 0} for n, ps in enumerate(state["passes"], 1) for p in ps]
+        state = {"key": state["key"], "open": state["open"], "runs": state["runs"], "pass": len(state["passes"]), "parts": parts}
+    return state
+
+
 def parts_of(buckets: dict) -> dict[str, list[str]]:
     """Bucket -> its files, oldest first."""
     return {b: [p] if isinstance(p, str) else list(p) for b, p in buckets.items()}

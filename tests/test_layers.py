@@ -1,6 +1,7 @@
 """Sources and sinks: CSV (S5-S7, P2), layer store (S8-S10), dense ids
 (U7), checks (V*), and plan properties."""
 import os
+import random
 import tempfile
 
 import pytest
@@ -146,6 +147,87 @@ def test_incremental_load_resumes(spark):
     assert sorted(r.k for r in rows) == list(range(1, 101)) and {r.run for r in rows} == {3, 4}
 
 
+def _expected(passes):
+    """Rows (key, value, run) of the latest pass of each key; a pass: its runs,
+    each a list of (key, value)."""
+    held, run = {}, 0
+    for runs in passes:
+        own = {}
+        for rows in runs:
+            run += 1
+            for k, v in rows:
+                own.setdefault(k, []).append((k, v, run))
+        held |= own
+    return sorted((r for rows in held.values() for r in rows), key=str)
+
+
+def test_increments_fold_to_a_bounded_plan(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    store.FOLD_AT = 3
+    rng, passes, sizes = random.Random(7), [], []
+    for n in range(50):
+        open_pass = n % 5 == 3                     # its second run comes next
+        rows = [(rng.choice([None, *range(12)]), n) for _ in range(rng.randrange(6))]
+        rows += rows[:1]                           # a repeated row stays, within its pass
+        if n % 5 == 4:
+            passes[-1].append(rows)
+        else:
+            passes.append([rows])
+        store.commit_increment("raw", "t", spark.createDataFrame(rows, "k int, v int").coalesce(1), "k", done=not open_pass)
+        parts = sl.increment_state(store.current("raw"), "t")["parts"]
+        sizes.append(len(parts))
+        if n in (13, 31, 49):
+            got = sorted(((r.k, r.v, r.run) for r in store.increments("raw", "t", "run").collect()), key=str)
+            assert got == _expected(passes), n
+    assert max(sizes) <= store.FOLD_AT * store.LEVELS and parts[0]["level"] == store.LEVELS
+    plan = store.increments("raw", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 2 * store.FOLD_AT * store.LEVELS
+    before = len(store.fs.list_names(f"{store.root}/raw/t__part"))
+    store.vacuum("raw", keep=1, min_age=0)          # folded parts can go
+    assert len(store.fs.list_names(f"{store.root}/raw/t__part")) == len(parts) < before
+    assert sorted(((r.k, r.v, r.run) for r in store.increments("raw", "t", "run").collect()), key=str) == _expected(passes)
+
+
+def test_fold_loses_to_another_writer_and_survives_a_crash(spark, monkeypatch):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    store.FOLD_AT = 2
+    fold, publish = sl.LayerStore.fold_increments, sl.LayerStore.publish
+    monkeypatch.setattr(sl.LayerStore, "fold_increments", lambda *a: None)  # each writer ends before it folds
+    for n in range(3):
+        store.commit_increment("raw", "t", spark.createDataFrame([(1, n), (n + 10, n)], "k int, v int"), "k", done=True)
+    want = [(1, 2), (10, 0), (11, 1), (12, 2)]
+    assert sorted(map(tuple, store.increments("raw", "t").collect())) == want
+
+    def beaten(self, *args):
+        monkeypatch.setattr(sl.LayerStore, "publish", publish)
+        fold(self, "raw", "t")                     # another writer folds first
+        return publish(self, *args)
+
+    monkeypatch.setattr(sl.LayerStore, "publish", beaten)
+    fold(store, "raw", "t")
+    assert len(sl.increment_state(store.current("raw"), "t")["parts"]) == 1
+    assert sorted(map(tuple, store.increments("raw", "t").collect())) == want
+
+
+def test_increments_with_clashing_names_new_columns_and_old_manifests(spark):
+    store = sl.LayerStore(spark, tempfile.mkdtemp())
+    store.FOLD_AT = 2
+    store.commit_increment("raw", "t", spark.createDataFrame([(1, 5, 6), (2, 5, 6)], "`a.k` int, __pass int, __RUN int"), "a.k", done=True)
+    store.commit_increment("raw", "t", spark.createDataFrame([(2, 7)], "`a.k` bigint, extra int"), "a.k", done=True)
+    store.commit_increment("raw", "t", spark.createDataFrame([], "`a.k` bigint, extra int"), "a.k", done=True)
+    rows = sorted(tuple(r[c] for c in ("a.k", "__pass", "__RUN", "extra", "load")) for r in store.increments("raw", "t", "load").collect())
+    assert rows == [(1, 5, 6, None, 1), (2, None, None, 7, 2)]
+    with pytest.raises(ValueError):
+        store.commit_increment("raw", "t", spark.range(1).toDF("other"), "other", done=True)
+    # the form that earlier releases wrote
+    paths = [store.write_version("raw", "u__part", spark.createDataFrame([(1, n)], "k int, v int")).path for n in range(2)]
+    store.publish("raw", {}, lambda cur: {"parts": {**cur["parts"], "u": {
+        "key": "k", "open": False, "runs": 2, "passes": [[{"path": paths[0], "run": 1}], [{"path": paths[1], "run": 2}]]}}})
+    assert [tuple(r) for r in store.increments("raw", "u", "run").collect()] == [(1, 1, 2)]
+    store.commit_increment("raw", "u", spark.createDataFrame([(3, 3)], "k int, v int"), "k", done=True)
+    assert sorted(map(tuple, store.increments("raw", "u", "run").collect())) == [(1, 1, 2), (3, 3, 3)]
+
+
 def test_publish_keeps_the_other_state_of_a_layer(spark):
     store = sl.LayerStore(spark, tempfile.mkdtemp())
     a = spark.range(3).toDF("x")
