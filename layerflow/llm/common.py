@@ -11,7 +11,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerflow.session import checkpoint_root, shared_dir
@@ -54,6 +54,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
+def bounded(drawn: DataFrame, group: str, most: int) -> DataFrame:
+    """Of a sample (``group``, hash, body) at most ``most`` rows of each group,
+    those of the smallest hashes; rows equal in group and hash are one. Repeats
+    collapse and the bound is applied before rows of a group meet."""
+    once = drawn.groupBy(group, "hash").agg(F.min("body").alias("body"))
+    return once.withColumn("no", F.row_number().over(Window.partitionBy(group).orderBy("hash"))).where(F.col("no") <= most).drop("no")
+
+
 def parts_for(spark: SparkSession, amount: int, per_part: int) -> int:
     """Partitions so that each gets about ``per_part`` of ``amount``."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount) // per_part), 1)
@@ -80,4 +88,4 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-__all__ = ["checkpoint_root", "fresh", "held_out", "mix64", "parts_for", "release", "shared_dir", "staged", "table", "utf8", "wrapped"]
+__all__ = ["bounded", "checkpoint_root", "fresh", "held_out", "mix64", "parts_for", "release", "shared_dir", "staged", "table", "utf8", "wrapped"]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import fresh, held_out, release, table
+from layerflow.llm.common import bounded, fresh, held_out, release, table
 
 LENGTH = 256
 WIDTHS = (2, 3, 4)
@@ -140,22 +140,20 @@ def train(samples: list[tuple[str, bytes]], seed: int = 7) -> ByteNet:
 
 
 def sampled(docs: DataFrame, allowed: Column, doc_id: str, text: str, lang: str, per_lang: int = PER_LANG) -> list[tuple[str, bytes]]:
-    """About ``per_lang`` (never more) labelled texts of each language."""
+    """About ``per_lang`` (never more) labelled texts of each language, drawn by
+    id and text; rows equal in both are one, and the bound holds before any text
+    reaches the driver."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & allowed)
     counts = {r[0]: r[1] for r in labelled.groupBy(F.col(lang).alias("lang")).count().collect()}
     if not counts:
         return []
     rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_lang / n)))])
-    draw = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 20)) / float(1 << 20)
-    rows = labelled.where(draw < rate[F.col(lang)]) \
-        .select(F.col(lang), F.xxhash64(F.col(doc_id), F.col(text)), F.col(text).cast("binary")).collect()
-    taken: dict[str, int] = {}
-    out = []
-    for lang_, _, body in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        if taken.setdefault(lang_, 0) < per_lang and has_letter(bytes(body).decode()):
-            taken[lang_] += 1
-            out.append((lang_, bytes(body).lower()))
-    return out
+    hashed = F.xxhash64(F.col(doc_id), F.col(text))
+    draw = F.pmod(hashed, F.lit(1 << 20)) / float(1 << 20)
+    drawn = labelled.where(draw < rate[F.col(lang)]).select(F.col(lang).alias("lang"), hashed.alias("hash"), F.col(text).cast("binary").alias("body"))
+    rows = bounded(drawn, "lang", per_lang).collect()
+    return [(r["lang"], bytes(r["body"]).lower()) for r in sorted(rows, key=lambda r: (r["lang"], r["hash"], r["body"]))
+            if has_letter(bytes(r["body"]).decode())]
 
 
 def _predictor(sent):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerflow.llm.common import fresh, held_out, table
+from layerflow.llm.common import bounded, fresh, held_out, table
 
 PER_CLASS = 4000
 THRESHOLD = 0.3
@@ -219,23 +219,23 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
 
 def sampled(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str, text: str, label: str,
             per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Texts, labels and weights of a bounded sample of the labelled rows."""
+    """Texts, labels and weights of a bounded sample of the labelled rows; rows
+    equal in id, text and label are one."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & allowed) \
-        .select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).distinct()
     counts = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
     if not counts:
         return [], np.zeros(0), np.zeros(0)
     rate = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_class / n)))])
-    drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate[F.col("label")])
-    # at most about per_class rows of each of two classes: bounded by a parameter
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")) \
-        .join(F.broadcast(drawn), "doc_id").select("label", F.xxhash64("doc_id", "text"), "text").collect()
-    kept: Counter = Counter()
-    out = []
-    for label_, _, body in sorted(rows, key=lambda r: (r[1], r[0], r[2] or b"")):
-        if kept[label_] < per_class:
-            kept[label_] += 1
-            out.append((bytes(body or b"").decode(), label_))
+    drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate[F.col("label")]) \
+        .select("label", F.xxhash64("doc_id").alias("hash"), F.col("doc_id").alias("body"))
+    ids = bounded(drawn, "label", per_class).select("label", F.col("body").alias("doc_id"))
+    # two classes of at most per_class ids: a proven bound for the broadcast, whatever the rows of an id
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body")) \
+        .join(F.broadcast(ids), "doc_id").select("label", F.xxhash64("doc_id", "body").alias("hash"), "body")
+    out = [(bytes(r["body"]).decode(), r["label"])
+           for r in sorted(bounded(rows, "label", per_class).collect(), key=lambda r: (r["hash"], r["label"], r["body"]))]
+    kept = Counter(y for _, y in out)
     return [t for t, _ in out], np.array([y for _, y in out]), np.array([counts[y] / kept[y] for _, y in out], float) / \
         (sum(counts.values()) / max(1, len(out)))
 

@@ -69,3 +69,15 @@ def test_labels_are_never_inputs(spark):
 
 def test_numerals_are_no_letters():
     assert not any(map(m.has_letter, ("", "²", "½ ①", "\u2167 12", "_-!"))) and m.has_letter("1 é") and m.has_letter("語")
+
+
+def test_sample_is_bounded_where_one_id_holds_a_third_of_the_rows(spark):
+    rows = [(i, f"word{i} again", "aa" if i % 2 else "bb") for i in range(400)]
+    rows += [(1, "the same text", "aa")] * 150 + [(1, f"other text {i}", "aa") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    got = m.sampled(docs, F.lit(True), "doc_id", "text", "lang", 40)
+    assert {lang: sum(g[0] == lang for g in got) for lang in ("aa", "bb")}.keys() == {"aa", "bb"}
+    assert all(0 < sum(g[0] == lang for g in got) <= 40 for lang in ("aa", "bb")) and len(got) == len(set(got))
+    assert got == m.sampled(docs.repartition(3), F.lit(True), "doc_id", "text", "lang", 40)
+    everything = m.sampled(docs, F.lit(True), "doc_id", "text", "lang", 1000)
+    assert sorted(everything) == sorted((lang, text.encode()) for _, text, lang in set(rows))

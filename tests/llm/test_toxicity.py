@@ -74,3 +74,15 @@ def test_held_out_labels_teach_nothing(spark):
         docs, marked = tables(spark, x)
         out.append(sorted((str(r["doc_id"]), r["found"]) for r in m.toxicity(docs, marked, ~m.held_out(F.col("doc_id")), "found").collect()))
     assert out[0] == out[1]
+
+
+def test_sample_is_bounded_where_one_id_holds_a_third_of_the_rows(spark):
+    rows = [(i, f"text {i}") for i in range(400)] + [(2, "the same text")] * 100 + [(2, f"other text {i}") for i in range(100)]
+    docs = spark.createDataFrame([*rows, (3, None)], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(2, 0)] * 200, "doc_id long, toxic int").repartition(5)
+    args = ("doc_id", "text", "toxic")
+    texts, y, w = m.sampled(docs, labels, F.lit(True), *args, 40)
+    assert 0 < (y == 0).sum() <= 40 and 0 < (y == 1).sum() <= 40 and len(set(texts)) == len(texts)
+    assert texts == m.sampled(docs.repartition(3), labels.repartition(2), F.lit(True), *args, 40)[0]
+    texts, y, w = m.sampled(docs, labels, F.lit(True), *args, 1000)
+    assert sorted(zip(texts, y.tolist())) == sorted({(t or "", i % 2) for i, t in {*rows, (3, None)}})
