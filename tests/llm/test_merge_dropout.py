@@ -103,3 +103,29 @@ def test_draws_have_the_probability_of_dropout():
     for dropout in (0.1, 0.3, 1.0):
         bits = np.unpackbits(m.Segmenter(MODEL, 1, dropout).draws(np.arange(20_000, dtype=np.uint64) * np.uint64(977)).view(np.uint8))
         assert abs(bits.mean() - dropout) < 0.003
+
+
+def test_words_merged_together_are_as_merged_alone(monkeypatch):
+    rng = np.random.default_rng(5)
+    letters = list("abcdeorstin.,éüß漢 ") + ["  ", "x" * 9, "\n"]
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(300)) for _ in range(30)]
+    texts += ["", None, "one", "\u2581 a\0b", "a" * 400, " ".join(f"word{i % 7}" for i in range(5000))]
+    rows = [(t, str(k)) for k, t in enumerate(texts)]
+    for dropout in (0.0, 0.1, 0.6, 1.0):
+        alone = m.Segmenter(MODEL, 3, dropout)
+        alone.together = None
+        expected = list(alone.encode_all(rows))
+        for together, known in ((m.TOGETHER, m.KNOWN), (200, 50)):
+            monkeypatch.setattr(m, "TOGETHER", together)
+            monkeypatch.setattr(m, "KNOWN", known)
+            made = m.Segmenter(MODEL, 3, dropout)
+            assert list(made.encode_all(rows)) == expected
+            assert [made.encode(t, k) for t, k in rows if t is not None] == [ids for t, ids in expected if t is not None]
+
+
+def test_most_words_are_merged_together(monkeypatch):
+    made, alone = m.Segmenter(MODEL, 3, 0.1), []
+    merged = made._merged
+    monkeypatch.setattr(made, "_merged", lambda *a: alone.append(a) or merged(*a))
+    made.encode(" ".join(f"reason{i} number{i}" for i in range(2000)), "1")
+    assert len(alone) < 100
