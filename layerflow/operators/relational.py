@@ -96,8 +96,11 @@ def int_errors(df: DataFrame, ints: dict[str, str]) -> Column:
 
 
 def _failed(df: DataFrame, ints: dict[str, str]) -> Column:
-    """Whether any column has a value that its integer type cannot hold."""
-    flags = [ft.is_failed_int(c, t) if c.startswith(_TRIMMED) else int_error(df, c, t).isNotNull() for c, t in ints.items()]
+    """Whether any column has a value that its integer type cannot hold. In a
+    filter every mention of a trimmed text trims it again, so plain numerals are
+    told by their text as it is."""
+    flags = [~ft.is_small_int(c.removeprefix(_TRIMMED)) & ft.is_failed_int(c, t) if c.startswith(_TRIMMED)
+             else int_error(df, c, t).isNotNull() for c, t in ints.items()]
     return reduce(lambda a, b: a | b, flags, F.lit(False))
 
 

@@ -3,6 +3,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from layerflow.functions import typing as ft
+from layerflow.operators import relational as orl
 from layerflow.operators import schema as osch
 from layerflow.operators import shred as osh
 from layerflow.plans import catalog as C
@@ -67,3 +69,67 @@ def test_keys_that_no_path_can_name(spark):
 def test_replaced_children_decode_each_list_once(spark, sf_dir):
     df = C.q_replace_children(spark, sf_dir)
     assert "to_json" not in _plan(df)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_parents_are_decoded_in_one_pass(spark):
+    few, many = ({"id": "1", **{f"f{i}": str(i) for i in range(n)}} for n in (2, 12))
+    looks = []
+    for doc in (few, many):
+        docs = _docs(spark, [doc, {"id": "2"}])
+        parent = osh.shred_parent(docs, osch.discover_schema(docs).collect())
+        looks.append(_optimized(parent).count("variant_get"))
+        assert {r["f1"] for r in parent.collect()} == {"1", None}
+    assert looks[0] == looks[1]      # the look-ups do not grow with the fields
+
+
+def test_values_of_every_type_and_keys_that_differ_in_case(spark):
+    docs = _docs(spark, [{"id": "1", "b": True, "n": 5, "x": 1.5, "s": "t", "o": {"k": 1}, "l": [1, "a"], "v": None},
+                         {"id": 2, "b": "no", "x": 3, "s": 7}, [1], None])
+    rows = osch.discover_schema(docs).collect()
+    got = {r["id"]: r.asDict() for r in osh.shred_parent(docs, rows).collect()}
+    assert got["1"] | {"_id": 0} == {"id": "1", "_id": 0, "b": "true", "n": 5, "x": 1.5, "s": "t", "o": '{"k":1}', "l": '[1,"a"]', "v": None}
+    assert got["2"] | {"_id": 0} == {"id": "2", "_id": 0, "b": "no", "n": None, "x": 3.0, "s": "7", "o": None, "l": None, "v": None}
+    case = _docs(spark, [{"id": "1", "a": "x", "A": "y"}])
+    df, value_of = osh.with_values(case, F.col("doc"), [("a", "STRING"), ("A", "STRING")])
+    assert df.select(value_of("a", "STRING"), value_of("A", "STRING")).first()[:] == ("x", "y")
+
+
+def test_strings_that_look_like_objects_are_no_items(spark):
+    docs = _docs(spark, [{"id": "1", "l": [{"k": 1}, '{"k":2}', None, {"k": 1}]}, {"id": "2", "l": [{"k": 3}, {"k": 3}]},
+                         {"id": "3", "l": {"k": 4}}, {"id": "4", "l": ["{"]}, {"id": "5"}])
+    items = docs.select("id", osh.list_objects(F.col("doc"), "l").alias("items"))
+    assert "ArrayType(StringType" in _optimized(items)
+    assert dict(items.collect()) == {"1": ['{"k":1}'], "2": ['{"k":3}'], "3": None, "4": [], "5": None}
+
+
+def test_discovery_types_only_the_fields_of_lists_in_its_second_pass(spark):
+    docs = _docs(spark, [{"id": "1", "l": [{"k": 1}, {"k": None}], "m": [{"q": 1}]}, {"id": "2", "l": {"z": 1}, "m": [1]}])
+    schema = osch.discover_schema(docs)
+    assert _optimized(schema).count("schema_of_variant") == 1
+    assert {(r.scope, r.field): r.data_type for r in schema.collect()} == {
+        ("parent", "l"): "STRING", ("parent", "m"): "STRING", ("parent", "hash_l"): "STRING", ("parent", "hash_m"): "STRING",
+        ("l", "k"): "STRING", ("m", "q"): "BIGINT"}
+
+
+def test_review_documents_are_packed_without_lambdas(spark, sf_dir):
+    assert "lambda" not in _optimized(R.review_documents(spark, sf_dir))
+
+
+def test_plain_numerals_are_told_without_trimming(spark):
+    values = ["1", "123456789", "1234567890", " 1 ", "x", "", None, "1.5", "inf"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(ft.is_small_int("v")).collect()] == [True, True] + [False] * 7
+    good, bad = orl.build_properties(df.select(F.lit("7").alias("property_id"), F.col("v").alias("max_occupancy")))
+    assert [r.max_occupancy for r in good.collect()] == [1, 123456789, 1234567890, 1, None, None, None]
+    assert [r.error for r in bad.collect()] == ["fractional value in max_occupancy", "infinite value in max_occupancy"]
+
+
+def test_dates_with_outer_white_space(spark):
+    values = ["2024-01-02", " 2024-01-02", "2024-01-02\u00a0", "\u20032024-01-02\n", "", None, "x"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [str(r[0]) for r in df.select(ft.to_date("v")).collect()] == ["2024-01-02"] * 4 + ["None"] * 3
+    assert [r[0] for r in df.select(ft.trimmed_mostly("v")).collect()] == ["2024-01-02"] * 4 + ["", None, "x"]
