@@ -78,7 +78,8 @@ def to_datetime(c) -> Column:
     local = t.try_cast("timestamp_ntz")
     instant = t.try_cast("timestamp")
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-    return F.when(t.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*" + ZONE_SUFFIX), utc).otherwise(local)
+    # text without a colon has no time, and so no zone: the pattern is not tried
+    return F.when(F.contains(t, F.lit(":")) & t.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*" + ZONE_SUFFIX), utc).otherwise(local)
 
 
 def to_date(c) -> Column:

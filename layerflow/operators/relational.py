@@ -118,7 +118,7 @@ def _typed(clean: DataFrame, table: str, key: str, ints: dict[str, str], others:
     rows with a value that no integer column can hold go to the dead letter."""
     here = {c: t for c, t in ints.items() if c in clean.columns}
     texts = {c: _TRIMMED + c for c in here if isinstance(_dtype(clean, c), T.StringType)}
-    work = clean.withColumns({w: ft.trimmed(c) for c, w in texts.items()}) if texts else clean
+    work = clean.withColumns({w: ft.trimmed_mostly(c) for c, w in texts.items()}) if texts else clean
     read = {texts.get(c, c): t for c, t in here.items()}
     good, bad = split_errors(work, table, key, int_errors(work, read), _failed(work, read))
     conv = {c: to_int(good, texts.get(c, c), t) for c, t in here.items()}

@@ -8,6 +8,9 @@ most (partitions x distinct fields) rows however many documents there are.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,7 @@ RANK = {"BOOLEAN": 1, "BIGINT": 2, "DOUBLE": 3, "DECIMAL(30,10)": 4, "DATE": 5,
         "TIMESTAMP_NTZ": 6, "STRING": 99}
 HASH_PREFIX = "__hash_"
 SKIP_FIELDS = ["id", "_id"]
+_PLAIN_KEY = re.compile(r"[A-Za-z0-9_]+")
 
 
 def variant_kind(v: Column, null_widens: bool = True, s: Column | None = None) -> Column:
@@ -62,6 +66,15 @@ def has_objects(v: Column, s: Column) -> Column:
     return s.startswith("ARRAY<OBJECT<") | (s.startswith("ARRAY<VARIANT") & mixed)
 
 
+def field_of(doc: Column, key: str) -> Callable[[str], Column]:
+    """The value of ``key`` in a VARIANT object as a given type (NULL where there
+    is none). Only that value is decoded; a key that no path can name is looked
+    up in the map of all values."""
+    if _PLAIN_KEY.fullmatch(key):
+        return lambda data_type: F.try_variant_get(doc, f"$.{key}", data_type)
+    return F.element_at(doc.try_cast("map<string, variant>"), F.lit(key)).try_cast
+
+
 def objects_json(v: Column) -> Column:
     """JSON text of the object elements: in JSON only an object starts with a brace."""
     return F.filter(F.transform(v.try_cast("array<variant>"), lambda e: F.to_json(e)), lambda j: j.startswith("{"))
@@ -102,13 +115,15 @@ def discover_schema(docs: DataFrame, doc_col: str = "doc", null_widens: bool = T
     top = top.withColumn("nested", has_objects(F.col("value"), F.col("sv")))
     parents = cut_lineage(_votes(top, F.lit("parent"), F.col("nested"), null_widens))
     names = [r["source_field"] for r in parents.where(F.col("role") == "list_hash").select("source_field").collect()]
-    lists = _exploded(docs.select(F.col(doc_col).alias("doc")), "doc").where(F.col("key").isin(names)) \
-        .select(F.col("key").alias("list"), F.col("value").alias("items"))
-    # the fields of a value that is an object itself have keys and are no elements
-    elements = _exploded(lists, "items", "list").where(F.col("key").isNull()).select("list", F.col("value").alias("element"))
-    fields = _exploded(elements, "element", "list").where(F.col("key").isNotNull()).withColumn("sv", F.schema_of_variant("value"))
-    children = _votes(fields, F.col("list"), F.lit(False), null_widens)
-    votes = parents.unionByName(children)
+    votes = parents
+    if names:
+        # only the lists are looked up, the other values of a document stay packed
+        found = F.array(*[F.struct(F.lit(n).alias("list"), field_of(F.col(doc_col), n)("variant").alias("items")) for n in names])
+        lists = docs.select(F.explode(found).alias("found")).select("found.*").where(F.col("items").isNotNull())
+        # the fields of a value that is an object itself have keys and are no elements
+        elements = _exploded(lists, "items", "list").where(F.col("key").isNull()).select("list", F.col("value").alias("element"))
+        fields = _exploded(elements, "element", "list").where(F.col("key").isNotNull()).withColumn("sv", F.schema_of_variant("value"))
+        votes = parents.unionByName(_votes(fields, F.col("list"), F.lit(False), null_widens))
     named = votes.select(
         F.when(F.col("scope") == "parent", F.lit("parent")).otherwise(sanitize_identifier_col("scope")).alias("scope"),
         F.when(F.col("role") == "list_hash",

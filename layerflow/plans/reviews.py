@@ -234,6 +234,11 @@ def rel_layer(m: Model) -> Model:
     for table, build in builders.items():
         m.rel[table], bad = build(m.clean[table])
         if table == "reviews":
+            # stored once, for the dead letter and the two joins: by its size on disk
+            # Spark tells whether the aspects have to move to meet it
+            path = shared_dir(bad.sparkSession, "dead_reviews")
+            bad.write.mode("overwrite").parquet(path)
+            bad = bad.sparkSession.read.parquet(path)
             lost = bad.select(F.col("key").alias("review_id"))
         if table == "review_aspects":
             gone = m.rel[table].join(lost, "review_id", "left_semi")

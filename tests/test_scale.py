@@ -133,3 +133,46 @@ def test_dates_with_outer_white_space(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     assert [str(r[0]) for r in df.select(ft.to_date("v")).collect()] == ["2024-01-02"] * 4 + ["None"] * 3
     assert [r[0] for r in df.select(ft.trimmed_mostly("v")).collect()] == ["2024-01-02"] * 4 + ["", None, "x"]
+
+
+def test_the_second_discovery_pass_looks_its_lists_up(spark):
+    docs = _docs(spark, [{"id": "1", "l": [{"k": 1}, 5], "a b": [{"q": None}], "x": 1}, {"id": "2", "l": {"z": 1}, "a b": "t"}, {"id": "3", "l": None}, [1]])
+    schema = osch.discover_schema(docs)
+    assert _optimized(schema).count("Generate variant_explode") == 2     # lists and their elements, not all values
+    assert {(r.scope, r.field): r.data_type for r in schema.collect()} == {
+        ("parent", "l"): "STRING", ("parent", "hash_l"): "STRING", ("parent", "a_b"): "STRING", ("parent", "hash_a_b"): "STRING",
+        ("parent", "x"): "BIGINT", ("l", "k"): "BIGINT", ("a_b", "q"): "STRING"}
+    plain = osch.discover_schema(_docs(spark, [{"id": "1", "x": 1}, {"id": "2", "l": [1]}]))
+    assert {(r.scope, r.field) for r in plain.collect()} == {("parent", "x"), ("parent", "l")}
+
+
+def test_aspects_stay_where_they_are_when_few_reviews_are_dead(spark):
+    m = R.Model()
+    m.clean = {"properties": spark.createDataFrame([("1", "2")], "property_id string, max_occupancy string"),
+               "property_id_mapping": spark.createDataFrame([("1", 7)], "property_id string, external_property_id bigint"),
+               "reviews": spark.createDataFrame([("a", "7"), ("b", "7.5"), ("c", None), (None, "8.5")], "review_id string, external_property_id string"),
+               "review_aspects": spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (4, None, 4.0), (5, "z", 5.0)],
+                                                       "aspect_id bigint, review_id string, score double")}
+    R.rel_layer(m)
+    aspects = m.rel["review_aspects"]
+    assert sorted(r.aspect_id for r in aspects.collect()) == [1, 3, 4, 5]
+    assert "SortMergeJoin" not in _plan(aspects)
+    assert sorted((r.table_name, r.key or "", r.error) for r in m.dead_letter.collect()) == [
+        ("review_aspects", "2", "its review is in the dead letter"), ("reviews", "", "fractional value in external_property_id"),
+        ("reviews", "b", "fractional value in external_property_id")]
+
+
+def test_typed_texts_are_trimmed_by_pattern_only_at_need(spark):
+    values = ["1", " 2", "3 ", " 4\n", "5.0", "", None, "x", "1.5"]
+    clean = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "property_id string, max_occupancy string")
+    good, bad = orl.build_properties(clean)
+    assert "substring(max_occupancy" in _optimized(good)
+    assert {r.property_id: r.max_occupancy for r in good.collect()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 5: None, 6: None, 7: None}
+    assert [r.key for r in bad.collect()] == ["8"]
+
+
+def test_dates_without_a_time_are_not_searched_for_a_zone(spark):
+    values = ["2024-01-02", "2024-01-02 03:04:05", "2024-01-02T03:04:05+02:00", "2024-01-02 03:04Z", None, "x:y", ""]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(ft.to_datetime("v").alias("t"))
+    assert "Contains(" in _optimized(df)
+    assert [str(r.t) for r in df.collect()] == ["2024-01-02 00:00:00", "2024-01-02 03:04:05", "2024-01-02 01:04:05", "2024-01-02 03:04:00", "None", "None", "None"]
